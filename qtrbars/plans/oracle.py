@@ -35,7 +35,15 @@ _DAILY_ORDERS = """
 """
 
 
-def _bars_sql(daily: str, source: str, actions: bool) -> str:
+def _label(d: str) -> str:
+    return f"CAST(year({d}) AS VARCHAR) || 'Q' || CAST(quarter({d}) AS VARCHAR)"
+
+
+def _qend(d: str) -> str:
+    return f"last_day(CAST(date_trunc('quarter', {d}) AS DATE) + INTERVAL 2 MONTH)"
+
+
+def _bars_cte(daily: str, actions: bool) -> str:
     act_aggs = """,
          coalesce(sum(dividend_amount), 0.0) AS dividend_amount,
          coalesce(min(CASE WHEN split_coefficient <> 1 THEN split_coefficient END), 1.0)
@@ -43,13 +51,18 @@ def _bars_sql(daily: str, source: str, actions: bool) -> str:
          CAST(NULL AS DOUBLE) AS dividend_amount,
          CAST(NULL AS DOUBLE) AS split_coefficient"""
     return f"""
-WITH daily AS ({daily}),
+daily AS ({daily}),
 bars AS (
   SELECT ticker, CAST(date_trunc('quarter', d) AS DATE) AS qs,
          arg_min(open, ord) AS open, max(high) AS high, min(low) AS low,
          arg_max(close, ord) AS close, arg_max(adjusted_close, ord) AS adjusted_close,
          CAST(coalesce(sum(volume), 0) AS BIGINT) AS volume{act_aggs}
-  FROM daily GROUP BY ticker, CAST(date_trunc('quarter', d) AS DATE)),
+  FROM daily GROUP BY ticker, CAST(date_trunc('quarter', d) AS DATE))"""
+
+
+def _bars_sql(daily: str, source: str, actions: bool) -> str:
+    return f"""
+WITH {_bars_cte(daily, actions)},
 filled AS (
   SELECT *, last_value(adjusted_close IGNORE NULLS) OVER (
               PARTITION BY ticker ORDER BY qs
@@ -60,8 +73,7 @@ filled AS (
   FROM bars),
 prev AS (
   SELECT *, lag(f) OVER (PARTITION BY ticker ORDER BY qs) AS pf FROM filled)
-SELECT '{source}' AS source, ticker,
-       CAST(year(qs) AS VARCHAR) || 'Q' || CAST(quarter(qs) AS VARCHAR) AS "quarter",
+SELECT '{source}' AS source, ticker, {_label('qs')} AS "quarter",
        open, high, low, close, adjusted_close, volume, dividend_amount, split_coefficient,
        last_day(qs + INTERVAL 2 MONTH) AS "date",
        round((f - pf) / NULLIF(pf, 0) * 100, 2) + 0.0 AS pct_change,
@@ -70,7 +82,131 @@ FROM prev
 """
 
 
+_LI_ORD = """(CAST(l_shipdate AS DATE), l_orderkey, l_linenumber, l_partkey,
+               l_extendedprice, l_discount, l_tax)"""
+
+_YAHOO = f"""
+WITH li AS (SELECT *, {_LI_ORD} AS ord FROM lineitem),
+long AS (
+  SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS ticker,
+         min(CAST(l_shipdate AS DATE)) AS bd,
+         CASE WHEN arg_min(l_discount, ord) = 0 THEN NULL
+              ELSE arg_min(l_extendedprice, ord) END AS open,
+         max(l_extendedprice * (1 + l_tax)) AS high,
+         min(l_extendedprice * (1 - l_discount)) AS low,
+         arg_max(l_extendedprice * (1 - l_discount) * (1 + l_tax), ord) AS close,
+         CASE WHEN arg_max(l_tax + l_discount, ord) = 0 THEN 0.0
+              ELSE arg_max(l_extendedprice * (1 - l_discount), ord) END AS adj_close,
+         sum(l_quantity) AS volume,
+         sum(round(l_tax * 100)) AS dividends
+  FROM li GROUP BY l_suppkey, date_trunc('quarter', l_shipdate)),
+complete AS (
+  SELECT * FROM long
+  WHERE open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL
+    AND adj_close IS NOT NULL AND volume IS NOT NULL AND dividends IS NOT NULL),
+kept AS (
+  SELECT * FROM complete c
+  WHERE NOT EXISTS (SELECT 1 FROM complete z WHERE z.ticker = c.ticker AND z.adj_close <= 0)),
+w AS (
+  SELECT *, lag(adj_close) OVER (PARTITION BY ticker ORDER BY bd) AS prev,
+         first_value(adj_close) OVER (PARTITION BY ticker ORDER BY bd
+           ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS base
+  FROM kept)
+SELECT 'YAHOO' AS source, ticker, {_label('bd')} AS "quarter",
+       open, high, low, close, adj_close AS adjusted_close,
+       CAST(trunc(volume) AS BIGINT) AS volume,
+       dividends AS dividend_amount, CAST(0.0 AS DOUBLE) AS split_coefficient,
+       CASE WHEN bd = {_qend('bd')} THEN last_day({_qend('bd')} + INTERVAL 3 MONTH)
+            ELSE {_qend('bd')} END AS "date",
+       round((adj_close / NULLIF(prev, 0) - 1) * 100, 2) + 0.0 AS pct_change,
+       round((adj_close - base) / NULLIF(base, 0) * 100, 2) + 0.0 AS compound_return
+FROM w
+"""
+
+_SYMBOL = """CASE WHEN p_size < 8 THEN CAST(p_size AS VARCHAR) || upper(substr(p_type, 1, 2))
+            WHEN p_size < 15 THEN upper(substr(p_type, 1, 3)) || CAST(p_size AS VARCHAR)
+            WHEN p_size < 20 THEN upper(substr(p_type, 1, 2)) || '/' || upper(substr(p_name, 1, 1))
+            WHEN p_size < 24 THEN upper(substr(p_name, 1, 3)) || '*'
+            WHEN p_size < 28 THEN 'BRKB'
+            WHEN p_size < 31 THEN 'BRKA'
+            ELSE upper(replace(p_name, ' ', '')) END"""
+
+_UNIVERSE = f"""
+  SELECT m.ticker
+  FROM (SELECT DISTINCT l_partkey AS cusip FROM lineitem) p
+  JOIN (SELECT DISTINCT p_partkey AS cusip, {_SYMBOL} AS ticker FROM part) m
+    ON p.cusip = m.cusip
+"""
+
+_REMAP = "CASE ticker WHEN 'BRKB' THEN 'BRK-B' WHEN 'BRKA' THEN 'BRK-A' ELSE ticker END"
+_STRICT = "NOT regexp_matches(ticker, '[0-9]') AND NOT regexp_matches(ticker, '[/*]')"
+_LEADING = "NOT regexp_matches(ticker, '^[0-9]') AND NOT regexp_matches(ticker, '[/*]')"
+_NORMAL = f"SELECT {_REMAP} AS ticker FROM ({_UNIVERSE}) u WHERE {_STRICT}"
+_KEPT = f"SELECT ticker FROM ({_UNIVERSE}) u WHERE {_STRICT}"
+
+_FMP_BARS = _bars_sql(_DAILY_ORDERS, "FMP", False)
+_AV_BARS = _bars_sql(_DAILY_LINEITEM, "AV", True)
+_ORDER_DATES = "SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders"
+
 ORACLES: dict[str, str] = {
-    "quarterly_bars_av": _bars_sql(_DAILY_LINEITEM, "AV", True),
-    "quarterly_bars_fmp": _bars_sql(_DAILY_ORDERS, "FMP", False),
+    "quarterly_bars_av": _AV_BARS,
+    "quarterly_bars_fmp": _FMP_BARS,
+    "quarterly_bars_yahoo": _YAHOO,
+    "ticker_universe": _UNIVERSE,
+    "ticker_normalize": _NORMAL,
+    "ticker_normalize_leading": f"SELECT {_REMAP} AS ticker FROM ({_UNIVERSE}) u WHERE {_LEADING}",
+    "distinct_tickers": f"SELECT DISTINCT ticker FROM ({_NORMAL}) n",
+    "ticker_sample": f"""SELECT ticker FROM (SELECT DISTINCT ticker FROM ({_NORMAL}) n) d
+                          ORDER BY md5('42-' || ticker), ticker LIMIT 30""",
+    "batch_round_robin": f"""SELECT {_REMAP} AS ticker,
+                               CAST((row_number() OVER (ORDER BY ticker) - 1) % 7 AS INTEGER) AS batch
+                             FROM ({_KEPT}) k""",
+    "universe_offset": f"SELECT {_REMAP} AS ticker FROM ({_KEPT}) k ORDER BY ticker OFFSET 100",
+    "pending_tickers": f"""
+        SELECT DISTINCT 'C' || CAST(c_custkey AS VARCHAR) AS ticker FROM customer c
+        WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey
+                          AND {_label('o_orderdate')} = '1998Q1')""",
+    "trading_span": f"""
+        SELECT 'C' || CAST(o_custkey AS VARCHAR) AS ticker,
+               min({_label('o_orderdate')}) AS first_quarter,
+               max({_label('o_orderdate')}) AS last_quarter
+        FROM orders GROUP BY o_custkey""",
+    "latest_quarters": f"""
+        SELECT ticker, "quarter", adjusted_close, pct_change, compound_return
+        FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY "date" DESC) AS rn
+              FROM ({_FMP_BARS}) b) r
+        WHERE rn = 1""",
+    "price_gate": """
+        SELECT c_custkey, c_nationkey, c_mktsegment, c_acctbal FROM customer c
+        WHERE EXISTS (SELECT 1 FROM (SELECT c_nationkey, c_mktsegment FROM customer
+                                     GROUP BY c_nationkey, c_mktsegment
+                                     HAVING coalesce(bool_and(c_acctbal > 0), true)) g
+                      WHERE g.c_nationkey = c.c_nationkey AND g.c_mktsegment = c.c_mktsegment)""",
+    "any_all": """
+        SELECT user_id,
+               coalesce(bool_or(event_type = 'error'), false) AS any_error,
+               coalesce(bool_or(contains(props, '"k": 9')), false) AS any_k9,
+               coalesce(bool_and(value > 0), true) AS all_positive,
+               coalesce(bool_and(value > 1), true) AS all_over_one
+        FROM events GROUP BY user_id""",
+    "quarter_end_date": f"SELECT d, {_qend('d')} AS quarter_end FROM ({_ORDER_DATES}) x",
+    "quarter_label": f"SELECT d, {_label('d')} AS \"quarter\" FROM ({_ORDER_DATES}) x",
+    "quarter_end_offset": f"""
+        SELECT d, CASE WHEN d = {_qend('d')} THEN last_day({_qend('d')} + INTERVAL 3 MONTH)
+                       ELSE {_qend('d')} END AS offset_end
+        FROM ({_ORDER_DATES}) x""",
+    "split_coefficient": f"""
+        SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS ticker, {_label('l_shipdate')} AS "quarter",
+               coalesce(min(CASE WHEN s <> 1 THEN s END), 1.0) AS split_coefficient
+        FROM (SELECT *, CASE WHEN l_quantity > 45 THEN l_quantity / 10 ELSE 1.0 END AS s
+              FROM lineitem) x
+        GROUP BY 1, 2""",
+    "pct_change": f'SELECT ticker, "quarter", pct_change FROM ({_AV_BARS}) b',
+    "pct_change_desc": f"""
+        WITH {_bars_cte(_DAILY_LINEITEM, True)}
+        SELECT ticker, {_label('qs')} AS "quarter",
+               round((adjusted_close / NULLIF(lead(adjusted_close) OVER (
+                        PARTITION BY ticker ORDER BY qs DESC), 0) - 1) * 100, 2) + 0.0 AS pct_change
+        FROM bars""",
+    "compound_return": f'SELECT ticker, "quarter", compound_return FROM ({_AV_BARS}) b',
 }

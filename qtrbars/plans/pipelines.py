@@ -41,3 +41,53 @@ def daily_to_quarterly(daily: DataFrame, source: str, actions: bool = True,
     return (bars.withColumn("source", F.lit(source))
                 .withColumn("data_load", _data_load(data_load))
                 .select(*BAR_COLUMNS))
+
+
+# ---------------------------------------------------------------- Yahoo
+
+from ..functions.dates import as_date, quarter_end_offset, quarter_label  # noqa: E402
+from ..operators.quality import default_missing, drop_incomplete, price_gate  # noqa: E402
+from ..operators.returns import with_compound_return, with_pct_change  # noqa: E402
+
+YAHOO_REQUIRED = ["open", "high", "low", "close", "adj_close", "volume"]
+YAHOO_OPTIONAL_DEFAULTS = {"stock_splits": 0.0, "dividends": 0.0}
+
+
+def yahoo_quarterly(long: DataFrame, source: str = "YAHOO", data_load=None,
+                    complete_flag: str = "_complete") -> tuple[DataFrame, DataFrame]:
+    """Cleaned 3-month vendor bars -> canonical bars, plus rejected tickers.
+
+    ``long`` has ticker, date, the required fields and optionally dividends,
+    stock_splits, capital_gains and a per-row completeness flag (from
+    ``wide_to_long``). Steps: drop incomplete rows, default the optional
+    columns to 0.0, drop capital gains, reject whole tickers with any adjusted
+    close <= 0, label the quarter from the bar date, move the date to the
+    next quarter end (a bar dated on a quarter end moves one quarter on),
+    truncate volume to an integer, then returns (ratio form) oldest-first.
+    """
+    if complete_flag in long.columns:
+        rows = long.where(F.col(complete_flag)).drop(complete_flag)
+    else:
+        # every field the frame carries must be present, as in the vendor frame
+        rows = drop_incomplete(long, [c for c in long.columns if c not in ("ticker", "date")])
+    rows = default_missing(rows, YAHOO_OPTIONAL_DEFAULTS).drop("capital_gains")
+    passed, rejected = price_gate(rows, "ticker", "adj_close")
+    bars = passed.select(
+        F.col("ticker"),
+        quarter_label("date").alias("quarter"),
+        "open", "high", "low", "close",
+        F.col("adj_close").alias("adjusted_close"),
+        F.col("volume").try_cast("bigint").alias("volume"),
+        F.col("dividends").alias("dividend_amount"),
+        F.col("stock_splits").alias("split_coefficient"),
+        quarter_end_offset("date").alias("date"),
+        as_date("date").alias("_bar_date"),
+    )
+    bars = with_pct_change(bars, "ticker", order="_bar_date", method="ratio")
+    bars = with_compound_return(bars, "ticker", order="_bar_date")
+    bars = (bars.withColumn("source", F.lit(source))
+                .withColumn("data_load", _data_load(data_load))
+                .select(*BAR_COLUMNS))
+    rejected = rejected.select(F.lit(source).alias("source"), "ticker",
+                               F.lit("nonpositive_price").alias("reason"))
+    return bars, rejected

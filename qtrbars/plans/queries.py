@@ -34,3 +34,174 @@ def quarterly_bars_av(spark, sf_dir):
 def quarterly_bars_fmp(spark, sf_dir):
     daily = S.daily_from_orders(S.table(spark, sf_dir, "orders"))
     return P.daily_to_quarterly(daily, "FMP", actions=False, order=daily["_order"]).drop("data_load")
+
+
+# ------------------------------------------------------------ Yahoo bars
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..functions import dates as D  # noqa: E402
+from ..functions.tickers import keep_ticker, remap_alias  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+from ..operators import returns as R  # noqa: E402
+from ..operators import universe as U  # noqa: E402
+from ..operators.bars import quarterly_bars, split_coefficient_agg  # noqa: E402
+
+
+@query("quarterly_bars_yahoo")
+def quarterly_bars_yahoo(spark, sf_dir):
+    long = S.yahoo_bars_from_lineitem(S.table(spark, sf_dir, "lineitem"))
+    bars, _rejected = P.yahoo_quarterly(long)
+    return bars.drop("data_load")
+
+
+# -------------------------------------------------------------- universe
+
+def _universe(spark, sf_dir):
+    prices, mapping = S.security_tables(spark, sf_dir)
+    return U.ticker_universe(prices, mapping, key="cusip", ticker="ticker")
+
+
+@query("ticker_universe")
+def ticker_universe(spark, sf_dir):
+    return _universe(spark, sf_dir)
+
+
+@query("ticker_normalize")
+def ticker_normalize(spark, sf_dir):
+    return U.normalize_tickers(_universe(spark, sf_dir), "ticker", digits="any")
+
+
+@query("ticker_normalize_leading")
+def ticker_normalize_leading(spark, sf_dir):
+    return U.normalize_tickers(_universe(spark, sf_dir), "ticker", digits="leading")
+
+
+@query("distinct_tickers")
+def distinct_tickers(spark, sf_dir):
+    return U.distinct_tickers(U.normalize_tickers(_universe(spark, sf_dir)))
+
+
+@query("ticker_sample")
+def ticker_sample(spark, sf_dir):
+    clean = U.distinct_tickers(U.normalize_tickers(_universe(spark, sf_dir)))
+    return U.sample_tickers(clean, 30, seed=42)
+
+
+@query("batch_round_robin")
+def batch_round_robin(spark, sf_dir):
+    # positions follow the sorted raw symbols; aliases are rewritten after
+    kept = _universe(spark, sf_dir).where(keep_ticker("ticker"))
+    batches = U.round_robin_batches(kept, 7, order=["ticker"])
+    return batches.select(remap_alias("ticker").alias("ticker"), "batch")
+
+
+@query("universe_offset")
+def universe_offset(spark, sf_dir):
+    kept = _universe(spark, sf_dir).where(keep_ticker("ticker"))
+    rest = U.skip_first(kept, 100, order=["ticker"])
+    return rest.select(remap_alias("ticker").alias("ticker"))
+
+
+def _fmp_bars(spark, sf_dir):
+    daily = S.daily_from_orders(S.table(spark, sf_dir, "orders"))
+    return P.daily_to_quarterly(daily, "FMP", actions=False, order=F.col("_order"))
+
+
+@query("pending_tickers")
+def pending_tickers(spark, sf_dir):
+    universe = S.table(spark, sf_dir, "customer").select(U.ticker_col("C", "c_custkey").alias("ticker"))
+    daily = S.daily_from_orders(S.table(spark, sf_dir, "orders"))
+    done = (quarterly_bars(daily, order=F.col("_order"), actions=False)
+            .where(F.col("quarter") == "1998Q1").select("ticker"))
+    return U.pending_tickers(universe, done)
+
+
+@query("trading_span")
+def trading_span(spark, sf_dir):
+    return R.trading_span(_fmp_bars(spark, sf_dir))
+
+
+@query("latest_quarters")
+def latest_quarters(spark, sf_dir):
+    bars = _fmp_bars(spark, sf_dir)
+    cols = ["quarter", "adjusted_close", "pct_change", "compound_return"]
+    return (bars.groupBy("ticker")
+                .agg(F.max_by(F.struct(*cols), F.col("date")).alias("r"))
+                .select("ticker", *[F.col("r." + c).alias(c) for c in cols]))
+
+
+# ----------------------------------------------------------- gate, any/all
+
+@query("price_gate")
+def price_gate(spark, sf_dir):
+    cust = S.table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
+    passed, _bad = Q.price_gate(cust, ["c_nationkey", "c_mktsegment"], "c_acctbal")
+    return passed
+
+
+@query("any_all")
+def any_all(spark, sf_dir):
+    ev = S.table(spark, sf_dir, "events")
+    return ev.groupBy("user_id").agg(
+        Q.any_of(F.col("event_type") == "error").alias("any_error"),
+        Q.any_of(F.col("props").contains('"k": 9')).alias("any_k9"),
+        Q.all_of(F.col("value") > 0).alias("all_positive"),
+        Q.all_of(F.col("value") > 1).alias("all_over_one"))
+
+
+# ------------------------------------------------------- quarter calendar
+
+def _order_dates(spark, sf_dir):
+    return (S.table(spark, sf_dir, "orders")
+            .select(D.as_date("o_orderdate").alias("d")).distinct())
+
+
+@query("quarter_end_date")
+def quarter_end_date(spark, sf_dir):
+    return _order_dates(spark, sf_dir).select("d", D.quarter_end("d").alias("quarter_end"))
+
+
+@query("quarter_label")
+def quarter_label(spark, sf_dir):
+    return _order_dates(spark, sf_dir).select("d", D.quarter_label("d").alias("quarter"))
+
+
+@query("quarter_end_offset")
+def quarter_end_offset(spark, sf_dir):
+    return _order_dates(spark, sf_dir).select("d", D.quarter_end_offset("d").alias("offset_end"))
+
+
+# -------------------------------------------------------- split, windows
+
+@query("split_coefficient")
+def split_coefficient(spark, sf_dir):
+    li = S.table(spark, sf_dir, "lineitem")
+    split = F.when(F.col("l_quantity") > 45, F.col("l_quantity") / 10).otherwise(F.lit(1.0))
+    return (li.groupBy(U.ticker_col("S", "l_suppkey").alias("ticker"),
+                       D.quarter_label("l_shipdate").alias("quarter"))
+              .agg(split_coefficient_agg(split).alias("split_coefficient")))
+
+
+def _av_bars(spark, sf_dir):
+    daily = S.daily_from_lineitem(S.table(spark, sf_dir, "lineitem"))
+    return quarterly_bars(daily, order=F.col("_order"))
+
+
+@query("pct_change")
+def pct_change(spark, sf_dir):
+    b = R.with_pct_change(_av_bars(spark, sf_dir), "ticker", "quarter_start", method="diff")
+    return b.select("ticker", "quarter", "pct_change")
+
+
+@query("pct_change_desc")
+def pct_change_desc(spark, sf_dir):
+    b = R.with_pct_change(_av_bars(spark, sf_dir), "ticker", "quarter_start", method="ratio")
+    return b.select("ticker", "quarter", "pct_change")
+
+
+@query("compound_return")
+def compound_return(spark, sf_dir):
+    b = R.with_compound_return(_av_bars(spark, sf_dir), "ticker", "quarter_start")
+    return b.select("ticker", "quarter", "compound_return")

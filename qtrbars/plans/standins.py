@@ -59,3 +59,51 @@ def daily_from_orders(orders: DataFrame) -> DataFrame:
         F.lit(1).cast("bigint").alias("volume"),
         F.struct(as_date("o_orderdate").alias("d"), F.col("o_orderkey")).alias("_order"),
     )
+
+
+def yahoo_bars_from_lineitem(li: DataFrame) -> DataFrame:
+    """3-month vendor bars (long form) from lineitem: one bar per supplier and
+    quarter dated on its first ship date. Open is missing when the first row
+    has no discount; the adjusted close is reported as 0.0 when the last row
+    has neither tax nor discount (the gate then rejects that supplier).
+    Dividends are present, stock splits are not (defaulted to 0.0)."""
+    from ..functions.dates import quarter_start
+    p, d, t = F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax")
+    o = lineitem_order()
+    first_disc = F.min_by(d, o)
+    return (li.groupBy(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("ticker"),
+                       quarter_start("l_shipdate").alias("_q"))
+              .agg(F.min(as_date("l_shipdate")).alias("date"),
+                   F.when(first_disc == 0, F.lit(None).cast("double"))
+                    .otherwise(F.min_by(p, o)).alias("open"),
+                   F.max(p * (1 + t)).alias("high"),
+                   F.min(p * (1 - d)).alias("low"),
+                   F.max_by(p * (1 - d) * (1 + t), o).alias("close"),
+                   F.when(F.max_by(t + d, o) == 0, F.lit(0.0))
+                    .otherwise(F.max_by(p * (1 - d), o)).alias("adj_close"),
+                   F.sum("l_quantity").alias("volume"),
+                   F.sum(F.round(t * 100)).alias("dividends"))
+              .drop("_q"))
+
+
+def part_symbol() -> Column:
+    """Vendor-style symbol per part, covering every cleaning rule: a leading
+    digit, an inner digit, '/', '*', the two share-class aliases, plain."""
+    size, ptype, name = F.col("p_size"), F.col("p_type"), F.col("p_name")
+    return (F.when(size < 8, F.concat(size.cast("string"), F.upper(F.substring(ptype, 1, 2))))
+             .when(size < 15, F.concat(F.upper(F.substring(ptype, 1, 3)), size.cast("string")))
+             .when(size < 20, F.concat(F.upper(F.substring(ptype, 1, 2)), F.lit("/"),
+                                       F.upper(F.substring(name, 1, 1))))
+             .when(size < 24, F.concat(F.upper(F.substring(name, 1, 3)), F.lit("*")))
+             .when(size < 28, F.lit("BRKB"))
+             .when(size < 31, F.lit("BRKA"))
+             .otherwise(F.upper(F.replace(name, F.lit(" "), F.lit("")))))
+
+
+def security_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(prices, cusip->ticker map): lineitem part keys stand for securities
+    with prices, part rows map a key to a symbol."""
+    prices = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("cusip"))
+    mapping = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("cusip"),
+                                                  part_symbol().alias("ticker"))
+    return prices, mapping
