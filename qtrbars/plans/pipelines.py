@@ -91,3 +91,51 @@ def yahoo_quarterly(long: DataFrame, source: str = "YAHOO", data_load=None,
     rejected = rejected.select(F.lit(source).alias("source"), "ticker",
                                F.lit("nonpositive_price").alias("reason"))
     return bars, rejected
+
+
+# ------------------------------------------------------ AV / FMP payloads
+
+from ..sources import payloads as SRC  # noqa: E402
+
+QUARANTINE_STATUSES = ("unparseable", "unrecognized")
+
+
+def process_payloads(payloads: DataFrame, vendor: str, data_load=None) -> dict:
+    """Classified payload rows -> the job's outputs.
+
+    bars          canonical quarterly bars of the usable payloads
+    not_available registry of tickers the vendor does not know
+    quarantine    payloads that could not be used (unparseable, unrecognized)
+    retry         tickers answered with a rate-limit message (stay pending)
+    """
+    classified = SRC.classify(payloads, vendor)
+    daily = SRC.daily_rows(classified)
+    bars = daily_to_quarterly(daily, vendor, actions=(vendor == "AV"), data_load=data_load)
+    return {
+        "bars": bars,
+        "not_available": SRC.rejected(classified, ["not_available"], data_load),
+        "quarantine": SRC.rejected(classified, QUARANTINE_STATUSES, data_load),
+        "retry": classified.where(F.col("status") == "rate_limited").select("source", "ticker"),
+        "classified": classified.select("source", "ticker", "path", "status"),
+    }
+
+
+def av_quarterly(spark, landing: str, data_load=None, latest_only: bool = True) -> dict:
+    """AV daily CSV payloads (one file per ticker) -> outputs of
+    ``process_payloads``."""
+    return process_payloads(SRC.read_payloads(spark, landing, "AV", latest_only=latest_only),
+                            "AV", data_load)
+
+
+def fmp_quarterly(spark, landing: str, data_load=None, latest_only: bool = True) -> dict:
+    """FMP JSON payloads (one file per ticker) -> outputs of ``process_payloads``."""
+    return process_payloads(SRC.read_payloads(spark, landing, "FMP", latest_only=latest_only),
+                            "FMP", data_load)
+
+
+def publish(outputs: dict, bars_path: str, registry_path: str, quarantine_path: str) -> None:
+    """Replace the stored bars/records of every ticker present in the outputs."""
+    from ..sinks.parquet import replace_by_ticker, write_records
+    replace_by_ticker(outputs["bars"], bars_path)
+    write_records(outputs["not_available"], registry_path)
+    write_records(outputs["quarantine"], quarantine_path)
