@@ -82,15 +82,19 @@ def _num(text: Column) -> Column:
     return F.trim(text).try_cast("double")
 
 
-def av_rows(payload) -> Column:
-    """Array of typed daily rows of an AV CSV payload, fields found by header
-    name. Unparseable numbers become null; an unparseable date stays null and
-    marks the payload (see ``av_status``)."""
-    hdr = header_fields(payload)
-    pos = {f: F.array_position(hdr, f).cast("int") for f in AV_FIELDS}
+def field_positions(header: Column) -> Column:
+    """1-based position of each AV field in the header (0 when absent)."""
+    return F.array(*[F.array_position(header, f).cast("int") for f in AV_FIELDS])
+
 
-    def row(line):
-        cells = F.split(line, ",")
+def av_rows_from(body: Column, positions: Column) -> Column:
+    """Typed rows from data lines and header positions (both computed once
+    per payload). Each line is split once; fields are then picked by
+    position, so the cost is linear in the payload size."""
+    split_lines = F.transform(body, lambda line: F.split(line, ","))
+
+    def row(cells):
+        pos = {f: F.element_at(positions, i + 1) for i, f in enumerate(AV_FIELDS)}
         vol = _num(_cell(cells, pos["volume"]))
         return F.struct(
             parse_day(F.trim(_cell(cells, pos["timestamp"]))).alias("date"),
@@ -103,29 +107,63 @@ def av_rows(payload) -> Column:
             _num(_cell(cells, pos["dividend_amount"])).alias("dividend_amount"),
             _num(_cell(cells, pos["split_coefficient"])).alias("split_coefficient"),
         )
-    return F.transform(data_lines(payload), row)
+    return F.transform(split_lines, row)
+
+
+def av_rows(payload) -> Column:
+    """Array of typed daily rows of an AV CSV payload, fields found by header
+    name. Unparseable numbers become null; an unparseable date stays null and
+    marks the payload (see ``av_status``). For many payloads prefer
+    ``with_av_parse``, which stages the intermediate arrays as columns."""
+    return av_rows_from(data_lines(payload), field_positions(header_fields(payload)))
 
 
-def av_status(payload, rows=None) -> Column:
+def av_status_from(head: Column, body: Column, header: Column, rows: Column) -> Column:
     """First match wins: rate_limited (message in the head), ok (a data line
     and >= 8 header fields; every date parses, else unparseable),
     not_available (a '{' header field and an 'Invalid API call' line),
     unrecognized (anything else, e.g. header only)."""
-    p = _c(payload)
-    body = data_lines(p)
     n_data = F.size(body)
-    hdr = header_fields(p)
-    rows = av_rows(p) if rows is None else _c(rows)
     bad_date = F.exists(rows, lambda r: r["date"].isNull())
-    return (F.when(contains_any(head_text(p), AV_RATE_MESSAGES), F.lit("rate_limited"))
-             .when((n_data >= 1) & (F.size(hdr) >= AV_MIN_FIELDS),
+    return (F.when(contains_any(head, AV_RATE_MESSAGES), F.lit("rate_limited"))
+             .when((n_data >= 1) & (F.size(header) >= AV_MIN_FIELDS),
                    F.when(bad_date, F.lit("unparseable")).otherwise(F.lit("ok")))
-             .when((n_data >= 1) & F.array_contains(hdr, "{")
+             .when((n_data >= 1) & F.array_contains(header, "{")
                    & F.exists(body, lambda x: x.contains(UNKNOWN_TICKER_MESSAGE)),
                    F.lit("not_available"))
              .otherwise(F.lit("unrecognized")))
 
 
+def av_status(payload) -> Column:
+    p = _c(payload)
+    return av_status_from(head_text(p), data_lines(p), header_fields(p), av_rows(p))
+
+
+def stage(df, name: str, expr: Column):
+    """Materialise ``expr`` once per row as column ``name``.
+
+    A one-element ``explode`` is a Generate node, which the optimizer does not
+    collapse into later projections. Without it, a column referenced inside a
+    per-element lambda is inlined back into the lambda and recomputed for
+    every element (quadratic in the payload size).
+    """
+    return df.select("*", F.explode(F.array(expr)).alias(name))
+
+
+def with_av_parse(df, payload: str = "payload"):
+    """Add ``rows`` and ``status`` to a frame of AV payloads, computing each
+    intermediate (lines, header, positions, data lines, rows) once."""
+    df = stage(df, "_lines", lines(payload))
+    df = stage(df, "_hdr", F.transform(
+        F.split(F.try_element_at(F.col("_lines"), F.lit(1)), ","), lambda x: F.trim(x)))
+    df = stage(df, "_body", F.filter("_lines", lambda x, i: (i > 0) & (F.trim(x) != "")))
+    df = stage(df, "_pos", field_positions(F.col("_hdr")))
+    df = stage(df, "rows", av_rows_from(F.col("_body"), F.col("_pos")))
+    df = df.withColumn("status", av_status_from(head_text(payload), F.col("_body"),
+                                                F.col("_hdr"), F.col("rows")))
+    return df.drop("_lines", "_hdr", "_body", "_pos")
+
+
 def fmp_parsed(payload) -> Column:
     return F.from_json(_c(payload), FMP_SCHEMA)
 

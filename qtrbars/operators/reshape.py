@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections import OrderedDict
 
 from pyspark.sql import Column, DataFrame
@@ -54,7 +53,6 @@ def wide_to_long(wide: DataFrame, index: str = "Date", sep: str = "|",
     groups = split_wide_columns(wide.columns, index, sep)
     if fields is None:
         fields = list(OrderedDict.fromkeys(f for g in groups.values() for f in g))
-    dtypes = dict(wide.dtypes)
     structs = []
     for ticker, cols in groups.items():
         members = [F.lit(ticker).alias("ticker")]
@@ -69,30 +67,7 @@ def wide_to_long(wide: DataFrame, index: str = "Date", sep: str = "|",
             complete = complete & p
         members.append(complete.alias(complete_flag))
         structs.append(F.struct(*members))
-    _ = dtypes  # every field is read as double; volume is cast later
     if not structs:
         raise ValueError("no TICKER|Field columns found")
     return (wide.select(_q(index).alias("date"), F.inline(F.array(*structs)))
                 .select("ticker", "date", *fields, complete_flag))
-
-
-_SAFE = re.compile(r"[^A-Za-z0-9_]")
-
-
-def long_to_wide(long: DataFrame, index: str, key: str, value_cols: list[str],
-                 keys: list[str], sep: str = "|", field_names: dict | None = None) -> DataFrame:
-    """Inverse shape (used to land test tables): pivot ``key`` values, given
-    as an explicit list so no extra job runs to find them."""
-    field_names = field_names or {}
-    aggs = []
-    for v in value_cols:
-        aggs.append(F.max(v).alias(field_names.get(v, v)))
-    piv = long.groupBy(index).pivot(key, keys).agg(*aggs)
-    # pivot names columns "<key>_<alias>"; rename to "<key><sep><field>"
-    ren = {}
-    for k in keys:
-        for v in value_cols:
-            name = field_names.get(v, v)
-            col = f"{k}_{name}" if len(value_cols) > 1 else k
-            ren[col] = f"{k}{sep}{name}"
-    return piv.withColumnsRenamed(ren)

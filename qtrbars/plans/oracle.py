@@ -210,3 +210,108 @@ ORACLES: dict[str, str] = {
         FROM bars""",
     "compound_return": f'SELECT ticker, "quarter", compound_return FROM ({_AV_BARS}) b',
 }
+
+
+# ---------------------------------------------------------------- payloads
+
+_HDR = ("timestamp,open,high,low,close,adjusted_close,volume,"
+        "dividend_amount,split_coefficient")
+_NL = "chr(10)"
+
+_EVENT_PAYLOADS = f"""
+  SELECT 'E' || CAST(event_id AS VARCHAR) AS ticker,
+    CASE event_type
+      WHEN 'purchase' THEN '{_HDR}' || {_NL}
+           || concat_ws(',', CASE WHEN value < 2 THEN 'bad-date' ELSE strftime(ts, '%Y-%m-%d') END,
+                        CAST(value AS VARCHAR), CAST(value AS VARCHAR), CAST(value AS VARCHAR),
+                        CAST(value AS VARCHAR), CAST(value AS VARCHAR), CAST(user_id AS VARCHAR),
+                        '0.0', '1.0') || {_NL}
+      WHEN 'error' THEN CASE WHEN value < 50
+           THEN '{{"message": "You have exceeded the rate limit per minute for your plan"}}'
+           ELSE '{{"message": "' || repeat('z', 100) || ' exceeded the rate limit per minute"}}' END
+      WHEN 'signup' THEN '{{' || {_NL} || '    "Error Message": "Invalid API call for user '
+           || CAST(user_id AS VARCHAR) || '"' || {_NL} || '}}' || {_NL}
+      WHEN 'view' THEN '{_HDR}' || {_NL}
+      ELSE CASE WHEN value < 10
+           THEN 'timestamp,open,high,low,close' || {_NL} || strftime(ts, '%Y-%m-%d') || ',1,2,0.5,1.5' || {_NL}
+           ELSE '{{' || {_NL} || '    "Note": "hello ' || CAST(user_id AS VARCHAR) || '"' || {_NL} || '}}' || {_NL} END
+    END AS payload
+  FROM events
+"""
+
+_CLASSIFIED = f"""
+  WITH p AS ({_EVENT_PAYLOADS}),
+  x AS (SELECT ticker, payload, string_split_regex(payload, '\\r?\\n') AS ls FROM p),
+  y AS (SELECT ticker, payload,
+               list_filter(ls[2:], lambda l: trim(l) <> '') AS body,
+               list_transform(string_split(ls[1], ','), lambda f: trim(f)) AS hdr
+        FROM x)
+  SELECT ticker, payload, CASE
+    WHEN regexp_matches(substr(payload, 1, 100),
+         'exceeded the DAILY quota|exceeded the rate limit per minute|not subscribed to this API')
+      THEN 'rate_limited'
+    WHEN len(body) >= 1 AND len(hdr) >= 8 THEN
+      CASE WHEN list_bool_or(list_transform(body, lambda l: try_strptime(
+                 trim(string_split(l, ',')[list_position(hdr, 'timestamp')]), '%Y-%m-%d') IS NULL))
+           THEN 'unparseable' ELSE 'ok' END
+    WHEN len(body) >= 1 AND list_contains(hdr, '{{')
+         AND list_bool_or(list_transform(body, lambda l: contains(l, 'Invalid API call')))
+      THEN 'not_available'
+    ELSE 'unrecognized' END AS status
+  FROM y
+"""
+
+
+def _order_rows(shift_days: int, source: str, with_actions: bool) -> str:
+    acts = (", CAST(0.0 AS DOUBLE) AS dividend_amount, CAST(1.0 AS DOUBLE) AS split_coefficient"
+            if with_actions else "")
+    return f"""
+  SELECT '{source}' AS source, 'O' || CAST(o_orderkey AS VARCHAR) AS ticker,
+         CAST(o_orderdate AS DATE) - {shift_days} AS "date",
+         o_totalprice AS open, o_totalprice AS high, o_totalprice AS low,
+         o_totalprice AS close, o_totalprice AS adjusted_close,
+         CAST(o_custkey AS BIGINT) AS volume{acts}
+  FROM orders"""
+
+
+ORACLES.update({
+    "payload_classify": f"SELECT ticker, status FROM ({_CLASSIFIED}) c",
+    "payload_quarantine": f"""
+        SELECT 'AV' AS source, ticker, status AS reason, payload FROM ({_CLASSIFIED}) c
+        WHERE status IN ('unparseable', 'unrecognized')""",
+    "not_available_registry": f"""
+        SELECT 'AV' AS source, ticker, status AS reason, payload FROM ({_CLASSIFIED}) c
+        WHERE status = 'not_available'""",
+    "csv_payload_parse": _order_rows(0, "AV", True) + "\n  UNION ALL" + _order_rows(1, "AV", True),
+    "json_records_explode": _order_rows(0, "FMP", False),
+    "json_field_extract": """
+        SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""",
+    "json_map_explode": """
+        SELECT event_id, k AS "key",
+               TRY_CAST(json_extract_string(props, '$."' || k || '"') AS BIGINT) AS "value"
+        FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events) t""",
+    "json_array_count": """
+        SELECT conv_id, turn, CAST(len(string_split(text, ' ')) AS BIGINT) AS n_items
+        FROM conversations""",
+    "request_url": "SELECT page_id, url AS request_url FROM pages",
+    "column_normalize": """
+        SELECT event_id, ts AS "date", value AS adjusted_close, event_type FROM events""",
+    "drop_incomplete": """
+        SELECT event_id, value, props FROM (
+          SELECT event_id,
+                 CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value,
+                 CASE WHEN event_type = 'click' AND value > 50 THEN NULL ELSE props END AS props
+          FROM events) t
+        WHERE value IS NOT NULL AND props IS NOT NULL""",
+    "default_missing": """
+        SELECT event_id,
+               coalesce(CASE WHEN event_type = 'view' THEN NULL ELSE value END, CAST(0.0 AS DOUBLE))
+                 AS dividends,
+               CAST(0.0 AS DOUBLE) AS stock_splits
+        FROM events""",
+    "wide_to_long": """
+        SELECT event_type AS ticker, CAST(ts AS DATE) AS "date",
+               arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low,
+               arg_max(value, (ts, event_id)) AS close, CAST(count(*) AS BIGINT) AS volume
+        FROM events GROUP BY event_type, CAST(ts AS DATE)""",
+})

@@ -205,3 +205,123 @@ def pct_change_desc(spark, sf_dir):
 def compound_return(spark, sf_dir):
     b = R.with_compound_return(_av_bars(spark, sf_dir), "ticker", "quarter_start")
     return b.select("ticker", "quarter", "compound_return")
+
+
+# ---------------------------------------------------------------- payloads
+
+from ..functions import payload as PL  # noqa: E402
+from ..operators import reshape as RS  # noqa: E402
+from ..sources import payloads as SRC  # noqa: E402
+
+
+def _event_classified(spark, sf_dir):
+    return SRC.classify(S.event_payloads(S.table(spark, sf_dir, "events")), "AV")
+
+
+@query("payload_classify")
+def payload_classify(spark, sf_dir):
+    return _event_classified(spark, sf_dir).select("ticker", "status")
+
+
+@query("payload_quarantine")
+def payload_quarantine(spark, sf_dir):
+    return (SRC.rejected(_event_classified(spark, sf_dir), P.QUARANTINE_STATUSES)
+            .drop("data_load"))
+
+
+@query("not_available_registry")
+def not_available_registry(spark, sf_dir):
+    return SRC.rejected(_event_classified(spark, sf_dir), ["not_available"]).drop("data_load")
+
+
+@query("csv_payload_parse")
+def csv_payload_parse(spark, sf_dir):
+    c = SRC.classify(S.order_csv_payloads(S.table(spark, sf_dir, "orders")), "AV")
+    return SRC.daily_rows(c)
+
+
+@query("json_records_explode")
+def json_records_explode(spark, sf_dir):
+    c = SRC.classify(S.order_json_payloads(S.table(spark, sf_dir, "orders")), "FMP")
+    return SRC.daily_rows(c)
+
+
+@query("json_field_extract")
+def json_field_extract(spark, sf_dir):
+    ev = S.table(spark, sf_dir, "events")
+    return ev.select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"))
+
+
+@query("json_map_explode")
+def json_map_explode(spark, sf_dir):
+    ev = S.table(spark, sf_dir, "events")
+    return ev.select("event_id", F.explode(F.from_json("props", "map<string,bigint>"))
+                     .alias("key", "value"))
+
+
+@query("json_array_count")
+def json_array_count(spark, sf_dir):
+    conv = S.table(spark, sf_dir, "conversations")
+    payload = F.to_json(F.split("text", " "))
+    return conv.select("conv_id", "turn", F.json_array_length(payload).cast("bigint").alias("n_items"))
+
+
+@query("request_url")
+def request_url(spark, sf_dir):
+    pages = S.table(spark, sf_dir, "pages")
+    secure = F.col("url").startswith("https://")
+    host = F.regexp_extract("url", r"^https?://([^/?#]+)", 1)
+    base = F.when(secure, F.concat(F.lit("https://"), host)).otherwise(host)
+    path = F.regexp_extract("url", r"^https?://[^/?#]+(.*)$", 1)
+    return pages.select("page_id", PL.request_url(base, path, secure).alias("request_url"))
+
+
+# ------------------------------------------------------- reshape, quality
+
+def _vendor_events(spark, sf_dir):
+    ev = S.table(spark, sf_dir, "events")
+    return ev.select(F.col("event_id").alias("Event Id"), F.col("ts").alias("Date"),
+                     F.col("value").alias("Adj Close"), F.col("event_type").alias("Event Type"),
+                     (F.col("value") * 0).alias("Capital Gains"))
+
+
+@query("column_normalize")
+def column_normalize(spark, sf_dir):
+    return RS.normalize_columns(_vendor_events(spark, sf_dir), drop=("capital_gains",),
+                                rename={"adj_close": "adjusted_close"})
+
+
+def _events_with_gaps(spark, sf_dir):
+    ev = S.table(spark, sf_dir, "events")
+    et = F.col("event_type")
+    return ev.select(
+        "event_id",
+        F.when(et == "error", F.lit(None)).otherwise(F.col("value")).alias("value"),
+        F.when((et == "click") & (F.col("value") > 50), F.lit(None)).otherwise(F.col("props")).alias("props"),
+        F.when(et == "view", F.lit(None)).otherwise(F.col("value")).alias("dividends"))
+
+
+@query("drop_incomplete")
+def drop_incomplete(spark, sf_dir):
+    return Q.drop_incomplete(_events_with_gaps(spark, sf_dir), ["value", "props"]).drop("dividends")
+
+
+@query("default_missing")
+def default_missing(spark, sf_dir):
+    df = _events_with_gaps(spark, sf_dir).select("event_id", "dividends")
+    return Q.default_missing(df, {"dividends": 0.0, "stock_splits": 0.0})
+
+
+@query("wide_to_long")
+def wide_to_long(spark, sf_dir):
+    ev = S.table(spark, sf_dir, "events").withColumn("day", D.as_date("ts"))
+    o = F.struct("ts", "event_id")
+    wide = (ev.groupBy("day").pivot("event_type", S.EVENT_TYPES)
+              .agg(F.min_by("value", o).alias("Open"), F.max("value").alias("High"),
+                   F.min("value").alias("Low"), F.max_by("value", o).alias("Close"),
+                   F.count(F.lit(1)).alias("Volume")))
+    wide = wide.toDF(*[c if c == "day" else c.replace("_", "|", 1) for c in wide.columns])
+    long = RS.wide_to_long(wide, index="day")
+    return (long.where(F.col("_complete"))
+                .select("ticker", "date", "open", "high", "low", "close",
+                        F.col("volume").cast("bigint").alias("volume")))

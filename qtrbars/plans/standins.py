@@ -107,3 +107,77 @@ def security_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     mapping = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("cusip"),
                                                   part_symbol().alias("ticker"))
     return prices, mapping
+
+
+# ------------------------------------------------------------- payloads
+
+AV_HEADER = ("timestamp,open,high,low,close,adjusted_close,volume,"
+             "dividend_amount,split_coefficient")
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+def event_payload() -> Column:
+    """AV-style response text per event, its kind chosen by the event's own
+    fields: purchase -> price CSV (an unreadable date when value < 2),
+    error -> rate-limit message (pushed past the head when value >= 50),
+    signup -> unknown-ticker error, view -> header only,
+    click -> a 5-column CSV (value < 10) or another JSON note."""
+    day = F.date_format("ts", "yyyy-MM-dd")
+    v = F.col("value").cast("string")
+    user = F.col("user_id").cast("string")
+    price_line = F.concat_ws(",", F.when(F.col("value") < 2, F.lit("bad-date")).otherwise(day),
+                             v, v, v, v, v, user, F.lit("0.0"), F.lit("1.0"))
+    et = F.col("event_type")
+    return (F.when(et == "purchase", F.concat(F.lit(AV_HEADER + "\n"), price_line, F.lit("\n")))
+             .when(et == "error",
+                   F.when(F.col("value") < 50,
+                          F.lit('{"message": "You have exceeded the rate limit per minute for your plan"}'))
+                    .otherwise(F.concat(F.lit('{"message": "'), F.lit("z" * 100),
+                                        F.lit(' exceeded the rate limit per minute"}'))))
+             .when(et == "signup", F.concat(F.lit('{\n    "Error Message": "Invalid API call for user '),
+                                            user, F.lit('"\n}\n')))
+             .when(et == "view", F.lit(AV_HEADER + "\n"))
+             .otherwise(F.when(F.col("value") < 10,
+                               F.concat(F.lit("timestamp,open,high,low,close\n"), day, F.lit(",1,2,0.5,1.5\n")))
+                         .otherwise(F.concat(F.lit('{\n    "Note": "hello '), user, F.lit('"\n}\n')))))
+
+
+def event_payloads(events: DataFrame) -> DataFrame:
+    """(source, ticker, path, modified, payload): one AV payload per event."""
+    return events.select(F.lit("AV").alias("source"),
+                         F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("ticker"),
+                         F.lit(None).cast("string").alias("path"),
+                         F.col("ts").cast("timestamp").alias("modified"),
+                         event_payload().alias("payload"))
+
+
+def order_csv_payloads(orders: DataFrame) -> DataFrame:
+    """One AV CSV payload per order: two daily lines, newest first (the
+    order date and the day before, same price; volume = customer key)."""
+    p = F.col("o_totalprice").cast("string")
+    vol = F.col("o_custkey").cast("string")
+
+    def line(day):
+        return F.concat_ws(",", F.date_format(day, "yyyy-MM-dd"), p, p, p, p, p, vol,
+                           F.lit("0.0"), F.lit("1.0"))
+    d = as_date("o_orderdate")
+    text = F.concat(F.lit(AV_HEADER + "\n"), line(d), F.lit("\n"), line(F.date_sub(d, 1)), F.lit("\n"))
+    return orders.select(F.lit("AV").alias("source"),
+                         F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("ticker"),
+                         F.lit(None).cast("string").alias("path"),
+                         F.col("o_orderdate").cast("timestamp").alias("modified"),
+                         text.alias("payload"))
+
+
+def order_json_payloads(orders: DataFrame) -> DataFrame:
+    """One FMP JSON payload per order with one history record."""
+    rec = F.struct(F.date_format(as_date("o_orderdate"), "yyyy-MM-dd").alias("date"),
+                   F.col("o_totalprice").alias("open"), F.col("o_totalprice").alias("high"),
+                   F.col("o_totalprice").alias("low"), F.col("o_totalprice").alias("close"),
+                   F.col("o_totalprice").alias("adjClose"), F.col("o_custkey").alias("volume"))
+    sym = F.concat(F.lit("O"), F.col("o_orderkey").cast("string"))
+    text = F.to_json(F.struct(sym.alias("symbol"), F.array(rec).alias("historical")))
+    return orders.select(F.lit("FMP").alias("source"), sym.alias("ticker"),
+                         F.lit(None).cast("string").alias("path"),
+                         F.col("o_orderdate").cast("timestamp").alias("modified"),
+                         text.alias("payload"))

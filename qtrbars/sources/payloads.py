@@ -35,7 +35,7 @@ def payload_frame(raw: DataFrame, source: str, latest_only: bool = True) -> Data
     return newest_per_ticker(df) if latest_only else df
 
 
-def newest_per_ticker(df: DataFrame) -> DataFrame:
+def newest_per_ticker(df: DataFrame, order=("modified", "path")) -> DataFrame:
     """Keep the newest payload of each ticker (by landing time, then path).
 
     The pick is made on metadata only (no payload text moves): an aggregate of
@@ -43,18 +43,17 @@ def newest_per_ticker(df: DataFrame) -> DataFrame:
     broadcasts when that table measures small.
     """
     newest = (df.groupBy("source", "ticker")
-                .agg(F.max_by("path", F.struct("modified", "path")).alias("path")))
+                .agg(F.max_by("path", F.struct(*order)).alias("path")))
     return df.join(newest, ["source", "ticker", "path"], "left_semi")
 
 
 def classify(payloads: DataFrame, vendor: str) -> DataFrame:
     """Add ``rows`` (typed daily rows, array) and ``status``."""
     if vendor == "AV":
-        df = payloads.withColumn("rows", PL.av_rows("payload"))
-        return df.withColumn("status", PL.av_status("payload", rows="rows"))
+        return PL.with_av_parse(payloads, "payload")
     if vendor == "FMP":
-        df = payloads.withColumn("_hist", PL.fmp_parsed("payload")["historical"])
-        df = df.withColumn("rows", PL.fmp_rows(hist="_hist"))
+        df = PL.stage(payloads, "_hist", PL.fmp_parsed("payload")["historical"])
+        df = PL.stage(df, "rows", PL.fmp_rows(hist="_hist"))
         return df.withColumn("status", PL.fmp_status("payload", hist="_hist")).drop("_hist")
     raise ValueError(f"unknown vendor {vendor!r}")
 
