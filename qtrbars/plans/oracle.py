@@ -315,3 +315,29 @@ ORACLES.update({
                arg_max(value, (ts, event_id)) AS close, CAST(count(*) AS BIGINT) AS volume
         FROM events GROUP BY event_type, CAST(ts AS DATE)""",
 })
+
+
+_NEWEST_ORDER_DAILY = """
+  SELECT 'C' || CAST(o.o_custkey AS VARCHAR) AS ticker,
+         CAST(o.o_orderdate AS DATE) - t.k AS d,
+         o.o_totalprice AS open, o.o_totalprice AS high, o.o_totalprice AS low,
+         o.o_totalprice AS close, o.o_totalprice AS adjusted_close,
+         CAST(o.o_custkey AS BIGINT) AS volume,
+         CAST(0.0 AS DOUBLE) AS dividend_amount, CAST(1.0 AS DOUBLE) AS split_coefficient,
+         CAST(o.o_orderdate AS DATE) - t.k AS ord
+  FROM orders o
+  JOIN (SELECT arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS newest
+        FROM orders GROUP BY o_custkey) n ON o.o_orderkey = n.newest
+  CROSS JOIN (VALUES (0), (1)) t(k)
+"""
+
+ORACLES.update({
+    "replace_by_ticker": """
+        SELECT c_custkey,
+               CASE WHEN r THEN c_name || ' (restated)' ELSE c_name END AS c_name,
+               CASE WHEN r THEN c_acctbal + 1000 ELSE c_acctbal END AS c_acctbal,
+               'CUST' AS source, 'N' || CAST(c_nationkey AS VARCHAR) AS ticker
+        FROM (SELECT c.*, c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 0) AS r
+              FROM customer c) x""",
+    "incremental_ingest": _bars_sql(_NEWEST_ORDER_DAILY, "AV", True),
+})

@@ -133,9 +133,21 @@ def fmp_quarterly(spark, landing: str, data_load=None, latest_only: bool = True)
                             "FMP", data_load)
 
 
-def publish(outputs: dict, bars_path: str, registry_path: str, quarantine_path: str) -> None:
-    """Replace the stored bars/records of every ticker present in the outputs."""
-    from ..sinks.parquet import replace_by_ticker, write_records
-    replace_by_ticker(outputs["bars"], bars_path)
-    write_records(outputs["not_available"], registry_path)
-    write_records(outputs["quarantine"], quarantine_path)
+def publish(outputs: dict, bars_path: str, registry_path: str, quarantine_path: str,
+            layout: str = "bucket") -> None:
+    """Replace the stored bars/records of every ticker present in the outputs.
+
+    ``layout='bucket'`` (default) stores (source, bucket) folders and rewrites
+    only touched buckets; ``layout='ticker'`` keeps one folder per ticker, as
+    the source job's one-file-per-ticker output does."""
+    from ..sinks import parquet as SK
+    if layout == "bucket":
+        SK.replace_in_buckets(outputs["bars"], bars_path, SK.BAR_SCHEMA)
+        SK.replace_in_buckets(outputs["not_available"], registry_path, SK.RECORD_SCHEMA, order=())
+        SK.replace_in_buckets(outputs["quarantine"], quarantine_path, SK.RECORD_SCHEMA, order=())
+    elif layout == "ticker":
+        SK.replace_by_ticker(outputs["bars"], bars_path)
+        SK.write_records(outputs["not_available"], registry_path)
+        SK.write_records(outputs["quarantine"], quarantine_path)
+    else:
+        raise ValueError("layout must be 'bucket' or 'ticker'")

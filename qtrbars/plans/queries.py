@@ -325,3 +325,51 @@ def wide_to_long(spark, sf_dir):
     return (long.where(F.col("_complete"))
                 .select("ticker", "date", "open", "high", "low", "close",
                         F.col("volume").cast("bigint").alias("volume")))
+
+
+# ------------------------------------------------------------ sinks, stream
+
+from ..session import scratch_path  # noqa: E402
+from ..sinks import parquet as SK  # noqa: E402
+from ..streaming import ingest as ING  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+_CUST_SCHEMA = T.StructType([
+    T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+    T.StructField("c_acctbal", T.DoubleType()),
+    T.StructField("source", T.StringType()), T.StructField("ticker", T.StringType())])
+
+
+@query("replace_by_ticker")
+def replace_by_ticker(spark, sf_dir):
+    """Store customers by nation, then restate the nations of region 0; the
+    other nations' folders must be untouched."""
+    path = scratch_path(spark, "replace_by_ticker")
+    cust = S.table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_acctbal", F.lit("CUST").alias("source"),
+        U.ticker_col("N", "c_nationkey").alias("ticker"), "c_nationkey")
+    SK.replace_by_ticker(cust.drop("c_nationkey"), path, order=())
+    region0 = S.table(spark, sf_dir, "nation").where(F.col("n_regionkey") == 0).select(
+        F.col("n_nationkey").alias("c_nationkey"))
+    restated = (cust.join(region0, "c_nationkey", "left_semi")
+                    .withColumn("c_name", F.concat("c_name", F.lit(" (restated)")))
+                    .withColumn("c_acctbal", F.col("c_acctbal") + 1000))
+    SK.replace_by_ticker(restated.drop("c_nationkey"), path, order=())
+    return SK.read_table(spark, path, _CUST_SCHEMA)
+
+
+@query("incremental_ingest")
+def incremental_ingest(spark, sf_dir):
+    """Land fetched payloads in two rounds, pick each up with an availableNow
+    stream, run a third time with nothing new; read the published bars."""
+    base = scratch_path(spark, "ingest")
+    landing, bars = f"{base}/landing", f"{base}/bars"
+    reg, quar, ckpt = f"{base}/not_available", f"{base}/quarantine", f"{base}/_checkpoint"
+    rows = S.order_landing_rows(S.table(spark, sf_dir, "orders"))
+    cut = F.lit("1998-01-01").cast("timestamp")
+    for part in (rows.where(F.col("fetched_at") < cut), rows.where(F.col("fetched_at") >= cut), None):
+        if part is not None:
+            ING.land(part, landing)
+        ING.run_ingest(spark, landing, "AV", bars, reg, quar, ckpt, fmt="parquet",
+                       data_load="2024-01-01 00:00:00")
+    return SK.read_bucketed(spark, bars).drop("data_load")

@@ -151,8 +151,8 @@ def event_payloads(events: DataFrame) -> DataFrame:
                          event_payload().alias("payload"))
 
 
-def order_csv_payloads(orders: DataFrame) -> DataFrame:
-    """One AV CSV payload per order: two daily lines, newest first (the
+def order_csv_text() -> Column:
+    """AV CSV payload text of an order: two daily lines, newest first (the
     order date and the day before, same price; volume = customer key)."""
     p = F.col("o_totalprice").cast("string")
     vol = F.col("o_custkey").cast("string")
@@ -161,12 +161,16 @@ def order_csv_payloads(orders: DataFrame) -> DataFrame:
         return F.concat_ws(",", F.date_format(day, "yyyy-MM-dd"), p, p, p, p, p, vol,
                            F.lit("0.0"), F.lit("1.0"))
     d = as_date("o_orderdate")
-    text = F.concat(F.lit(AV_HEADER + "\n"), line(d), F.lit("\n"), line(F.date_sub(d, 1)), F.lit("\n"))
+    return F.concat(F.lit(AV_HEADER + "\n"), line(d), F.lit("\n"), line(F.date_sub(d, 1)), F.lit("\n"))
+
+
+def order_csv_payloads(orders: DataFrame) -> DataFrame:
+    """One AV CSV payload per order (ticker 'O'||o_orderkey)."""
     return orders.select(F.lit("AV").alias("source"),
                          F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("ticker"),
                          F.lit(None).cast("string").alias("path"),
                          F.col("o_orderdate").cast("timestamp").alias("modified"),
-                         text.alias("payload"))
+                         order_csv_text().alias("payload"))
 
 
 def order_json_payloads(orders: DataFrame) -> DataFrame:
@@ -181,3 +185,13 @@ def order_json_payloads(orders: DataFrame) -> DataFrame:
                          F.lit(None).cast("string").alias("path"),
                          F.col("o_orderdate").cast("timestamp").alias("modified"),
                          text.alias("payload"))
+
+
+def order_landing_rows(orders: DataFrame) -> DataFrame:
+    """Fetched payload rows for the stream: each order is one fetch of its
+    customer's ticker (fetch time = order date, fetch id = order key), so a
+    customer is fetched many times and the newest fetch must win."""
+    return orders.select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"),
+                         F.col("o_orderdate").cast("timestamp").alias("fetched_at"),
+                         F.col("o_orderkey").alias("fetch_id"),
+                         order_csv_text().alias("payload"))

@@ -69,3 +69,71 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType = BAR_SCHEMA
     """Read a sink back with its declared schema (partition values stay text,
     so a ticker such as '123' is not turned into a number)."""
     return spark.read.schema(schema).parquet(path)
+
+
+# ------------------------------------------------------------ bucket layout
+#
+# One folder per ticker means one tiny file and one commit rename per ticker:
+# tens of thousands per vendor, slow on any object store. The bucket layout
+# stores (source, bucket) folders, bucket = pmod(xxhash64(source, ticker), n),
+# one file per bucket. Replacing tickers rewrites only the buckets they hash
+# to: old rows of those buckets (read with partition pruning) minus the
+# replaced tickers, plus the new rows. The merged rows are checkpointed to the
+# shared checkpoint folder first, which cuts the lineage to the target folder
+# (it is overwritten next) and survives lost executors.
+
+DEFAULT_BUCKETS = 64
+
+
+def bucket_col(n_buckets: int = DEFAULT_BUCKETS):
+    return F.pmod(F.xxhash64("source", "ticker"), F.lit(n_buckets)).cast("int")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(hpath)
+
+
+def with_bucket(schema: T.StructType) -> T.StructType:
+    return T.StructType(schema.fields + [T.StructField("bucket", T.IntegerType())])
+
+
+def replace_in_buckets(df: DataFrame, path: str, schema: T.StructType = BAR_SCHEMA,
+                       n_buckets: int = DEFAULT_BUCKETS, order=("quarter",)) -> None:
+    """Replace the rows of every (source, ticker) in ``df`` inside the
+    bucket layout at ``path``; all other tickers keep their rows."""
+    spark = df.sparkSession
+    new = df.withColumn("bucket", bucket_col(n_buckets))
+    if _exists(spark, path):
+        from ..session import shared_dir
+        shared_dir(spark)  # make sure a reliable checkpoint folder is set
+        old = spark.read.schema(with_bucket(schema)).parquet(path)
+        touched = new.select("source", "bucket").distinct()
+        replaced = new.select("source", "ticker").distinct()
+        kept = (old.join(touched, ["source", "bucket"], "left_semi")
+                   .join(replaced, ["source", "ticker"], "left_anti"))
+        merged = kept.unionByName(new.select(*old.columns)).checkpoint(eager=True)
+    else:
+        merged = new
+    sort = ["source", "bucket", "ticker"] + [F.col(c).desc() for c in order if c in df.columns]
+    (merged.repartition("source", "bucket")
+           .sortWithinPartitions(*sort)
+           .write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic")
+           .partitionBy("source", "bucket")
+           .parquet(path))
+
+
+def read_bucketed(spark: SparkSession, path: str, schema: T.StructType = BAR_SCHEMA,
+                  tickers: list | None = None, source: str | None = None) -> DataFrame:
+    """Read a bucket-layout table; with ``source`` and ``tickers`` only their
+    buckets are listed and scanned (partition pruning)."""
+    df = spark.read.schema(with_bucket(schema)).parquet(path)
+    if source is not None and tickers:
+        wanted = spark.createDataFrame([(source, t) for t in tickers], "source string, ticker string")
+        buckets = sorted({r[0] for r in wanted.select(bucket_col()).collect()})
+        df = df.where((F.col("source") == source) & F.col("bucket").isin(buckets)
+                      & F.col("ticker").isin(list(tickers)))
+    return df.drop("bucket")

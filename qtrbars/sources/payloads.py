@@ -36,15 +36,19 @@ def payload_frame(raw: DataFrame, source: str, latest_only: bool = True) -> Data
 
 
 def newest_per_ticker(df: DataFrame, order=("modified", "path")) -> DataFrame:
-    """Keep the newest payload of each ticker (by landing time, then path).
+    """Keep the newest payload of each ticker (by ``order``, e.g. landing
+    time then path, or fetch time then fetch id).
 
-    The pick is made on metadata only (no payload text moves): an aggregate of
-    (ticker -> newest path), then a semi join on the path, which AQE
-    broadcasts when that table measures small.
+    One aggregate with ``max_by``: it runs partial before the shuffle, so each
+    map task sends at most one payload per ticker, however many fetches of a
+    ticker landed.
     """
-    newest = (df.groupBy("source", "ticker")
-                .agg(F.max_by("path", F.struct(*order)).alias("path")))
-    return df.join(newest, ["source", "ticker", "path"], "left_semi")
+    cols = df.columns
+    keys = ["source", "ticker"]
+    rest = [c for c in cols if c not in keys]
+    newest = (df.groupBy(*keys)
+                .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_n")))
+    return newest.select(*keys, *[F.col("_n." + c).alias(c) for c in rest]).select(*cols)
 
 
 def classify(payloads: DataFrame, vendor: str) -> DataFrame:

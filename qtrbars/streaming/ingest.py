@@ -27,10 +27,17 @@ from ..sources.payloads import newest_per_ticker, payload_frame
 LANDING_SCHEMA = T.StructType([
     T.StructField("ticker", T.StringType()),
     T.StructField("fetched_at", T.TimestampType()),
+    T.StructField("fetch_id", T.LongType()),
     T.StructField("payload", T.StringType()),
 ])
 
 
+def land(payloads: DataFrame, landing: str) -> None:
+    """Append fetched payload rows (ticker, fetched_at, fetch_id, payload) to
+    the landing folder as new parquet files."""
+    payloads.select(*[f.name for f in LANDING_SCHEMA.fields]).write.mode("append").parquet(landing)
+
+
 def landing_stream(spark: SparkSession, landing: str, vendor: str, fmt: str = "parquet",
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming frame of payload rows (source, ticker, path, modified, payload)."""
@@ -39,35 +46,37 @@ def landing_stream(spark: SparkSession, landing: str, vendor: str, fmt: str = "p
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "text":
         raw = reader.text(landing, wholetext=True)
-        return payload_frame(raw, vendor, latest_only=False)
+        return payload_frame(raw, vendor, latest_only=False).withColumn(
+            "fetch_id", F.lit(None).cast("bigint"))
     if fmt == "parquet":
         raw = reader.schema(LANDING_SCHEMA).parquet(landing)
         return raw.select(F.lit(vendor).alias("source"), "ticker",
                           F.col("_metadata.file_path").alias("path"),
-                          F.col("fetched_at").alias("modified"), "payload")
+                          F.col("fetched_at").alias("modified"), "fetch_id", "payload")
     raise ValueError("fmt must be 'text' or 'parquet'")
 
 
 def process_batch(batch: DataFrame, vendor: str, bars_path: str, registry_path: str,
-                  quarantine_path: str, data_load=None) -> None:
+                  quarantine_path: str, data_load=None, layout: str = "bucket") -> None:
     """One micro-batch: newest payload per ticker -> replace its outputs."""
-    payloads = newest_per_ticker(batch, order=("modified", "path")).persist()
+    payloads = newest_per_ticker(batch, order=("modified", "fetch_id", "path")).persist()
     try:
         publish(process_payloads(payloads, vendor, data_load),
-                bars_path, registry_path, quarantine_path)
+                bars_path, registry_path, quarantine_path, layout=layout)
     finally:
         payloads.unpersist()
 
 
 def run_ingest(spark: SparkSession, landing: str, vendor: str, bars_path: str,
                registry_path: str, quarantine_path: str, checkpoint: str,
-               fmt: str = "parquet", data_load=None, timeout_s: float | None = None):
+               fmt: str = "parquet", data_load=None, timeout_s: float | None = None,
+               layout: str = "bucket"):
     """Process everything landed since the last run, then stop
     (``trigger(availableNow=True)``: a batch job with stream bookkeeping)."""
     stream = landing_stream(spark, landing, vendor, fmt)
     query = (stream.writeStream
              .foreachBatch(lambda df, _epoch: process_batch(
-                 df, vendor, bars_path, registry_path, quarantine_path, data_load))
+                 df, vendor, bars_path, registry_path, quarantine_path, data_load, layout))
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
