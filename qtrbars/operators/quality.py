@@ -3,7 +3,7 @@ whole-ticker price gate, any/all tests."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,14 +41,28 @@ def gate_groups(df: DataFrame, keys, price: str = "adjusted_close") -> DataFrame
               .agg(F.coalesce(F.bool_and(F.col(price) > 0), F.lit(True)).alias("_passes")))
 
 
-def price_gate(df: DataFrame, keys, price: str = "adjusted_close") -> tuple[DataFrame, DataFrame]:
+def price_gate(df: DataFrame, keys, price: str = "adjusted_close",
+               bounded_groups: bool = False) -> tuple[DataFrame, DataFrame]:
     """Whole-group gate: a group with any price <= 0 is rejected entirely.
 
-    Returns (passed rows, rejected group keys). The per-group verdict is a
-    partial aggregate (one row per group); rows are then kept by a semi join,
-    which AQE broadcasts when the verdict table measures small and splits when
-    a group is skewed. No window holds a whole group in one task.
+    Returns (passed rows, rejected group keys).
+
+    Default (groups of any size): the per-group verdict is a partial
+    aggregate (one row per group); rows are kept by a semi join, which AQE
+    broadcasts when the verdict measures small and splits when a group is
+    skewed. No window holds a whole group in one task.
+
+    ``bounded_groups=True`` (e.g. quarterly bars per ticker: at most one row
+    per calendar quarter): the verdict is a window over the group, which
+    shares its exchange with the returns windows that follow instead of
+    computing the input twice.
     """
+    if bounded_groups:
+        w = Window.partitionBy(*_keys(keys))
+        judged = df.withColumn("_passes", F.coalesce(
+            F.bool_and(F.col(price) > 0).over(w), F.lit(True)))
+        bad = judged.where(~F.col("_passes")).select(*_keys(keys)).distinct()
+        return judged.where(F.col("_passes")).drop("_passes"), bad
     verdict = gate_groups(df, keys, price)
     good = verdict.where("_passes").select(*_keys(keys))
     bad = verdict.where(~F.col("_passes")).select(*_keys(keys))

@@ -54,19 +54,26 @@ def with_global_index(df: DataFrame, order: list, out: str = "row_index",
     """0-based position of each row in ``order`` over the whole DataFrame.
 
     Rows are range-partitioned on the order (a fixed partition count, so AQE
-    does not regroup them) and sorted inside partitions; each row's index is
-    its partition's offset plus its place in the partition. The offsets come
-    from a table with one row per partition (size bounded by the partition
-    count), broadcast back. Rows with equal keys share a partition, so ties
+    does not regroup them), sorted inside partitions and stamped with their
+    partition and position, then checkpointed (reliable, in the shared
+    checkpoint folder): the per-partition counts and the rows then read the
+    same files, so range bounds drawn by sampling cannot differ between the
+    two uses, and a lost executor does not change the numbering. Each row's
+    index is its partition's offset plus its place in the partition; offsets
+    come from a table with one row per partition (size bounded by the
+    partition count), broadcast back. Equal keys share a partition, so ties
     only permute among equal keys.
     """
+    from ..session import shared_dir
+    shared_dir(df.sparkSession)
     spark: SparkSession = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c) if isinstance(c, str) else c for c in order]
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
                 .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = (ranged.withColumn("_part", F.shiftright("_mid", _LOCAL_BITS))
-                    .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))))
+                    .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
+                    .checkpoint(eager=True))
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # window over the per-partition count table only: one row per partition
     w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -71,7 +71,8 @@ def yahoo_quarterly(long: DataFrame, source: str = "YAHOO", data_load=None,
         # every field the frame carries must be present, as in the vendor frame
         rows = drop_incomplete(long, [c for c in long.columns if c not in ("ticker", "date")])
     rows = default_missing(rows, YAHOO_OPTIONAL_DEFAULTS).drop("capital_gains")
-    passed, rejected = price_gate(rows, "ticker", "adj_close")
+    # bars: one row per quarter per ticker, so the gate is a bounded window
+    passed, rejected = price_gate(rows, "ticker", "adj_close", bounded_groups=True)
     bars = passed.select(
         F.col("ticker"),
         quarter_label("date").alias("quarter"),
