@@ -295,7 +295,8 @@ ORACLES.update({
         FROM conversations""",
     "request_url": "SELECT page_id, url AS request_url FROM pages",
     "column_normalize": """
-        SELECT event_id, ts AS "date", value AS adjusted_close, event_type FROM events""",
+        SELECT event_id, CAST(ts AS DATE) AS "date", value AS adjusted_close, event_type
+        FROM events""",
     "drop_incomplete": """
         SELECT event_id, value, props FROM (
           SELECT event_id,

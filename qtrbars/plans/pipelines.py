@@ -101,7 +101,8 @@ from ..sources import payloads as SRC  # noqa: E402
 QUARANTINE_STATUSES = ("unparseable", "unrecognized")
 
 
-def process_payloads(payloads: DataFrame, vendor: str, data_load=None) -> dict:
+def process_payloads(payloads: DataFrame, vendor: str, data_load=None,
+                     cache: bool = False) -> dict:
     """Classified payload rows -> the job's outputs.
 
     bars          canonical quarterly bars of the usable payloads
@@ -110,6 +111,8 @@ def process_payloads(payloads: DataFrame, vendor: str, data_load=None) -> dict:
     retry         tickers answered with a rate-limit message (stay pending)
     """
     classified = SRC.classify(payloads, vendor)
+    if cache:  # bars, registry, quarantine and retry all read it
+        classified = classified.persist()
     daily = SRC.daily_rows(classified)
     bars = daily_to_quarterly(daily, vendor, actions=(vendor == "AV"), data_load=data_load)
     return {
@@ -118,9 +121,19 @@ def process_payloads(payloads: DataFrame, vendor: str, data_load=None) -> dict:
         "quarantine": SRC.rejected(classified, QUARANTINE_STATUSES, data_load),
         "retry": classified.where(F.col("status") == "rate_limited").select("source", "ticker"),
         "classified": classified.select("source", "ticker", "path", "status"),
+        "classified_frame": classified,
     }
 
 
+def yahoo_quarterly_from_wide(spark, path: str, fmt: str = "parquet", index: str = "Date",
+                              source: str = "YAHOO", data_load=None):
+    """Landed wide 3-month table (one row per date, ``TICKER|Field``
+    columns) -> (bars, rejected tickers)."""
+    from ..operators.reshape import wide_to_long
+    wide = spark.read.format(fmt).option("header", True).load(path)
+    return yahoo_quarterly(wide_to_long(wide, index=index), source, data_load)
+
+
 def av_quarterly(spark, landing: str, data_load=None, latest_only: bool = True) -> dict:
     """AV daily CSV payloads (one file per ticker) -> outputs of
     ``process_payloads``."""
@@ -144,8 +157,11 @@ def publish(outputs: dict, bars_path: str, registry_path: str, quarantine_path:
     from ..sinks import parquet as SK
     if layout == "bucket":
         SK.replace_in_buckets(outputs["bars"], bars_path, SK.BAR_SCHEMA)
-        SK.replace_in_buckets(outputs["not_available"], registry_path, SK.RECORD_SCHEMA, order=())
-        SK.replace_in_buckets(outputs["quarantine"], quarantine_path, SK.RECORD_SCHEMA, order=())
+        # record sets are usually empty; they derive from the (cached)
+        # classified payloads, so the emptiness test is a cheap job
+        for key, path in (("not_available", registry_path), ("quarantine", quarantine_path)):
+            if not outputs[key].isEmpty():
+                SK.replace_in_buckets(outputs[key], path, SK.RECORD_SCHEMA, order=())
     elif layout == "ticker":
         SK.replace_by_ticker(outputs["bars"], bars_path)
         SK.write_records(outputs["not_available"], registry_path)

@@ -280,7 +280,7 @@ def request_url(spark, sf_dir):
 
 def _vendor_events(spark, sf_dir):
     ev = S.table(spark, sf_dir, "events")
-    return ev.select(F.col("event_id").alias("Event Id"), F.col("ts").alias("Date"),
+    return ev.select(F.col("event_id").alias("Event Id"), D.as_date("ts").alias("Date"),
                      F.col("value").alias("Adj Close"), F.col("event_type").alias("Event Type"),
                      (F.col("value") * 0).alias("Capital Gains"))
 

@@ -26,6 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Payload building and parsing is CPU-heavy per row and has no shuffle
+    before it; spread a tiny scan over all task slots (no-op at scale)."""
+    from ..session import fan_out
+    return fan_out(df)
+
+
 def lineitem_order() -> Column:
     """Deterministic in-quarter order for lineitem stand-in rows."""
     return F.struct(as_date("l_shipdate").alias("d"), F.col("l_orderkey"), F.col("l_linenumber"),
@@ -144,7 +151,7 @@ def event_payload() -> Column:
 
 def event_payloads(events: DataFrame) -> DataFrame:
     """(source, ticker, path, modified, payload): one AV payload per event."""
-    return events.select(F.lit("AV").alias("source"),
+    return _spread(events).select(F.lit("AV").alias("source"),
                          F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("ticker"),
                          F.lit(None).cast("string").alias("path"),
                          F.col("ts").cast("timestamp").alias("modified"),
@@ -166,7 +173,7 @@ def order_csv_text() -> Column:
 
 def order_csv_payloads(orders: DataFrame) -> DataFrame:
     """One AV CSV payload per order (ticker 'O'||o_orderkey)."""
-    return orders.select(F.lit("AV").alias("source"),
+    return _spread(orders).select(F.lit("AV").alias("source"),
                          F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("ticker"),
                          F.lit(None).cast("string").alias("path"),
                          F.col("o_orderdate").cast("timestamp").alias("modified"),
@@ -181,7 +188,7 @@ def order_json_payloads(orders: DataFrame) -> DataFrame:
                    F.col("o_totalprice").alias("adjClose"), F.col("o_custkey").alias("volume"))
     sym = F.concat(F.lit("O"), F.col("o_orderkey").cast("string"))
     text = F.to_json(F.struct(sym.alias("symbol"), F.array(rec).alias("historical")))
-    return orders.select(F.lit("FMP").alias("source"), sym.alias("ticker"),
+    return _spread(orders).select(F.lit("FMP").alias("source"), sym.alias("ticker"),
                          F.lit(None).cast("string").alias("path"),
                          F.col("o_orderdate").cast("timestamp").alias("modified"),
                          text.alias("payload"))
@@ -191,7 +198,7 @@ def order_landing_rows(orders: DataFrame) -> DataFrame:
     """Fetched payload rows for the stream: each order is one fetch of its
     customer's ticker (fetch time = order date, fetch id = order key), so a
     customer is fetched many times and the newest fetch must win."""
-    return orders.select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"),
+    return _spread(orders).select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"),
                          F.col("o_orderdate").cast("timestamp").alias("fetched_at"),
                          F.col("o_orderkey").alias("fetch_id"),
                          order_csv_text().alias("payload"))

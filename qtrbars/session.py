@@ -23,6 +23,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
 }
@@ -72,3 +73,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared folder for one job run."""
     base = shared_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def fan_out(df):
+    """Spread a scan that yields fewer partitions than the session can run at
+    once (a small file with one row group) over all task slots, round-robin.
+
+    Large inputs already scan as many splits and are returned unchanged, so
+    this never adds a shuffle at scale; it only keeps CPU-heavy work after a
+    tiny scan (payload parsing, sort aggregates) from running in one task.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df

@@ -59,12 +59,12 @@ def landing_stream(spark: SparkSession, landing: str, vendor: str, fmt: str = "p
 def process_batch(batch: DataFrame, vendor: str, bars_path: str, registry_path: str,
                   quarantine_path: str, data_load=None, layout: str = "bucket") -> None:
     """One micro-batch: newest payload per ticker -> replace its outputs."""
-    payloads = newest_per_ticker(batch, order=("modified", "fetch_id", "path")).persist()
+    payloads = newest_per_ticker(batch, order=("modified", "fetch_id", "path"))
+    out = process_payloads(payloads, vendor, data_load, cache=True)
     try:
-        publish(process_payloads(payloads, vendor, data_load),
-                bars_path, registry_path, quarantine_path, layout=layout)
+        publish(out, bars_path, registry_path, quarantine_path, layout=layout)
     finally:
-        payloads.unpersist()
+        out["classified_frame"].unpersist()
 
 
 def run_ingest(spark: SparkSession, landing: str, vendor: str, bars_path: str,
