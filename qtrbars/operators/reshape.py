@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import OrderedDict
 
 from pyspark.sql import Column, DataFrame
@@ -44,30 +45,33 @@ def wide_to_long(wide: DataFrame, index: str = "Date", sep: str = "|",
     """Wide table (one row per date, one column per ticker and field) -> one
     row per (ticker, date) with one column per field.
 
-    A single narrow projection: each row becomes an array of per-ticker
-    structs that ``inline`` unfolds; no shuffle, no pivot, no collect. Only the
-    column names are read on the driver. Fields a ticker lacks are null;
+    ``unpivot`` turns every cell into a (date, column name, value) row, the
+    column name is split into ticker and normalised field, and one
+    ``groupBy(ticker, date)`` puts the fields back side by side with a
+    conditional ``max`` per field (each cell is unique, so ``max`` is just a
+    pick; the aggregate runs partial before its shuffle). The expression per
+    input column stays trivial, so planning is linear in the number of columns
+    (a vendor batch of a few thousand tickers is tens of thousands of columns;
+    one struct per ticker in a single projection took minutes to plan).
+    Only column names are read on the driver. Fields a ticker lacks are null;
     ``complete_flag`` is true when every field the ticker has is non-null
     (the per-ticker "drop rows with any null" test).
     """
     groups = split_wide_columns(wide.columns, index, sep)
+    if not groups:
+        raise ValueError("no TICKER|Field columns found")
     if fields is None:
         fields = list(OrderedDict.fromkeys(f for g in groups.values() for f in g))
-    structs = []
-    for ticker, cols in groups.items():
-        members = [F.lit(ticker).alias("ticker")]
-        for f in fields:
-            if f in cols:
-                members.append(_q(cols[f]).cast("double").alias(f))
-            else:
-                members.append(F.lit(None).cast("double").alias(f))
-        present = [_q(c).isNotNull() for c in cols.values()]
-        complete = present[0]
-        for p in present[1:]:
-            complete = complete & p
-        members.append(complete.alias(complete_flag))
-        structs.append(F.struct(*members))
-    if not structs:
-        raise ValueError("no TICKER|Field columns found")
-    return (wide.select(_q(index).alias("date"), F.inline(F.array(*structs)))
-                .select("ticker", "date", *fields, complete_flag))
+    value_cols = [c for g in groups.values() for c in g.values()]
+    cells = wide.unpivot([index], value_cols, "_col", "_value")
+    s = re.escape(sep)
+    cells = cells.select(
+        _q(index).cast("date").alias("date"),
+        F.regexp_extract("_col", f"^(.*?){s}", 1).alias("ticker"),
+        F.replace(F.lower(F.regexp_extract("_col", f"^.*?{s}(.*)$", 1)),
+                  F.lit(" "), F.lit("_")).alias("_field"),
+        F.col("_value").cast("double").alias("_value"))
+    aggs = [F.max(F.when(F.col("_field") == f, F.col("_value"))).alias(f) for f in fields]
+    aggs.append((F.count("_value") == F.count(F.lit(1))).alias(complete_flag))
+    return (cells.groupBy("ticker", "date").agg(*aggs)
+                 .select("ticker", "date", *fields, complete_flag))
