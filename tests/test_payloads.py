@@ -92,3 +92,23 @@ def test_newest_payload_wins(spark, scratch):
     out = P.av_quarterly(spark, land, data_load=LOAD)
     assert _status(out) == {"AAA": "ok"}
     assert out["bars"].count() == 2
+
+
+AV_3Q = AV_OK + "2024-07-01,14.0,15.0,13.0,14.5,14.3,50,0.0,1.0\n"
+
+
+def test_compound_base_is_first_quarter_close(spark, scratch):
+    # base = last adjusted close of the first quarter (11.0), not of its first day (10.0)
+    land = write_files(f"{scratch}/av3", {"AAA.csv": AV_3Q})
+    bars = {r.quarter: r for r in P.av_quarterly(spark, land, data_load=LOAD)["bars"].collect()}
+    assert bars["2024Q3"].compound_return == 30.0          # (14.3 - 11.0) / 11.0
+    assert bars["2024Q3"].pct_change == 5.93               # (14.3 - 13.5) / 13.5
+    assert bars["2024Q2"].compound_return == bars["2024Q2"].pct_change == 22.73
+
+
+def test_product_path_uses_hash_aggregate(spark):
+    df = spark.createDataFrame([("AV", "AAA", None, None, AV_OK)],
+                               "source string, ticker string, path string, modified timestamp, payload string")
+    bars = P.process_payloads(df, "AV")["bars"]
+    plan = bars._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
