@@ -3,8 +3,9 @@
 daily_to_quarterly  daily bars (any vendor) -> canonical quarterly bars + returns
 av_quarterly        AV payload folder -> bars, registry, quarantine
 fmp_quarterly       FMP payload folder -> bars, registry, quarantine
-yahoo_quarterly     landed wide 3-month table -> cleaned bars
-ticker_universe     security tables -> cleaned, remapped tickers
+yahoo_quarterly     long 3-month vendor bars -> cleaned bars (+ _from_wide)
+publish             replace stored bars / records ticker by ticker (+ manifest)
+pending_work        universe minus published bars and registered tickers
 
 Plan shape of daily_to_quarterly (checked with explain): scan -> partial
 aggregate -> exchange on (ticker, quarter_start) -> final aggregate ->
@@ -19,8 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import as_date, quarter_end_offset, quarter_label
 from ..operators.bars import BAR_COLUMNS, quarterly_bars
-from ..operators.returns import with_returns
+from ..operators.quality import default_missing, drop_incomplete, price_gate
+from ..operators.returns import trading_span, with_compound_return, with_pct_change, with_returns
+from ..operators.universe import pending_tickers
+from ..sources import payloads as SRC
 
 
 def _data_load(data_load) -> Column:
@@ -45,9 +50,6 @@ def daily_to_quarterly(daily: DataFrame, source: str, actions: bool = True,
 
 # ---------------------------------------------------------------- Yahoo
 
-from ..functions.dates import as_date, quarter_end_offset, quarter_label  # noqa: E402
-from ..operators.quality import default_missing, drop_incomplete, price_gate  # noqa: E402
-from ..operators.returns import with_compound_return, with_pct_change  # noqa: E402
 
 YAHOO_REQUIRED = ["open", "high", "low", "close", "adj_close", "volume"]
 YAHOO_OPTIONAL_DEFAULTS = {"stock_splits": 0.0, "dividends": 0.0}
@@ -96,7 +98,6 @@ def yahoo_quarterly(long: DataFrame, source: str = "YAHOO", data_load=None,
 
 # ------------------------------------------------------ AV / FMP payloads
 
-from ..sources import payloads as SRC  # noqa: E402
 
 QUARANTINE_STATUSES = ("unparseable", "unrecognized")
 
@@ -147,8 +148,14 @@ def fmp_quarterly(spark, landing: str, data_load=None, latest_only: bool = True)
                             "FMP", data_load)
 
 
+def manifest(bars: DataFrame) -> DataFrame:
+    """(source, ticker, first_quarter, last_quarter) of the priced quarters:
+    the span the source job put into its file names, kept as a table."""
+    return trading_span(bars, keys=("source", "ticker"))
+
+
 def publish(outputs: dict, bars_path: str, registry_path: str, quarantine_path: str,
-            layout: str = "bucket") -> None:
+            layout: str = "bucket", manifest_path: str | None = None) -> None:
     """Replace the stored bars/records of every ticker present in the outputs.
 
     ``layout='bucket'`` (default) stores (source, bucket) folders and rewrites
@@ -168,3 +175,22 @@ def publish(outputs: dict, bars_path: str, registry_path: str, quarantine_path:
         SK.write_records(outputs["quarantine"], quarantine_path)
     else:
         raise ValueError("layout must be 'bucket' or 'ticker'")
+    if manifest_path:
+        SK.replace_in_buckets(manifest(outputs["bars"]), manifest_path, SK.MANIFEST_SCHEMA, order=())
+
+
+def pending_work(spark, universe: DataFrame, bars_path: str, registry_path: str,
+                 source: str) -> DataFrame:
+    """Tickers of ``universe`` that still need a fetch from ``source``: not in
+    the published bars and not registered as unknown (bucket layout).
+    Rate-limited tickers were never stored, so they stay pending."""
+    from ..sinks import parquet as SK
+    done = []
+    for path, schema in ((bars_path, SK.BAR_SCHEMA), (registry_path, SK.RECORD_SCHEMA)):
+        if SK._exists(spark, path):
+            done.append(SK.read_bucketed(spark, path, schema)
+                          .where(F.col("source") == source).select("ticker"))
+    if not done:
+        return universe.select("ticker").where(F.col("ticker").isNotNull()).distinct()
+    handled = done[0] if len(done) == 1 else done[0].unionByName(done[1])
+    return pending_tickers(universe, handled)

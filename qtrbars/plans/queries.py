@@ -10,7 +10,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions import dates as D
+from ..functions import payload as PL
+from ..functions.tickers import keep_ticker, remap_alias
+from ..operators import quality as Q
+from ..operators import reshape as RS
+from ..operators import returns as R
+from ..operators import universe as U
+from ..operators.bars import quarterly_bars, split_coefficient_agg
+from ..session import scratch_path
+from ..sinks import parquet as SK
+from ..sources import payloads as SRC
+from ..streaming import ingest as ING
 from . import pipelines as P
 from . import standins as S
 
@@ -38,15 +52,6 @@ def quarterly_bars_fmp(spark, sf_dir):
 
 # ------------------------------------------------------------ Yahoo bars
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from ..functions import dates as D  # noqa: E402
-from ..functions.tickers import keep_ticker, remap_alias  # noqa: E402
-from ..operators import quality as Q  # noqa: E402
-from ..operators import returns as R  # noqa: E402
-from ..operators import universe as U  # noqa: E402
-from ..operators.bars import quarterly_bars, split_coefficient_agg  # noqa: E402
-
 
 @query("quarterly_bars_yahoo")
 def quarterly_bars_yahoo(spark, sf_dir):
@@ -209,10 +214,6 @@ def compound_return(spark, sf_dir):
 
 # ---------------------------------------------------------------- payloads
 
-from ..functions import payload as PL  # noqa: E402
-from ..operators import reshape as RS  # noqa: E402
-from ..sources import payloads as SRC  # noqa: E402
-
 
 def _event_classified(spark, sf_dir):
     return SRC.classify(S.event_payloads(S.table(spark, sf_dir, "events")), "AV")
@@ -329,10 +330,6 @@ def wide_to_long(spark, sf_dir):
 
 # ------------------------------------------------------------ sinks, stream
 
-from ..session import scratch_path  # noqa: E402
-from ..sinks import parquet as SK  # noqa: E402
-from ..streaming import ingest as ING  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
 
 _CUST_SCHEMA = T.StructType([
     T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),

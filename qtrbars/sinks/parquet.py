@@ -38,6 +38,13 @@ BAR_SCHEMA = T.StructType([
     T.StructField("ticker", T.StringType()),
 ])
 
+MANIFEST_SCHEMA = T.StructType([
+    T.StructField("first_quarter", T.StringType()),
+    T.StructField("last_quarter", T.StringType()),
+    T.StructField("source", T.StringType()),
+    T.StructField("ticker", T.StringType()),
+])
+
 RECORD_SCHEMA = T.StructType([
     T.StructField("reason", T.StringType()),
     T.StructField("payload", T.StringType()),

@@ -66,3 +66,18 @@ def test_stream_equals_batch(spark, scratch):
     out = P.process_payloads(newest_per_ticker(batch_in, ("modified", "fetch_id", "path")), "AV",
                              dt.datetime(2024, 1, 1))
     assert _rows(out["bars"]) == streamed
+
+
+def test_publish_manifest_and_pending(spark, scratch):
+    from conftest import write_files
+    from test_payloads import AV_FILES
+    land = write_files(f"{scratch}/land", AV_FILES)
+    out = P.av_quarterly(spark, land, data_load=dt.datetime(2024, 7, 1))
+    bars, reg, quar, man = (f"{scratch}/{n}" for n in ("bars", "na", "q", "manifest"))
+    P.publish(out, bars, reg, quar, manifest_path=man)
+    m = SK.read_bucketed(spark, man, SK.MANIFEST_SCHEMA).collect()
+    assert [(r.ticker, r.first_quarter, r.last_quarter) for r in m] == [("AAA", "2024Q1", "2024Q2")]
+    assert [r.ticker for r in SK.read_bucketed(spark, reg, SK.RECORD_SCHEMA).collect()] == ["UNK"]
+    universe = spark.createDataFrame([(t,) for t in ("AAA", "UNK", "RATE", "NEW", "NEW")], "ticker string")
+    pending = sorted(r.ticker for r in P.pending_work(spark, universe, bars, reg, "AV").collect())
+    assert pending == ["NEW", "RATE"]
