@@ -7,9 +7,11 @@ ticker's folder is untouched, so re-running a ticker replaces exactly its
 files and a second identical run changes nothing. Rows are sorted newest
 quarter first inside each ticker.
 
-The frames written by the pipelines arrive hash-partitioned by ticker (from
-the returns window), so each ticker is written by exactly one task as one file
-without an extra shuffle.
+Before writing, rows are redistributed with a ``rebalance`` hint on the
+partition columns: AQE groups small partitions together (about one file per
+folder instead of one per task and folder) and splits a skewed folder over
+several tasks, so a ticker or bucket holding a third of the rows is not
+written by a single task.
 """
 
 from __future__ import annotations
@@ -59,7 +61,8 @@ def replace_by_ticker(df: DataFrame, path: str, order=("quarter",),
     """Write ``df`` so that each (source, ticker) present replaces its old
     folder and all other folders stay."""
     sort = [*partition_cols] + [F.col(c).desc() for c in order if c in df.columns]
-    (df.sortWithinPartitions(*sort)
+    (df.hint("rebalance", *partition_cols)
+       .sortWithinPartitions(*sort)
        .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_cols)
@@ -125,7 +128,7 @@ def replace_in_buckets(df: DataFrame, path: str, schema: T.StructType = BAR_SCHE
     else:
         merged = new
     sort = ["source", "bucket", "ticker"] + [F.col(c).desc() for c in order if c in df.columns]
-    (merged.repartition("source", "bucket")
+    (merged.hint("rebalance", "source", "bucket")
            .sortWithinPartitions(*sort)
            .write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic")
