@@ -27,8 +27,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Payload building and parsing is CPU-heavy per row and has no shuffle
-    before it; spread a tiny scan over all task slots (no-op at scale)."""
+    """Payload building/parsing and the tie-broken (sort-based) partial
+    aggregates are CPU-heavy per row and come before the first shuffle;
+    spread a tiny scan over all task slots (no-op at scale)."""
     from ..session import fan_out
     return fan_out(df)
 
@@ -41,7 +42,7 @@ def lineitem_order() -> Column:
 
 def daily_from_lineitem(li: DataFrame) -> DataFrame:
     p, d, t = F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax")
-    return li.select(
+    return _spread(li).select(
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("ticker"),
         as_date("l_shipdate").alias("date"),
         p.alias("open"),
@@ -58,7 +59,7 @@ def daily_from_lineitem(li: DataFrame) -> DataFrame:
 
 def daily_from_orders(orders: DataFrame) -> DataFrame:
     p = F.col("o_totalprice")
-    return orders.select(
+    return _spread(orders).select(
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"),
         as_date("o_orderdate").alias("date"),
         p.alias("open"), p.alias("high"), p.alias("low"), p.alias("close"),
@@ -78,7 +79,7 @@ def yahoo_bars_from_lineitem(li: DataFrame) -> DataFrame:
     p, d, t = F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax")
     o = lineitem_order()
     first_disc = F.min_by(d, o)
-    return (li.groupBy(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("ticker"),
+    return (_spread(li).groupBy(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("ticker"),
                        quarter_start("l_shipdate").alias("_q"))
               .agg(F.min(as_date("l_shipdate")).alias("date"),
                    F.when(first_disc == 0, F.lit(None).cast("double"))
