@@ -50,8 +50,6 @@ def daily_to_quarterly(daily: DataFrame, source: str, actions: bool = True,
 
 # ---------------------------------------------------------------- Yahoo
 
-
-YAHOO_REQUIRED = ["open", "high", "low", "close", "adj_close", "volume"]
 YAHOO_OPTIONAL_DEFAULTS = {"stock_splits": 0.0, "dividends": 0.0}
 
 
@@ -98,7 +96,6 @@ def yahoo_quarterly(long: DataFrame, source: str = "YAHOO", data_load=None,
 
 # ------------------------------------------------------ AV / FMP payloads
 
-
 QUARANTINE_STATUSES = ("unparseable", "unrecognized")
 
 
