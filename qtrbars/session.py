@@ -16,8 +16,11 @@ from pyspark.sql import SparkSession
 
 # Settings every job relies on. AQE re-plans joins from measured stage sizes
 # (broadcast only when the materialised side is under the threshold, sort-merge
-# otherwise) and splits skewed shuffle partitions.
+# otherwise) and splits skewed shuffle partitions. The static threshold is off:
+# it decides from estimates (file bytes), which can be several times below the
+# in-memory size, so it is not a proven bound.
 SESSION_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
