@@ -36,19 +36,20 @@ def payload_frame(raw: DataFrame, source: str, latest_only: bool = True) -> Data
 
 
 def newest_per_ticker(df: DataFrame, order=("modified", "path")) -> DataFrame:
-    """Keep the newest payload of each ticker (by ``order``, e.g. landing
-    time then path, or fetch time then fetch id).
-
-    One aggregate with ``max_by``: it runs partial before the shuffle, so each
-    map task sends at most one payload per ticker, however many fetches of a
-    ticker landed.
+    """Keep the newest payload of each ticker.
+
+    ``order`` must identify a fetch within a ticker (landing time then path
+    for one file per payload; fetch time then fetch id for landed rows). The
+    newest key per ticker is found on those metadata columns only (a small
+    partial aggregate), then payloads are kept by a semi join on it, which AQE
+    broadcasts when the key table measures small: payload text is never
+    shuffled. The key comparison is null-safe (a text landing has no fetch id).
     """
-    cols = df.columns
-    keys = ["source", "ticker"]
-    rest = [c for c in cols if c not in keys]
-    newest = (df.groupBy(*keys)
-                .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_n")))
-    return newest.select(*keys, *[F.col("_n." + c).alias(c) for c in rest]).select(*cols)
+    keyed = df.withColumn("_k", F.struct(*order))
+    newest = keyed.groupBy("source", "ticker").agg(F.max("_k").alias("_nk"))
+    cond = ((keyed["source"] == newest["source"]) & (keyed["ticker"] == newest["ticker"])
+            & keyed["_k"].eqNullSafe(newest["_nk"]))
+    return keyed.join(newest, cond, "left_semi").drop("_k")
 
 
 def classify(payloads: DataFrame, vendor: str) -> DataFrame:
