@@ -4,6 +4,7 @@ daily_to_quarterly  daily bars (any vendor) -> canonical quarterly bars + return
 av_quarterly        AV payload folder -> bars, registry, quarantine
 fmp_quarterly       FMP payload folder -> bars, registry, quarantine
 yahoo_quarterly     long 3-month vendor bars -> cleaned bars (+ _from_wide)
+universe            security parquet files -> cleaned, remapped tickers
 publish             replace stored bars / records ticker by ticker (+ manifest)
 pending_work        universe minus published bars and registered tickers
 
@@ -24,10 +25,21 @@ from ..functions.dates import as_date, quarter_end_offset, quarter_label
 from ..operators.bars import BAR_COLUMNS, quarterly_bars
 from ..operators.quality import default_missing, drop_incomplete, price_gate
 from ..operators.returns import trading_span, with_compound_return, with_pct_change, with_returns
-from ..operators.universe import pending_tickers
+from ..operators.universe import normalize_tickers, pending_tickers, ticker_universe
 from ..sources import payloads as SRC
 
 
+def universe(spark, prices_path: str, mapping_path: str, digits: str = "any",
+             aliases: dict | None = None, key: str = "cusip") -> DataFrame:
+    """Tickers of the securities with prices: DISTINCT keys of the price file
+    semi-joined to DISTINCT (key, ticker) of the mapping file, then filtered
+    and remapped. Only the key / ticker columns are read (column pruning)."""
+    prices = spark.read.parquet(prices_path).select(key)
+    mapping = spark.read.parquet(mapping_path).select(key, "ticker")
+    return normalize_tickers(ticker_universe(prices, mapping, key=key), "ticker",
+                             digits=digits, aliases=aliases)
+
+
 def _data_load(data_load) -> Column:
     if data_load is None:
         return F.current_timestamp()

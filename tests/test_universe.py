@@ -51,3 +51,12 @@ def test_pending_is_disjoint_from_done(spark):
     uni = spark.createDataFrame([("A",), ("B",), ("C",), ("C",)], "ticker string")
     done = spark.createDataFrame([("B",), ("Z",)], "ticker string")
     assert sorted(r.ticker for r in U.pending_tickers(uni, done).collect()) == ["A", "C"]
+
+
+def test_universe_from_files(spark, scratch):
+    from qtrbars.plans.pipelines import universe
+    p, m = _tables(spark)
+    p.withColumn("median_price", F.lit(1.0)).write.parquet(f"{scratch}/prices")
+    m.write.parquet(f"{scratch}/map")
+    got = [r.ticker for r in universe(spark, f"{scratch}/prices", f"{scratch}/map").collect()]
+    assert Counter(got) == Counter(["AAA", "AAA", "BRK-A", "BRK-B"])
