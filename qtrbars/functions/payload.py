@@ -93,7 +93,7 @@ def av_rows_from(body: Column, positions: Column) -> Column:
     position, so the cost is linear in the payload size."""
     split_lines = F.transform(body, lambda line: F.split(line, ","))
 
-    def row(cells):
+    def row(cells, i):
         pos = {f: F.element_at(positions, i + 1) for i, f in enumerate(AV_FIELDS)}
         vol = _num(_cell(cells, pos["volume"]))
         return F.struct(
@@ -106,6 +106,7 @@ def av_rows_from(body: Column, positions: Column) -> Column:
             F.when(F.abs(vol) < _LONG_LIMIT, vol.cast("bigint")).alias("volume"),
             _num(_cell(cells, pos["dividend_amount"])).alias("dividend_amount"),
             _num(_cell(cells, pos["split_coefficient"])).alias("split_coefficient"),
+            i.alias("_seq"),
         )
     return F.transform(split_lines, row)
 
@@ -172,19 +173,20 @@ def fmp_rows(payload=None, hist=None) -> Column:
     """Array of typed daily rows of an FMP JSON payload (or of its parsed
     ``historical`` list, to parse once)."""
     hist = fmp_parsed(payload)["historical"] if hist is None else _c(hist)
-    return F.transform(hist, lambda r: F.struct(
+    return F.transform(hist, lambda r, i: F.struct(
         parse_day(r["date"]).alias("date"),
         r["open"].alias("open"), r["high"].alias("high"), r["low"].alias("low"),
         r["close"].alias("close"), r["adjClose"].alias("adjusted_close"),
         F.when(F.abs(r["volume"]) < _LONG_LIMIT, r["volume"].cast("bigint")).alias("volume"),
+        i.alias("_seq"),
     ))
 
 
 def fmp_status(payload, hist=None) -> Column:
     """First match wins: rate_limited (message in the head), unparseable (not
     a JSON object/array), not_available (empty object or array),
-    unrecognized (no 'historical' list), unparseable (a date that does not
-    parse or a volume beyond the 64-bit range), ok."""
+    unrecognized (no 'historical' list, or an empty one), unparseable (a date
+    that does not parse or a volume beyond the 64-bit range), ok."""
     p = _c(payload)
     keys = F.json_object_keys(p)
     arr_len = F.json_array_length(p)
@@ -194,7 +196,7 @@ def fmp_status(payload, hist=None) -> Column:
     return (F.when(contains_any(head_text(p), FMP_RATE_MESSAGES), F.lit("rate_limited"))
              .when(keys.isNull() & arr_len.isNull(), F.lit("unparseable"))
              .when((F.size(keys) == 0) | (arr_len == 0), F.lit("not_available"))
-             .when(hist.isNull(), F.lit("unrecognized"))
+             .when(hist.isNull() | (F.size(hist) == 0), F.lit("unrecognized"))
              .when(bad_row, F.lit("unparseable"))
              .otherwise(F.lit("ok")))
 
@@ -214,3 +216,11 @@ def request_url(base, path, secure) -> Column:
     explicit http:// scheme."""
     return F.when(_c(secure), F.concat(_c(base), _c(path))) \
             .otherwise(F.concat(F.lit("http://"), _c(base), _c(path)))
+
+
+def row_order(date="date", seq="_seq") -> Column:
+    """In-payload order of daily rows as one long: the day, then the row's
+    position in its payload (a vendor that repeats a date still yields a
+    deterministic first/last). A long keeps ``min_by``/``max_by`` in a hash
+    aggregate."""
+    return (F.unix_date(_c(date)).cast("bigint") * F.lit(1 << 24) + _c(seq).cast("bigint"))

@@ -26,6 +26,7 @@ from ..operators.bars import BAR_COLUMNS, quarterly_bars
 from ..operators.quality import default_missing, drop_incomplete, price_gate
 from ..operators.returns import trading_span, with_compound_return, with_pct_change, with_returns
 from ..operators.universe import normalize_tickers, pending_tickers, ticker_universe
+from ..functions import payload as PLF
 from ..sources import payloads as SRC
 
 
@@ -123,8 +124,9 @@ def process_payloads(payloads: DataFrame, vendor: str, data_load=None,
     classified = SRC.classify(payloads, vendor)
     if cache:  # bars, registry, quarantine and retry all read it
         classified = classified.persist()
-    daily = SRC.daily_rows(classified)
-    bars = daily_to_quarterly(daily, vendor, actions=(vendor == "AV"), data_load=data_load)
+    daily = SRC.daily_rows(classified, keep_seq=True)
+    bars = daily_to_quarterly(daily, vendor, actions=(vendor == "AV"), data_load=data_load,
+                              order=PLF.row_order("date", "_seq"))
     return {
         "bars": bars,
         "not_available": SRC.rejected(classified, ["not_available"], data_load),

@@ -63,10 +63,12 @@ def classify(payloads: DataFrame, vendor: str) -> DataFrame:
     raise ValueError(f"unknown vendor {vendor!r}")
 
 
-def daily_rows(classified: DataFrame) -> DataFrame:
-    """Daily bars of the usable payloads: one row per (ticker, day)."""
-    return (classified.where(F.col("status") == "ok")
+def daily_rows(classified: DataFrame, keep_seq: bool = False) -> DataFrame:
+    """Daily bars of the usable payloads: one row per (ticker, day). With
+    ``keep_seq`` the row's position in its payload is kept as ``_seq``."""
+    rows = (classified.where(F.col("status") == "ok")
                       .select("source", "ticker", F.inline("rows")))
+    return rows if keep_seq else rows.drop("_seq")
 
 
 def rejected(classified: DataFrame, statuses, data_load=None) -> DataFrame:

@@ -33,6 +33,7 @@ FMP_FILES = {
     "EMPTY.json": "{}",
     "LIMIT.json": '{"Error Message":"Limit Reach . Please upgrade your plan"}',
     "NOHIST.json": '{"note":"x"}',
+    "EMPTYHIST.json": '{"symbol":"EMPTYHIST","historical":[]}',
     "BIG.json": '{"symbol":"BIG","historical":[{"date":"2024-01-02","open":1.0,"high":1.0,"low":1.0,'
                 '"close":1.0,"adjClose":1.0,"volume":99999999999999999999999}]}',
 }
@@ -76,7 +77,8 @@ def test_fmp_classification_and_bars(spark, scratch):
     land = write_files(os.path.join(scratch, "fmp"), FMP_FILES)
     out = P.fmp_quarterly(spark, land, data_load=LOAD)
     assert _status(out) == {"AAA": "ok", "EMPTY": "not_available", "LIMIT": "rate_limited",
-                            "NOHIST": "unrecognized", "BIG": "unparseable"}
+                            "NOHIST": "unrecognized", "EMPTYHIST": "unrecognized",
+                            "BIG": "unparseable"}
     bars = {r.quarter: r for r in out["bars"].collect()}
     assert set(bars) == {"2024Q1", "2024Q2"}
     assert bars["2024Q2"].dividend_amount is None and bars["2024Q2"].split_coefficient is None
@@ -112,3 +114,14 @@ def test_product_path_uses_hash_aggregate(spark):
     bars = P.process_payloads(df, "AV")["bars"]
     plan = bars._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_repeated_date_is_deterministic(spark, scratch):
+    # the vendor repeats 2024-04-02; the row listed first in the payload is
+    # the earlier one, so it is the quarter's open
+    dup = HEADER + ("2024-04-02,20.0,21.0,19.0,20.5,20.5,10,0.0,1.0\n"
+                    "2024-04-02,30.0,31.0,29.0,30.5,30.5,10,0.0,1.0\n")
+    land = write_files(f"{scratch}/dup", {"DUP.csv": dup})
+    for _ in range(2):
+        r = P.av_quarterly(spark, land, data_load=LOAD)["bars"].collect()[0]
+        assert (r.open, r.close) == (20.0, 30.5)
