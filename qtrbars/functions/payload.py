@@ -93,8 +93,9 @@ def av_rows_from(body: Column, positions: Column) -> Column:
     position, so the cost is linear in the payload size."""
     split_lines = F.transform(body, lambda line: F.split(line, ","))
 
+    pos = {f: F.element_at(positions, k + 1) for k, f in enumerate(AV_FIELDS)}
+
     def row(cells, i):
-        pos = {f: F.element_at(positions, i + 1) for i, f in enumerate(AV_FIELDS)}
         vol = _num(_cell(cells, pos["volume"]))
         return F.struct(
             parse_day(F.trim(_cell(cells, pos["timestamp"]))).alias("date"),
