@@ -116,9 +116,13 @@ def replace_in_buckets(df: DataFrame, path: str, schema: T.StructType = BAR_SCHE
     bucket layout at ``path``; all other tickers keep their rows."""
     spark = df.sparkSession
     new = df.withColumn("bucket", bucket_col(n_buckets))
+    cached = None
     if _exists(spark, path):
         from ..session import shared_dir
         shared_dir(spark)  # make sure a reliable checkpoint folder is set
+        # the new rows feed the touched-bucket list, the replaced-ticker list
+        # and the union: compute them once (recomputed from lineage if lost)
+        new = cached = new.persist()
         old = spark.read.schema(with_bucket(schema)).parquet(path)
         touched = new.select("source", "bucket").distinct()
         replaced = new.select("source", "ticker").distinct()
@@ -134,6 +138,8 @@ def replace_in_buckets(df: DataFrame, path: str, schema: T.StructType = BAR_SCHE
            .option("partitionOverwriteMode", "dynamic")
            .partitionBy("source", "bucket")
            .parquet(path))
+    if cached is not None:
+        cached.unpersist()
 
 
 def read_bucketed(spark: SparkSession, path: str, schema: T.StructType = BAR_SCHEMA,
