@@ -20,10 +20,14 @@ def join_checked(big: DataFrame, small: DataFrame, on, how: str = "left_semi",
     or under ``max_rows`` it is broadcast, so ``big`` is not shuffled at all
     and a skewed key costs nothing. Beyond the bound the join is planned
     normally (sort-merge; AQE splits skewed partitions).
+
+    ``on`` is a list of column names, or a function ``(big, small) -> Column``
+    building the condition against the materialised ``small``.
     """
     from ..session import shared_dir
     shared_dir(small.sparkSession)
     small = small.checkpoint(eager=True)
+    cond = on(big, small) if callable(on) else on
     if small.count() <= max_rows:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+        return big.join(F.broadcast(small), cond, how)
+    return big.join(small, cond, how)

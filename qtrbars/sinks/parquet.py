@@ -126,7 +126,9 @@ def replace_in_buckets(df: DataFrame, path: str, schema: T.StructType = BAR_SCHE
         old = spark.read.schema(with_bucket(schema)).parquet(path)
         touched = new.select("source", "bucket").distinct()
         replaced = new.select("source", "ticker").distinct()
-        kept = (old.join(touched, ["source", "bucket"], "left_semi")
+        # touched buckets: at most n_buckets rows per source, so a bounded
+        # broadcast; replaced tickers: one row per ticker on both sides
+        kept = (old.join(F.broadcast(touched), ["source", "bucket"], "left_semi")
                    .join(replaced, ["source", "ticker"], "left_anti"))
         merged = kept.unionByName(new.select(*old.columns)).checkpoint(eager=True)
     else:

@@ -41,15 +41,19 @@ def newest_per_ticker(df: DataFrame, order=("modified", "path")) -> DataFrame:
     ``order`` must identify a fetch within a ticker (landing time then path
     for one file per payload; fetch time then fetch id for landed rows). The
     newest key per ticker is found on those metadata columns only (a small
-    partial aggregate), then payloads are kept by a semi join on it, which AQE
-    broadcasts when the key table measures small: payload text is never
+    partial aggregate, one row per ticker), then payloads are kept by a semi
+    join on it, broadcast after its size is checked: payload text is never
     shuffled. The key comparison is null-safe (a text landing has no fetch id).
     """
+    from ..operators.joins import join_checked
     keyed = df.withColumn("_k", F.struct(*order))
-    newest = keyed.groupBy("source", "ticker").agg(F.max("_k").alias("_nk"))
-    cond = ((keyed["source"] == newest["source"]) & (keyed["ticker"] == newest["ticker"])
-            & keyed["_k"].eqNullSafe(newest["_nk"]))
-    return keyed.join(newest, cond, "left_semi").drop("_k")
+    newest = (keyed.groupBy("source", "ticker").agg(F.max("_k").alias("_nk"))
+                   .withColumnsRenamed({"source": "_ns", "ticker": "_nt"}))
+
+    def cond(_big, _small):  # distinct names on each side: no self-join ambiguity
+        return ((F.col("source") == F.col("_ns")) & (F.col("ticker") == F.col("_nt"))
+                & F.col("_k").eqNullSafe(F.col("_nk")))
+    return join_checked(keyed, newest, cond, "left_semi").drop("_k")
 
 
 def classify(payloads: DataFrame, vendor: str) -> DataFrame:
