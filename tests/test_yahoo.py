@@ -52,3 +52,19 @@ def test_yahoo_fixture(spark):
     nd = got[("NODIV", "2024Q1")]
     assert nd.dividend_amount == 0.0 and nd.split_coefficient == 0.0 and nd.volume == 100
     assert [r.ticker for r in rejected.collect()] == ["NEG"]
+
+
+def test_yahoo_from_landed_wide_csv(spark, scratch):
+    from conftest import write_files
+    from qtrbars.plans.pipelines import yahoo_quarterly_from_wide
+    header = "Date," + ",".join(f"{t}|{f}" for t in ("AAA", "ZER") for f in FIELDS[:6])
+    lines = [header,
+             "2024-01-01," + ",".join(["10,11,9,10,10,100"] * 2),
+             "2024-04-01,12,13,11,12,12,100,5,6,4,5,0,100"]
+    land = write_files(f"{scratch}/wide", {"batch1.csv": "\n".join(lines) + "\n"})
+    bars, rejected = yahoo_quarterly_from_wide(spark, land, fmt="csv", data_load=dt.datetime(2024, 7, 1))
+    got = {(r.ticker, r.quarter): r for r in bars.collect()}
+    assert set(got) == {("AAA", "2024Q1"), ("AAA", "2024Q2")}
+    assert got[("AAA", "2024Q2")].pct_change == 20.0 and got[("AAA", "2024Q2")].volume == 100
+    assert got[("AAA", "2024Q1")].dividend_amount == 0.0
+    assert [r.ticker for r in rejected.collect()] == ["ZER"]
