@@ -342,3 +342,10 @@ ORACLES.update({
               FROM customer c) x""",
     "incremental_ingest": _bars_sql(_NEWEST_ORDER_DAILY, "AV", True),
 })
+
+
+ORACLES["repo_summary"] = """
+    SELECT url || '#contributors-' || CAST(page_id AS VARCHAR) AS contributors_url,
+           page_id AS stargazers_count,
+           CAST(len(string_split(html, '<')) AS BIGINT) AS contributors
+    FROM pages"""

@@ -7,6 +7,7 @@ yahoo_quarterly     long 3-month vendor bars -> cleaned bars (+ _from_wide)
 universe            security parquet files -> cleaned, remapped tickers
 publish             replace stored bars / records ticker by ticker (+ manifest)
 pending_work        universe minus published bars and registered tickers
+repo_summary        repository JSON + contributor lists -> stars and contributor count
 
 Plan shape of daily_to_quarterly (checked with explain): scan -> partial
 aggregate -> exchange on (ticker, quarter_start) -> final aggregate ->
@@ -205,3 +206,22 @@ def pending_work(spark, universe: DataFrame, bars_path: str, registry_path: str,
         return universe.select("ticker").where(F.col("ticker").isNotNull()).distinct()
     handled = done[0] if len(done) == 1 else done[0].unionByName(done[1])
     return pending_tickers(universe, handled)
+
+
+# ------------------------------------------------------- repository summary
+
+REPO_SCHEMA = "struct<stargazers_count:bigint, contributors_url:string>"
+
+
+def repo_summary(repos: DataFrame, contributors: DataFrame) -> DataFrame:
+    """Repository payloads (``payload``: JSON object) and contributor-list
+    payloads (``url``, ``payload``: JSON array) -> (contributors_url,
+    stargazers_count, contributors). The second fetch depends on a field of
+    the first, so the lists are joined on the URL read from each repository;
+    both sides carry one row per URL, so no key can be hot. A repository whose
+    list is missing keeps a null count."""
+    r = (repos.select(F.from_json("payload", REPO_SCHEMA).alias("r"))
+              .select("r.contributors_url", "r.stargazers_count"))
+    c = contributors.select(F.col("url").alias("contributors_url"),
+                            F.json_array_length("payload").cast("bigint").alias("contributors"))
+    return r.join(c, "contributors_url", "left")

@@ -370,3 +370,9 @@ def incremental_ingest(spark, sf_dir):
         ING.run_ingest(spark, landing, "AV", bars, reg, quar, ckpt, fmt="parquet",
                        data_load="2024-01-01 00:00:00")
     return SK.read_bucketed(spark, bars).drop("data_load")
+
+
+@query("repo_summary")
+def repo_summary(spark, sf_dir):
+    pages = S.table(spark, sf_dir, "pages")
+    return P.repo_summary(S.page_repo_payloads(pages), S.page_contributor_payloads(pages))

@@ -203,3 +203,22 @@ def order_landing_rows(orders: DataFrame) -> DataFrame:
                          F.col("o_orderdate").cast("timestamp").alias("fetched_at"),
                          F.col("o_orderkey").alias("fetch_id"),
                          order_csv_text().alias("payload"))
+
+
+def _contributors_url() -> Column:
+    return F.concat(F.col("url"), F.lit("#contributors-"), F.col("page_id").cast("string"))
+
+
+def page_repo_payloads(pages: DataFrame) -> DataFrame:
+    """One repository JSON per page: stars = page id, plus the URL of its
+    contributor list."""
+    return pages.select(F.to_json(F.struct(F.col("page_id").alias("stargazers_count"),
+                                           _contributors_url().alias("contributors_url")))
+                        .alias("payload"))
+
+
+def page_contributor_payloads(pages: DataFrame) -> DataFrame:
+    """The contributor list behind each repository URL: a JSON array with one
+    element per '<'-separated piece of the page's html (whole text)."""
+    return pages.select(_contributors_url().alias("url"),
+                        F.to_json(F.split("html", "<")).alias("payload"))
