@@ -38,6 +38,8 @@ def build_session(master: str = "local[8]", app: str = "qtrbars",
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
+         # remove checkpoint files once their DataFrame is garbage-collected
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "16g"))
     for k, v in {**SESSION_CONF, **(extra or {})}.items():
