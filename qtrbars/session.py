@@ -88,7 +88,9 @@ def fan_out(df):
     this never adds a shuffle at scale; it only keeps CPU-heavy work after a
     tiny scan (payload parsing, sort aggregates) from running in one task.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no SparkContext (e.g. a Spark Connect client): leave as is
+        return df
+    return df.repartition(slots) if parts < slots else df
