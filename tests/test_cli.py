@@ -26,3 +26,24 @@ def test_cli_av_and_universe(spark, scratch):
                  "--out", f"{scratch}/universe"], spark=spark) == 0
     got = sorted(r.ticker for r in spark.read.parquet(f"{scratch}/universe").collect())
     assert got == ["AAA", "BRK-B"]
+
+
+def test_cli_fmp_and_yahoo(spark, scratch):
+    from test_payloads import FMP_FILES
+    land = write_files(f"{scratch}/fmp", FMP_FILES)
+    lake = f"{scratch}/lake"
+    assert main(["fmp", "--landing", land, "--lake", lake], spark=spark) == 0
+    bars = SK.read_bucketed(spark, f"{lake}/bars").collect()
+    assert {(r.source, r.ticker) for r in bars} == {("FMP", "AAA")}
+    q = SK.read_bucketed(spark, f"{lake}/quarantine", SK.RECORD_SCHEMA).collect()
+    assert sorted(r.ticker for r in q) == ["BIG", "EMPTYHIST", "NOHIST"]
+
+    header = "Date,AAA|Open,AAA|High,AAA|Low,AAA|Close,AAA|Adj Close,AAA|Volume"
+    wide = write_files(f"{scratch}/yahoo", {"b.csv": header + "\n2024-01-01,1,2,0.5,1.5,1.5,10\n"
+                                                      "2024-04-01,2,3,1.5,2.5,2.5,20\n"})
+    assert main(["yahoo", "--landing", wide, "--lake", lake, "--format", "csv"], spark=spark) == 0
+    ybars = [r for r in SK.read_bucketed(spark, f"{lake}/bars").collect() if r.source == "YAHOO"]
+    assert sorted(r.quarter for r in ybars) == ["2024Q1", "2024Q2"]
+    # the FMP bars in the same lake are untouched by the Yahoo publish
+    assert {(r.source, r.ticker) for r in SK.read_bucketed(spark, f"{lake}/bars").collect()
+            if r.source == "FMP"} == {("FMP", "AAA")}
