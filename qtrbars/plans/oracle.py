@@ -349,3 +349,38 @@ ORACLES["repo_summary"] = """
            page_id AS stargazers_count,
            CAST(len(string_split(html, '<')) AS BIGINT) AS contributors
     FROM pages"""
+
+
+_FMP_HIST = """'{{"symbol": "U' || CAST(user_id AS VARCHAR) || '", "historical": [{{"date": "'
+       || strftime(ts, '%Y-%m-%d') || '", "open": ' || CAST(value AS VARCHAR)
+       || ', "high": ' || CAST(value AS VARCHAR) || ', "low": ' || CAST(value AS VARCHAR)
+       || ', "close": ' || CAST(value AS VARCHAR) || ', "adjClose": ' || CAST(value AS VARCHAR)
+       || ', "volume": ' || {vol} || '}}]}}'"""
+
+ORACLES["fmp_payload_classify"] = f"""
+  WITH p AS (
+    SELECT 'E' || CAST(event_id AS VARCHAR) AS ticker,
+      CASE event_type
+        WHEN 'purchase' THEN {_FMP_HIST.format(vol="CAST(user_id AS VARCHAR)")}
+        WHEN 'signup' THEN '{{}}'
+        WHEN 'error' THEN '{{"Error Message": "Limit Reach . Please upgrade your plan"}}'
+        WHEN 'view' THEN '{{"note": "x' || CAST(user_id AS VARCHAR) || '"}}'
+        ELSE CASE WHEN value < 10 THEN '[]'
+                  ELSE {_FMP_HIST.format(vol="'99999999999999999999999999'")} END
+      END AS payload
+    FROM events)
+  SELECT ticker, CASE
+    WHEN regexp_matches(substr(payload, 1, 100),
+         'exceeded the DAILY quota|exceeded the rate limit per minute|not subscribed to this API|Limit Reach')
+      THEN 'rate_limited'
+    WHEN NOT json_valid(payload) OR json_type(payload) NOT IN ('OBJECT', 'ARRAY') THEN 'unparseable'
+    WHEN (json_type(payload) = 'OBJECT' AND len(json_keys(payload)) = 0)
+      OR (json_type(payload) = 'ARRAY' AND json_array_length(payload) = 0) THEN 'not_available'
+    WHEN coalesce(json_type(payload, '$.historical'), '') <> 'ARRAY'
+      OR json_array_length(payload, '$.historical') = 0 THEN 'unrecognized'
+    WHEN list_bool_or(list_transform(CAST(json_extract(payload, '$.historical[*]') AS JSON[]),
+           lambda r: try_strptime(json_extract_string(r, '$.date'), '%Y-%m-%d') IS NULL
+                     OR abs(TRY_CAST(json_extract_string(r, '$.volume') AS DOUBLE)) >= 9.223372036854775807e18))
+      THEN 'unparseable'
+    ELSE 'ok' END AS status
+  FROM p"""

@@ -376,3 +376,9 @@ def incremental_ingest(spark, sf_dir):
 def repo_summary(spark, sf_dir):
     pages = S.table(spark, sf_dir, "pages")
     return P.repo_summary(S.page_repo_payloads(pages), S.page_contributor_payloads(pages))
+
+
+@query("fmp_payload_classify")
+def fmp_payload_classify(spark, sf_dir):
+    payloads = S.event_fmp_payloads(S.table(spark, sf_dir, "events"))
+    return SRC.classify(payloads, "FMP").select("ticker", "status")

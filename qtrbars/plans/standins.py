@@ -222,3 +222,35 @@ def page_contributor_payloads(pages: DataFrame) -> DataFrame:
     element per '<'-separated piece of the page's html (whole text)."""
     return pages.select(_contributors_url().alias("url"),
                         F.to_json(F.split("html", "<")).alias("payload"))
+
+
+def event_fmp_payload() -> Column:
+    """FMP-style response text per event: purchase -> a one-record history,
+    signup -> '{}' (unknown symbol), error -> the plan-limit message,
+    view -> an object without history, click -> '[]' (value < 10) or a
+    history whose volume is beyond the 64-bit range."""
+    day = F.date_format("ts", "yyyy-MM-dd")
+    v = F.col("value").cast("string")
+    user = F.col("user_id").cast("string")
+
+    def history(volume):
+        return F.concat(F.lit('{"symbol": "U'), user, F.lit('", "historical": [{"date": "'), day,
+                        F.lit('", "open": '), v, F.lit(', "high": '), v, F.lit(', "low": '), v,
+                        F.lit(', "close": '), v, F.lit(', "adjClose": '), v,
+                        F.lit(', "volume": '), volume, F.lit("}]}"))
+    et = F.col("event_type")
+    return (F.when(et == "purchase", history(user))
+             .when(et == "signup", F.lit("{}"))
+             .when(et == "error", F.lit('{"Error Message": "Limit Reach . Please upgrade your plan"}'))
+             .when(et == "view", F.concat(F.lit('{"note": "x'), user, F.lit('"}')))
+             .otherwise(F.when(F.col("value") < 10, F.lit("[]"))
+                         .otherwise(history(F.lit("99999999999999999999999999")))))
+
+
+def event_fmp_payloads(events: DataFrame) -> DataFrame:
+    """(source, ticker, path, modified, payload): one FMP payload per event."""
+    return _spread(events).select(F.lit("FMP").alias("source"),
+                                  F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("ticker"),
+                                  F.lit(None).cast("string").alias("path"),
+                                  F.col("ts").cast("timestamp").alias("modified"),
+                                  event_fmp_payload().alias("payload"))
