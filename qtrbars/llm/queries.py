@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, packing, pieces, sharding, topk
+from . import fingerprints, langid, packing, pieces, quality, sharding, topk
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
@@ -25,6 +25,17 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify(documents(spark, sf_dir))
+    return found.select("row.doc_id", langid.held_out("row.doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    found = quality.classify(documents(spark, sf_dir), labels)
+    return found.select("row.doc_id", langid.held_out("row.doc_id").alias("held_out"), "score", "predicted")
+
+
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_next(documents(spark, sf_dir))
 
@@ -43,7 +54,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_digests(documents(spark, sf_dir), model_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op5_document_fingerprints, op7_exact_topk, op8_sharding,
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op4_quality_classifier, op5_document_fingerprints, op7_exact_topk, op8_sharding,
                                    op10_sentencepiece)}
 
 ORACLES = {
