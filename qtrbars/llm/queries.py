@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, langid, packing, pieces, quality, sharding, topk
+from . import fingerprints, langid, packing, pieces, quality, sharding, substring_words, topk
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
@@ -50,12 +50,16 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(documents(spark, sf_dir).select("doc_id", "n_chars"), "doc_id", SHARDS)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_words.removal(documents(spark, sf_dir))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_digests(documents(spark, sf_dir), model_path())
 
 
 QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op4_quality_classifier, op5_document_fingerprints, op7_exact_topk, op8_sharding,
-                                   op10_sentencepiece)}
+                                   op9_substring_dedup, op10_sentencepiece)}
 
 ORACLES = {
     "op7_exact_topk": """
