@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, langid, packing, pieces, quality, sharding, substring_words, topk
+from . import fingerprints, langid, packing, pieces, quality, sharding, substring_bytes, substring_words, topk
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
@@ -40,6 +40,10 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_next(documents(spark, sf_dir))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_bytes.removal(documents(spark, sf_dir))
+
+
 def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
@@ -58,7 +62,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_digests(documents(spark, sf_dir), model_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op4_quality_classifier, op5_document_fingerprints, op7_exact_topk, op8_sharding,
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op4_quality_classifier, op5_document_fingerprints, op6_suffix_dedup, op7_exact_topk, op8_sharding,
                                    op9_substring_dedup, op10_sentencepiece)}
 
 ORACLES = {

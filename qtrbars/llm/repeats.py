@@ -25,11 +25,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from . import sketch
-from .text import slices, splitmix
+from .text import CHUNK_BYTES, slices, splitmix
 
 #: Longest context, in windows; longer runs are cut.
 RUN = 64
@@ -64,36 +64,62 @@ class Windows:
         return head, size
 
 
-def _sliced(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, pa.Array]]:
+def _sliced(batch: pa.RecordBatch, limit: int) -> Iterator[tuple[np.ndarray, pa.Array]]:
     """(ids, texts) of slices of a batch of (id, text)."""
     ids = batch[0].to_numpy()
-    for a, b in slices(batch[1]):
+    for a, b in slices(batch[1], limit):
         yield ids[a:b], batch[1].slice(a, b - a)
 
 
-def _spans(ids: np.ndarray, row: np.ndarray, start: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows (kind 0, document, packed (start, length) pairs) of runs of windows to go."""
-    if not len(row):
-        return
-    order = np.lexsort((start, row))
-    row, start, n = row[order], start[order], n[order]
-    new = np.ones(len(row), bool)  # join runs that follow on
-    new[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + n[:-1])
+def _joined(doc: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows in order, those that follow on joined."""
+    order = np.lexsort((start, doc))
+    doc, start, n = doc[order], start[order], n[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + n[:-1])
     head = np.flatnonzero(new)
-    total = np.add.reduceat(n, head)
-    pairs = np.stack([start[head], total], axis=1).astype("<i4")
-    docs = row[head]
-    first = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]]))
-    edge = np.append(first, len(docs))
-    blobs = [pairs[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])]
+    return doc[head], start[head], np.add.reduceat(n, head) if len(head) else n
+
+
+def _spans(doc: np.ndarray, start: np.ndarray, n: np.ndarray, tasks: int) -> Iterator[pa.RecordBatch]:
+    """Rows (-1 - share, blob) of runs of windows to go, one for each share of the documents."""
+    if not len(doc):
+        return
+    doc, start, n = _joined(doc, start, n)
+    share = (splitmix(doc.astype(np.uint64)) % np.uint64(tasks)).astype(np.int64)
+    order = np.argsort(share, kind="stable")
+    edge = np.searchsorted(share[order], np.arange(tasks + 1))
+    numbers, blobs = [], []
+    for k in range(tasks):
+        at = order[edge[k]:edge[k + 1]]
+        if len(at):
+            numbers.append(-1 - k)
+            blobs.append(b"".join([doc[at].astype("<i8").tobytes(), start[at].astype("<i4").tobytes(),
+                                   n[at].astype("<i4").tobytes()]))
+    yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())],
+                                     names=["part", "data"])
+
+
+def _by_document(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+    """Rows (document, packed (start, length) pairs) of blobs of runs."""
+    if not blobs:
+        return
+    fields: tuple[list[np.ndarray], ...] = ([], [], [])
+    for blob in blobs:
+        count = len(blob) // 16
+        for k, (kind, at) in enumerate((("<i8", 0), ("<i4", 8), ("<i4", 12))):
+            fields[k].append(np.frombuffer(blob, kind, count, at * count))
+    doc, start, n = _joined(*(np.concatenate(f).astype(np.int64) for f in fields))
+    pairs = np.stack([start, n], axis=1).astype("<i4")
+    edge = np.append(np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])), len(doc))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(np.zeros(len(first), np.int32)), pa.array(ids[docs[first]].astype(np.int64)),
-         pa.array(blobs, pa.binary())], names=["part", "doc", "data"])
+        [pa.array(doc[edge[:-1]]), pa.array([pairs[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())],
+        names=["doc", "spans"])
 
 
 def _pack(route: np.ndarray, doc: np.ndarray, start: np.ndarray, n: np.ndarray, body: np.ndarray,
           off: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
-    """Rows (part, null, blob) of contexts, one for each part; parts count from 1."""
+    """Rows (part, blob) of contexts, one for each part."""
     part = (splitmix(route) % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
     edge = np.searchsorted(part[order], np.arange(parts + 1))
@@ -104,14 +130,13 @@ def _pack(route: np.ndarray, doc: np.ndarray, start: np.ndarray, n: np.ndarray,
             continue
         size = off[at + 1] - off[at]
         where = np.repeat(off[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        numbers.append(p + 1)
+        numbers.append(p)
         blobs.append(b"".join([np.int64(len(at)).tobytes(), route[at].tobytes(), doc[at].astype("<i8").tobytes(),
                                start[at].astype("<i4").tobytes(), n[at].astype("<i4").tobytes(),
                                size.astype("<i4").tobytes(), body[where].tobytes()]))
     if numbers:
         yield pa.RecordBatch.from_arrays(
-            [pa.array(numbers, pa.int32()), pa.nulls(len(numbers), pa.int64()), pa.array(blobs, pa.binary())],
-            names=["part", "doc", "data"])
+            [pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "data"])
 
 
 def _unpack(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
@@ -128,7 +153,7 @@ def _unpack(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
 
 
 def _settle(w: Windows, ids: np.ndarray, head: np.ndarray, size: np.ndarray, route: np.ndarray,
-            parts: int) -> Iterator[pa.RecordBatch]:
+            parts: int, tasks: int) -> Iterator[pa.RecordBatch]:
     """Equal contexts of a slice: all but the smallest document's repeat it; that one is dealt to its part."""
     if not len(head):
         return
@@ -139,7 +164,7 @@ def _settle(w: Windows, ids: np.ndarray, head: np.ndarray, size: np.ndarray, rou
     new[1:] = (r[1:] != r[:-1]) | (s[1:] != s[:-1])
     least = d[np.flatnonzero(new)][np.cumsum(new) - 1]
     gone = order[d > least]
-    yield from _spans(ids, row[gone], w.start[head[gone]], size[gone])
+    yield from _spans(ids[row[gone]], w.start[head[gone]], size[gone], tasks)
     kept = order[d == least]
     body, off = w.body(head[kept], size[kept])
     yield from _pack(route[kept], ids[row[kept]], w.start[head[kept]], size[kept], body, off, parts)
@@ -147,7 +172,7 @@ def _settle(w: Windows, ids: np.ndarray, head: np.ndarray, size: np.ndarray, rou
 
 def repeated_spans(docs: DataFrame, windows: Callable[[pa.Array], Windows],
                    resolver: Callable[..., np.ndarray], cell_bits: int = sketch.CELL_BITS,
-                   hot: int = HOT) -> DataFrame:
+                   hot: int = HOT, slice_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(doc, spans): packed (first window, number of windows) pairs of 32-bit
     numbers, of windows that also start in a document with a smaller id.
 
@@ -156,7 +181,7 @@ def repeated_spans(docs: DataFrame, windows: Callable[[pa.Array], Windows],
     each window of each context in turn, whether a smaller document has it.
     """
     def anchors(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for _, texts in _sliced(batch):
+        for _, texts in _sliced(batch, slice_bytes):
             w = windows(texts)
             yield w.anchor[w.contexts()[0]]
 
@@ -168,26 +193,26 @@ def repeated_spans(docs: DataFrame, windows: Callable[[pa.Array], Windows],
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         again, frequent = marks.value
         for batch in batches:
-            for ids, texts in _sliced(batch):
+            for ids, texts in _sliced(batch, slice_bytes):
                 w = windows(texts)
                 head, size = w.contexts()
                 left = again.holds(w.anchor[head])
                 head, size = head[left], size[left]
                 often = frequent.holds(w.anchor[head])
-                yield from _settle(w, ids, head[~often], size[~often], w.anchor[head[~often]], parts)
+                yield from _settle(w, ids, head[~often], size[~often], w.anchor[head[~often]], parts, tasks)
                 # very frequent anchors: window by window, dealt by the window's hash
                 total = size[often]
                 each = np.repeat(head[often] - (np.cumsum(total) - total), total) + np.arange(total.sum())
                 one = np.ones(len(each), np.int64)
-                yield from _settle(w, ids, each, one, w.key(each), parts)
+                yield from _settle(w, ids, each, one, w.key(each), parts, tasks)
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs = []
         for batch in batches:
-            settled = pa.compute.equal(batch["part"], 0)
-            if pa.compute.any(settled).as_py():
-                yield batch.filter(settled).select(["doc", "data"])
-            blobs += [b.as_py() for b, p in zip(batch["data"], batch["part"].to_pylist()) if p]
+            settled = pc.less(batch["part"], 0)
+            if pc.any(settled).as_py():
+                yield batch.filter(settled)
+            blobs += [b.as_py() for b, p in zip(batch["data"], batch["part"].to_pylist()) if p >= 0]
         if not blobs:
             return
         route, doc, start, n, size, bodies = _unpack(blobs)
@@ -203,23 +228,22 @@ def repeated_spans(docs: DataFrame, windows: Callable[[pa.Array], Windows],
         gone = resolver(route, doc, n, bodies, off, size)
         owner = np.repeat(np.arange(len(n)), n)
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-        ids, place = np.unique(doc, return_inverse=True)
-        at, nth = owner[gone], nth[gone]
-        for out in _spans(ids, place[at], start[at] + nth, np.ones(len(at), np.int64)):
-            yield out.select(["doc", "data"])
+        at = owner[gone]
+        yield from _spans(doc[at], start[at] + nth[gone], np.ones(len(at), np.int64), tasks)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _by_document([b.as_py() for batch in batches for b in batch["data"]])
 
-    # settled spans keep to where they are made as near as can be: dealt round the parts by document
-    key = F.when(F.col("part") == 0, F.pmod(F.xxhash64("doc"), F.lit(parts)) + 1).otherwise(F.col("part"))
-    found = (docs.mapInArrow(collect, "part int, doc bigint, data binary")
-             .repartition(tasks, key).mapInArrow(resolve, "doc bigint, data binary"))
-    return found.groupBy("doc").agg(F.collect_list("data").alias("spans"))
+    return (docs.mapInArrow(collect, "part int, data binary")
+            .repartition(tasks, "part").mapInArrow(resolve, "part int, data binary")
+            .repartition(tasks, "part").mapInArrow(gather, "doc bigint, spans binary"))
 
 
-def covered(spans: list[bytes] | None, width: int, n: int) -> np.ndarray:
+def covered(spans: bytes | None, width: int, n: int) -> np.ndarray:
     """Mask of n units covered by windows of ``width`` units."""
     change = np.zeros(n + 1, np.int32)
     if spans:
-        pairs = np.frombuffer(b"".join(spans), "<i4").reshape(-1, 2)
+        pairs = np.frombuffer(spans, "<i4").reshape(-1, 2)
         np.add.at(change, pairs[:, 0], 1)
         np.add.at(change, pairs[:, 0] + pairs[:, 1] + width - 1, -1)
     return np.cumsum(change[:-1]) > 0

@@ -126,7 +126,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          else F.col("row").getField(f.name).alias(f.name) for f in docs.schema])
 
 
-def without(text: str, spans: list[bytes]) -> str:
+def without(text: str, spans: bytes) -> str:
     """The text without the words that spans cover."""
     raw = text.encode()
     data = np.frombuffer(raw, np.uint8)
