@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, langid, packing, pieces, quality, sharding, substring_bytes, substring_words, topk
+from . import fingerprints, jaccard, langid, packing, pieces, quality, sharding, substring_bytes, substring_words, topk
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
@@ -30,6 +30,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", langid.held_out("row.doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_components(documents(spark, sf_dir))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     found = quality.classify(documents(spark, sf_dir), labels)
@@ -62,7 +66,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_digests(documents(spark, sf_dir), model_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op4_quality_classifier, op5_document_fingerprints, op6_suffix_dedup, op7_exact_topk, op8_sharding,
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op3_ngram_jaccard, op4_quality_classifier, op5_document_fingerprints, op6_suffix_dedup, op7_exact_topk, op8_sharding,
                                    op9_substring_dedup, op10_sentencepiece)}
 
 ORACLES = {
