@@ -236,8 +236,10 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     several = posts.groupBy("token").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b")
     posts = written(posts.join(several.select("token"), "token", "left_semi"), "jaccard-shared")
     able = posts.select(F.col("doc").alias("id")).distinct()
-    segs = written(segments(known.join(able.hint("shuffle_hash"), "id", "left_semi")).dropDuplicates(["doc", "fragment"]),
-                    "jaccard-segments")
+    segs = segments(known.join(able.hint("shuffle_hash"), "id", "left_semi"))
+    if sizes.where("doc is not null").count() > member.count() + sizes.where("doc is not null and n = 0").count():
+        segs = segs.dropDuplicates(["doc", "fragment"])  # ids that come more than once
+    segs = written(segs, "jaccard-segments")
     first = components(verified(star_pairs(posts), segs))
     placed = posts.join(first.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
         "component", F.coalesce("component", "doc"))
