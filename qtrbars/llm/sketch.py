@@ -2,9 +2,10 @@
 
 Every task sketches what it sees and emits only its cells that aren't zero,
 cut into slices; the slices are summed in as many tasks as there are slices;
-what comes back is one bit a cell (estimated at or over a threshold), so the
-size that is collected and broadcast is fixed by ``CELL_BITS`` (32 MB a
-threshold by default) and doesn't grow with the input. Estimates are never
+what comes back is one bit a cell (estimated at or over a threshold; one for
+eight cells at the higher thresholds, which few cells reach), so the size that
+is collected and broadcast is fixed by ``CELL_BITS`` (32 MB, and 4 MB for each
+higher threshold) and doesn't grow with the input. Estimates are never
 below the count. The more hashes there are for each cell, the more estimates
 are over the truth; callers use them to set work aside, never to decide.
 """
@@ -24,9 +25,22 @@ DEPTH = 2
 CELL_BITS = 27
 SLICE_BITS = 6
 #: Hashes that a task holds before it emits a sketch.
-HELD = 1 << 21
+HELD = 1 << 20
+
+#: A bit stands for 2**COARSE cells at thresholds above 2.
+COARSE = 3
 
 _SCHEMA = "slice int, cells binary"
+_ZSTD = pa.Codec("zstd", compression_level=1)
+
+
+def packed(data: bytes) -> bytes:
+    """Compressed, after the length."""
+    return len(data).to_bytes(8, "little") + _ZSTD.compress(data, asbytes=True)
+
+
+def unpacked(data: bytes) -> bytes:
+    return _ZSTD.decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
 
 
 def cells(hashes: np.ndarray, depth: int, bits: int) -> np.ndarray:
@@ -58,7 +72,7 @@ def _emit(hashes: list[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
             if a < b:
                 at = found[a:b] - np.uint64(s << (bits - SLICE_BITS))
                 slices.append((depth << SLICE_BITS) + s)
-                blobs.append(_planes(np.diff(at, prepend=np.uint64(0))) + _planes(count[a:b]))
+                blobs.append(packed(_planes(np.diff(at, prepend=np.uint64(0))) + _planes(count[a:b])))
     yield pa.RecordBatch.from_arrays([pa.array(slices, pa.int32()), pa.array(blobs, pa.binary())],
                                      names=["slice", "cells"])
 
@@ -84,13 +98,13 @@ def partition_sketches(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterabl
 class Bits:
     """One bit a cell and row; ``holds`` is true where every row's bit is set."""
 
-    def __init__(self, packed: np.ndarray, bits: int):
-        self.packed, self.bits = packed, bits
+    def __init__(self, packed: np.ndarray, bits: int, coarse: int = 0):
+        self.packed, self.bits, self.coarse = packed, bits, np.uint64(coarse)
 
     def holds(self, hashes: np.ndarray) -> np.ndarray:
         out = np.ones(len(hashes), bool)
         for depth in range(DEPTH):
-            at = cells(hashes, depth, self.bits)
+            at = cells(hashes, depth, self.bits) >> self.coarse
             byte = self.packed[depth, (at >> np.uint64(3)).astype(np.int64)]
             out &= (byte >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1 == 1
         return out
@@ -108,25 +122,28 @@ def over(sketches: DataFrame, thresholds: list[int], bits: int = CELL_BITS) -> l
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for s, blob in zip(batch[0].to_pylist(), batch[1]):
-                data = blob.as_py()
+                data = unpacked(blob.as_py())
                 at = np.cumsum(_numbers(data[:len(data) // 2]).astype(np.int64))
                 if s not in sums:
                     sums[s] = np.zeros(size, np.uint32)
                 sums[s][at] += _numbers(data[len(data) // 2:])
         for s, total in sums.items():
             load = int(total.sum() // size)
-            found = [np.packbits(total >= (t if t <= 2 else t + 4 * load)).tobytes() for t in thresholds]
+            found = [np.packbits(total >= t if t <= 2 else
+                                 (total >= t + 4 * load).reshape(-1, 1 << COARSE).any(axis=1)).tobytes()
+                     for t in thresholds]
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([found], pa.list_(pa.binary()))],
                                              names=["slice", "found"])
 
     parts = DEPTH << SLICE_BITS
     rows = sketches.repartition(parts, "slice").mapInArrow(merge, "slice int, found array<binary>").collect()
-    out = [np.zeros((DEPTH, 1 << (bits - 3)), np.uint8) for _ in thresholds]
+    out = [Bits(np.zeros((DEPTH, 1 << (bits - 3 - coarse)), np.uint8), bits, coarse)
+           for coarse in (0 if t <= 2 else COARSE for t in thresholds)]
     for row in rows:
         depth, s = row["slice"] >> SLICE_BITS, row["slice"] & ((1 << SLICE_BITS) - 1)
-        for bitmap, data in zip(out, row["found"]):
-            bitmap[depth, s * size // 8:(s + 1) * size // 8] = np.frombuffer(data, np.uint8)
-    return [Bits(x, bits) for x in out]
+        for one, data in zip(out, row["found"]):
+            one.packed[depth, s * len(data):(s + 1) * len(data)] = np.frombuffer(data, np.uint8)
+    return out
 
 
 def shared(df: DataFrame, value: object) -> Broadcast:

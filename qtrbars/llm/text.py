@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer single document is handled alone.
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -70,7 +70,7 @@ class Rolling:
             size = max(n, 1 << 16)
             known = tuple(np.multiply.accumulate(np.concatenate(
                 ([np.uint64(1)], np.full(size - 1, b, np.uint64)))) for b in (base, pow(base, -1, 1 << 64)))
-            if size <= 2 * CHUNK_BYTES:
+            if size <= 4 * CHUNK_BYTES:
                 self._powers[seed] = known
         self.back = known[1]
         table = splitmix(np.arange(256, dtype=np.uint64) + np.uint64(977 * (seed + 1)))
