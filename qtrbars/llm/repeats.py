@@ -29,10 +29,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from . import sketch
-from .text import CHUNK_BYTES, slices, splitmix
+from .text import slices, splitmix
 
 #: Longest context, in windows; longer runs are cut.
 RUN = 64
+#: Bytes of text in which equal contexts are settled first.
+SLICE_BYTES = 1 << 21
 #: Documents (estimated) from which an anchor's windows are dealt one by one.
 HOT = 4096
 
@@ -131,9 +133,9 @@ def _pack(route: np.ndarray, doc: np.ndarray, start: np.ndarray, n: np.ndarray,
         size = off[at + 1] - off[at]
         where = np.repeat(off[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())
         numbers.append(p)
-        blobs.append(b"".join([np.int64(len(at)).tobytes(), route[at].tobytes(), doc[at].astype("<i8").tobytes(),
+        blobs.append(sketch.packed(b"".join([np.int64(len(at)).tobytes(), route[at].tobytes(), doc[at].astype("<i8").tobytes(),
                                start[at].astype("<i4").tobytes(), n[at].astype("<i4").tobytes(),
-                               size.astype("<i4").tobytes(), body[where].tobytes()]))
+                               size.astype("<i4").tobytes(), body[where].tobytes()])))
     if numbers:
         yield pa.RecordBatch.from_arrays(
             [pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "data"])
@@ -142,7 +144,7 @@ def _pack(route: np.ndarray, doc: np.ndarray, start: np.ndarray, n: np.ndarray,
 def _unpack(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
     """(route, doc, start, n, size, bodies) of blobs put together."""
     fields: list[list[np.ndarray]] = [[] for _ in range(6)]
-    for blob in blobs:
+    for blob in map(sketch.unpacked, blobs):
         count = int(np.frombuffer(blob, "<i8", 1)[0])
         at = 8
         for k, kind in enumerate(("<u8", "<i8", "<i4", "<i4", "<i4")):
@@ -172,7 +174,7 @@ def _settle(w: Windows, ids: np.ndarray, head: np.ndarray, size: np.ndarray, rou
 
 def repeated_spans(docs: DataFrame, windows: Callable[[pa.Array], Windows],
                    resolver: Callable[..., np.ndarray], cell_bits: int = sketch.CELL_BITS,
-                   hot: int = HOT, slice_bytes: int = CHUNK_BYTES) -> DataFrame:
+                   hot: int = HOT, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """(doc, spans): packed (first window, number of windows) pairs of 32-bit
     numbers, of windows that also start in a document with a smaller id.
 
@@ -207,16 +209,19 @@ def repeated_spans(docs: DataFrame, windows: Callable[[pa.Array], Windows],
                 yield from _settle(w, ids, each, one, w.key(each), parts, tasks)
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = []
+        blobs: dict[int, list[bytes]] = {}
         for batch in batches:
             settled = pc.less(batch["part"], 0)
             if pc.any(settled).as_py():
                 yield batch.filter(settled)
-            blobs += [b.as_py() for b, p in zip(batch["data"], batch["part"].to_pylist()) if p >= 0]
-        if not blobs:
-            return
+            for p, blob in zip(batch["part"].to_pylist(), batch["data"]):
+                if p >= 0:
+                    blobs.setdefault(p, []).append(blob.as_py())
+        for p in sorted(blobs):  # parts share no anchor: one at a time
+            yield from resolved(blobs.pop(p))
+
+    def resolved(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
         route, doc, start, n, size, bodies = _unpack(blobs)
-        del blobs
         order = np.argsort(route, kind="stable")
         off = np.cumsum(size) - size
         route, doc, start, n, size, off = (x[order] for x in (route, doc, start, n, size, off))
@@ -225,11 +230,10 @@ def repeated_spans(docs: DataFrame, windows: Callable[[pa.Array], Windows],
         route, doc, start, n, size, off = (x[shared] for x in (route, doc, start, n, size, off))
         if not len(route):
             return
-        gone = resolver(route, doc, n, bodies, off, size)
-        owner = np.repeat(np.arange(len(n)), n)
-        nth = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-        at = owner[gone]
-        yield from _spans(doc[at], start[at] + nth[gone], np.ones(len(at), np.int64), tasks)
+        gone = np.flatnonzero(resolver(route, doc, n, bodies, off, size))
+        begin = np.cumsum(n) - n
+        at = np.searchsorted(begin, gone, side="right") - 1
+        yield from _spans(doc[at], start[at] + gone - begin[at], np.ones(len(at), np.int64), tasks)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _by_document([b.as_py() for batch in batches for b in batch["data"]])
