@@ -49,9 +49,8 @@ def price_gate(df: DataFrame, keys, price: str = "adjusted_close",
 
     Default (groups of any size): the per-group verdict is a partial
     aggregate (one row per group); rows are kept by a semi join against the
-    passing groups, broadcast after their count is checked (``join_checked``)
-    and a plain, skew-split join beyond the bound. No window holds a whole
-    group in one task.
+    failing groups, null-safe in its keys, broadcast or skew-split by Spark from
+    measured sizes. No window holds a whole group in one task.
 
     ``bounded_groups=True`` (e.g. quarterly bars per ticker: at most one row
     per calendar quarter): the verdict is a window over the group, which
@@ -64,11 +63,11 @@ def price_gate(df: DataFrame, keys, price: str = "adjusted_close",
             F.bool_and(F.col(price) > 0).over(w), F.lit(True)))
         bad = judged.where(~F.col("_passes")).select(*_keys(keys)).distinct()
         return judged.where(F.col("_passes")).drop("_passes"), bad
-    from .joins import join_checked
     verdict = gate_groups(df, keys, price)
-    good = verdict.where("_passes").select(*_keys(keys))
     bad = verdict.where(~F.col("_passes")).select(*_keys(keys))
-    return join_checked(df, good, _keys(keys), "left_semi"), bad
+    failed = bad.select(*[F.col(k).alias(f"_bad_{i}") for i, k in enumerate(_keys(keys))])
+    same = [df[k].eqNullSafe(failed[f"_bad_{i}"]) for i, k in enumerate(_keys(keys))]
+    return df.join(failed, same, "left_anti"), bad
 
 
 def any_of(cond: Column) -> Column:

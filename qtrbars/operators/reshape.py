@@ -70,7 +70,8 @@ def wide_to_long(wide: DataFrame, index: str = "Date", sep: str = "|",
         F.regexp_extract("_col", f"^(.*?){s}", 1).alias("ticker"),
         F.replace(F.lower(F.regexp_extract("_col", f"^.*?{s}(.*)$", 1)),
                   F.lit(" "), F.lit("_")).alias("_field"),
-        F.col("_value").cast("double").alias("_value"))
+        # a malformed cell or NaN counts as missing
+        F.nanvl(F.col("_value").try_cast("double"), F.lit(None).cast("double")).alias("_value"))
     aggs = [F.max(F.when(F.col("_field") == f, F.col("_value"))).alias(f) for f in fields]
     aggs.append((F.count("_value") == F.count(F.lit(1))).alias(complete_flag))
     return (cells.groupBy("ticker", "date").agg(*aggs)

@@ -26,14 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Payload building/parsing and the tie-broken (sort-based) partial
-    aggregates are CPU-heavy per row and come before the first shuffle;
-    spread a tiny scan over all task slots (no-op at scale)."""
-    from ..session import fan_out
-    return fan_out(df)
-
-
 def lineitem_order() -> Column:
     """Deterministic in-quarter order for lineitem stand-in rows."""
     return F.struct(as_date("l_shipdate").alias("d"), F.col("l_orderkey"), F.col("l_linenumber"),
@@ -42,7 +34,7 @@ def lineitem_order() -> Column:
 
 def daily_from_lineitem(li: DataFrame) -> DataFrame:
     p, d, t = F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax")
-    return _spread(li).select(
+    return li.select(
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("ticker"),
         as_date("l_shipdate").alias("date"),
         p.alias("open"),
@@ -59,7 +51,7 @@ def daily_from_lineitem(li: DataFrame) -> DataFrame:
 
 def daily_from_orders(orders: DataFrame) -> DataFrame:
     p = F.col("o_totalprice")
-    return _spread(orders).select(
+    return orders.select(
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"),
         as_date("o_orderdate").alias("date"),
         p.alias("open"), p.alias("high"), p.alias("low"), p.alias("close"),
@@ -79,7 +71,7 @@ def yahoo_bars_from_lineitem(li: DataFrame) -> DataFrame:
     p, d, t = F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax")
     o = lineitem_order()
     first_disc = F.min_by(d, o)
-    return (_spread(li).groupBy(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("ticker"),
+    return (li.groupBy(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("ticker"),
                        quarter_start("l_shipdate").alias("_q"))
               .agg(F.min(as_date("l_shipdate")).alias("date"),
                    F.when(first_disc == 0, F.lit(None).cast("double"))
@@ -152,7 +144,7 @@ def event_payload() -> Column:
 
 def event_payloads(events: DataFrame) -> DataFrame:
     """(source, ticker, path, modified, payload): one AV payload per event."""
-    return _spread(events).select(F.lit("AV").alias("source"),
+    return events.select(F.lit("AV").alias("source"),
                          F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("ticker"),
                          F.lit(None).cast("string").alias("path"),
                          F.col("ts").cast("timestamp").alias("modified"),
@@ -174,7 +166,7 @@ def order_csv_text() -> Column:
 
 def order_csv_payloads(orders: DataFrame) -> DataFrame:
     """One AV CSV payload per order (ticker 'O'||o_orderkey)."""
-    return _spread(orders).select(F.lit("AV").alias("source"),
+    return orders.select(F.lit("AV").alias("source"),
                          F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("ticker"),
                          F.lit(None).cast("string").alias("path"),
                          F.col("o_orderdate").cast("timestamp").alias("modified"),
@@ -189,7 +181,7 @@ def order_json_payloads(orders: DataFrame) -> DataFrame:
                    F.col("o_totalprice").alias("adjClose"), F.col("o_custkey").alias("volume"))
     sym = F.concat(F.lit("O"), F.col("o_orderkey").cast("string"))
     text = F.to_json(F.struct(sym.alias("symbol"), F.array(rec).alias("historical")))
-    return _spread(orders).select(F.lit("FMP").alias("source"), sym.alias("ticker"),
+    return orders.select(F.lit("FMP").alias("source"), sym.alias("ticker"),
                          F.lit(None).cast("string").alias("path"),
                          F.col("o_orderdate").cast("timestamp").alias("modified"),
                          text.alias("payload"))
@@ -199,7 +191,7 @@ def order_landing_rows(orders: DataFrame) -> DataFrame:
     """Fetched payload rows for the stream: each order is one fetch of its
     customer's ticker (fetch time = order date, fetch id = order key), so a
     customer is fetched many times and the newest fetch must win."""
-    return _spread(orders).select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"),
+    return orders.select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"),
                          F.col("o_orderdate").cast("timestamp").alias("fetched_at"),
                          F.col("o_orderkey").alias("fetch_id"),
                          order_csv_text().alias("payload"))
@@ -249,7 +241,7 @@ def event_fmp_payload() -> Column:
 
 def event_fmp_payloads(events: DataFrame) -> DataFrame:
     """(source, ticker, path, modified, payload): one FMP payload per event."""
-    return _spread(events).select(F.lit("FMP").alias("source"),
+    return events.select(F.lit("FMP").alias("source"),
                                   F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("ticker"),
                                   F.lit(None).cast("string").alias("path"),
                                   F.col("ts").cast("timestamp").alias("modified"),

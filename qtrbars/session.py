@@ -69,6 +69,8 @@ def shared_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="qtrbars-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -78,19 +80,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared folder for one job run."""
     base = shared_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
-
-
-def fan_out(df):
-    """Spread a scan that yields fewer partitions than the session can run at
-    once (a small file with one row group) over all task slots, round-robin.
-
-    Large inputs already scan as many splits and are returned unchanged, so
-    this never adds a shuffle at scale; it only keeps CPU-heavy work after a
-    tiny scan (payload parsing, sort aggregates) from running in one task.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # no SparkContext (e.g. a Spark Connect client): leave as is
-        return df
-    return df.repartition(slots) if parts < slots else df

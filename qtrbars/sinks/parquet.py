@@ -94,6 +94,14 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType = BAR_SCHEMA
 
 DEFAULT_BUCKETS = 64
 
+#: The fetch each ticker's stored rows come from.
+FETCH_SCHEMA = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("ticker", T.StringType()),
+    T.StructField("modified", T.TimestampType()),
+    T.StructField("fetch_id", T.LongType()),
+])
+
 
 def bucket_col(n_buckets: int = DEFAULT_BUCKETS):
     return F.pmod(F.xxhash64("source", "ticker"), F.lit(n_buckets)).cast("int")
@@ -146,12 +154,12 @@ def replace_in_buckets(df: DataFrame, path: str, schema: T.StructType = BAR_SCHE
 
 def read_bucketed(spark: SparkSession, path: str, schema: T.StructType = BAR_SCHEMA,
                   tickers: list | None = None, source: str | None = None) -> DataFrame:
-    """Read a bucket-layout table; with ``source`` and ``tickers`` only their
-    buckets are listed and scanned (partition pruning)."""
+    """Read a bucket-layout table. ``source`` (a partition) and ``tickers``
+    filter each on its own; no ticker given (an empty list) means no rows."""
     df = spark.read.schema(with_bucket(schema)).parquet(path)
-    if source is not None and tickers:
-        wanted = spark.createDataFrame([(source, t) for t in tickers], "source string, ticker string")
-        buckets = sorted({r[0] for r in wanted.select(bucket_col()).collect()})
-        df = df.where((F.col("source") == source) & F.col("bucket").isin(buckets)
-                      & F.col("ticker").isin(list(tickers)))
-    return df.drop("bucket")
+    if source is not None:
+        df = df.where(F.col("source") == source)
+    if tickers is not None:
+        wanted = spark.createDataFrame([(t,) for t in tickers], "ticker string").distinct()
+        df = df.join(wanted, "ticker", "left_semi")
+    return df.select(*[f.name for f in schema.fields])

@@ -31,7 +31,9 @@ def payload_frame(raw: DataFrame, source: str, latest_only: bool = True) -> Data
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_modification_time").alias("modified"),
         F.col("value").alias("payload"))
-    df = df.withColumn("ticker", PL.ticker_from_path("path", source))
+    # paths are URL-encoded: '^GSPC' arrives as '%5EGSPC' ('+' stands for itself)
+    decoded = F.try_url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))
+    df = df.withColumn("ticker", PL.ticker_from_path(F.coalesce(decoded, F.col("path")), source))
     return newest_per_ticker(df) if latest_only else df
 
 
@@ -42,18 +44,17 @@ def newest_per_ticker(df: DataFrame, order=("modified", "path")) -> DataFrame:
     for one file per payload; fetch time then fetch id for landed rows). The
     newest key per ticker is found on those metadata columns only (a small
     partial aggregate, one row per ticker), then payloads are kept by a semi
-    join on it, broadcast after its size is checked: payload text is never
-    shuffled. The key comparison is null-safe (a text landing has no fetch id).
+    join on it; Spark chooses a broadcast or a shuffle from its measured size
+    when it runs. The key comparison is null-safe (a text landing has no fetch id).
     """
-    from ..operators.joins import join_checked
     keyed = df.withColumn("_k", F.struct(*order))
     newest = (keyed.groupBy("source", "ticker").agg(F.max("_k").alias("_nk"))
                    .withColumnsRenamed({"source": "_ns", "ticker": "_nt"}))
 
-    def cond(_big, _small):  # distinct names on each side: no self-join ambiguity
-        return ((F.col("source") == F.col("_ns")) & (F.col("ticker") == F.col("_nt"))
-                & F.col("_k").eqNullSafe(F.col("_nk")))
-    return join_checked(keyed, newest, cond, "left_semi").drop("_k")
+    # distinct names on each side: no self-join ambiguity
+    same = ((F.col("source") == F.col("_ns")) & (F.col("ticker") == F.col("_nt"))
+            & F.col("_k").eqNullSafe(F.col("_nk")))
+    return keyed.join(newest, same, "left_semi").drop("_k")
 
 
 def classify(payloads: DataFrame, vendor: str) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.pipelines import process_payloads, publish
+from ..sinks import parquet as SK
 from ..sources.payloads import newest_per_ticker, payload_frame
 
 LANDING_SCHEMA = T.StructType([
@@ -58,11 +59,28 @@ def landing_stream(spark: SparkSession, landing: str, vendor: str, fmt: str = "p
 
 def process_batch(batch: DataFrame, vendor: str, bars_path: str, registry_path: str,
                   quarantine_path: str, data_load=None, layout: str = "bucket") -> None:
-    """One micro-batch: newest payload per ticker -> replace its outputs."""
+    """One micro-batch: newest payload per ticker -> replace its outputs.
+
+    What was fetched last is kept beside the bars (``<bars>_fetches``): a
+    payload older than the one already processed is dropped, so the result
+    doesn't depend on the order of arrival. An equally old one is processed
+    again, as when a failed batch is replayed.
+    """
+    spark = batch.sparkSession
     payloads = newest_per_ticker(batch, order=("modified", "fetch_id", "path"))
+    fetches = bars_path.rstrip("/") + "_fetches"
+    if SK._exists(spark, fetches):
+        stored = SK.read_bucketed(spark, fetches, SK.FETCH_SCHEMA).select(
+            F.col("source").alias("_s"), F.col("ticker").alias("_t"),
+            F.struct(F.col("modified").alias("m"), F.coalesce("fetch_id", F.lit(-1)).alias("f")).alias("_last"))
+        this = F.struct(F.col("modified").alias("m"), F.coalesce("fetch_id", F.lit(-1)).alias("f"))
+        payloads = (payloads.join(stored, (F.col("source") == F.col("_s")) & (F.col("ticker") == F.col("_t")), "left")
+                    .where(F.col("_last").isNull() | (this >= F.col("_last"))).drop("_s", "_t", "_last"))
     out = process_payloads(payloads, vendor, data_load, cache=True)
     try:
         publish(out, bars_path, registry_path, quarantine_path, layout=layout)
+        SK.replace_in_buckets(out["classified_frame"].select("source", "ticker", "modified", "fetch_id"),
+                              fetches, SK.FETCH_SCHEMA, order=())
     finally:
         out["classified_frame"].unpersist()
 
@@ -80,5 +98,10 @@ def run_ingest(spark: SparkSession, landing: str, vendor: str, bars_path: str,
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
-    query.awaitTermination(timeout_s)
+    # returns None without a timeout, else whether it ended in time
+    if timeout_s is not None and not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"ingest did not finish within {timeout_s} s; the stored tables are incomplete")
+    if timeout_s is None:
+        query.awaitTermination()
     return query
