@@ -72,13 +72,13 @@ QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op3_ng
 ORACLES = {
     "op7_exact_topk": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS e
+            SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS e
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         s AS (
             SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-                   CAST(list_sum(list_transform(range(1, len(q.e) + 1), i -> q.e[i] * c.e[i])) AS BIGINT) AS score
+                   CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
             FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
         r AS (
             SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)

@@ -98,6 +98,16 @@ def test_top_k(spark):
     assert topk.top_k(df.where("false"), F.lit(True)).count() == 0
 
 
+def test_top_k_matches_sql(spark):
+    import duckdb
+    from qtrbars.llm.queries import ORACLES, QUERIES
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{SF}/embeddings.parquet')")
+    want = con.execute(ORACLES["op7_exact_topk"]).fetchall()
+    got = QUERIES["op7_exact_topk"](spark, SF).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_segment_bound():
     r = np.random.default_rng(0)
     a, b = r.normal(size=(30, 16)), r.normal(size=(40, 16))
