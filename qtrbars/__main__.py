@@ -52,7 +52,6 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     args = ap.parse_args(argv)
 
     from .plans import pipelines as P
-    from .sinks import parquet as SK
     spark = spark or _session()
 
     if args.cmd == "universe":
@@ -68,14 +67,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return 0
     if args.cmd == "yahoo":
         bars, rejected = P.yahoo_quarterly_from_wide(spark, args.landing, fmt=args.format)
-        SK.replace_in_buckets(bars, paths["bars"], SK.BAR_SCHEMA)
-        SK.replace_in_buckets(P.manifest(bars), paths["manifest"], SK.MANIFEST_SCHEMA, order=())
-        rejected.write.mode("append").parquet(f"{args.lake.rstrip('/')}/rejected")
+        P.publish_yahoo(bars, rejected, paths["bars"], paths["quarantine"], paths["manifest"])
         return 0
     from .streaming.ingest import run_ingest
     run_ingest(spark, args.landing, args.vendor, paths["bars"], paths["not_available"],
                paths["quarantine"], f"{args.lake.rstrip('/')}/_checkpoints/{args.vendor}",
-               fmt=args.landing_format)
+               fmt=args.landing_format, manifest_path=paths["manifest"])
     return 0
 
 

@@ -31,20 +31,21 @@ AV_MIN_FIELDS = 8
 AV_FIELDS = ["timestamp", "open", "high", "low", "close", "adjusted_close", "volume",
              "dividend_amount", "split_coefficient"]
 FMP_RECORD = T.StructType([
-    T.StructField("date", T.StringType()),
-    T.StructField("open", T.DoubleType()),
-    T.StructField("high", T.DoubleType()),
-    T.StructField("low", T.DoubleType()),
-    T.StructField("close", T.DoubleType()),
-    T.StructField("adjClose", T.DoubleType()),
-    # read as double so an out-of-range integer is seen, not silently nulled
-    T.StructField("volume", T.DoubleType()),
+    # every field is read as its text, so that a malformed or out-of-range
+    # number is seen instead of silently nulled with its neighbours
+    T.StructField(name, T.StringType())
+    for name in ("date", "open", "high", "low", "close", "adjClose", "volume")
 ])
 FMP_SCHEMA = T.StructType([T.StructField("symbol", T.StringType()),
                            T.StructField("historical", T.ArrayType(FMP_RECORD))])
 
 STATUSES = ["ok", "rate_limited", "not_available", "unparseable", "unrecognized"]
+# Texts of a missing number, as CSV readers take them (lower case):
+MISSING_NUMBERS = ["", "nan", "null", "none", "n/a", "na"]
+#: Doubles of this size or more don't fit a 64-bit integer.
 _LONG_LIMIT = 9.223372036854775807e18
+#: A comma outside quotes: an even number of quotes follows it.
+_UNQUOTED_COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
 def _c(x) -> Column:
@@ -70,16 +71,62 @@ def data_lines(payload) -> Column:
 
 
 def header_fields(payload) -> Column:
-    first = F.try_element_at(lines(payload), F.lit(1))
-    return F.transform(F.split(first, ","), lambda x: F.trim(x))
+    return csv_cells(F.try_element_at(lines(payload), F.lit(1)))
+
+
+def csv_cells(line: Column) -> Column:
+    """Trimmed cells of a CSV line; a quoted cell may hold commas, and a
+    doubled quote in it stands for one. Lines without quotes are split
+    directly (a vendor's usual line)."""
+    def unquoted(cell):
+        cell = F.trim(cell)
+        inner = F.replace(F.regexp_replace(cell, '^"|"$', ""), F.lit('""'), F.lit('"'))
+        return F.when(cell.startswith('"'), F.trim(inner)).otherwise(cell)
+    return (F.when(line.contains('"'), F.transform(F.split(line, _UNQUOTED_COMMA), unquoted))
+             .otherwise(F.transform(F.split(line, ","), lambda x: F.trim(x))))
 
 
 def _cell(cells: Column, pos: Column) -> Column:
     return F.when(pos > 0, F.try_element_at(cells, pos))
 
 
+def _given(text: Column) -> Column:
+    """The trimmed text of a number, null where it stands for a missing one."""
+    text = F.trim(text)
+    return F.when(~F.lower(text).isin(MISSING_NUMBERS), text)
+
+
 def _num(text: Column) -> Column:
-    return F.trim(text).try_cast("double")
+    return _given(text).try_cast("double")
+
+
+def _whole(text: Column) -> Column:
+    """A 64-bit integer, exact where it is written as one, else truncated
+    from its double; null beyond the range (see ``_bad_whole``)."""
+    x = _num(text)
+    return F.coalesce(_given(text).try_cast("bigint"), F.when(F.abs(x) < _LONG_LIMIT, x.cast("bigint")))
+
+
+def _bad_num(text: Column) -> Column:
+    return _given(text).isNotNull() & _num(text).isNull()
+
+
+def _bad_whole(text: Column) -> Column:
+    return _given(text).isNotNull() & _whole(text).isNull()
+
+
+def _unusable_rows(rows: Column) -> Column:
+    """A date or number that doesn't parse, or volumes whose sum over the
+    whole payload leaves the 64-bit range (so no quarter's sum overflows)."""
+    volumes = F.aggregate(rows, F.lit(0.0), lambda acc, r: acc + F.coalesce(F.abs(r["volume"].cast("double")), F.lit(0.0)))
+    return F.exists(rows, lambda r: r["date"].isNull() | r["_bad"]) | (volumes >= _LONG_LIMIT)
+
+
+def _any(conditions) -> Column:
+    out = F.lit(False)
+    for c in conditions:
+        out = out | F.coalesce(c, F.lit(False))
+    return out
 
 
 def field_positions(header: Column) -> Column:
@@ -91,12 +138,12 @@ def av_rows_from(body: Column, positions: Column) -> Column:
     """Typed rows from data lines and header positions (both computed once
     per payload). Each line is split once; fields are then picked by
     position, so the cost is linear in the payload size."""
-    split_lines = F.transform(body, lambda line: F.split(line, ","))
+    split_lines = F.transform(body, csv_cells)
 
     pos = {f: F.element_at(positions, k + 1) for k, f in enumerate(AV_FIELDS)}
+    prices = [f for f in AV_FIELDS if f not in ("timestamp", "volume")]
 
     def row(cells, i):
-        vol = _num(_cell(cells, pos["volume"]))
         return F.struct(
             parse_day(F.trim(_cell(cells, pos["timestamp"]))).alias("date"),
             _num(_cell(cells, pos["open"])).alias("open"),
@@ -104,32 +151,33 @@ def av_rows_from(body: Column, positions: Column) -> Column:
             _num(_cell(cells, pos["low"])).alias("low"),
             _num(_cell(cells, pos["close"])).alias("close"),
             _num(_cell(cells, pos["adjusted_close"])).alias("adjusted_close"),
-            F.when(F.abs(vol) < _LONG_LIMIT, vol.cast("bigint")).alias("volume"),
+            _whole(_cell(cells, pos["volume"])).alias("volume"),
             _num(_cell(cells, pos["dividend_amount"])).alias("dividend_amount"),
             _num(_cell(cells, pos["split_coefficient"])).alias("split_coefficient"),
             i.alias("_seq"),
+            _any([_bad_num(_cell(cells, pos[f])) for f in prices]
+                 + [_bad_whole(_cell(cells, pos["volume"]))]).alias("_bad"),
         )
     return F.transform(split_lines, row)
 
 
 def av_rows(payload) -> Column:
     """Array of typed daily rows of an AV CSV payload, fields found by header
-    name. Unparseable numbers become null; an unparseable date stays null and
-    marks the payload (see ``av_status``). For many payloads prefer
+    name. An unparseable date or number stays null and marks the row ``_bad``
+    and so the payload (see ``av_status``). For many payloads prefer
     ``with_av_parse``, which stages the intermediate arrays as columns."""
     return av_rows_from(data_lines(payload), field_positions(header_fields(payload)))
 
 
 def av_status_from(head: Column, body: Column, header: Column, rows: Column) -> Column:
     """First match wins: rate_limited (message in the head), ok (a data line
-    and >= 8 header fields; every date parses, else unparseable),
+    and >= 8 header fields; every date and number parses, else unparseable),
     not_available (a '{' header field and an 'Invalid API call' line),
     unrecognized (anything else, e.g. header only)."""
     n_data = F.size(body)
-    bad_date = F.exists(rows, lambda r: r["date"].isNull())
     return (F.when(contains_any(head, AV_RATE_MESSAGES), F.lit("rate_limited"))
              .when((n_data >= 1) & (F.size(header) >= AV_MIN_FIELDS),
-                   F.when(bad_date, F.lit("unparseable")).otherwise(F.lit("ok")))
+                   F.when(_unusable_rows(rows), F.lit("unparseable")).otherwise(F.lit("ok")))
              .when((n_data >= 1) & F.array_contains(header, "{")
                    & F.exists(body, lambda x: x.contains(UNKNOWN_TICKER_MESSAGE)),
                    F.lit("not_available"))
@@ -156,8 +204,7 @@ def with_av_parse(df, payload: str = "payload"):
     """Add ``rows`` and ``status`` to a frame of AV payloads, computing each
     intermediate (lines, header, positions, data lines, rows) once."""
     df = stage(df, "_lines", lines(payload))
-    df = stage(df, "_hdr", F.transform(
-        F.split(F.try_element_at(F.col("_lines"), F.lit(1)), ","), lambda x: F.trim(x)))
+    df = stage(df, "_hdr", csv_cells(F.try_element_at(F.col("_lines"), F.lit(1))))
     df = stage(df, "_body", F.filter("_lines", lambda x, i: (i > 0) & (F.trim(x) != "")))
     df = stage(df, "_pos", field_positions(F.col("_hdr")))
     df = stage(df, "rows", av_rows_from(F.col("_body"), F.col("_pos")))
@@ -176,35 +223,38 @@ def fmp_rows(payload=None, hist=None) -> Column:
     hist = fmp_parsed(payload)["historical"] if hist is None else _c(hist)
     return F.transform(hist, lambda r, i: F.struct(
         parse_day(r["date"]).alias("date"),
-        r["open"].alias("open"), r["high"].alias("high"), r["low"].alias("low"),
-        r["close"].alias("close"), r["adjClose"].alias("adjusted_close"),
-        F.when(F.abs(r["volume"]) < _LONG_LIMIT, r["volume"].cast("bigint")).alias("volume"),
+        _num(r["open"]).alias("open"), _num(r["high"]).alias("high"), _num(r["low"]).alias("low"),
+        _num(r["close"]).alias("close"), _num(r["adjClose"]).alias("adjusted_close"),
+        _whole(r["volume"]).alias("volume"),
         i.alias("_seq"),
+        _any([_bad_num(r[f]) for f in ("open", "high", "low", "close", "adjClose")]
+             + [_bad_whole(r["volume"])]).alias("_bad"),
     ))
 
 
-def fmp_status(payload, hist=None) -> Column:
+def fmp_status(payload, hist=None, rows=None) -> Column:
     """First match wins: rate_limited (message in the head), unparseable (not
     a JSON object/array), not_available (empty object or array),
     unrecognized (no 'historical' list, or an empty one), unparseable (a date
-    that does not parse or a volume beyond the 64-bit range), ok."""
+    or number that does not parse, volumes beyond the 64-bit range), ok.
+    ``rows`` are the payload's ``fmp_rows`` where already computed."""
     p = _c(payload)
     keys = F.json_object_keys(p)
     arr_len = F.json_array_length(p)
     hist = fmp_parsed(p)["historical"] if hist is None else _c(hist)
-    bad_row = F.exists(hist, lambda r: parse_day(r["date"]).isNull()
-                       | (F.abs(r["volume"]) >= _LONG_LIMIT))
+    rows = fmp_rows(hist=hist) if rows is None else _c(rows)
     return (F.when(contains_any(head_text(p), FMP_RATE_MESSAGES), F.lit("rate_limited"))
              .when(keys.isNull() & arr_len.isNull(), F.lit("unparseable"))
              .when((F.size(keys) == 0) | (arr_len == 0), F.lit("not_available"))
              .when(hist.isNull() | (F.size(hist) == 0), F.lit("unrecognized"))
-             .when(bad_row, F.lit("unparseable"))
+             .when(_unusable_rows(rows), F.lit("unparseable"))
              .otherwise(F.lit("ok")))
 
 
 def ticker_from_path(path, source: str | None = None) -> Column:
-    """Ticker from a landed file name ``<TICKER>[_<anything>].<ext>``;
-    the vendor tag, when given, is removed (``AAA_AV.csv`` -> ``AAA``)."""
+    """Ticker from a landed file name ``<TICKER>[_<vendor>[_<anything>]].<ext>``:
+    the vendor tag and what follows it go (``AAA_AV_2.csv`` -> ``AAA``). A name
+    without the tag is the ticker as it stands, as tickers may hold '_'."""
     name = F.regexp_extract(_c(path), r"([^/]+)$", 1)
     stem = F.regexp_replace(name, r"\.[^.]*$", "")
     if source:
@@ -222,6 +272,7 @@ def request_url(base, path, secure) -> Column:
 def row_order(date="date", seq="_seq") -> Column:
     """In-payload order of daily rows as one long: the day, then the row's
     position in its payload (a vendor that repeats a date still yields a
-    deterministic first/last). A long keeps ``min_by``/``max_by`` in a hash
+    deterministic first/last). Days take 22 bits and an array position 31, so
+    no payload is too long for it. A long keeps ``min_by``/``max_by`` in a hash
     aggregate."""
-    return (F.unix_date(_c(date)).cast("bigint") * F.lit(1 << 24) + _c(seq).cast("bigint"))
+    return (F.unix_date(_c(date)).cast("bigint") * F.lit(1 << 32) + _c(seq).cast("bigint"))

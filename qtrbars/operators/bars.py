@@ -46,8 +46,9 @@ def quarter_ohlcv_aggs(order: Column, actions: bool = True) -> list[Column]:
         F.min("low").alias("low"),
         F.max_by("close", order).alias("close"),
         F.max_by("adjusted_close", order).alias("adjusted_close"),
-        # an all-null group sums to 0, as the source job's frame library does
-        F.coalesce(F.sum("volume"), F.lit(0)).cast("bigint").alias("volume"),
+        # an all-null group sums to 0, as the source job's frame library does;
+        # a sum beyond 64 bits is null (payloads of such size are rejected before)
+        F.when(F.count("volume") == 0, F.lit(0)).otherwise(F.try_sum("volume")).cast("bigint").alias("volume"),
     ]
     if actions:
         aggs += [

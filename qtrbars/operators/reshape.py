@@ -66,7 +66,7 @@ def wide_to_long(wide: DataFrame, index: str = "Date", sep: str = "|",
     cells = wide.unpivot([index], value_cols, "_col", "_value")
     s = re.escape(sep)
     cells = cells.select(
-        _q(index).cast("date").alias("date"),
+        _q(index).try_cast("date").alias("date"),
         F.regexp_extract("_col", f"^(.*?){s}", 1).alias("ticker"),
         F.replace(F.lower(F.regexp_extract("_col", f"^.*?{s}(.*)$", 1)),
                   F.lit(" "), F.lit("_")).alias("_field"),

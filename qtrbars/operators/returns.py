@@ -67,8 +67,11 @@ def with_returns(df: DataFrame, keys=("ticker",), order="quarter_start",
 def trading_span(bars: DataFrame, keys=("ticker",), price: str = "adjusted_close",
                  label: str = "quarter") -> DataFrame:
     """First and last quarter that carries a price, per key (null when none).
-    A plain aggregate: partial before the shuffle, no sort."""
-    has = F.col(price).isNotNull()
-    return (bars.groupBy(*_keys(keys))
-            .agg(F.min(F.when(has, F.col(label))).alias("first_quarter"),
-                 F.max(F.when(has, F.col(label))).alias("last_quarter")))
+    Labels ``yyyyQn`` are compared as the number ``yyyyn``, which keeps the
+    partial aggregate a hash aggregate (text would make it sort its input)."""
+    n = F.when(F.col(price).isNotNull(), F.replace(F.col(label), F.lit("Q"), F.lit("")).cast("int"))
+    spans = bars.groupBy(*_keys(keys)).agg(F.min(n).alias("_first"), F.max(n).alias("_last"))
+
+    def text(c):
+        return F.concat(F.floor(F.col(c) / 10).cast("string"), F.lit("Q"), (F.col(c) % 10).cast("string"))
+    return spans.select(*_keys(keys), text("_first").alias("first_quarter"), text("_last").alias("last_quarter"))

@@ -18,7 +18,7 @@ _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | row-in-parti
 
 
 def ticker_universe(prices: DataFrame, mapping: DataFrame, key: str = "cusip",
-                    ticker: str = "ticker") -> DataFrame:
+                    ticker: str = "ticker", keep_key: bool = False) -> DataFrame:
     """Tickers of the securities that have prices.
 
     DISTINCT (key, ticker) rows of ``mapping`` whose key occurs in ``prices``.
@@ -27,11 +27,13 @@ def ticker_universe(prices: DataFrame, mapping: DataFrame, key: str = "cusip",
     aggregate, so a key holding a third of all price rows adds one row per map
     task to the shuffle; the semi join then adds no columns. AQE broadcasts
     whichever side measures small and splits skewed partitions otherwise.
+    ``keep_key`` keeps the key column: it tells rows of one ticker apart, which
+    positional operators need to spread a frequent ticker.
     """
     keys = prices.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
     return (mapping.select(key, ticker).distinct()
             .join(keys, key, "left_semi")
-            .select(ticker))
+            .select(*([key] if keep_key else []), ticker))
 
 
 def normalize_tickers(df: DataFrame, col: str = "ticker", digits: str = "any",
@@ -61,14 +63,16 @@ def with_global_index(df: DataFrame, order: list, out: str = "row_index",
     two uses, and a lost executor does not change the numbering. Each row's
     index is its partition's offset plus its place in the partition; offsets
     come from a table with one row per partition (size bounded by the
-    partition count), broadcast back. Equal keys share a partition, so ties
-    only permute among equal keys.
+    partition count), broadcast back. Ties in ``order`` are broken by a hash
+    of the whole row, so a frequent key spreads over partitions as far as its
+    rows differ, and the numbering of different rows is repeatable.
     """
     from ..session import shared_dir
     shared_dir(df.sparkSession)
     spark: SparkSession = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c) if isinstance(c, str) else c for c in order]
+    order = [*order, F.xxhash64(*df.columns)]
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
                 .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = (ranged.withColumn("_part", F.shiftright("_mid", _LOCAL_BITS))

@@ -223,8 +223,13 @@ _EVENT_PAYLOADS = f"""
     CASE event_type
       WHEN 'purchase' THEN '{_HDR}' || {_NL}
            || concat_ws(',', CASE WHEN value < 2 THEN 'bad-date' ELSE strftime(ts, '%Y-%m-%d') END,
-                        CAST(value AS VARCHAR), CAST(value AS VARCHAR), CAST(value AS VARCHAR),
-                        CAST(value AS VARCHAR), CAST(value AS VARCHAR), CAST(user_id AS VARCHAR),
+                        CASE WHEN value >= 4 AND value < 6 THEN 'abc'
+                             WHEN value >= 6 AND value < 8 THEN '"1,234"'
+                             WHEN value >= 8 AND value < 10 THEN '"' || CAST(value AS VARCHAR) || '"'
+                             ELSE CAST(value AS VARCHAR) END,
+                        CAST(value AS VARCHAR), CAST(value AS VARCHAR),
+                        CAST(value AS VARCHAR), CAST(value AS VARCHAR),
+                        CASE WHEN value >= 2 AND value < 4 THEN repeat('9', 20) ELSE CAST(user_id AS VARCHAR) END,
                         '0.0', '1.0') || {_NL}
       WHEN 'error' THEN CASE WHEN value < 50
            THEN '{{"message": "You have exceeded the rate limit per minute for your plan"}}'
@@ -252,7 +257,11 @@ _CLASSIFIED = f"""
       THEN 'rate_limited'
     WHEN len(body) >= 1 AND len(hdr) >= 8 THEN
       CASE WHEN list_bool_or(list_transform(body, lambda l: try_strptime(
-                 trim(string_split(l, ',')[list_position(hdr, 'timestamp')]), '%Y-%m-%d') IS NULL))
+                 trim(string_split(l, ',')[list_position(hdr, 'timestamp')]), '%Y-%m-%d') IS NULL
+                 OR len(list_filter(string_split(regexp_replace(l, '"([^",]*)"', '\\1', 'g'), ',')[2:],
+                                    lambda c: TRY_CAST(c AS DOUBLE) IS NULL)) > 0
+                 OR TRY_CAST(string_split(regexp_replace(l, '"([^",]*)"', '\\1', 'g'), ',')[7] AS HUGEINT)
+                    >= 9223372036854775807))
            THEN 'unparseable' ELSE 'ok' END
     WHEN len(body) >= 1 AND list_contains(hdr, '{{')
          AND list_bool_or(list_transform(body, lambda l: contains(l, 'Invalid API call')))
@@ -330,6 +339,7 @@ _NEWEST_ORDER_DAILY = """
   JOIN (SELECT arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS newest
         FROM orders GROUP BY o_custkey) n ON o.o_orderkey = n.newest
   CROSS JOIN (VALUES (0), (1)) t(k)
+  WHERE o.o_orderpriority <> '1-URGENT'
 """
 
 ORACLES.update({
@@ -343,6 +353,19 @@ ORACLES.update({
     "incremental_ingest": _bars_sql(_NEWEST_ORDER_DAILY, "AV", True),
 })
 
+ORACLES["read_bucketed_tickers"] = f"""
+    SELECT b.* REPLACE ('AV' AS source) FROM ({_bars_sql(_DAILY_ORDERS, "FMP", False)}) b
+    WHERE b.ticker IN (SELECT 'C' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_nationkey = 0)"""
+
+ORACLES["ingest_records"] = f"""
+    SELECT 'AV' AS source, ticker, min({_label('d')}) AS first_quarter, max({_label('d')}) AS last_quarter,
+           CAST(NULL AS VARCHAR) AS reason
+    FROM ({_NEWEST_ORDER_DAILY}) x GROUP BY ticker
+    UNION ALL
+    SELECT 'AV', 'C' || CAST(o_custkey AS VARCHAR), NULL, NULL, 'unrecognized'
+    FROM orders GROUP BY o_custkey
+    HAVING arg_max(o_orderpriority, (o_orderdate, o_orderkey)) = '1-URGENT'"""
+
 
 ORACLES["repo_summary"] = """
     SELECT url || '#contributors-' || CAST(page_id AS VARCHAR) AS contributors_url,

@@ -6,6 +6,7 @@ fmp_quarterly       FMP payload folder -> bars, registry, quarantine
 yahoo_quarterly     long 3-month vendor bars -> cleaned bars (+ _from_wide)
 universe            security parquet files -> cleaned, remapped tickers
 publish             replace stored bars / records ticker by ticker (+ manifest)
+publish_yahoo       the same for Yahoo bars and rejected tickers
 pending_work        universe minus published bars and registered tickers
 repo_summary        repository JSON + contributor lists -> stars and contributor count
 
@@ -35,11 +36,12 @@ def universe(spark, prices_path: str, mapping_path: str, digits: str = "any",
              aliases: dict | None = None, key: str = "cusip") -> DataFrame:
     """Tickers of the securities with prices: DISTINCT keys of the price file
     semi-joined to DISTINCT (key, ticker) of the mapping file, then filtered
-    and remapped. Only the key / ticker columns are read (column pruning)."""
+    and remapped, in symbol order. Only the key / ticker columns are read
+    (column pruning)."""
     prices = spark.read.parquet(prices_path).select(key)
     mapping = spark.read.parquet(mapping_path).select(key, "ticker")
     return normalize_tickers(ticker_universe(prices, mapping, key=key), "ticker",
-                             digits=digits, aliases=aliases)
+                             digits=digits, aliases=aliases).orderBy("ticker")
 
 
 def _data_load(data_load) -> Column:
@@ -170,25 +172,59 @@ def publish(outputs: dict, bars_path: str, registry_path: str, quarantine_path:
             layout: str = "bucket", manifest_path: str | None = None) -> None:
     """Replace the stored bars/records of every ticker present in the outputs.
 
-    ``layout='bucket'`` (default) stores (source, bucket) folders and rewrites
-    only touched buckets; ``layout='ticker'`` keeps one folder per ticker, as
-    the source job's one-file-per-ticker output does."""
+    ``layout='bucket'`` (default) stores bucket folders and rewrites only
+    touched ones; a ticker is then found in one place only (bars, registry or
+    quarantine), that of its answer published last. A rate-limit message is no
+    answer and changes nothing. ``layout='ticker'`` keeps one folder per
+    ticker, as the source job's one-file-per-ticker output does, and replaces
+    folders without removing any.
+
+    The classified payloads are kept while publishing, so the landing is read
+    and parsed once for all outputs."""
     from ..sinks import parquet as SK
-    if layout == "bucket":
-        SK.replace_in_buckets(outputs["bars"], bars_path, SK.BAR_SCHEMA)
-        # record sets are usually empty; they derive from the (cached)
-        # classified payloads, so the emptiness test is a cheap job
-        for key, path in (("not_available", registry_path), ("quarantine", quarantine_path)):
-            if not outputs[key].isEmpty():
-                SK.replace_in_buckets(outputs[key], path, SK.RECORD_SCHEMA, order=())
-    elif layout == "ticker":
-        SK.replace_by_ticker(outputs["bars"], bars_path)
-        SK.write_records(outputs["not_available"], registry_path)
-        SK.write_records(outputs["quarantine"], quarantine_path)
-    else:
+    if layout not in ("bucket", "ticker"):
         raise ValueError("layout must be 'bucket' or 'ticker'")
+    frame = outputs["classified_frame"]
+    kept = frame.storageLevel.useMemory or frame.storageLevel.useDisk
+    if not kept:
+        frame.persist()
+    status = F.col("status")
+    unusable = frame.where(~status.isin("ok", "rate_limited"))
+    try:
+        if layout == "bucket":
+            SK.replace_in_buckets(outputs["bars"], bars_path, SK.BAR_SCHEMA, retire=unusable)
+            for key, path, own in (("not_available", registry_path, ["not_available"]),
+                                   ("quarantine", quarantine_path, list(QUARANTINE_STATUSES))):
+                # record sets are usually empty: no table before the first record
+                if SK._exists(frame.sparkSession, path) or not outputs[key].isEmpty():
+                    SK.replace_in_buckets(outputs[key], path, SK.RECORD_SCHEMA, order=(),
+                                          retire=frame.where(~status.isin(*own, "rate_limited")))
+        else:
+            SK.replace_by_ticker(outputs["bars"], bars_path)
+            SK.write_records(outputs["not_available"], registry_path)
+            SK.write_records(outputs["quarantine"], quarantine_path)
+        if manifest_path:
+            SK.replace_in_buckets(manifest(outputs["bars"]), manifest_path, SK.MANIFEST_SCHEMA, order=(),
+                                  retire=unusable)
+    finally:
+        if not kept:
+            frame.unpersist()
+
+
+def publish_yahoo(bars: DataFrame, rejected: DataFrame, bars_path: str, quarantine_path: str,
+                  manifest_path: str | None = None, data_load=None) -> None:
+    """Replace the stored Yahoo bars; rejected tickers go to the common
+    quarantine (no payload text, reason ``nonpositive_price``) and lose stored
+    bars, tickers with bars leave the quarantine."""
+    from ..sinks import parquet as SK
+    records = rejected.select(F.col("reason"), F.lit(None).cast("string").alias("payload"),
+                              _data_load(data_load).alias("data_load"), "source", "ticker")
+    good = bars.select("source", "ticker").distinct()
+    SK.replace_in_buckets(bars, bars_path, SK.BAR_SCHEMA, retire=rejected)
+    if SK._exists(bars.sparkSession, quarantine_path) or not records.isEmpty():
+        SK.replace_in_buckets(records, quarantine_path, SK.RECORD_SCHEMA, order=(), retire=good)
     if manifest_path:
-        SK.replace_in_buckets(manifest(outputs["bars"]), manifest_path, SK.MANIFEST_SCHEMA, order=())
+        SK.replace_in_buckets(manifest(bars), manifest_path, SK.MANIFEST_SCHEMA, order=(), retire=rejected)
 
 
 def pending_work(spark, universe: DataFrame, bars_path: str, registry_path: str,

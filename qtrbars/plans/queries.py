@@ -62,9 +62,9 @@ def quarterly_bars_yahoo(spark, sf_dir):
 
 # -------------------------------------------------------------- universe
 
-def _universe(spark, sf_dir):
+def _universe(spark, sf_dir, keep_key=False):
     prices, mapping = S.security_tables(spark, sf_dir)
-    return U.ticker_universe(prices, mapping, key="cusip", ticker="ticker")
+    return U.ticker_universe(prices, mapping, key="cusip", ticker="ticker", keep_key=keep_key)
 
 
 @query("ticker_universe")
@@ -96,14 +96,14 @@ def ticker_sample(spark, sf_dir):
 @query("batch_round_robin")
 def batch_round_robin(spark, sf_dir):
     # positions follow the sorted raw symbols; aliases are rewritten after
-    kept = _universe(spark, sf_dir).where(keep_ticker("ticker"))
+    kept = _universe(spark, sf_dir, keep_key=True).where(keep_ticker("ticker"))
     batches = U.round_robin_batches(kept, 7, order=["ticker"])
     return batches.select(remap_alias("ticker").alias("ticker"), "batch")
 
 
 @query("universe_offset")
 def universe_offset(spark, sf_dir):
-    kept = _universe(spark, sf_dir).where(keep_ticker("ticker"))
+    kept = _universe(spark, sf_dir, keep_key=True).where(keep_ticker("ticker"))
     rest = U.skip_first(kept, 100, order=["ticker"])
     return rest.select(remap_alias("ticker").alias("ticker"))
 
@@ -130,10 +130,11 @@ def trading_span(spark, sf_dir):
 @query("latest_quarters")
 def latest_quarters(spark, sf_dir):
     bars = _fmp_bars(spark, sf_dir)
-    cols = ["quarter", "adjusted_close", "pct_change", "compound_return"]
-    return (bars.groupBy("ticker")
-                .agg(F.max_by(F.struct(*cols), F.col("date")).alias("r"))
-                .select("ticker", *[F.col("r." + c).alias(c) for c in cols]))
+    cols = ["adjusted_close", "pct_change", "compound_return"]
+    # one numeric pick per column (a struct would make the aggregate sort)
+    latest = bars.groupBy("ticker").agg(F.max("date").alias("_d"),
+                                        *[F.max_by(c, F.col("date")).alias(c) for c in cols])
+    return latest.select("ticker", D.quarter_label("_d").alias("quarter"), *cols)
 
 
 # ----------------------------------------------------------- gate, any/all
@@ -357,14 +358,17 @@ def replace_by_ticker(spark, sf_dir):
 
 @query("incremental_ingest")
 def incremental_ingest(spark, sf_dir):
-    """Land fetched payloads in two rounds, pick each up with an availableNow
-    stream, run a third time with nothing new; read the published bars."""
+    """Land fetched payloads in two rounds, the newer ones first, pick each up
+    with an availableNow stream, run a third time with nothing new; read the
+    published bars. Old fetches that arrive late must change nothing, and a
+    ticker whose newest answer is unusable has no bars."""
     base = scratch_path(spark, "ingest")
     landing, bars = f"{base}/landing", f"{base}/bars"
     reg, quar, ckpt = f"{base}/not_available", f"{base}/quarantine", f"{base}/_checkpoint"
     rows = S.order_landing_rows(S.table(spark, sf_dir, "orders"))
     cut = F.lit("1998-01-01").cast("timestamp")
-    for part in (rows.where(F.col("fetched_at") < cut), rows.where(F.col("fetched_at") >= cut), None):
+    late = F.coalesce(F.col("fetched_at") < cut, F.lit(False))
+    for part in (rows.where(~late), rows.where(late), None):
         if part is not None:
             ING.land(part, landing)
         ING.run_ingest(spark, landing, "AV", bars, reg, quar, ckpt, fmt="parquet",
@@ -372,6 +376,39 @@ def incremental_ingest(spark, sf_dir):
     return SK.read_bucketed(spark, bars).drop("data_load")
 
 
+@query("read_bucketed_tickers")
+def read_bucketed_tickers(spark, sf_dir):
+    """Publish the bars of one source, merge those of a second into the table,
+    then read the second source's tickers of the first nation's customers."""
+    path = scratch_path(spark, "read_bucketed")
+    fmp = _fmp_bars(spark, sf_dir)
+    SK.replace_in_buckets(fmp, path, n_buckets=16)
+    SK.replace_in_buckets(fmp.withColumn("source", F.lit("AV")), path)
+    nation0 = S.table(spark, sf_dir, "customer").where("c_nationkey = 0").select(
+        U.ticker_col("C", "c_custkey").alias("ticker"))
+    return (SK.read_bucketed(spark, path, source="AV").join(nation0, "ticker", "left_semi")
+            .drop("data_load"))
+
+
+@query("ingest_records")
+def ingest_records(spark, sf_dir):
+    """Where each ticker stands after an ingest in which some answers are
+    unusable and older ones arrive late: bars or quarantine, never both."""
+    base = scratch_path(spark, "ingest_records")
+    landing, bars, man = f"{base}/landing", f"{base}/bars", f"{base}/manifest"
+    reg, quar, ckpt = f"{base}/not_available", f"{base}/quarantine", f"{base}/_checkpoint"
+    rows = S.order_landing_rows(S.table(spark, sf_dir, "orders"))
+    late = F.coalesce(F.col("fetched_at") >= F.lit("1997-01-01").cast("timestamp"), F.lit(True))
+    for part in (rows.where(~late), rows.where(late)):
+        ING.land(part, landing)
+        ING.run_ingest(spark, landing, "AV", bars, reg, quar, ckpt, fmt="parquet",
+                       data_load="2024-01-01 00:00:00", manifest_path=man)
+    stored = SK.read_bucketed(spark, man, SK.MANIFEST_SCHEMA).withColumn("reason", F.lit(None).cast("string"))
+    records = SK.read_bucketed(spark, quar, SK.RECORD_SCHEMA).select("source", "ticker", "reason")
+    return (stored.unionByName(records, allowMissingColumns=True)
+            .select("source", "ticker", "first_quarter", "last_quarter", "reason"))
+
+
 @query("repo_summary")
 def repo_summary(spark, sf_dir):
     pages = S.table(spark, sf_dir, "pages")

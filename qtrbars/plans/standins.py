@@ -118,15 +118,21 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 def event_payload() -> Column:
     """AV-style response text per event, its kind chosen by the event's own
-    fields: purchase -> price CSV (an unreadable date when value < 2),
+    fields: purchase -> price CSV (an unreadable date when value < 2, a volume
+    beyond 64 bits below 4, a price that is no number below 6, a quoted price
+    with a comma below 8, a quoted price below 10),
     error -> rate-limit message (pushed past the head when value >= 50),
     signup -> unknown-ticker error, view -> header only,
     click -> a 5-column CSV (value < 10) or another JSON note."""
     day = F.date_format("ts", "yyyy-MM-dd")
     v = F.col("value").cast("string")
     user = F.col("user_id").cast("string")
-    price_line = F.concat_ws(",", F.when(F.col("value") < 2, F.lit("bad-date")).otherwise(day),
-                             v, v, v, v, v, user, F.lit("0.0"), F.lit("1.0"))
+    x = F.col("value")
+    first = (F.when((x >= 4) & (x < 6), F.lit("abc")).when((x >= 6) & (x < 8), F.lit('"1,234"'))
+              .when((x >= 8) & (x < 10), F.concat(F.lit('"'), v, F.lit('"'))).otherwise(v))
+    price_line = F.concat_ws(",", F.when(x < 2, F.lit("bad-date")).otherwise(day), first, v, v, v, v,
+                             F.when((x >= 2) & (x < 4), F.lit("9" * 20)).otherwise(user),
+                             F.lit("0.0"), F.lit("1.0"))
     et = F.col("event_type")
     return (F.when(et == "purchase", F.concat(F.lit(AV_HEADER + "\n"), price_line, F.lit("\n")))
              .when(et == "error",
@@ -190,11 +196,13 @@ def order_json_payloads(orders: DataFrame) -> DataFrame:
 def order_landing_rows(orders: DataFrame) -> DataFrame:
     """Fetched payload rows for the stream: each order is one fetch of its
     customer's ticker (fetch time = order date, fetch id = order key), so a
-    customer is fetched many times and the newest fetch must win."""
+    customer is fetched many times and the newest fetch must win. The answer
+    to an urgent order is a header without rows (unusable)."""
     return orders.select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"),
                          F.col("o_orderdate").cast("timestamp").alias("fetched_at"),
                          F.col("o_orderkey").alias("fetch_id"),
-                         order_csv_text().alias("payload"))
+                         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(AV_HEADER + "\n"))
+                          .otherwise(order_csv_text()).alias("payload"))
 
 
 def _contributors_url() -> Column:

@@ -64,7 +64,7 @@ def classify(payloads: DataFrame, vendor: str) -> DataFrame:
     if vendor == "FMP":
         df = PL.stage(payloads, "_hist", PL.fmp_parsed("payload")["historical"])
         df = PL.stage(df, "rows", PL.fmp_rows(hist="_hist"))
-        return df.withColumn("status", PL.fmp_status("payload", hist="_hist")).drop("_hist")
+        return df.withColumn("status", PL.fmp_status("payload", hist="_hist", rows="rows")).drop("_hist")
     raise ValueError(f"unknown vendor {vendor!r}")
 
 
@@ -73,7 +73,7 @@ def daily_rows(classified: DataFrame, keep_seq: bool = False) -> DataFrame:
     ``keep_seq`` the row's position in its payload is kept as ``_seq``."""
     rows = (classified.where(F.col("status") == "ok")
                       .select("source", "ticker", F.inline("rows")))
-    return rows if keep_seq else rows.drop("_seq")
+    return rows.drop("_bad") if keep_seq else rows.drop("_bad", "_seq")
 
 
 def rejected(classified: DataFrame, statuses, data_load=None) -> DataFrame:

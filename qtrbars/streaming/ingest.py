@@ -58,7 +58,8 @@ def landing_stream(spark: SparkSession, landing: str, vendor: str, fmt: str = "p
 
 
 def process_batch(batch: DataFrame, vendor: str, bars_path: str, registry_path: str,
-                  quarantine_path: str, data_load=None, layout: str = "bucket") -> None:
+                  quarantine_path: str, data_load=None, layout: str = "bucket",
+                  manifest_path: str | None = None) -> None:
     """One micro-batch: newest payload per ticker -> replace its outputs.
 
     What was fetched last is kept beside the bars (``<bars>_fetches``): a
@@ -78,7 +79,7 @@ def process_batch(batch: DataFrame, vendor: str, bars_path: str, registry_path:
                     .where(F.col("_last").isNull() | (this >= F.col("_last"))).drop("_s", "_t", "_last"))
     out = process_payloads(payloads, vendor, data_load, cache=True)
     try:
-        publish(out, bars_path, registry_path, quarantine_path, layout=layout)
+        publish(out, bars_path, registry_path, quarantine_path, layout=layout, manifest_path=manifest_path)
         SK.replace_in_buckets(out["classified_frame"].select("source", "ticker", "modified", "fetch_id"),
                               fetches, SK.FETCH_SCHEMA, order=())
     finally:
@@ -88,13 +89,13 @@ def process_batch(batch: DataFrame, vendor: str, bars_path: str, registry_path:
 def run_ingest(spark: SparkSession, landing: str, vendor: str, bars_path: str,
                registry_path: str, quarantine_path: str, checkpoint: str,
                fmt: str = "parquet", data_load=None, timeout_s: float | None = None,
-               layout: str = "bucket"):
+               layout: str = "bucket", manifest_path: str | None = None):
     """Process everything landed since the last run, then stop
     (``trigger(availableNow=True)``: a batch job with stream bookkeeping)."""
     stream = landing_stream(spark, landing, vendor, fmt)
     query = (stream.writeStream
              .foreachBatch(lambda df, _epoch: process_batch(
-                 df, vendor, bars_path, registry_path, quarantine_path, data_load, layout))
+                 df, vendor, bars_path, registry_path, quarantine_path, data_load, layout, manifest_path))
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
