@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sampling import least_by_hash
 from .text import lower_ascii, slices, text_buffer
 
 WINDOW = 256
@@ -129,11 +130,14 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, sample_d
     """Train on one window of each of the ``sample_docs`` documents least by hash; None if there are none."""
     text = F.col(text_col).cast("string")
     order = F.xxhash64(F.col(id_col).cast("string"))
-    rows = (labelled.where(F.col(lang_col).isNotNull() & text.rlike(r"\p{L}"))
-            .select(order.alias("o"), F.col(lang_col).cast("string").alias("lang"), text.alias("t"))
-            .select("o", "lang", F.substring("t", F.pmod("o", F.greatest(F.length("t") - WINDOW, F.lit(0)) + 1)
-                                             .cast("int") + 1, F.lit(WINDOW)).alias("t"))
-            .orderBy("o", "lang", "t").limit(sample_docs).collect())
+
+    def windows(near: DataFrame) -> DataFrame:
+        return (near.where(text.rlike(r"\p{L}"))
+                .select(order.alias("o"), F.col(lang_col).cast("string").alias("lang"), text.alias("t"))
+                .select("o", "lang", F.substring("t", F.pmod("o", F.greatest(F.length("t") - WINDOW, F.lit(0)) + 1)
+                                                 .cast("int") + 1, F.lit(WINDOW)).alias("t")))
+
+    rows = least_by_hash(labelled.where(F.col(lang_col).isNotNull()), order, sample_docs, ["o", "lang", "t"], windows)
     if not rows:
         return None
     return train([r["t"].encode() for r in rows], [r["lang"] for r in rows])

@@ -23,7 +23,8 @@ the least by hash; all documents are scored in one pass without a shuffle.
 Defined results: null and empty texts have no features and get the score the
 network gives to that; without positives, or without learned rows, all scores
 are the prior; null ids and null labels are never learned from; repeated rows
-repeat their score; of several labels of a document, all count; an empty input
+repeat their score; of several labels of a document, all count, of several texts the least is
+learned from; an empty input
 gives no rows.
 """
 
@@ -38,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .langid import held_out
+from .sampling import least_by_hash
 from .text import Rolling, slices, splitmix, text_buffer, word_bounds
 
 BUCKETS = 1024
@@ -167,15 +169,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     order = F.xxhash64(F.col("id").cast("string"))
     texts = docs.where(learn).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     # the samples' ids first (bounded), then only their texts
-    p_ids = marked.where("label = 1").select("id").distinct().orderBy(order, "id").limit(sample_docs)
-    u_ids = texts.select("id").orderBy(order, "id").limit(sample_docs)
-    picked = {1: [r["id"] for r in p_ids.collect()], 0: [r["id"] for r in u_ids.collect()]}
+
+    def least(ids: DataFrame) -> list:
+        return [r["id"] for r in least_by_hash(ids, order, sample_docs, ["o", "id"],
+                                               lambda near: near.distinct().withColumn("o", order))]
+
+    picked = {1: least(marked.where("label = 1").select("id")), 0: least(texts.select("id"))}
     rows = [(i, kind) for kind, ids in picked.items() for i in ids]
     if not picked[1] or not picked[0]:
         return Model(class_prior, None)
     kind = docs.schema[id_col].dataType.simpleString()
     chosen = docs.sparkSession.createDataFrame(rows, f"id {kind}, kind int")
-    found = _featured(texts.join(F.broadcast(chosen), "id").select("kind", "text")).collect()
+    # one text an id, whatever the number of its rows
+    sample = texts.join(F.broadcast(chosen), "id").groupBy("id", "kind").agg(F.min("text").alias("text"))
+    found = _featured(sample.select("kind", "text")).collect()
     # rows arrive in any order: sort them, so that the same tables give the same model
     found = sorted((r["kind"], bytes(r["vec"])) for r in found)
     if not found or found[-1][0] == 0 or found[0][0] == 1:
