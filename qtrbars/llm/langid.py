@@ -18,7 +18,6 @@ rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -165,26 +164,29 @@ def document_probabilities(net: Network, column: pa.Array) -> np.ndarray:
 
 def classify(df: DataFrame, net: Network | None, text_col: str = "text", lang_col: str = "lang_pred",
              score_col: str = "score") -> DataFrame:
-    """``df`` as a column ``row`` of structs, with the language and score of each text."""
+    """``df`` as a column ``row`` of structs, with the language and score of each text.
+
+    Only texts go to Python, once, and only the answers come back.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    spoken = df.select(F.struct("*").alias("row"), text.alias("text"), text.rlike(r"\p{L}").alias("letters"))
     if net is None:
-        return spoken.select("row", F.lit("und").alias(lang_col), F.lit(0.0).alias(score_col))
+        return df.select(F.struct("*").alias("row"), F.lit("und").alias(lang_col), F.lit(0.0).alias(score_col))
     names = np.array([*net.langs, "und"], dtype=object)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in slices(batch[1]):
-                part = batch.slice(a, b - a)
-                found = document_probabilities(net, part[1])
-                letters = part[2].to_numpy(zero_copy_only=False).astype(bool)
-                lang = np.where(letters, found.argmax(axis=1), len(net.langs))
-                score = np.where(letters, found.max(axis=1), 0.0)
-                yield pa.RecordBatch.from_arrays([part[0], pa.array(names[lang], pa.string()), pa.array(score)],
-                                                 names=["row", lang_col, score_col])
-
-    return spoken.mapInArrow(run, f"row {spoken.schema['row'].dataType.simpleString()}, "
-                                  f"`{lang_col}` string, `{score_col}` double")
+    def answers(texts: pa.Array, spoken: pa.Array) -> pa.Array:
+        langs, scores = [], []
+        for a, b in slices(texts):
+            found = document_probabilities(net, texts.slice(a, b - a))
+            letters = spoken.slice(a, b - a).to_numpy(zero_copy_only=False).astype(bool)
+            langs.append(names[np.where(letters, found.argmax(axis=1), len(net.langs))])
+            scores.append(np.where(letters, found.max(axis=1), 0.0))
+        return pa.StructArray.from_arrays(
+            [pa.array(np.concatenate(langs) if langs else [], pa.string()),
+             pa.array(np.concatenate(scores) if scores else [], pa.float64())], names=["lang", "score"])
+
+    found = F.arrow_udf(answers, "lang string, score double")(text, text.rlike(r"\p{L}"))
+    return df.select(F.struct("*").alias("row"), found.alias("found")).select(
+        "row", F.col("found.lang").alias(lang_col), F.col("found.score").alias(score_col))
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

@@ -143,17 +143,17 @@ def _featured(texts: DataFrame) -> DataFrame:
     """(kind, vec): the features of rows of (kind, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _parts(batch, 1):
-                vec = [v.tobytes() for v in features(part[1]).astype(np.float16)]
-                yield pa.RecordBatch.from_arrays([part[0], pa.array(vec, pa.binary())], names=["kind", "vec"])
+            vec = [v.tobytes() for part in _parts(batch[1]) for v in features(part).astype(np.float16)]
+            yield pa.RecordBatch.from_arrays([batch[0], pa.array(vec, pa.binary())], names=["kind", "vec"])
 
     return texts.mapInArrow(run, "kind int, vec binary")
 
 
-def _parts(batch: pa.RecordBatch, text_at: int) -> Iterator[pa.RecordBatch]:
-    for a in range(0, batch.num_rows, ROWS):
-        rows = batch.slice(a, ROWS)
-        for first, last in slices(rows[text_at]):
+def _parts(texts: pa.Array) -> Iterator[pa.Array]:
+    """Slices of at most ROWS texts and a bounded number of bytes (or one longer text)."""
+    for a in range(0, len(texts), ROWS):
+        rows = texts.slice(a, ROWS)
+        for first, last in slices(rows):
             yield rows.slice(first, last - first)
 
 
@@ -193,16 +193,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``df`` as a column ``row`` of structs, with the score of each text."""
-    posed = df.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    """``df`` as a column ``row`` of structs, with the score of each text.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _parts(batch, 1):
-                found = model.score(features(part[1])).astype(np.float64)
-                yield pa.RecordBatch.from_arrays([part[0], pa.array(found)], names=["row", score_col])
+    Only texts go to Python, once, and only the scores come back.
+    """
+    def scores(texts: pa.Array) -> pa.Array:
+        found = [model.score(features(part)).astype(np.float64) for part in _parts(texts)]
+        return pa.array(np.concatenate(found) if found else [], pa.float64())
 
-    return posed.mapInArrow(run, f"row {posed.schema['row'].dataType.simpleString()}, `{score_col}` double")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return df.select(F.struct("*").alias("row"), F.arrow_udf(scores, "double")(text).alias(score_col))
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
