@@ -99,25 +99,35 @@ def _answers(layers: list[np.ndarray], x: np.ndarray) -> tuple[np.ndarray, np.nd
     return (hidden @ layers[2] + layers[3])[:, 0], hidden
 
 
+def _moments(samples: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Mean, and deviation + 0.1, of the rows of all samples, some rows at a time."""
+    blocks = [(x, a) for x in samples for a in range(0, len(x), ROWS)]
+    n = sum(len(x) for x in samples)
+    mean = sum(x[a:a + ROWS].sum(axis=0, dtype=np.float64) for x, a in blocks) / n
+    spread = sum(((x[a:a + ROWS] - mean) ** 2).sum(axis=0) for x, a in blocks) / n
+    return mean.astype(np.float32), (np.sqrt(spread) + 0.1).astype(np.float32)
+
+
 def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, epochs: int = 12, seed: int = 11,
           rate: float = 0.002, decay: float = 1e-4, beta: float = 0.0) -> Model:
-    """Minimise the non-negative risk by Adam, in batches with a share of both samples."""
+    """Minimise the non-negative risk by Adam, in batches with a share of both samples.
+
+    The samples may be half-precision; only the rows of a batch are widened.
+    """
     rng = np.random.default_rng(seed)
-    both = np.concatenate([positive, unlabelled])
-    centre, scale = both.mean(axis=0), both.std(axis=0) + 0.1
-    p_all, u_all = ((x - centre) / scale for x in (positive, unlabelled))
-    layers = [rng.normal(0, 0.05, (both.shape[1], HIDDEN)), np.zeros(HIDDEN),
+    centre, scale = _moments([positive, unlabelled])
+    layers = [rng.normal(0, 0.05, (len(centre), HIDDEN)), np.zeros(HIDDEN),
               rng.normal(0, 0.3, (HIDDEN, 1)), np.zeros(1)]
     layers = [x.astype(np.float32) for x in layers]
     moment, square, step = [np.zeros_like(x) for x in layers], [np.zeros_like(x) for x in layers], 0
     size = 128
-    batches = max(1, len(u_all) // size)
+    batches = max(1, len(unlabelled) // size)
     for _ in range(epochs):
-        p_order, u_order = rng.permutation(len(p_all)), rng.permutation(len(u_all))
+        p_order, u_order = rng.permutation(len(positive)), rng.permutation(len(unlabelled))
         for b in range(batches):
-            p = p_all[p_order[np.arange(b * size, (b + 1) * size) % len(p_all)]]
-            u = u_all[u_order[b * size:(b + 1) * size]]
-            x = np.concatenate([p, u])
+            p = positive[p_order[np.arange(b * size, (b + 1) * size) % len(positive)]]
+            u = unlabelled[u_order[b * size:(b + 1) * size]]
+            x = (np.concatenate([p, u]).astype(np.float32) - centre) / scale
             g, hidden = _answers(layers, x)
             chance = 1 / (1 + np.exp(-np.clip(g, -30, 30)))
             gp, gu = g[:len(p)], g[len(p):]
@@ -136,7 +146,7 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, epochs: in
                 m += 0.1 * (d - m)
                 s += 0.001 * (d * d - s)
                 w -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.999 ** step)) + 1e-8)
-    return Model(prior, layers, centre.astype(np.float32), scale.astype(np.float32))
+    return Model(prior, layers, centre, scale)
 
 
 def _featured(texts: DataFrame) -> DataFrame:
@@ -187,9 +197,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     found = sorted((r["kind"], bytes(r["vec"])) for r in found)
     if not found or found[-1][0] == 0 or found[0][0] == 1:
         return Model(class_prior, None)
-    kinds = np.array([k for k, _ in found])
-    rows = np.frombuffer(b"".join(v for _, v in found), np.float16).reshape(len(found), BUCKETS + 1).astype(np.float32)
-    return train(rows[kinds == 1], rows[kinds == 0], class_prior)
+    first = sum(k == 0 for k, _ in found)  # unlabelled rows come first
+    rows = np.frombuffer(b"".join(v for _, v in found), np.float16).reshape(len(found), BUCKETS + 1)
+    del found
+    return train(rows[first:], rows[:first], class_prior)
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:

@@ -139,7 +139,8 @@ def over(sketches: DataFrame, thresholds: list[int], bits: int = CELL_BITS) -> l
     rows = sketches.repartition(parts, "slice").mapInArrow(merge, "slice int, found array<binary>").collect()
     out = [Bits(np.zeros((DEPTH, 1 << (bits - 3 - coarse)), np.uint8), bits, coarse)
            for coarse in (0 if t <= 2 else COARSE for t in thresholds)]
-    for row in rows:
+    while rows:  # each slice is let go once its bits are in place
+        row = rows.pop()
         depth, s = row["slice"] >> SLICE_BITS, row["slice"] & ((1 << SLICE_BITS) - 1)
         for one, data in zip(out, row["found"]):
             one.packed[depth, s * len(data):(s + 1) * len(data)] = np.frombuffer(data, np.uint8)
