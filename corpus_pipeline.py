@@ -3,6 +3,11 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the
 last return the columns of ``docs``. A stage is judged on its own input and
 its decisions take effect: what it drops or cuts is gone for the next.
+
+The stages set the session's ``spark.sql.execution.arrow.maxBytesPerBatch`` to
+``BATCH_BYTES`` (and leave it so, as their results are computed later): a task
+holds a batch several times over, in the JVM and in Python. A single longer text is
+a batch of its own.
 """
 
 from __future__ import annotations
@@ -14,32 +19,43 @@ from qtrbars.llm import jaccard, langid, packing, quality, substring_words
 
 #: Least mean probability of the language found.
 LANGUAGE_SCORE = 0.5
+#: Bytes of rows that go to Python at once.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without letters (null and empty texts too) and those of no clear language."""
+    bound_batches(spark)
     found = langid.identify(docs)
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LANGUAGE_SCORE)).select("row.*")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents predicted to be of low quality."""
+    bound_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.classify(docs, labels).where("predicted = 1").select("row.*")
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies keep the document with the smallest id."""
+    bound_batches(spark)
     return jaccard.keep_one(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut passages that a document with a smaller id also has."""
+    bound_batches(spark)
     return substring_words.deduplicate(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack the documents left into sequences of the permitted lengths."""
+    bound_batches(spark)
     return packing.pack_documents(docs)
 
 
