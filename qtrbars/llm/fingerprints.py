@@ -2,12 +2,23 @@
 
 A text is the multiset of its paragraphs: its lines, cut further after a
 sentence's end and its space. Each paragraph is hashed to a wide vector, and a fingerprint is the sum of the
-vectors: 16 lanes modulo 2**64 that every paragraph adds to, and 64 lanes
-modulo 2**32 of which a paragraph adds to one, chosen by its hash. Sums don't
-depend on order; a paragraph is inserted or deleted by adding or subtracting
-its vector. Equal texts have equal fingerprints; the wide lanes tell others
-apart, the narrow ones say how much two texts share: the part of lanes used
-by either text that are equal.
+vectors: 16 lanes modulo 2**64 that every paragraph adds to, and up to 24
+levels of 64 lanes modulo 2**32, of which a paragraph adds to one lane of one
+level, both chosen by its hash: level l has a paragraph with chance
+2**-(l + 1), the last one the rest. Levels of zeros at the end are left off,
+so a fingerprint grows with the logarithm of the text. Sums don't depend on
+order; a paragraph is inserted or deleted by adding or subtracting its vector.
+
+Equal texts have equal fingerprints; the wide lanes tell others apart, the
+narrow ones estimate how much two texts share, their multiset Jaccard. A
+narrow lane counts its paragraphs in its lower 20 bits and sums their hashes
+in the upper 12, so it shows whether both texts have the same paragraphs in
+it, or how many more one has. Levels l and above together are a sample of
+2**-l of the paragraphs; the largest sample is read that leaves a third of the
+lanes alike. Alike lanes share all they count; of the others, the expected
+share is taken (paragraphs fall into lanes by chance, at the rates found).
+Texts that differ in up to some 70 paragraphs are read whole, longer ones
+by sample.
 
 Defined results: null is an empty text, of fingerprint zero; two fingerprints
 of zero are alike (1.0), zero and another aren't (0.0); repeated ids follow
@@ -28,8 +39,9 @@ from pyspark.sql import functions as F
 
 from .text import slices
 
-WIDE, NARROW = 16, 64
-BYTES = WIDE * 8 + NARROW * 4
+WIDE, NARROW, LEVELS = 16, 64, 24
+#: Bits of a narrow lane that count paragraphs.
+COUNT = 20
 
 
 _END = re.compile(r"\n|(?<=[.!?]) ")
@@ -41,13 +53,16 @@ def paragraphs(text: str) -> list[str]:
 
 def _vectors(parts: list[str], known: dict[str, bytes] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(sum of the wide lanes, sum of the narrow lanes) of paragraphs; known: digests to look up and add to."""
-    wide, narrow = np.zeros(WIDE, np.uint64), np.zeros(NARROW, np.uint32)
+    wide, narrow = np.zeros(WIDE, np.uint64), np.zeros(LEVELS * NARROW, np.uint32)
     if parts:
         known = {} if known is None else known
         digests = b"".join([known.get(p) or known.setdefault(p, _digest(p)) for p in parts])
         rows = np.frombuffer(digests, "<u8").reshape(len(parts), WIDE + 8)
         wide = rows[:, :WIDE].sum(axis=0, dtype=np.uint64)
-        np.add.at(narrow, (rows[:, WIDE] % NARROW).astype(np.int64), rows[:, WIDE + 1].astype(np.uint32))
+        lowest = rows[:, WIDE + 2] & (~rows[:, WIDE + 2] + np.uint64(1))
+        level = np.minimum(np.bitwise_count(lowest - np.uint64(1)), LEVELS - 1).astype(np.int64)
+        np.add.at(narrow, level * NARROW + (rows[:, WIDE] % NARROW).astype(np.int64),
+                  (rows[:, WIDE + 1].astype(np.uint32) << np.uint32(COUNT)) + np.uint32(1))
     return wide, narrow
 
 
@@ -57,19 +72,27 @@ def _digest(paragraph: str) -> bytes:
     return one + hashlib.blake2b(one, person=b"lanes").digest() + hashlib.blake2b(one, person=b"place").digest()
 
 
+def _joined(wide: np.ndarray, narrow: np.ndarray) -> bytes:
+    used = np.flatnonzero(narrow)
+    levels = used[-1] // NARROW + 1 if len(used) else 0
+    return wide.astype("<u8").tobytes() + narrow[:levels * NARROW].astype("<u4").tobytes()
+
+
 def fingerprint(text: str | None, known: dict[str, bytes] | None = None) -> bytes:
-    wide, narrow = _vectors(paragraphs(text or ""), known)
-    return wide.astype("<u8").tobytes() + narrow.astype("<u4").tobytes()
+    return _joined(*_vectors(paragraphs(text or ""), known))
 
 
 def _split(value: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(value, "<u8", WIDE), np.frombuffer(value, "<u4", NARROW, WIDE * 8)
+    narrow = np.zeros(LEVELS * NARROW, "<u4")
+    held = np.frombuffer(value, "<u4", offset=WIDE * 8)
+    narrow[:len(held)] = held
+    return np.frombuffer(value, "<u8", WIDE), narrow
 
 
 def add(one: bytes, other: bytes, sign: int = 1) -> bytes:
     """Fingerprint of the union of two multisets of paragraphs, or of what is left with sign -1."""
     (a, b), (c, d) = _split(one), _split(other)
-    return ((a + c) if sign > 0 else (a - c)).tobytes() + ((b + d) if sign > 0 else (b - d)).tobytes()
+    return _joined(a + c, b + d) if sign > 0 else _joined(a - c, b - d)
 
 
 def insert(value: bytes, paragraph: str) -> bytes:
@@ -81,12 +104,53 @@ def delete(value: bytes, paragraph: str) -> bytes:
 
 
 def likeness(one: bytes, other: bytes) -> float:
-    """1.0 for equal fingerprints, else the equal part of the narrow lanes in use."""
+    """1.0 for equal fingerprints, else the multiset Jaccard estimated from the largest sample of paragraphs
+    that leaves a third of the narrow lanes alike."""
     if one == other:
         return 1.0
-    a, b = _split(one)[1], _split(other)[1]
-    used = int(((a != 0) | (b != 0)).sum())
-    return float(((a == b) & (a != 0)).sum()) / used if used else 0.0
+    a, b = (np.frombuffer(v, "<u4", offset=WIDE * 8).reshape(-1, NARROW) for v in (one, other))
+    for level in range(max(len(a), len(b))):
+        x, y = a[level:].sum(axis=0, dtype=np.uint32), b[level:].sum(axis=0, dtype=np.uint32)
+        p, q = (x & _COUNTS).astype(np.int64), (y & _COUNTS).astype(np.int64)
+        alike = x == y
+        other_count = np.flatnonzero((p != q) & (p > 0) & (q > 0))
+        if len(other_count):
+            # one paragraph p and q times: the sums of its hash are as the counts, cut by what divides both
+            u, v = p[other_count], q[other_count]
+            g = np.gcd(u, v)
+            alike[other_count] = ((x[other_count] >> COUNT) * (v // g) - (y[other_count] >> COUNT) * (u // g)) \
+                % (1 << (32 - COUNT)) == 0
+        if 3 * int(alike.sum()) >= NARROW:
+            return _jaccard(p, q, alike)
+    return 0.0
+
+
+_COUNTS = np.uint32((1 << COUNT) - 1)
+#: Pairs of differing paragraphs in a lane that are thought of.
+PAIRS = np.arange(1, 33)[:, None]
+
+
+def _jaccard(p: np.ndarray, q: np.ndarray, alike: np.ndarray) -> float:
+    """Estimated multiset Jaccard of two texts that differ, from the counts of their lanes."""
+    n, m, least = int(p.sum()), int(q.sum()), np.minimum(p, q)
+    sure = float(least[alike].sum())
+    shared = min(sure * NARROW / int(alike.sum()), float(least.sum()))
+    mixed = ~alike & (least > 0)
+    if mixed.any():
+        k, more, even = least[mixed], np.abs(p - q)[mixed], (p == q)[mixed]
+        parts = np.maximum(k - PAIRS + 1, 0) / (PAIRS * (PAIRS + more))
+        for _ in range(2):
+            # chance that j of a lane's paragraphs in either text face others, against none: Poisson counts of
+            # shared and other paragraphs; lanes of even counts that aren't alike have one at least
+            rate = max(n - shared, 0.5) * max(m - shared, 0.5) / max(shared, 0.02) / NARROW
+            with np.errstate(divide="ignore"):
+                chances = np.cumsum(np.log(parts * rate), axis=0)
+            top = np.maximum(chances.max(axis=0), 0)
+            chances = np.exp(chances - top)
+            whole = chances.sum(axis=0) + np.where(even, 0, np.exp(-top))
+            shared = sure + float((k - (chances * PAIRS).sum(axis=0) / whole).clip(0).sum())
+    shared = min(shared, float(max(n + m - 1, 0) // 2))
+    return shared / (n + m - shared) if n + m else 0.0
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -108,25 +172,31 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def sum_fingerprints(df: DataFrame, group: str | Column, fingerprint_col: str = "fingerprint") -> DataFrame:
     """(group, fingerprint) of the union of each group's documents.
 
-    Lanes are summed by Spark, so a hot group is pre-aggregated in every
-    task. Sums are kept in two halves, exact to 2**31 documents a group.
+    Words of 32 bits are summed by Spark, so a hot group is pre-aggregated in
+    every task. Sums are exact to 2**31 documents a group.
     """
     value = F.col(fingerprint_col)
-    lanes = [(k * 8, 8) for k in range(WIDE * 2)] + [((WIDE * 2 + k) * 8, 8) for k in range(NARROW)]
-    sums = [F.sum(F.conv(F.concat(*[F.substring(value, at + 7 - 2 * i, 2) for i in range(4)]), 16, 10).cast("bigint"))
-            .alias(f"l{k}") for k, (at, _) in enumerate(lanes)]
-    halves = df.groupBy(group).agg(*sums)
+    words = F.transform(F.sequence(F.lit(0), (F.length(value) / 8).cast("int") - 1), lambda k: F.conv(
+        F.concat(*[F.substring(value, k * 8 + F.lit(7 - 2 * i), F.lit(2)) for i in range(4)]), 16, 10).cast("bigint"))
+    named = df.groupBy(group).agg(F.lit(None)).columns[0]
+    summed = (df.select(F.col(group).alias("g") if isinstance(group, str) else group.alias("g"),
+                        F.posexplode_outer(words).alias("k", "word"))
+              .groupBy("g", "k").agg(F.sum("word").alias("word")))
+    sums = summed.groupBy("g").agg(F.array_sort(F.collect_list(F.when(
+        F.col("k").isNotNull(), F.struct("k", "word")))).alias("sums"))
 
     def little(c: Column) -> Column:
         x = F.lpad(F.hex(F.pmod(c, F.lit(1 << 32))), 8, "0")
         return F.lower(F.concat(*[F.substring(x, 7 - 2 * i, 2) for i in range(4)]))
 
-    out = []
-    for k in range(WIDE):
-        low, high = F.col(f"l{2 * k}"), F.col(f"l{2 * k + 1}")
-        out += [little(low), little(high + F.shiftright(low, 32))]
-    out += [little(F.col(f"l{WIDE * 2 + k}")) for k in range(NARROW)]
-    return halves.select(halves.columns[0], F.concat(*out).alias("fingerprint"))
+    # the upper half of a wide lane takes what its lower half carries
+    out = F.concat_ws("", F.transform("sums", lambda x: little(x["word"] + F.when(
+        (x["k"] < WIDE * 2) & (x["k"] % 2 == 1),
+        F.shiftright(F.element_at(F.col("sums"), F.greatest(x["k"], F.lit(1)))["word"], 32)).otherwise(F.lit(0)))))
+    # levels of zeros at the end are left off
+    levels = F.regexp_replace(F.substring(out, WIDE * 16 + 1, LEVELS * NARROW * 8), f"(0{{{NARROW * 8}}})+$", "")
+    return sums.select(F.col("g").alias(named), F.when(
+        F.size("sums") > 0, F.concat(F.substring(out, 1, WIDE * 16), levels)).alias("fingerprint"))
 
 
 def edited_text(text: str, following: str) -> str:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -154,3 +155,42 @@ def test_fingerprints_are_homomorphic(spark):
     df = spark.createDataFrame([(1, f("one").hex()), (1, f("two").hex()), (2, f("x").hex())], "g int, fingerprint string")
     found = {r[0]: r[1] for r in fingerprints.sum_fingerprints(df, "g").collect()}
     assert found == {1: f("one\ntwo").hex(), 2: f("x").hex()}
+
+
+def test_likeness_follows_the_shared_paragraphs():
+    r = random.Random(9)
+
+    def text(n):
+        return [f"{r.random()} and so on." for _ in range(n)]
+
+    def overlap(a, b):
+        one, other = Counter(a), Counter(b)
+        return sum((one & other).values()) / sum((one | other).values())
+
+    for n in (6, 20, 60, 150, 400, 3000, 20000):
+        for part in (0, 0.1, 0.3, 0.5, 0.9):
+            errors = []
+            for _ in range(12 if n < 3000 else 4):
+                kept = text(round(n * part))
+                a, b = kept + text(n - len(kept)), kept + text(n - len(kept))
+                repeated = text(1) * r.choice((0, 3, 40))
+                a, b = a + repeated, b + repeated[::2]
+                got = fingerprints.likeness(fingerprints.fingerprint("\n".join(a)), fingerprints.fingerprint("\n".join(b)))
+                errors.append(got - overlap(a, b))
+            assert abs(sum(errors)) / len(errors) < 0.08, (n, part, errors)
+            assert max(map(abs, errors)) < 0.25, (n, part, errors)
+    same = text(5000)
+    one, other = (fingerprints.fingerprint("\n".join(x)) for x in (same, same + ["one more"]))
+    assert 0.99 < fingerprints.likeness(one, other) < 1
+
+
+def test_long_fingerprints_are_homomorphic(spark):
+    f = fingerprints.fingerprint
+    parts = [f"line {i}" for i in range(500)]
+    whole, half = f("\n".join(parts)), f("\n".join(parts[:250]))
+    assert fingerprints.add(half, f("\n".join(parts[250:]))) == whole
+    assert fingerprints.add(whole, f("\n".join(parts[3:])), -1) == f("\n".join(parts[:3]))
+    df = spark.createDataFrame([(k % 2, f("\n".join(parts[k::10])).hex()) for k in range(10)] + [(2, f("").hex()), (3, None)],
+                               "g int, fingerprint string")
+    found = {r[0]: r[1] for r in fingerprints.sum_fingerprints(df.repartition(4), "g").collect()}
+    assert found == {0: f("\n".join(parts[::2])).hex(), 1: f("\n".join(parts[1::2])).hex(), 2: f("").hex(), 3: None}
