@@ -21,6 +21,7 @@ from .dates import parse_day
 AV_RATE_MESSAGES = ["exceeded the DAILY quota", "exceeded the rate limit per minute",
                     "not subscribed to this API"]
 FMP_RATE_MESSAGES = AV_RATE_MESSAGES + ["Limit Reach"]
+RATE_MESSAGES = {"AV": AV_RATE_MESSAGES, "FMP": FMP_RATE_MESSAGES}
 # Marker of an unknown ticker in an AV error body:
 UNKNOWN_TICKER_MESSAGE = "Invalid API call"
 # Size of the payload head searched for rate messages (characters):
@@ -61,6 +62,13 @@ def contains_any(text, markers) -> Column:
     return _c(text).rlike("|".join(re.escape(m) for m in markers))
 
 
+def is_answer(payload, vendor: str) -> Column:
+    """False for a rate-limit message of the vendor, true for all else (nulls too)."""
+    if vendor not in RATE_MESSAGES:
+        return F.lit(True)
+    return ~F.coalesce(contains_any(head_text(payload), RATE_MESSAGES[vendor]), F.lit(False))
+
+
 def lines(payload) -> Column:
     return F.split(_c(payload), "\r?\n")
 

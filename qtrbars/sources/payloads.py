@@ -34,20 +34,25 @@ def payload_frame(raw: DataFrame, source: str, latest_only: bool = True) -> Data
     # paths are URL-encoded: '^GSPC' arrives as '%5EGSPC' ('+' stands for itself)
     decoded = F.try_url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))
     df = df.withColumn("ticker", PL.ticker_from_path(F.coalesce(decoded, F.col("path")), source))
-    return newest_per_ticker(df) if latest_only else df
+    return newest_per_ticker(df, vendor=source) if latest_only else df
 
 
-def newest_per_ticker(df: DataFrame, order=("modified", "path")) -> DataFrame:
+def newest_per_ticker(df: DataFrame, order=("modified", "path"), vendor: str | None = None) -> DataFrame:
     """Keep the newest payload of each ticker.
 
+    With ``vendor``, the newest of its answers: a rate-limit message is kept
+    only where a ticker has no other payload (it then stays pending).
+
     ``order`` must identify a fetch within a ticker (landing time then path
     for one file per payload; fetch time then fetch id for landed rows). The
-    newest key per ticker is found on those metadata columns only (a small
-    partial aggregate, one row per ticker), then payloads are kept by a semi
+    newest key per ticker is found on those metadata columns (and, with
+    ``vendor``, the head of the payload) by a small
+    partial aggregate, one row per ticker, then payloads are kept by a semi
     join on it; Spark chooses a broadcast or a shuffle from its measured size
     when it runs. The key comparison is null-safe (a text landing has no fetch id).
     """
-    keyed = df.withColumn("_k", F.struct(*order))
+    answer = [] if vendor is None else [PL.is_answer("payload", vendor).alias("_answer")]
+    keyed = df.withColumn("_k", F.struct(*answer, *order))
     newest = (keyed.groupBy("source", "ticker").agg(F.max("_k").alias("_nk"))
                    .withColumnsRenamed({"source": "_ns", "ticker": "_nt"}))
 

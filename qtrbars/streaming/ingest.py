@@ -7,7 +7,7 @@ the better layout at scale: few large files instead of millions of tiny ones).
 
 Each micro-batch is handled by ``foreachBatch``: payloads of a ticker are full
 histories, so for every ticker present in the batch all its quarters are
-recomputed from its newest payload and its folders are replaced (dynamic
+recomputed from its newest answer and its folders are replaced (dynamic
 partition overwrite). Late or corrected payloads simply replace the ticker
 again in a later batch; no state store is needed. The file source checkpoint
 (in the shared folder) records which files were consumed, so a restarted or
@@ -60,15 +60,16 @@ def landing_stream(spark: SparkSession, landing: str, vendor: str, fmt: str = "p
 def process_batch(batch: DataFrame, vendor: str, bars_path: str, registry_path: str,
                   quarantine_path: str, data_load=None, layout: str = "bucket",
                   manifest_path: str | None = None) -> None:
-    """One micro-batch: newest payload per ticker -> replace its outputs.
+    """One micro-batch: newest answer per ticker -> replace its outputs.
 
-    What was fetched last is kept beside the bars (``<bars>_fetches``): a
+    Which answer was fetched last is kept beside the bars (``<bars>_fetches``;
+    rate-limit messages are no answers and leave no trace there): a
     payload older than the one already processed is dropped, so the result
     doesn't depend on the order of arrival. An equally old one is processed
     again, as when a failed batch is replayed.
     """
     spark = batch.sparkSession
-    payloads = newest_per_ticker(batch, order=("modified", "fetch_id", "path"))
+    payloads = newest_per_ticker(batch, order=("modified", "fetch_id", "path"), vendor=vendor)
     fetches = bars_path.rstrip("/") + "_fetches"
     if SK._exists(spark, fetches):
         stored = SK.read_bucketed(spark, fetches, SK.FETCH_SCHEMA).select(
@@ -80,7 +81,8 @@ def process_batch(batch: DataFrame, vendor: str, bars_path: str, registry_path:
     out = process_payloads(payloads, vendor, data_load, cache=True)
     try:
         publish(out, bars_path, registry_path, quarantine_path, layout=layout, manifest_path=manifest_path)
-        SK.replace_in_buckets(out["classified_frame"].select("source", "ticker", "modified", "fetch_id"),
+        answers = out["classified_frame"].where("status <> 'rate_limited'")
+        SK.replace_in_buckets(answers.select("source", "ticker", "modified", "fetch_id"),
                               fetches, SK.FETCH_SCHEMA, order=())
     finally:
         out["classified_frame"].unpersist()

@@ -1,10 +1,12 @@
 """Malformed cells, stored state across runs, the bucket layout and its recovery."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import local, write_files
 from test_payloads import AV_OK, HEADER
 
 from qtrbars.operators import universe as U
@@ -80,6 +82,28 @@ def test_newest_answer_decides_where_a_ticker_stands(spark, scratch):
     assert _ingest(spark, scratch, [("AAA", 5, 9, limited)]) == ({"AAA", "CCC"}, set(), {"BBB"}, {"AAA", "CCC"})
 
 
+def test_rate_limit_never_hides_an_answer(spark, scratch):
+    limited = '{"message":"You have exceeded the DAILY quota for this API key"}'
+    # a good answer and a later rate limit picked up together; a rate limit alone
+    assert _ingest(spark, scratch, [("AAA", 3, 1, AV_OK), ("AAA", 4, 2, limited), ("BBB", 4, 3, limited)]) == (
+        {"AAA"}, set(), set(), {"AAA"})
+    # answers fetched before those rate limits arrive late: they are the newest answers
+    assert _ingest(spark, scratch, [("BBB", 2, 4, AV_OK), ("AAA", 3, 5, HEADER)]) == (
+        {"BBB"}, {"AAA"}, set(), {"BBB"})
+    # older than the newest answer
+    assert _ingest(spark, scratch, [("BBB", 1, 6, HEADER), ("AAA", 2, 7, AV_OK)]) == ({"BBB"}, {"AAA"}, set(), {"BBB"})
+
+
+def test_batch_reader_takes_the_newest_answer(spark, scratch):
+    limited = '{"message":"You have exceeded the DAILY quota for this API key"}'
+    folder = local(write_files(scratch, {"AAA_AV_1.csv": AV_OK, "AAA_AV_2.csv": limited, "BBB_AV_1.csv": limited}))
+    for k, name in enumerate(("AAA_AV_1.csv", "AAA_AV_2.csv", "BBB_AV_1.csv")):
+        os.utime(f"{folder}/{name}", (1_700_000_000 + k, 1_700_000_000 + k))
+    out = P.av_quarterly(spark, scratch, data_load=LOAD)
+    assert {r.ticker for r in out["bars"].collect()} == {"AAA"}
+    assert [r.ticker for r in out["retry"].collect()] == ["BBB"]
+
+
 def _spans(spark, source, n, quarter="2024Q1"):
     return spark.range(n).select(F.lit(quarter).alias("first_quarter"), F.lit(quarter).alias("last_quarter"),
                                  F.lit(source).alias("source"), U.ticker_col("T", "id").alias("ticker"))
