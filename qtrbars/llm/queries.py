@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard, langid, packing, pieces, quality, sharding, substring_bytes, substring_words, topk
+from . import (exact_copies, filter_audit, fingerprints, jaccard, langid, packing, pieces, quality, sharding,
+               substring_bytes, substring_words, topk)
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
@@ -66,8 +67,19 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_digests(documents(spark, sf_dir), model_path())
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_copies.copies(documents(spark, sf_dir))
+    return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
+                        F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return filter_audit.audit(filter_audit.mask_counts(documents(spark, sf_dir), labels))
+
+
 QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op3_ngram_jaccard, op4_quality_classifier, op5_document_fingerprints, op6_suffix_dedup, op7_exact_topk, op8_sharding,
-                                   op9_substring_dedup, op10_sentencepiece)}
+                                   op9_substring_dedup, op10_sentencepiece, op12_exact_dedup, op13_filter_audit)}
 
 ORACLES = {
     "op7_exact_topk": """
@@ -84,4 +96,51 @@ ORACLES = {
             SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
                    AS rank, vec_id, score FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op12_exact_dedup": """
+        WITH d AS (
+            SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM documents)
+        SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+               row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+        FROM d""",
+    "op13_filter_audit": r"""
+        WITH w AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents),
+        l AS (
+            SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic
+            FROM labels GROUP BY doc_id),
+        f AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                   CAST(len(words) < 200 AS INTEGER)
+                   + 2 * CAST(100 * len(list_distinct(words)) < 50 * len(words) AS INTEGER)
+                   + 4 * CAST(100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * len(t) AS INTEGER)
+                   + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INTEGER)
+                   + 16 * CAST(coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY t), false) AS INTEGER) AS mask
+            FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+        m AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, mask),
+        x AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(name, bit)),
+        o AS (
+            SELECT a.name || b.name || c.name || d.name || e.name AS filter_order,
+                   [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+            FROM x a, x b, x c, x d, x e
+            WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+              AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31),
+        s AS (
+            SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0) AS earlier
+            FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+        r AS (
+            SELECT part, filter_order, CAST(step AS INTEGER) AS step, bit,
+                   CAST(sum(CASE WHEN (mask & (earlier + bit)) = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+                   CAST(sum(CASE WHEN (mask & earlier) = 0 AND (mask & bit) <> 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+                   CAST(sum(CASE WHEN (mask & earlier) <> 0 AND (mask & bit) <> 0 THEN n ELSE 0 END) AS BIGINT) AS redundant,
+                   CAST(sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+                   CAST(sum(CASE WHEN (mask & earlier) = 0 AND (mask & bit) <> 0 THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+                   CAST(sum(CASE WHEN (mask & earlier) = 0 AND (mask & bit) <> 0 THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+            FROM (SELECT m.*, filter_order, step, bit, CAST(earlier AS INTEGER) AS earlier FROM m, s)
+            GROUP BY part, filter_order, step, bit)
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+        FROM r""",
 }
