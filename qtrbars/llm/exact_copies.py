@@ -18,8 +18,8 @@ stand for several contents (with SHA-256 there are none; any ``digest`` may be
 given) have their rows placed by digest and content.
 
 Rows of groups with over a thousandth of all rows, of which there are fewer
-than ``HOT`` whatever the table, take their group from a broadcast; the others
-from a join in which no key is hot.
+than a thousand whatever the table, take their group from a broadcast; the
+others from a join in which no key is hot.
 
 Defined results: null text is empty text; null ids are smaller than all
 others, and a group of null ids alone keeps a null id; of rows that repeat
@@ -37,11 +37,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .jaccard import written
+from .joins import join_heavy
 
 #: Places in which the copies of one text are merged before the last step.
 SALTS = 32
-#: A group with more than 1 / HOT of all rows is hot.
-HOT = 1000
 
 
 def normalised(text: Column) -> Column:
@@ -67,15 +66,6 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return salted.groupBy("digest", "content").agg(F.max("id").alias("id"), F.sum("n").alias("n"))
 
 
-def _joined(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """``rows`` with the group of their digest; groups with many rows are broadcast."""
-    total = found.agg(F.sum("n")).first()[0] or 0
-    hot = F.col("n") * HOT > total  # fewer than HOT groups
-    few = F.broadcast(found.where(hot))
-    rest = rows.join(few.select("digest"), "digest", "left_anti").join(found.where(~hot), "digest")
-    return rows.join(few, "digest").unionByName(rest)
-
-
 def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            digest: Callable[[Column], Column] = sha256, salts: int = SALTS) -> DataFrame:
     """(id, digest, keep_id, group_size, kept) of every row, dropped ones too."""
@@ -86,7 +76,7 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # each row's number is written with it, so that it is the same wherever it is used
     slim = written(rows.select("id", "digest", F.monotonically_increasing_id().alias("row")), "copies-rows")
     alone, several = found.where("contents = 1").drop("contents"), found.where("contents > 1").select("digest")
-    placed = _joined(slim, alone).withColumn("part", F.lit(0).cast("bigint"))
+    placed = join_heavy(slim, alone, ["digest"], "n").withColumn("part", F.lit(0).cast("bigint"))
     if not several.isEmpty():
         mixed = written(rows.join(several, "digest", "left_semi")
                         .withColumn("row", -1 - F.monotonically_increasing_id()), "copies-mixed")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (exact_copies, filter_audit, fingerprints, jaccard, langid, packing, pieces, quality, sharding,
+from . import (exact_copies, filter_audit, fingerprints, jaccard, langid, packing, pieces, prefix_trie, quality, sharding,
                substring_bytes, substring_words, topk)
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -67,6 +67,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_digests(documents(spark, sf_dir), model_path())
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_copies.copies(documents(spark, sf_dir))
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
@@ -79,7 +83,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op3_ngram_jaccard, op4_quality_classifier, op5_document_fingerprints, op6_suffix_dedup, op7_exact_topk, op8_sharding,
-                                   op9_substring_dedup, op10_sentencepiece, op12_exact_dedup, op13_filter_audit)}
+                                   op9_substring_dedup, op10_sentencepiece, op11_prefix_trie, op12_exact_dedup, op13_filter_audit)}
 
 ORACLES = {
     "op7_exact_topk": """
@@ -96,6 +100,44 @@ ORACLES = {
             SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
                    AS rank, vec_id, score FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_prefix_trie": """
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+        c AS (
+            SELECT conv_id, list({'r': r, 'x': x} ORDER BY turn NULLS FIRST, sha256(CAST(len(r) AS VARCHAR) || ':' || r || x)) AS xs,
+                   CAST(xor(list_reduce(
+                       list_prepend(CAST(4294967295 AS BIGINT),
+                                    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+                       lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                                                     lambda v, z: xor(v >> 1, CAST(3988292384 AS BIGINT) * (v & 1)))),
+                       CAST(4294967295 AS BIGINT)) % 6 AS INTEGER) AS h
+            FROM t GROUP BY conv_id),
+        s AS (
+            SELECT c.conv_id, list_concat(coalesce(list_slice(b.xs, 1, c.h), []), list_slice(c.xs, c.h + 1, len(c.xs))) AS xs
+            FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 100),
+        m AS (
+            SELECT conv_id, depth, list_slice(xs, 1, depth) AS prefix, depth = len(xs) AS ends
+            FROM (SELECT *, unnest(range(len(xs) + 1)) AS depth FROM s)),
+        n AS (
+            SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   coalesce(len(prefix[depth].x), 0) AS chars,
+                   coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ids
+            FROM m GROUP BY prefix, depth),
+        k AS (
+            SELECT list_slice(prefix, 1, depth - 1) AS prefix, depth - 1 AS depth, count(*) AS n_children
+            FROM n WHERE depth > 0 GROUP BY ALL),
+        a AS (
+            SELECT n.*, coalesce(k.n_children, 0) AS n_children
+            FROM n LEFT JOIN k ON n.depth = k.depth AND n.prefix = k.prefix),
+        u AS (
+            SELECT list_slice(prefix, 1, d) AS prefix, d AS depth, sum(CAST(n_children = 0 AS INTEGER)) AS n_leaves,
+                   sum((n_convs - 1) * chars) AS saved_tokens
+            FROM (SELECT *, unnest(range(depth + 1)) AS d FROM a) GROUP BY ALL)
+        SELECT a.conv_id, CAST(a.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, a.n_convs, a.n_children,
+               CAST(u.n_leaves AS BIGINT) AS n_leaves, CAST(u.saved_tokens AS BIGINT) AS saved_tokens,
+               sha256(a.ids) AS ends_sha256
+        FROM a JOIN u ON a.depth = u.depth AND a.prefix = u.prefix
+        LEFT JOIN n p ON p.depth = a.depth - 1 AND p.prefix = list_slice(a.prefix, 1, a.depth - 1)""",
     "op12_exact_dedup": """
         WITH d AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
