@@ -317,8 +317,8 @@ def default_missing(spark, sf_dir):
 @query("wide_to_long")
 def wide_to_long(spark, sf_dir):
     ev = S.table(spark, sf_dir, "events").withColumn("day", D.as_date("ts"))
-    o = F.struct("ts", "event_id")
-    wide = (ev.groupBy("day").pivot("event_type", S.EVENT_TYPES)
+    o = S.event_order()
+    wide = (ev.groupBy("day").pivot("event_type")  # the types are read from the table
               .agg(F.min_by("value", o).alias("Open"), F.max("value").alias("High"),
                    F.min("value").alias("Low"), F.max_by("value", o).alias("Close"),
                    F.count(F.lit(1)).alias("Volume")))

@@ -8,8 +8,8 @@ daily bars      lineitem: ticker 'S'||l_suppkey, date l_shipdate,
                 open l_extendedprice, high price*(1+tax), low price*(1-discount),
                 close price*(1-discount)*(1+tax), adjusted close price*(1-discount),
                 volume l_quantity, dividend round(l_tax*100), split l_linenumber.
-                Rows tie on date, so first/last order by a struct that makes the
-                pick deterministic.
+                Rows tie on date, so first/last order by a number that packs the
+                date and the row's keys.
 FMP daily bars  orders: ticker 'C'||o_custkey, date o_orderdate, price o_totalprice,
                 tie-break o_orderkey (unique).
 """
@@ -26,10 +26,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(high: Column, low: Column) -> Column:
+    """Two non-negative longs below 10**18 as one number that orders by both.
+    A decimal is a fixed-size aggregate buffer, so ``min_by`` / ``max_by`` on it
+    stay in a hash aggregate; on a struct they would sort their input."""
+    return high.cast("decimal(18,0)") * F.lit(10 ** 18).cast("decimal(19,0)") + low.cast("decimal(18,0)")
+
+
 def lineitem_order() -> Column:
-    """Deterministic in-quarter order for lineitem stand-in rows."""
-    return F.struct(as_date("l_shipdate").alias("d"), F.col("l_orderkey"), F.col("l_linenumber"),
-                    F.col("l_partkey"), F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax"))
+    """Deterministic in-quarter order for lineitem stand-in rows: ship date, order,
+    line, part, price."""
+    day = F.unix_date(as_date("l_shipdate")).cast("bigint")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    return packed(day * 10 ** 13 + F.col("l_orderkey") * 10 + F.col("l_linenumber"),
+                  F.col("l_partkey") * 10 ** 8 + cents)
+
+
+def order_order() -> Column:
+    """Order of orders: date, then key."""
+    return F.unix_date(as_date("o_orderdate")).cast("bigint") * (1 << 40) + F.col("o_orderkey")
+
+
+def event_order() -> Column:
+    """Order of events: time, then id."""
+    return packed(F.unix_micros(F.col("ts").cast("timestamp")), F.col("event_id"))
 
 
 def daily_from_lineitem(li: DataFrame) -> DataFrame:
@@ -57,7 +77,7 @@ def daily_from_orders(orders: DataFrame) -> DataFrame:
         p.alias("open"), p.alias("high"), p.alias("low"), p.alias("close"),
         p.alias("adjusted_close"),
         F.lit(1).cast("bigint").alias("volume"),
-        F.struct(as_date("o_orderdate").alias("d"), F.col("o_orderkey")).alias("_order"),
+        order_order().alias("_order"),
     )
 
 
@@ -113,7 +133,6 @@ def security_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 
 AV_HEADER = ("timestamp,open,high,low,close,adjusted_close,volume,"
              "dividend_amount,split_coefficient")
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
 def event_payload() -> Column:

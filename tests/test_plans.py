@@ -52,3 +52,22 @@ def test_no_single_partition_exchange_on_rows(spark):
     plan = _plan(spark, "batch_round_robin")
     singles = [l for l in plan.split("\n") if "SinglePartition" in l]
     assert len(singles) == 1
+
+
+@pytest.mark.parametrize("name", ["quarterly_bars_av", "quarterly_bars_fmp", "quarterly_bars_yahoo", "pct_change",
+                                  "pct_change_desc", "compound_return", "trading_span", "latest_quarters", "wide_to_long"])
+def test_ties_are_picked_in_hash_aggregates(spark, name):
+    assert "SortAggregate" not in _plan(spark, name)
+
+
+def test_packed_order_is_the_order_of_its_parts(spark):
+    from pyspark.sql import functions as F
+    from qtrbars.plans import standins as S
+    rows = [(h, l) for h in (0, 7, 10 ** 17, 10 ** 18 - 1) for l in (0, 3, 10 ** 18 - 1)]
+    df = spark.createDataFrame(rows[::-1], "h bigint, l bigint").withColumn("k", S.packed(F.col("h"), F.col("l")))
+    found = sorted((r.k, r.h, r.l) for r in df.collect())
+    assert [r[1:] for r in found] == rows and len({r[0] for r in found}) == len(rows)
+    li = S.table(spark, SF_SMALL, "lineitem")
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
+    picked = li.withColumn("k", S.lineitem_order()).select("k", *order).collect()
+    assert [r[1:] for r in sorted(picked)] == sorted(tuple(r[1:]) for r in picked)
