@@ -43,10 +43,12 @@ FMP_SCHEMA = T.StructType([T.StructField("symbol", T.StringType()),
 STATUSES = ["ok", "rate_limited", "not_available", "unparseable", "unrecognized"]
 # Texts of a missing number, as CSV readers take them (lower case):
 MISSING_NUMBERS = ["", "nan", "null", "none", "n/a", "na"]
-#: Doubles of this size or more don't fit a 64-bit integer.
+#: The largest 64-bit integer, and the doubles that don't fit one: this size or more.
+_LONG_MOST = 2 ** 63 - 1
 _LONG_LIMIT = 9.223372036854775807e18
-#: A comma outside quotes: an even number of quotes follows it.
-_UNQUOTED_COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+#: Line breaks and commas inside quotes, and what stands for them while records
+#: and cells are split (private-use characters).
+_SHIELDED, _SHIELDS = "\n\r,", "\ue000\ue001\ue002"
 
 
 def _c(x) -> Column:
@@ -69,12 +71,26 @@ def is_answer(payload, vendor: str) -> Column:
     return ~F.coalesce(contains_any(head_text(payload), RATE_MESSAGES[vendor]), F.lit(False))
 
 
+def shielded(payload) -> Column:
+    """The payload with the line breaks and commas inside quotes replaced, so
+    that records end at line breaks and cells at commas.
+
+    Cut at its quotes, a text's pieces are outside and inside quotes by turns,
+    so one pass over the pieces does; a doubled quote inside a quoted cell is an
+    empty piece outside. Texts without quotes are left as they are.
+    """
+    text = _c(payload)
+    pieces = F.transform(F.split(text, '"'), lambda x, i: F.when(i % 2 == 1, F.translate(x, _SHIELDED, _SHIELDS)).otherwise(x))
+    return F.when(text.contains('"'), F.array_join(pieces, '"')).otherwise(text)
+
+
 def lines(payload) -> Column:
-    return F.split(_c(payload), "\r?\n")
+    """Records of a CSV text; a quoted cell may go over several lines."""
+    return F.split(shielded(payload), "\r?\n")
 
 
 def data_lines(payload) -> Column:
-    """Non-blank lines after the header line."""
+    """Non-blank records after the header."""
     return F.filter(lines(payload), lambda x, i: (i > 0) & (F.trim(x) != ""))
 
 
@@ -82,52 +98,44 @@ def header_fields(payload) -> Column:
     return csv_cells(F.try_element_at(lines(payload), F.lit(1)))
 
 
-def csv_cells(line: Column) -> Column:
-    """Trimmed cells of a CSV line; a quoted cell may hold commas, and a
-    doubled quote in it stands for one. Lines without quotes are split
-    directly (a vendor's usual line)."""
+def csv_cells(record: Column) -> Column:
+    """Trimmed cells of a record of ``lines``; a quoted cell may hold commas and
+    line breaks, and a doubled quote in it stands for one."""
+    def plain(cell):
+        return F.trim(cell)
+
     def unquoted(cell):
         cell = F.trim(cell)
         inner = F.replace(F.regexp_replace(cell, '^"|"$', ""), F.lit('""'), F.lit('"'))
-        return F.when(cell.startswith('"'), F.trim(inner)).otherwise(cell)
-    return (F.when(line.contains('"'), F.transform(F.split(line, _UNQUOTED_COMMA), unquoted))
-             .otherwise(F.transform(F.split(line, ","), lambda x: F.trim(x))))
-
-
-def _cell(cells: Column, pos: Column) -> Column:
-    return F.when(pos > 0, F.try_element_at(cells, pos))
+        return F.when(cell.startswith('"'), F.trim(F.translate(inner, _SHIELDS, _SHIELDED))).otherwise(cell)
+    cells = F.split(record, ",")
+    return F.when(record.contains('"'), F.transform(cells, unquoted)).otherwise(F.transform(cells, plain))
 
 
-def _given(text: Column) -> Column:
-    """The trimmed text of a number, null where it stands for a missing one."""
-    text = F.trim(text)
-    return F.when(~F.lower(text).isin(MISSING_NUMBERS), text)
+def _missing(text: Column) -> Column:
+    """True where a text stands for a missing number."""
+    return text.isNull() | F.lower(F.trim(text)).isin(MISSING_NUMBERS)
 
 
 def _num(text: Column) -> Column:
-    return _given(text).try_cast("double")
+    """The number, null where there is none (NaN counts as none)."""
+    return F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
 
 
-def _whole(text: Column) -> Column:
+def _whole(text: Column, number: Column) -> Column:
     """A 64-bit integer, exact where it is written as one, else truncated
-    from its double; null beyond the range (see ``_bad_whole``)."""
-    x = _num(text)
-    return F.coalesce(_given(text).try_cast("bigint"), F.when(F.abs(x) < _LONG_LIMIT, x.cast("bigint")))
-
-
-def _bad_num(text: Column) -> Column:
-    return _given(text).isNotNull() & _num(text).isNull()
-
-
-def _bad_whole(text: Column) -> Column:
-    return _given(text).isNotNull() & _whole(text).isNull()
+    from ``number``, its double; null beyond the range."""
+    return F.coalesce(F.trim(text).try_cast("bigint"), F.when(F.abs(number) < _LONG_LIMIT, number.cast("bigint")))
 
 
 def _unusable_rows(rows: Column) -> Column:
-    """A date or number that doesn't parse, or volumes whose sum over the
-    whole payload leaves the 64-bit range (so no quarter's sum overflows)."""
-    volumes = F.aggregate(rows, F.lit(0.0), lambda acc, r: acc + F.coalesce(F.abs(r["volume"].cast("double")), F.lit(0.0)))
-    return F.exists(rows, lambda r: r["date"].isNull() | r["_bad"]) | (volumes >= _LONG_LIMIT)
+    """A date or number that doesn't parse, or volumes whose sizes sum beyond
+    the 64-bit range over the whole payload (else no quarter's sum overflows).
+    The sum is exact."""
+    exact = "decimal(38,0)"
+    volumes = F.aggregate(rows, F.lit(0).cast(exact),
+                          lambda acc, r: (acc + F.coalesce(F.abs(r["volume"].cast(exact)), F.lit(0).cast(exact))).cast(exact))
+    return F.exists(rows, lambda r: r["date"].isNull() | r["_bad"]) | (volumes > F.lit(_LONG_MOST).cast(exact))
 
 
 def _any(conditions) -> Column:
@@ -142,31 +150,31 @@ def field_positions(header: Column) -> Column:
     return F.array(*[F.array_position(header, f).cast("int") for f in AV_FIELDS])
 
 
+def _typed(row: Column, i: Column, day: Column, text, numbers: list[str], volume: str) -> Column:
+    """A typed row from the texts of its fields (``text(name)``) and the numbers
+    read from them once (``row['n']``, in the order of ``numbers``)."""
+    value = {f: F.get(row["n"], F.lit(k)) for k, f in enumerate(numbers)}
+    whole = _whole(text(volume), value[volume])
+    bad = [value[f].isNull() & ~_missing(text(f)) for f in numbers if f != volume]
+    names = {"adjClose": "adjusted_close"}
+    return F.struct(day.alias("date"),
+                    *[(whole if f == volume else value[f]).alias(names.get(f, f)) for f in numbers],
+                    i.alias("_seq"),
+                    _any([*bad, whole.isNull() & ~_missing(text(volume))]).alias("_bad"))
+
+
 def av_rows_from(body: Column, positions: Column) -> Column:
-    """Typed rows from data lines and header positions (both computed once
-    per payload). Each line is split once; fields are then picked by
-    position, so the cost is linear in the payload size."""
-    split_lines = F.transform(body, csv_cells)
-
-    pos = {f: F.element_at(positions, k + 1) for k, f in enumerate(AV_FIELDS)}
-    prices = [f for f in AV_FIELDS if f not in ("timestamp", "volume")]
-
-    def row(cells, i):
-        return F.struct(
-            parse_day(F.trim(_cell(cells, pos["timestamp"]))).alias("date"),
-            _num(_cell(cells, pos["open"])).alias("open"),
-            _num(_cell(cells, pos["high"])).alias("high"),
-            _num(_cell(cells, pos["low"])).alias("low"),
-            _num(_cell(cells, pos["close"])).alias("close"),
-            _num(_cell(cells, pos["adjusted_close"])).alias("adjusted_close"),
-            _whole(_cell(cells, pos["volume"])).alias("volume"),
-            _num(_cell(cells, pos["dividend_amount"])).alias("dividend_amount"),
-            _num(_cell(cells, pos["split_coefficient"])).alias("split_coefficient"),
-            i.alias("_seq"),
-            _any([_bad_num(_cell(cells, pos[f])) for f in prices]
-                 + [_bad_whole(_cell(cells, pos["volume"]))]).alias("_bad"),
-        )
-    return F.transform(split_lines, row)
+    """Typed rows from data records and header positions (both computed once
+    per payload). Each record is split once and each number read once, so the
+    cost is linear in the payload size."""
+    pos = {f: F.element_at(positions, k + 1) - 1 for k, f in enumerate(AV_FIELDS)}  # -1 when absent
+    numbers = [f for f in AV_FIELDS if f != "timestamp"]
+    read = F.transform(F.transform(body, csv_cells), lambda cells: F.struct(
+        cells.alias("t"), F.array(*[_num(F.get(cells, pos[f])) for f in numbers]).alias("n")))
+
+    def row(x, i):
+        return _typed(x, i, parse_day(F.get(x["t"], pos["timestamp"])), lambda f: F.get(x["t"], pos[f]), numbers, "volume")
+    return F.transform(read, row)
 
 
 def av_rows(payload) -> Column:
@@ -229,15 +237,9 @@ def fmp_rows(payload=None, hist=None) -> Column:
     """Array of typed daily rows of an FMP JSON payload (or of its parsed
     ``historical`` list, to parse once)."""
     hist = fmp_parsed(payload)["historical"] if hist is None else _c(hist)
-    return F.transform(hist, lambda r, i: F.struct(
-        parse_day(r["date"]).alias("date"),
-        _num(r["open"]).alias("open"), _num(r["high"]).alias("high"), _num(r["low"]).alias("low"),
-        _num(r["close"]).alias("close"), _num(r["adjClose"]).alias("adjusted_close"),
-        _whole(r["volume"]).alias("volume"),
-        i.alias("_seq"),
-        _any([_bad_num(r[f]) for f in ("open", "high", "low", "close", "adjClose")]
-             + [_bad_whole(r["volume"])]).alias("_bad"),
-    ))
+    numbers = ["open", "high", "low", "close", "adjClose", "volume"]
+    read = F.transform(hist, lambda r: F.struct(r.alias("t"), F.array(*[_num(r[f]) for f in numbers]).alias("n")))
+    return F.transform(read, lambda x, i: _typed(x, i, parse_day(x["t"]["date"]), lambda f: x["t"][f], numbers, "volume"))
 
 
 def fmp_status(payload, hist=None, rows=None) -> Column:

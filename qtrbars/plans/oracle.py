@@ -292,6 +292,13 @@ ORACLES.update({
         SELECT 'AV' AS source, ticker, status AS reason, payload FROM ({_CLASSIFIED}) c
         WHERE status = 'not_available'""",
     "csv_payload_parse": _order_rows(0, "AV", True) + "\n  UNION ALL" + _order_rows(1, "AV", True),
+    "csv_quoted_records": _order_rows(0, "AV", True) + "\n  UNION ALL" + _order_rows(1, "AV", True),
+    "volume_limit": """
+        SELECT ticker, CASE WHEN total > 9223372036854775807 THEN 'unparseable' ELSE 'ok' END AS status,
+               CAST(TRY_CAST(total AS BIGINT) AS VARCHAR) AS volume
+        FROM (SELECT 'O' || CAST(o_orderkey AS VARCHAR) AS ticker,
+                     CAST(9223372036854775807 - o_custkey AS HUGEINT) + o_custkey + o_orderkey % 2 AS total
+              FROM orders) t""",
     "json_records_explode": _order_rows(0, "FMP", False),
     "json_field_extract": """
         SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""",

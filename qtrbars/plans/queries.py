@@ -242,6 +242,22 @@ def csv_payload_parse(spark, sf_dir):
     return SRC.daily_rows(c)
 
 
+@query("csv_quoted_records")
+def csv_quoted_records(spark, sf_dir):
+    """Records with quoted cells that hold commas, quotes and line breaks."""
+    c = SRC.classify(S.order_quoted_payloads(S.table(spark, sf_dir, "orders")), "AV")
+    return SRC.daily_rows(c)
+
+
+@query("volume_limit")
+def volume_limit(spark, sf_dir):
+    """Volumes at the 64-bit limit: the exact sum is kept, one more is refused."""
+    out = P.process_payloads(S.order_volume_payloads(S.table(spark, sf_dir, "orders")), "AV")
+    bars = out["bars"].select("ticker", F.lit("ok").alias("status"), F.col("volume").cast("string").alias("volume"))
+    refused = out["quarantine"].select("ticker", F.col("reason").alias("status"), F.lit(None).cast("string").alias("volume"))
+    return bars.unionByName(refused)
+
+
 @query("json_records_explode")
 def json_records_explode(spark, sf_dir):
     c = SRC.classify(S.order_json_payloads(S.table(spark, sf_dir, "orders")), "FMP")

@@ -189,13 +189,42 @@ def order_csv_text() -> Column:
     return F.concat(F.lit(AV_HEADER + "\n"), line(d), F.lit("\n"), line(F.date_sub(d, 1)), F.lit("\n"))
 
 
-def order_csv_payloads(orders: DataFrame) -> DataFrame:
-    """One AV CSV payload per order (ticker 'O'||o_orderkey)."""
+def _order_payloads(orders: DataFrame, text: Column) -> DataFrame:
     return orders.select(F.lit("AV").alias("source"),
                          F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("ticker"),
                          F.lit(None).cast("string").alias("path"),
                          F.col("o_orderdate").cast("timestamp").alias("modified"),
-                         order_csv_text().alias("payload"))
+                         text.alias("payload"))
+
+
+def order_csv_payloads(orders: DataFrame) -> DataFrame:
+    """One AV CSV payload per order (ticker 'O'||o_orderkey)."""
+    return _order_payloads(orders, order_csv_text())
+
+
+def order_quoted_payloads(orders: DataFrame) -> DataFrame:
+    """The same with a quoted header cell and, before the prices, a quoted note
+    that holds a comma, doubled quotes and a line break."""
+    note = F.concat(F.lit('"'), "o_orderpriority", F.lit(', ""order""\n'), F.col("o_orderkey").cast("string"), F.lit('"'))
+    p, vol = F.col("o_totalprice").cast("string"), F.col("o_custkey").cast("string")
+
+    def line(day):
+        return F.concat_ws(",", note, F.date_format(day, "yyyy-MM-dd"), p, p, p, p, F.concat(F.lit('"'), p, F.lit('"')),
+                           vol, F.lit("0.0"), F.lit("1.0"))
+    d = as_date("o_orderdate")
+    header = F.lit('"note",' + AV_HEADER + "\r\n")
+    return _order_payloads(orders, F.concat(header, line(d), F.lit("\r\n"), line(F.date_sub(d, 1)), F.lit("\n")))
+
+
+def order_volume_payloads(orders: DataFrame) -> DataFrame:
+    """Payloads of two rows of one day whose volumes sum to 2**63 - 1 for even
+    orders (the most a 64-bit integer holds) and to one more for odd ones."""
+    key = F.col("o_orderkey")
+    first = F.lit(2 ** 63 - 1) - F.col("o_custkey")
+    second = F.col("o_custkey") + key % 2
+    day = F.date_format(as_date("o_orderdate"), "yyyy-MM-dd")
+    lines = [F.concat_ws(",", day, *[F.lit("1.5")] * 5, v.cast("string"), F.lit("0.0"), F.lit("1.0")) for v in (first, second)]
+    return _order_payloads(orders, F.concat(F.lit(AV_HEADER + "\n"), lines[0], F.lit("\n"), lines[1], F.lit("\n")))
 
 
 def order_json_payloads(orders: DataFrame) -> DataFrame:

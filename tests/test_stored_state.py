@@ -38,10 +38,42 @@ def test_av_malformed_cells(spark):
         "GAP": HEADER + line.format(o="", v="null"),
         "SUM": HEADER + line.format(o=1, v=9 * 10**18) * 2,
     })
-    assert got == {"WORD": "unparseable", "BIG": "unparseable", "EDGE": "unparseable", "MAX": "unparseable",
+    assert got == {"WORD": "unparseable", "BIG": "unparseable", "EDGE": "unparseable", "MAX": "ok",
                    "COMMA": "unparseable", "QUOTED": "ok", "GAP": "ok", "SUM": "unparseable"}
     bars = {r.ticker: (r.open, r.volume) for r in out["bars"].collect()}
-    assert bars == {"QUOTED": (1.25, 10), "GAP": (None, 0)}
+    assert bars == {"QUOTED": (1.25, 10), "GAP": (None, 0), "MAX": (1.0, 2**63 - 1)}
+
+
+def test_quoted_records_go_over_lines(spark):
+    line = '"first, ""quoted""\n\r\nlast",2024-01-0{d},1,2,0.5,1.5,"{p}",10,0,1\n'
+    wide = "note," + HEADER
+    out, got = _classified(spark, "AV", {
+        "NOTES": wide + line.format(d=2, p="1.25") + "\n" + line.format(d=3, p=" 1.75 "),
+        "EMPTY": wide + '"",2024-01-02,1,2,0.5,1.5,"",10,0,1',
+        "OPEN": wide + '"never closed,2024-01-02,1,2,0.5,1.5,1,10,0,1\n' + line.format(d=3, p="1"),
+        "BROKEN": wide + line.format(d=2, p="1\n5"),
+        "SHIELD": wide + line.format(d=2, p="\ue000").replace("last", "\ue001,\ue002"),
+        "HEADER": '"no\nte",' + HEADER + line.format(d=2, p="2"),
+    })
+    assert got == {"NOTES": "ok", "EMPTY": "ok", "OPEN": "unparseable", "BROKEN": "unparseable", "SHIELD": "unparseable",
+                   "HEADER": "ok"}
+    bars = {r.ticker: (r.open, r.adjusted_close, r.volume) for r in out["bars"].collect()}
+    assert bars == {"NOTES": (1.0, 1.75, 20), "EMPTY": (1.0, None, 10), "HEADER": (1.0, 2.0, 10)}
+
+
+def test_a_long_quoted_record_is_read_in_linear_time(spark):
+    import time
+    from qtrbars.functions import payload as PL
+
+    def seconds(n):
+        text = "note," + HEADER + '"a,b""\n",2024-01-02,1,2,0.5,1.5,1,10,0,1\n' * n
+        df = PL.with_av_parse(spark.createDataFrame([(text,)], "payload string"))
+        began = time.time()
+        assert [tuple(r) for r in df.select("status", F.size("rows")).collect()] == [("ok", n)]
+        return time.time() - began
+    seconds(100)
+    few, many = seconds(4_000), seconds(64_000)
+    assert many < 30 * max(few, 0.25)  # 16 times the records; quadratic would be 256
 
 
 def test_fmp_malformed_values(spark):
