@@ -7,7 +7,7 @@ yahoo_quarterly     long 3-month vendor bars -> cleaned bars (+ _from_wide)
 universe            security parquet files -> cleaned, remapped tickers
 publish             replace stored bars / records ticker by ticker (+ manifest)
 publish_yahoo       the same for Yahoo bars and rejected tickers
-pending_work        universe minus published bars and registered tickers
+pending_work        universe minus published bars and registered tickers, from the key index
 repo_summary        repository JSON + contributor lists -> stars and contributor count
 
 Plan shape of daily_to_quarterly (checked with explain): scan -> partial
@@ -137,6 +137,7 @@ def process_payloads(payloads: DataFrame, vendor: str, data_load=None,
         "retry": classified.where(F.col("status") == "rate_limited").select("source", "ticker"),
         "classified": classified.select("source", "ticker", "path", "status"),
         "classified_frame": classified,
+        "source": vendor,
     }
 
 
@@ -168,14 +169,49 @@ def manifest(bars: DataFrame) -> DataFrame:
     return trading_span(bars, keys=("source", "ticker"))
 
 
+#: Where the answers of a status are stored (rate-limited ones nowhere).
+STATES = {"ok": "bars", "not_available": "not_available", "unparseable": "quarantine", "unrecognized": "quarantine"}
+
+
+def index_path(bars_path: str) -> str:
+    """Where the key index of a lake is kept: beside its bars."""
+    return bars_path.rstrip("/") + "_index"
+
+
+def payload_digest(payload: str) -> Column:
+    """What tells a ticker's answers apart (a null payload is its own kind)."""
+    return F.coalesce(F.sha2(payload, 256), F.lit(""))
+
+
+def answers(classified: DataFrame) -> DataFrame:
+    """Index rows (source, ticker, state, modified, fetch_id, path, digest) of classified payloads."""
+    state = F.create_map(*[F.lit(x) for pair in STATES.items() for x in pair])[F.col("status")]
+    have = set(classified.columns)
+    return classified.where(F.col("status") != "rate_limited").select(
+        "source", "ticker", state.alias("state"), "modified",
+        (F.col("fetch_id") if "fetch_id" in have else F.lit(None)).cast("bigint").alias("fetch_id"), "path",
+        (F.col("digest") if "digest" in have else payload_digest("payload")).alias("digest"))
+
+
+def _with_prior(spark, found: DataFrame, bars_path: str, source: str | None) -> DataFrame:
+    """Index rows with ``was``: where the ticker has been stored so far (null: nowhere)."""
+    from ..sinks import parquet as SK
+    prior = SK.read_bucketed(spark, index_path(bars_path), SK.INDEX_SCHEMA, source=source)
+    return found.join(prior.select("source", "ticker", F.col("state").alias("was")), ["source", "ticker"], "left")
+
+
 def publish(outputs: dict, bars_path: str, registry_path: str, quarantine_path: str,
-            layout: str = "bucket", manifest_path: str | None = None) -> None:
+            layout: str = "bucket", manifest_path: str | None = None, refreshed: DataFrame | None = None) -> None:
     """Replace the stored bars/records of every ticker present in the outputs.
 
-    ``layout='bucket'`` (default) stores bucket folders and rewrites only
-    touched ones; a ticker is then found in one place only (bars, registry or
+    ``layout='bucket'`` (default) keeps versioned bucket tables and writes anew only
+    touched buckets; a ticker is then found in one place only (bars, registry or
     quarantine), that of its answer published last. A rate-limit message is no
-    answer and changes nothing. ``layout='ticker'`` keeps one folder per
+    answer and changes nothing. Which place that is, the fetch and the digest
+    of its text stand in the key index (``index_path``), written last: it
+    says which buckets a ticker has to leave, so no stored rows are searched.
+    ``refreshed`` are index rows of answers whose text is the one already
+    stored; they replace index rows only. ``layout='ticker'`` keeps one folder per
     ticker, as the source job's one-file-per-ticker output does, and replaces
     folders without removing any.
 
@@ -185,63 +221,78 @@ def publish(outputs: dict, bars_path: str, registry_path: str, quarantine_path:
     if layout not in ("bucket", "ticker"):
         raise ValueError("layout must be 'bucket' or 'ticker'")
     frame = outputs["classified_frame"]
-    kept = frame.storageLevel.useMemory or frame.storageLevel.useDisk
-    if not kept:
-        frame.persist()
-    status = F.col("status")
-    unusable = frame.where(~status.isin("ok", "rate_limited"))
+    spark = frame.sparkSession
+    cached = [] if frame.storageLevel.useMemory or frame.storageLevel.useDisk else [frame.persist()]
     try:
+        found = answers(frame)
         if layout == "bucket":
-            SK.replace_in_buckets(outputs["bars"], bars_path, SK.BAR_SCHEMA, retire=unusable)
-            for key, path, own in (("not_available", registry_path, ["not_available"]),
-                                   ("quarantine", quarantine_path, list(QUARANTINE_STATUSES))):
-                # record sets are usually empty: no table before the first record
-                if SK._exists(frame.sparkSession, path) or not outputs[key].isEmpty():
-                    SK.replace_in_buckets(outputs[key], path, SK.RECORD_SCHEMA, order=(),
-                                          retire=frame.where(~status.isin(*own, "rate_limited")))
+            moves = _with_prior(spark, found, bars_path, outputs.get("source")).select("source", "ticker", "state", "was").persist()
+            cached.append(moves)
+            _replace_moved(moves, {
+                "bars": [(outputs["bars"], bars_path, SK.BAR_SCHEMA, ("quarter",))]
+                + ([(manifest(outputs["bars"]), manifest_path, SK.MANIFEST_SCHEMA, ())] if manifest_path else []),
+                "not_available": [(outputs["not_available"], registry_path, SK.RECORD_SCHEMA, ())],
+                "quarantine": [(outputs["quarantine"], quarantine_path, SK.RECORD_SCHEMA, ())]})
         else:
             SK.replace_by_ticker(outputs["bars"], bars_path)
             SK.write_records(outputs["not_available"], registry_path)
             SK.write_records(outputs["quarantine"], quarantine_path)
-        if manifest_path:
-            SK.replace_in_buckets(manifest(outputs["bars"]), manifest_path, SK.MANIFEST_SCHEMA, order=(),
-                                  retire=unusable)
+            if manifest_path:
+                SK.replace_in_buckets(manifest(outputs["bars"]), manifest_path, SK.MANIFEST_SCHEMA, order=(),
+                                      retire=frame.where(~F.col("status").isin("ok", "rate_limited")))
+        rows = found if refreshed is None else found.unionByName(refreshed)
+        SK.replace_in_buckets(rows, index_path(bars_path), SK.INDEX_SCHEMA, order=())
     finally:
-        if not kept:
-            frame.unpersist()
+        for one in cached:
+            one.unpersist()
+
+
+def _replace_moved(moves: DataFrame, tables: dict) -> None:
+    """Replace, in each state's tables, the tickers that are now there or were."""
+    from ..sinks import parquet as SK
+    for state, targets in tables.items():
+        keys = moves.where((F.col("state") == state) | (F.col("was") == state))
+        for rows, path, schema, order in targets:
+            SK.replace_in_buckets(rows, path, schema, order=order, keys=keys)
 
 
 def publish_yahoo(bars: DataFrame, rejected: DataFrame, bars_path: str, quarantine_path: str,
                   manifest_path: str | None = None, data_load=None) -> None:
     """Replace the stored Yahoo bars; rejected tickers go to the common
     quarantine (no payload text, reason ``nonpositive_price``) and lose stored
-    bars, tickers with bars leave the quarantine."""
+    bars, tickers with bars leave the quarantine. Their index rows have no
+    fetch and no digest."""
     from ..sinks import parquet as SK
+    spark = bars.sparkSession
+    load = _data_load(data_load)
     records = rejected.select(F.col("reason"), F.lit(None).cast("string").alias("payload"),
-                              _data_load(data_load).alias("data_load"), "source", "ticker")
-    good = bars.select("source", "ticker").distinct()
-    SK.replace_in_buckets(bars, bars_path, SK.BAR_SCHEMA, retire=rejected)
-    if SK._exists(bars.sparkSession, quarantine_path) or not records.isEmpty():
-        SK.replace_in_buckets(records, quarantine_path, SK.RECORD_SCHEMA, order=(), retire=good)
-    if manifest_path:
-        SK.replace_in_buckets(manifest(bars), manifest_path, SK.MANIFEST_SCHEMA, order=(), retire=rejected)
-
-
-def pending_work(spark, universe: DataFrame, bars_path: str, registry_path: str,
-                 source: str) -> DataFrame:
-    """Tickers of ``universe`` that still need a fetch from ``source``: not in
-    the published bars and not registered as unknown (bucket layout).
-    Rate-limited tickers were never stored, so they stay pending."""
+                              load.alias("data_load"), "source", "ticker")
+    found = (bars.select("source", "ticker", F.lit("bars").alias("state"))
+             .unionByName(rejected.select("source", "ticker", F.lit("quarantine").alias("state"))).distinct())
+    moves = _with_prior(spark, found, bars_path, None).persist()
+    try:
+        _replace_moved(moves, {
+            "bars": [(bars, bars_path, SK.BAR_SCHEMA, ("quarter",))]
+            + ([(manifest(bars), manifest_path, SK.MANIFEST_SCHEMA, ())] if manifest_path else []),
+            "quarantine": [(records, quarantine_path, SK.RECORD_SCHEMA, ())]})
+        none = F.lit(None)
+        SK.replace_in_buckets(moves.select("source", "ticker", "state", load.alias("modified"), none.cast("bigint").alias("fetch_id"),
+                                           none.cast("string").alias("path"), none.cast("string").alias("digest")),
+                              index_path(bars_path), SK.INDEX_SCHEMA, order=())
+    finally:
+        moves.unpersist()
+
+
+def pending_work(spark, universe: DataFrame, bars_path: str, source: str) -> DataFrame:
+    """Tickers of ``universe`` that still need a fetch from ``source``: neither bars
+    nor registered as unknown. Rate-limited tickers were never stored and
+    quarantined ones have nothing usable, so both stay pending.
+
+    Only the key index is read, one short row per ticker, never the bars; and of
+    it only this source's folders."""
     from ..sinks import parquet as SK
-    done = []
-    for path, schema in ((bars_path, SK.BAR_SCHEMA), (registry_path, SK.RECORD_SCHEMA)):
-        if SK._exists(spark, path):
-            done.append(SK.read_bucketed(spark, path, schema)
-                          .where(F.col("source") == source).select("ticker"))
-    if not done:
-        return universe.select("ticker").where(F.col("ticker").isNotNull()).distinct()
-    handled = done[0] if len(done) == 1 else done[0].unionByName(done[1])
-    return pending_tickers(universe, handled)
+    index = SK.read_bucketed(spark, index_path(bars_path), SK.INDEX_SCHEMA, source=source)
+    return pending_tickers(universe, index.where(F.col("state").isin("bars", "not_available")).select("ticker"))
 
 
 # ------------------------------------------------------- repository summary

@@ -1,7 +1,8 @@
 """Replace-by-ticker parquet sinks.
 
-Bars (and the not-available / quarantine records) are stored partitioned by
-``source`` and ``ticker``. Writing uses dynamic partition overwrite: only the
+The default layout is the versioned bucket table of ``buckets.py``. In the
+other, bars (and the not-available / quarantine records) are stored partitioned
+by ``source`` and ``ticker``, one folder for each ticker. Writing uses dynamic partition overwrite: only the
 (source, ticker) folders present in the new data are replaced; every other
 ticker's folder is untouched, so re-running a ticker replaces exactly its
 files and a second identical run changes nothing. Rows are sorted newest
@@ -16,44 +17,16 @@ written by a single task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PARTITION_COLS = ("source", "ticker")
-
-BAR_SCHEMA = T.StructType([
-    T.StructField("quarter", T.StringType()),
-    T.StructField("open", T.DoubleType()),
-    T.StructField("high", T.DoubleType()),
-    T.StructField("low", T.DoubleType()),
-    T.StructField("close", T.DoubleType()),
-    T.StructField("adjusted_close", T.DoubleType()),
-    T.StructField("volume", T.LongType()),
-    T.StructField("dividend_amount", T.DoubleType()),
-    T.StructField("split_coefficient", T.DoubleType()),
-    T.StructField("date", T.DateType()),
-    T.StructField("data_load", T.TimestampType()),
-    T.StructField("pct_change", T.DoubleType()),
-    T.StructField("compound_return", T.DoubleType()),
-    T.StructField("source", T.StringType()),
-    T.StructField("ticker", T.StringType()),
-])
-
-MANIFEST_SCHEMA = T.StructType([
-    T.StructField("first_quarter", T.StringType()),
-    T.StructField("last_quarter", T.StringType()),
-    T.StructField("source", T.StringType()),
-    T.StructField("ticker", T.StringType()),
-])
+# the versioned bucket tables and all schemas are part of this module's interface
+from .buckets import (ConcurrentWrite, Version, bucket_col, exists, publish_version, read_bucketed,  # noqa: F401
+                      replace_in_buckets, stage_replace, stored_buckets, vacuum, version, versions)
+from .schemas import BAR_SCHEMA, INDEX_SCHEMA, MANIFEST_SCHEMA, RECORD_SCHEMA  # noqa: F401
 
-RECORD_SCHEMA = T.StructType([
-    T.StructField("reason", T.StringType()),
-    T.StructField("payload", T.StringType()),
-    T.StructField("data_load", T.TimestampType()),
-    T.StructField("source", T.StringType()),
-    T.StructField("ticker", T.StringType()),
-])
+PARTITION_COLS = ("source", "ticker")
 
 
 def replace_by_ticker(df: DataFrame, path: str, order=("quarter",),
@@ -79,165 +52,3 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType = BAR_SCHEMA
     """Read a sink back with its declared schema (partition values stay text,
     so a ticker such as '123' is not turned into a number)."""
     return spark.read.schema(schema).parquet(path)
-
-
-# ------------------------------------------------------------ bucket layout
-#
-# One folder per ticker means one tiny file and one commit rename per ticker:
-# tens of thousands per vendor, slow on any object store. The bucket layout
-# stores (source, buckets, bucket) folders, bucket = pmod(xxhash64(source,
-# ticker), buckets), one file per bucket; the count is part of the folder
-# names, so it always travels with the rows. Replacing tickers rewrites only
-# the buckets they hash to, which are pushed to the scan as partition literals.
-#
-# The merged rows are first written whole to ``<path>_merge`` and only then
-# put in place. A job that dies while it replaces folders loses nothing: the
-# next writer finds the complete merge and puts it in place again. One writer
-# at a time is assumed, as for any plain parquet table.
-
-DEFAULT_BUCKETS = 64
-BUCKET_COLS = ("source", "buckets", "bucket")
-
-#: The fetch each ticker's stored rows come from.
-FETCH_SCHEMA = T.StructType([
-    T.StructField("source", T.StringType()),
-    T.StructField("ticker", T.StringType()),
-    T.StructField("modified", T.TimestampType()),
-    T.StructField("fetch_id", T.LongType()),
-])
-
-
-def bucket_col(n_buckets: int = DEFAULT_BUCKETS):
-    return F.pmod(F.xxhash64("source", "ticker"), F.lit(n_buckets)).cast("int")
-
-
-def _fs(spark: SparkSession, path: str):
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, hpath = _fs(spark, path)
-    return fs.exists(hpath)
-
-
-def stored_buckets(spark: SparkSession, path: str) -> int | None:
-    """Bucket count the table at ``path`` is stored with (null: no table or no
-    rows yet). Reads the folder names of one source."""
-    fs, hpath = _fs(spark, path)
-    if not fs.exists(hpath):
-        return None
-    for source in fs.listStatus(hpath):
-        if source.getPath().getName().startswith("source="):
-            for child in fs.listStatus(source.getPath()):
-                name = child.getPath().getName()
-                if name.startswith("buckets="):
-                    return int(name.split("=", 1)[1])
-    return None
-
-
-def with_bucket(schema: T.StructType) -> T.StructType:
-    """The stored columns: ``schema``, the layout's folders and ``_empty``,
-    true on the one row that keeps a bucket's folder when its tickers left."""
-    return T.StructType(schema.fields + [T.StructField("_empty", T.BooleanType()),
-                                         T.StructField("buckets", T.IntegerType()),
-                                         T.StructField("bucket", T.IntegerType())])
-
-
-def _in_buckets(touched) -> Column:
-    """Partition filter of the given (source, bucket) rows, as literals."""
-    by_source = {}
-    for r in touched:
-        by_source.setdefault(r["source"], []).append(r["bucket"])
-    out = F.lit(False)
-    for source, buckets in by_source.items():
-        out = out | ((F.col("source") == source) & F.col("bucket").isin(sorted(buckets)))
-    return out
-
-
-def _write_buckets(df: DataFrame, path: str, order) -> None:
-    sort = [*BUCKET_COLS, "ticker"] + [F.col(c).desc() for c in order if c in df.columns]
-    (df.hint("rebalance", *BUCKET_COLS)
-       .sortWithinPartitions(*sort)
-       .write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*BUCKET_COLS)
-       .parquet(path))
-
-
-def finish_merge(spark: SparkSession, path: str, schema: T.StructType = BAR_SCHEMA, order=("quarter",)) -> None:
-    """Put a completely written merge in place, if there is one; repeating it
-    changes nothing. A merge that was not written to its end is ignored (its
-    rows never replaced anything)."""
-    merge = path.rstrip("/") + "_merge"
-    if _exists(spark, merge + "/_SUCCESS"):
-        _write_buckets(spark.read.schema(with_bucket(schema)).parquet(merge), path, order)
-        fs, hpath = _fs(spark, merge)
-        fs.delete(hpath, True)
-
-
-def replace_in_buckets(df: DataFrame, path: str, schema: T.StructType = BAR_SCHEMA,
-                       n_buckets: int | None = None, order=("quarter",),
-                       retire: DataFrame | None = None) -> None:
-    """Replace the rows of every (source, ticker) in ``df`` inside the bucket
-    layout at ``path`` and remove those of the stored (source, ticker) in
-    ``retire``; all other tickers keep their rows.
-
-    The first write fixes the bucket count (``n_buckets``, 64 unless given);
-    asking for another one later raises.
-    """
-    spark = df.sparkSession
-    finish_merge(spark, path, schema, order)
-    stored = stored_buckets(spark, path)
-    if stored is not None and n_buckets not in (None, stored):
-        raise ValueError(f"{path} is stored in {stored} buckets, not {n_buckets}")
-    n = stored or n_buckets or DEFAULT_BUCKETS
-    names = [f.name for f in schema.fields]
-    placed = [F.lit(False).alias("_empty"), F.lit(n).alias("buckets"), bucket_col(n).alias("bucket")]
-    new = df.select(*names, *placed)
-    if stored is None:
-        _write_buckets(new, path, order)
-        return
-    # the new rows feed the key list and the merge: compute them once
-    # (recomputed from lineage if lost)
-    new = new.persist()
-    old = spark.read.schema(with_bucket(schema)).parquet(path)
-    keys = new.select("source", "ticker", "bucket")
-    if retire is not None:  # only what is stored: reads the key columns
-        gone = (old.where(~F.col("_empty")).select("source", "ticker", "bucket")
-                   .join(retire.select("source", "ticker").distinct(), ["source", "ticker"], "left_semi"))
-        keys = keys.unionByName(gone)
-    keys = keys.distinct().persist()
-    try:
-        # at most one row per source and bucket
-        touched = keys.select("source", "bucket").distinct().collect()
-        if not touched:
-            return
-        kept = (old.where(_in_buckets(touched)).where(~F.col("_empty"))
-                   .join(keys.select("source", "ticker"), ["source", "ticker"], "left_anti"))
-        marks = spark.createDataFrame([(r["source"], r["bucket"], n, True) for r in touched],
-                                      "source string, bucket int, buckets int, _empty boolean")
-        (kept.unionByName(new).unionByName(marks, allowMissingColumns=True)
-             .write.mode("overwrite").parquet(path.rstrip("/") + "_merge"))
-        finish_merge(spark, path, schema, order)
-    finally:
-        keys.unpersist()
-        new.unpersist()
-
-
-def read_bucketed(spark: SparkSession, path: str, schema: T.StructType = BAR_SCHEMA,
-                  tickers: list | None = None, source: str | None = None) -> DataFrame:
-    """Read a bucket-layout table. ``source`` (a partition) and ``tickers``
-    filter each on its own; no ticker given (an empty list) means no rows.
-    With both, only the buckets of those tickers are read."""
-    df = spark.read.schema(with_bucket(schema)).parquet(path).where(~F.col("_empty"))
-    if source is not None:
-        df = df.where(F.col("source") == source)
-    if tickers is not None:
-        wanted = spark.createDataFrame([(t,) for t in tickers], "ticker string").distinct()
-        n = stored_buckets(spark, path)
-        if source is not None and n is not None:  # at most n bucket numbers
-            places = wanted.withColumn("source", F.lit(source)).select(bucket_col(n).alias("b")).distinct()
-            df = df.where(F.col("bucket").isin([r["b"] for r in places.collect()]))
-        df = df.join(wanted, "ticker", "left_semi")
-    return df.select(*[f.name for f in schema.fields])

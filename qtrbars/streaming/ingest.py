@@ -6,9 +6,9 @@ file per payload (``fmt='text'``) or parquet files of payload rows
 the better layout at scale: few large files instead of millions of tiny ones).
 
 Each micro-batch is handled by ``foreachBatch``: payloads of a ticker are full
-histories, so for every ticker present in the batch all its quarters are
-recomputed from its newest answer and its folders are replaced (dynamic
-partition overwrite). Late or corrected payloads simply replace the ticker
+histories, so for every ticker whose newest answer in the batch is new and has
+another text than the stored one, all quarters are recomputed from it and its
+buckets are replaced. Late or corrected payloads simply replace the ticker
 again in a later batch; no state store is needed. The file source checkpoint
 (in the shared folder) records which files were consumed, so a restarted or
 re-run job picks up only new files, and a batch that failed (lost executor)
@@ -21,9 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.pipelines import process_payloads, publish
+from ..functions import payload as PL
+from ..plans.pipelines import index_path, payload_digest, process_payloads, publish
 from ..sinks import parquet as SK
-from ..sources.payloads import newest_per_ticker, payload_frame
+from ..sources.payloads import payload_frame
 
 LANDING_SCHEMA = T.StructType([
     T.StructField("ticker", T.StringType()),
@@ -57,35 +58,64 @@ def landing_stream(spark: SparkSession, landing: str, vendor: str, fmt: str = "p
     raise ValueError("fmt must be 'text' or 'parquet'")
 
 
+def decide(batch: DataFrame, vendor: str, index: DataFrame) -> DataFrame:
+    """The newest payload of each ticker in a batch, held against the key index.
+
+    (source, ticker, modified, fetch_id, path, digest, state, changed, newer): ``changed``
+    payloads have to be processed; of the others, ``newer`` ones are refetches
+    of the text already stored, and the rest is older or the same fetch again.
+    Text leaves this step as its SHA-256 only.
+    """
+    def when(fetch: str, path: str, modified: str):  # a path tells fetches apart where there is no fetch id
+        return F.struct(F.col(modified).alias("m"), F.coalesce(fetch, F.lit(-1)).alias("f"),
+                        F.when(F.col(fetch).isNull(), F.coalesce(path, F.lit(""))).otherwise("").alias("p"))
+
+    heads = batch.select("source", "ticker", F.struct(
+        PL.is_answer("payload", vendor).alias("answer"), when("fetch_id", "path", "modified").alias("when"),
+        "modified", "fetch_id", "path", payload_digest("payload").alias("digest")).alias("head"))
+    newest = heads.groupBy("source", "ticker").agg(F.max("head").alias("head")).select("source", "ticker", "head.*")
+    stored = index.select("source", "ticker", "state", when("fetch_id", "path", "modified").alias("last"),
+                          F.col("digest").alias("last_digest"))
+    both = newest.join(stored, ["source", "ticker"], "left")
+    same = F.col("digest").eqNullSafe(F.col("last_digest"))
+    return both.select(
+        "source", "ticker", "modified", "fetch_id", "path", "digest", "state",
+        (F.col("last").isNull() | ((F.col("when") >= F.col("last")) & ~same)).alias("changed"),
+        F.coalesce(F.col("answer") & same & (F.col("when") > F.col("last")), F.lit(False)).alias("newer"))
+
+
 def process_batch(batch: DataFrame, vendor: str, bars_path: str, registry_path: str,
                   quarantine_path: str, data_load=None, layout: str = "bucket",
                   manifest_path: str | None = None) -> None:
     """One micro-batch: newest answer per ticker -> replace its outputs.
 
-    Which answer was fetched last is kept beside the bars (``<bars>_fetches``;
-    rate-limit messages are no answers and leave no trace there): a
-    payload older than the one already processed is dropped, so the result
-    doesn't depend on the order of arrival. An equally old one is processed
-    again, as when a failed batch is replayed.
+    Which answer was fetched last, and the digest of its text, stand in the key
+    index beside the bars (rate-limit messages are no answers and leave no
+    trace there). A payload older than the one already processed is dropped,
+    so the result doesn't depend on the order of arrival; one whose text is
+    the stored one isn't parsed, and touches no table but the index (and not
+    that, if it is the same fetch again). The index is written last, so a batch
+    that failed is processed again when it is replayed.
     """
     spark = batch.sparkSession
-    payloads = newest_per_ticker(batch, order=("modified", "fetch_id", "path"), vendor=vendor)
-    fetches = bars_path.rstrip("/") + "_fetches"
-    if SK._exists(spark, fetches):
-        stored = SK.read_bucketed(spark, fetches, SK.FETCH_SCHEMA).select(
-            F.col("source").alias("_s"), F.col("ticker").alias("_t"),
-            F.struct(F.col("modified").alias("m"), F.coalesce("fetch_id", F.lit(-1)).alias("f")).alias("_last"))
-        this = F.struct(F.col("modified").alias("m"), F.coalesce("fetch_id", F.lit(-1)).alias("f"))
-        payloads = (payloads.join(stored, (F.col("source") == F.col("_s")) & (F.col("ticker") == F.col("_t")), "left")
-                    .where(F.col("_last").isNull() | (this >= F.col("_last"))).drop("_s", "_t", "_last"))
-    out = process_payloads(payloads, vendor, data_load, cache=True)
+    index = SK.read_bucketed(spark, index_path(bars_path), SK.INDEX_SCHEMA, source=vendor)
+    decided = decide(batch, vendor, index).persist()
     try:
-        publish(out, bars_path, registry_path, quarantine_path, layout=layout, manifest_path=manifest_path)
-        answers = out["classified_frame"].where("status <> 'rate_limited'")
-        SK.replace_in_buckets(answers.select("source", "ticker", "modified", "fetch_id"),
-                              fetches, SK.FETCH_SCHEMA, order=())
+        wanted = decided.where("changed").select(*[F.col(c).alias(f"_{c}") for c in ("source", "ticker", "modified", "fetch_id", "path")],
+                                                 "digest")
+        same = F.lit(True)
+        for c in ("source", "ticker", "modified", "fetch_id", "path"):
+            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        payloads = batch.join(wanted, same & (payload_digest("payload") == F.col("digest"))).drop(
+            *[f"_{c}" for c in ("source", "ticker", "modified", "fetch_id", "path")])
+        out = process_payloads(payloads, vendor, data_load, cache=True)
+        refreshed = decided.where("newer").select("source", "ticker", "state", "modified", "fetch_id", "path", "digest")
+        try:
+            publish(out, bars_path, registry_path, quarantine_path, layout=layout, manifest_path=manifest_path, refreshed=refreshed)
+        finally:
+            out["classified_frame"].unpersist()
     finally:
-        out["classified_frame"].unpersist()
+        decided.unpersist()
 
 
 def run_ingest(spark: SparkSession, landing: str, vendor: str, bars_path: str,

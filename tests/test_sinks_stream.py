@@ -79,5 +79,5 @@ def test_publish_manifest_and_pending(spark, scratch):
     assert [(r.ticker, r.first_quarter, r.last_quarter) for r in m] == [("AAA", "2024Q1", "2024Q2")]
     assert [r.ticker for r in SK.read_bucketed(spark, reg, SK.RECORD_SCHEMA).collect()] == ["UNK"]
     universe = spark.createDataFrame([(t,) for t in ("AAA", "UNK", "RATE", "NEW", "NEW")], "ticker string")
-    pending = sorted(r.ticker for r in P.pending_work(spark, universe, bars, reg, "AV").collect())
+    pending = sorted(r.ticker for r in P.pending_work(spark, universe, bars, "AV").collect())
     assert pending == ["NEW", "RATE"]

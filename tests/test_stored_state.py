@@ -94,7 +94,7 @@ def _ingest(spark, base, rows):
 
     def tickers(name, schema):
         path = f"{base}/{name}"
-        return {r.ticker for r in SK.read_bucketed(spark, path, schema).collect()} if SK._exists(spark, path) else set()
+        return {r.ticker for r in SK.read_bucketed(spark, path, schema).collect()}
     return (tickers("bars", SK.BAR_SCHEMA), tickers("q", SK.RECORD_SCHEMA), tickers("na", SK.RECORD_SCHEMA),
             tickers("man", SK.MANIFEST_SCHEMA))
 
@@ -159,43 +159,125 @@ def test_bucket_count_and_filters(spark, scratch):
     assert {s for s, _, _ in _read(spark, path, tickers=["T5"])} == {"A", "B"}
     some = [f"T{i}" for i in range(0, 100, 10)]
     assert {t for _, t, _ in _read(spark, path, source="B", tickers=some)} == set(some)
-    plan = SK.read_bucketed(spark, path, SK.MANIFEST_SCHEMA, tickers=["T5"], source="A")._jdf \
-        .queryExecution().executedPlan().toString()
-    filters = plan[plan.index("PartitionFilters"):].split("]")[0]
-    assert "source" in filters and "bucket" in filters
+    one = SK.read_bucketed(spark, path, SK.MANIFEST_SCHEMA, tickers=["T5"], source="A")
+    assert len({f.rsplit("/", 1)[0] for f in one.inputFiles()}) == 1  # one bucket's folder
+    assert {t for _, t, _ in _read(spark, path, tickers=spark.createDataFrame([("T5",), ("T5",)], "ticker string"))} == {"T5"}
     # an empty write changes nothing, retiring all of a source empties it
     write(_spans(spark, "A", 0))
     write(_spans(spark, "A", 0), retire=_spans(spark, "A", 100))
     assert {s for s, _, _ in _read(spark, path)} == {"B"} and len(_read(spark, path)) == 100
 
 
-def test_merge_reads_touched_buckets_only(spark, scratch):
+def _files(spark, path):
+    """Data file -> (time, bytes) of everything below a table's folder."""
+    root = local(path)
+    return {os.path.join(d, f): (os.stat(os.path.join(d, f)).st_mtime_ns, os.stat(os.path.join(d, f)).st_size)
+            for d, _, names in os.walk(root) for f in names if f.endswith(".parquet")}
+
+
+def test_replacing_writes_touched_buckets_only(spark, scratch):
     path = f"{scratch}/t"
-    SK.replace_in_buckets(_spans(spark, "A", 50), path, SK.MANIFEST_SCHEMA, 8, ())
-    old = spark.read.schema(SK.with_bucket(SK.MANIFEST_SCHEMA)).parquet(path)
-    touched = [{"source": "A", "bucket": 3}]
-    plan = old.where(SK._in_buckets(touched))._jdf.queryExecution().executedPlan().toString()
-    filters = plan[plan.index("PartitionFilters"):].split("PushedFilters")[0]
-    assert "bucket" in filters and " = 3" in filters
-    assert {r.bucket for r in old.where(SK._in_buckets(touched)).collect()} == {3}
+    first = SK.replace_in_buckets(_spans(spark, "A", 50), path, SK.MANIFEST_SCHEMA, 8, ())
+    before = _files(spark, path)
+    second = SK.replace_in_buckets(_spans(spark, "A", 1, "2024Q2"), path, SK.MANIFEST_SCHEMA, order=())
+    assert (first.number, second.number) == (0, 1)
+    changed = set(first.places().items()) - set(second.places().items())
+    assert len(changed) == 1 and set(first.places()) == set(second.places())
+    assert {f: s for f, s in _files(spark, path).items() if f in before} == before
+    assert sum(q == "2024Q2" for _, _, q in _read(spark, path)) == 1 and len(_read(spark, path)) == 50
 
 
-def test_crash_while_folders_are_replaced_loses_nothing(spark, scratch, monkeypatch):
+def test_pinned_reader_sees_one_version(spark, scratch):
     path = f"{scratch}/t"
-    SK.replace_in_buckets(_spans(spark, "A", 60), path, SK.MANIFEST_SCHEMA, 4, ())
+    SK.replace_in_buckets(_spans(spark, "A", 40), path, SK.MANIFEST_SCHEMA, 4, ())
+    pinned = SK.read_bucketed(spark, path, SK.MANIFEST_SCHEMA)
+    SK.replace_in_buckets(_spans(spark, "A", 20, "2024Q2"), path, SK.MANIFEST_SCHEMA, order=())
+    SK.replace_in_buckets(_spans(spark, "A", 0), path, SK.MANIFEST_SCHEMA, order=(), retire=_spans(spark, "A", 40))
+    assert {r.last_quarter for r in pinned.collect()} == {"2024Q1"} and pinned.count() == 40
+    assert SK.read_bucketed(spark, path, SK.MANIFEST_SCHEMA).count() == 0
+    middle = SK.read_bucketed(spark, path, SK.MANIFEST_SCHEMA, at=SK.version(spark, path, 1))
+    assert sorted(r.last_quarter for r in middle.collect()) == ["2024Q1"] * 20 + ["2024Q2"] * 20
+    assert SK.versions(spark, path) == [0, 1, 2]
+    # none of the three commits holds a row of the version kept
+    assert SK.vacuum(spark, path, keep=1) == 3 and SK.versions(spark, path) == [2]
+    assert SK.read_bucketed(spark, path, SK.MANIFEST_SCHEMA).count() == 0
+
+
+def test_second_writer_on_a_version_raises(spark, scratch):
+    path = f"{scratch}/t"
+    SK.replace_in_buckets(_spans(spark, "A", 30), path, SK.MANIFEST_SCHEMA, 4, ())
+    one = SK.stage_replace(_spans(spark, "A", 10, "2024Q2"), path, SK.MANIFEST_SCHEMA, order=())
+    other = SK.stage_replace(_spans(spark, "B", 10), path, SK.MANIFEST_SCHEMA, order=())
+    SK.publish_version(spark, one)
+    with pytest.raises(SK.ConcurrentWrite):
+        SK.publish_version(spark, other)
+    got = _read(spark, path)
+    assert len(got) == 30 and sum(q == "2024Q2" for _, _, q in got) == 10
+    SK.replace_in_buckets(_spans(spark, "B", 10), path, SK.MANIFEST_SCHEMA, order=())  # starting over works
+    assert len(_read(spark, path)) == 40
+    assert SK.vacuum(spark, path, keep=1) > 0 and len(_read(spark, path)) == 40
+
 
-    def crash(*_):
-        fs, folder = SK._fs(spark, path + "/source=A")  # as if the old folders were already gone
-        fs.delete(folder, True)
-        raise RuntimeError("lost")
-    with monkeypatch.context() as m:
-        m.setattr(SK, "_write_buckets", crash)
-        with pytest.raises(RuntimeError):
-            SK.replace_in_buckets(_spans(spark, "A", 20, "2024Q2"), path, SK.MANIFEST_SCHEMA, None, ())
-    SK.finish_merge(spark, path, SK.MANIFEST_SCHEMA, ())
+def test_writer_that_dies_before_publishing_changes_nothing(spark, scratch):
+    path = f"{scratch}/t"
+    SK.replace_in_buckets(_spans(spark, "A", 60), path, SK.MANIFEST_SCHEMA, 4, ())
+    SK.stage_replace(_spans(spark, "A", 20, "2024Q2"), path, SK.MANIFEST_SCHEMA, order=())  # never published
+    assert {q for _, _, q in _read(spark, path)} == {"2024Q1"}
+    SK.replace_in_buckets(_spans(spark, "A", 20, "2024Q3"), path, SK.MANIFEST_SCHEMA, order=())
+    assert SK.vacuum(spark, path, keep=2) == 1  # what it left
     got = _read(spark, path)
-    assert len(got) == 60 and sum(q == "2024Q2" for _, _, q in got) == 20
-    assert SK.stored_buckets(spark, path) == 4 and not SK._exists(spark, path + "_merge")
+    assert len(got) == 60 and sum(q == "2024Q3" for _, _, q in got) == 20
+
+
+def test_large_buckets_are_cut_between_tickers(spark, scratch):
+    path = f"{scratch}/t"
+    rows = spark.range(600).select(F.concat(F.lit("2"), F.format_string("%03d", F.col("id") % 50), F.lit("Q1")).alias("first_quarter"),
+                                   F.lit("x").alias("last_quarter"), F.lit("A").alias("source"),
+                                   U.ticker_col("T", F.floor(F.col("id") / 50)).alias("ticker"))
+    SK.replace_in_buckets(rows, path, SK.MANIFEST_SCHEMA, 2, ("first_quarter",), rows_per_file=100)
+    assert len(_files(spark, path)) > 2
+    stored = SK.read_bucketed(spark, path, SK.MANIFEST_SCHEMA).withColumn("file", F.input_file_name()).collect()
+    files = {}
+    for r in stored:  # in stored order within a file
+        files.setdefault(r.file, []).append((r.ticker, r.first_quarter))
+    of = {t: {f for f, rs in files.items() if any(x == t for x, _ in rs)} for t, _ in sum(files.values(), [])}
+    assert len(of) == 12 and all(len(v) == 1 for v in of.values())
+    for rs in files.values():
+        by = {}
+        for t, q in rs:
+            by.setdefault(t, []).append(q)
+        assert list(by) == sorted(by) and all(q == sorted(q, reverse=True) for q in by.values())
+
+
+def test_same_answer_again_touches_no_bucket(spark, scratch):
+    rows = [("AAA", 3, 1, AV_OK), ("BBB", 3, 2, HEADER), ("CCC", 3, 3, AV_OK)]
+    assert _ingest(spark, scratch, rows) == ({"AAA", "CCC"}, {"BBB"}, set(), {"AAA", "CCC"})
+    tables = ("bars", "q", "man")
+    before = {t: _files(spark, f"{scratch}/{t}") for t in tables}
+    index = _files(spark, f"{scratch}/bars_index")
+    _ingest(spark, scratch, rows)  # the same fetches landed once more: nothing at all
+    assert {t: _files(spark, f"{scratch}/{t}") for t in tables} == before
+    assert _files(spark, f"{scratch}/bars_index") == index
+    # fetched again later, same text: the index alone learns of the newer fetch
+    _ingest(spark, scratch, [(t, 5, i + 10, p) for t, _, i, p in rows])
+    assert {t: _files(spark, f"{scratch}/{t}") for t in tables} == before
+    months = {r.ticker: (r.state, r.modified.month) for r in SK.read_bucketed(spark, f"{scratch}/bars_index", SK.INDEX_SCHEMA).collect()}
+    assert months == {"AAA": ("bars", 5), "BBB": ("quarantine", 5), "CCC": ("bars", 5)}
+    # a different older answer that arrives late is older than the refetch
+    assert _ingest(spark, scratch, [("AAA", 4, 20, HEADER)]) == ({"AAA", "CCC"}, {"BBB"}, set(), {"AAA", "CCC"})
+    # a newer one with another text moves the ticker
+    assert _ingest(spark, scratch, [("AAA", 6, 21, HEADER)]) == ({"CCC"}, {"AAA", "BBB"}, set(), {"CCC"})
+
+
+def test_pending_work_reads_the_index_alone(spark, scratch):
+    unknown = '{\n    "Error Message": "Invalid API call."\n}\n'
+    _ingest(spark, scratch, [("AAA", 3, 1, AV_OK), ("BBB", 3, 2, HEADER), ("CCC", 3, 3, unknown)])
+    universe = spark.createDataFrame([(t,) for t in ("AAA", "BBB", "CCC", "NEW", "NEW", None)], "ticker string")
+    pending = P.pending_work(spark, universe, f"{scratch}/bars", "AV")
+    assert sorted(r.ticker for r in pending.collect()) == ["BBB", "NEW"]
+    files = pending.inputFiles()
+    assert files and all("/bars_index/" in f for f in files)
+    assert sorted(r.ticker for r in P.pending_work(spark, universe, f"{scratch}/bars", "FMP").collect()) == ["AAA", "BBB", "CCC", "NEW"]
 
 
 def test_frequent_symbol_spreads(spark):
