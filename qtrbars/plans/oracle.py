@@ -162,10 +162,10 @@ ORACLES: dict[str, str] = {
                                CAST((row_number() OVER (ORDER BY ticker) - 1) % 7 AS INTEGER) AS batch
                              FROM ({_KEPT}) k""",
     "universe_offset": f"SELECT {_REMAP} AS ticker FROM ({_KEPT}) k ORDER BY ticker OFFSET 100",
-    "pending_tickers": f"""
-        SELECT DISTINCT 'C' || CAST(c_custkey AS VARCHAR) AS ticker FROM customer c
-        WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey
-                          AND {_label('o_orderdate')} = '1998Q1')""",
+    "pending_tickers": """
+        SELECT ticker FROM (SELECT 'C' || CAST(c_custkey AS VARCHAR) AS ticker FROM customer
+                            UNION SELECT 'S' || CAST(s_suppkey AS VARCHAR) FROM supplier) u
+        WHERE ticker NOT IN (SELECT 'C' || CAST(o_custkey AS VARCHAR) FROM orders)""",
     "trading_span": f"""
         SELECT 'C' || CAST(o_custkey AS VARCHAR) AS ticker,
                min({_label('o_orderdate')}) AS first_quarter,
@@ -414,3 +414,43 @@ ORACLES["fmp_payload_classify"] = f"""
       THEN 'unparseable'
     ELSE 'ok' END AS status
   FROM p"""
+
+
+# ------------------------------------------------------------ stored state
+
+_NEWEST_ANSWER = """SELECT o_custkey, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS priority,
+                    max(o_orderdate) AS fetched, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS fetch_id
+                    FROM orders GROUP BY o_custkey"""
+
+ORACLES.update({
+    "pending_work": f"""
+        SELECT 'C' || CAST(c_custkey AS VARCHAR) AS ticker
+        FROM (SELECT DISTINCT c_custkey FROM customer) c LEFT JOIN ({_NEWEST_ANSWER}) n ON n.o_custkey = c.c_custkey
+        WHERE n.priority IS NULL OR n.priority = '1-URGENT'""",
+    "not_available_sink": f"""
+        SELECT 'AV' AS source, 'C' || CAST(o_custkey AS VARCHAR) AS ticker, 'not_available' AS reason,
+               '{{' || chr(10) || '    "Error Message": "Invalid API call."' || chr(10) || '}}' || chr(10) AS payload,
+               '2024-01-01 00:00:00' AS data_load
+        FROM ({_NEWEST_ANSWER}) n WHERE priority = '5-LOW'""",
+    "pinned_reader": """
+        SELECT c_custkey, c_name, c_acctbal + CASE WHEN reader = 'after' AND r THEN 1000 ELSE 0 END AS c_acctbal,
+               'CUST' AS source, 'N' || CAST(c_nationkey AS VARCHAR) AS ticker, reader
+        FROM (SELECT c.*, c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 0) AS r FROM customer c) x,
+             (VALUES ('before'), ('after')) v(reader)""",
+    "stored_order": f"""
+        SELECT ticker, "quarter", row_number() OVER (PARTITION BY ticker ORDER BY "quarter" DESC) - 1 AS position,
+               CAST(1 AS BIGINT) AS n_files
+        FROM (SELECT DISTINCT 'C' || CAST(o_custkey AS VARCHAR) AS ticker, {_label('o_orderdate')} AS "quarter"
+              FROM orders) q""",
+    "unchanged_refetch": f"""
+        SELECT 'C' || CAST(o_custkey AS VARCHAR) AS ticker,
+               CASE WHEN priority = '1-URGENT' THEN 'quarantine' ELSE 'bars' END AS state,
+               strftime(fetched + INTERVAL 365 DAY, '%Y-%m-%d') AS fetched, fetch_id,
+               1 AS bars_versions, 1 AS quarantine_versions
+        FROM ({_NEWEST_ANSWER}) n""",
+    "ticker_from_file_name": """
+        SELECT 'file:/landing/av_AV/' || CASE o_orderkey % 5 WHEN 0 THEN o || '.csv' WHEN 1 THEN o || '_AV.csv'
+                 WHEN 2 THEN o || '_AV_2.csv' WHEN 3 THEN '%5E' || o || '_AV_1997.csv' ELSE o || '_B+x_AV.json' END AS path,
+               CASE o_orderkey % 5 WHEN 3 THEN '^' || o WHEN 4 THEN o || '_B+x' ELSE o END AS ticker
+        FROM (SELECT o_orderkey, 'O' || CAST(o_orderkey AS VARCHAR) AS o FROM orders) x""",
+})

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,11 +115,38 @@ def _fmp_bars(spark, sf_dir):
 
 @query("pending_tickers")
 def pending_tickers(spark, sf_dir):
-    universe = S.table(spark, sf_dir, "customer").select(U.ticker_col("C", "c_custkey").alias("ticker"))
+    """Customers' and suppliers' tickers without a bar."""
+    customers = S.table(spark, sf_dir, "customer").select(U.ticker_col("C", "c_custkey").alias("ticker"))
+    suppliers = S.table(spark, sf_dir, "supplier").select(U.ticker_col("S", "s_suppkey").alias("ticker"))
     daily = S.daily_from_orders(S.table(spark, sf_dir, "orders"))
-    done = (quarterly_bars(daily, order=F.col("_order"), actions=False)
-            .where(F.col("quarter") == "1998Q1").select("ticker"))
-    return U.pending_tickers(universe, done)
+    done = quarterly_bars(daily, order=F.col("_order"), actions=False).select("ticker")
+    return U.pending_tickers(customers.unionByName(suppliers), done)
+
+
+def _published(spark, sf_dir, name):
+    """A lake of the newest answer to each customer: bars, unknown tickers, quarantine."""
+    base = scratch_path(spark, name)
+    paths = {k: f"{base}/{k}" for k in ("bars", "not_available", "quarantine", "manifest")}
+    newest = SRC.newest_per_ticker(S.order_answers(S.table(spark, sf_dir, "orders")), ("modified", "fetch_id"), "AV")
+    out = P.process_payloads(newest, "AV", data_load="2024-01-01 00:00:00")
+    P.publish(out, paths["bars"], paths["not_available"], paths["quarantine"], manifest_path=paths["manifest"])
+    return paths
+
+
+@query("pending_work")
+def pending_work(spark, sf_dir):
+    """Customers that still need a fetch, from the key index of published answers."""
+    paths = _published(spark, sf_dir, "pending_work")
+    universe = S.table(spark, sf_dir, "customer").select(U.ticker_col("C", "c_custkey").alias("ticker"))
+    return P.pending_work(spark, universe, paths["bars"], "AV")
+
+
+@query("not_available_sink")
+def not_available_sink(spark, sf_dir):
+    """The registry as it is stored, with its load time."""
+    paths = _published(spark, sf_dir, "not_available_sink")
+    return SK.read_bucketed(spark, paths["not_available"], SK.RECORD_SCHEMA).select(
+        "source", "ticker", "reason", "payload", F.date_format("data_load", "yyyy-MM-dd HH:mm:ss").alias("data_load"))
 
 
 @query("trading_span")
@@ -402,8 +429,57 @@ def read_bucketed_tickers(spark, sf_dir):
     SK.replace_in_buckets(fmp.withColumn("source", F.lit("AV")), path)
     nation0 = S.table(spark, sf_dir, "customer").where("c_nationkey = 0").select(
         U.ticker_col("C", "c_custkey").alias("ticker"))
-    return (SK.read_bucketed(spark, path, source="AV").join(nation0, "ticker", "left_semi")
-            .drop("data_load"))
+    return SK.read_bucketed(spark, path, tickers=nation0, source="AV").drop("data_load")
+
+
+@query("pinned_reader")
+def pinned_reader(spark, sf_dir):
+    """Customers stored by nation; a reader that came before the nations of region 0
+    were restated still sees the old rows, one that comes after the new ones."""
+    path = scratch_path(spark, "pinned_reader")
+    cust = S.table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_acctbal", F.lit("CUST").alias("source"), U.ticker_col("N", "c_nationkey").alias("ticker"))
+    nation = S.table(spark, sf_dir, "nation").where(F.col("n_regionkey") == 0).select(U.ticker_col("N", "n_nationkey").alias("ticker"))
+    SK.replace_in_buckets(cust, path, _CUST_SCHEMA, n_buckets=8, order=("c_custkey",))
+    before = SK.read_bucketed(spark, path, _CUST_SCHEMA)
+    restated = cust.join(nation, "ticker", "left_semi").withColumn("c_acctbal", F.col("c_acctbal") + 1000)
+    SK.replace_in_buckets(restated, path, _CUST_SCHEMA, order=("c_custkey",))
+    after = SK.read_bucketed(spark, path, _CUST_SCHEMA)
+    return before.withColumn("reader", F.lit("before")).unionByName(after.withColumn("reader", F.lit("after")))
+
+
+@query("stored_order")
+def stored_order(spark, sf_dir):
+    """Where bars lie in their file: a ticker's together, newest quarter first."""
+    path = scratch_path(spark, "stored_order")
+    SK.replace_in_buckets(_fmp_bars(spark, sf_dir), path, rows_per_file=1000)
+    stored = SK.read_bucketed(spark, path, with_place=True)
+    ticker = Window.partitionBy("ticker")  # as many rows as quarters
+    return stored.select("ticker", "quarter", (F.col("row_index") - F.min("row_index").over(ticker)).alias("position"),
+                         F.size(F.collect_set("file").over(ticker)).cast("bigint").alias("n_files"))
+
+
+@query("unchanged_refetch")
+def unchanged_refetch(spark, sf_dir):
+    """All answers are fetched again a year later with the same text: the index
+    names the newer fetch, and neither bars nor quarantine get a new version."""
+    base = scratch_path(spark, "unchanged_refetch")
+    rows = S.order_landing_rows(S.table(spark, sf_dir, "orders"))
+    again = rows.withColumn("fetched_at", F.col("fetched_at") + F.expr("interval 365 days"))
+    for part in (rows, again):
+        ING.land(part, f"{base}/landing")
+        ING.run_ingest(spark, f"{base}/landing", "AV", f"{base}/bars", f"{base}/not_available", f"{base}/quarantine",
+                       f"{base}/_checkpoint", fmt="parquet", data_load="2024-01-01 00:00:00")
+    index = SK.read_bucketed(spark, P.index_path(f"{base}/bars"), SK.INDEX_SCHEMA)
+    count = {name: len(SK.versions(spark, f"{base}/{name}")) for name in ("bars", "quarantine")}
+    return index.select("ticker", "state", F.date_format("modified", "yyyy-MM-dd").alias("fetched"), "fetch_id",
+                        F.lit(count["bars"]).alias("bars_versions"), F.lit(count["quarantine"]).alias("quarantine_versions"))
+
+
+@query("ticker_from_file_name")
+def ticker_from_file_name(spark, sf_dir):
+    files = S.order_file_names(S.table(spark, sf_dir, "orders"))
+    return files.select("path", SRC.ticker_of_file("path", "AV").alias("ticker"))
 
 
 @query("ingest_records")

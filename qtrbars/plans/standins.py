@@ -253,6 +253,33 @@ def order_landing_rows(orders: DataFrame) -> DataFrame:
                           .otherwise(order_csv_text()).alias("payload"))
 
 
+def order_answers(orders: DataFrame) -> DataFrame:
+    """AV payload rows like ``order_landing_rows``, in which the answer to a low
+    order is that the ticker is unknown."""
+    unknown = '{\n    "Error Message": "Invalid API call."\n}\n'
+    return orders.select(F.lit("AV").alias("source"),
+                         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"),
+                         F.lit(None).cast("string").alias("path"),
+                         F.col("o_orderdate").cast("timestamp").alias("modified"),
+                         F.col("o_orderkey").alias("fetch_id"),
+                         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(AV_HEADER + "\n"))
+                          .when(F.col("o_orderpriority") == "5-LOW", F.lit(unknown))
+                          .otherwise(order_csv_text()).alias("payload"))
+
+
+def order_file_names(orders: DataFrame) -> DataFrame:
+    """The path of each order's payload, in the forms a landing folder holds:
+    without and with the vendor's tag, numbered, and URL-encoded."""
+    key = F.concat(F.lit("O"), F.col("o_orderkey").cast("string"))
+    name = (F.when(F.col("o_orderkey") % 5 == 0, F.concat(key, F.lit(".csv")))
+             .when(F.col("o_orderkey") % 5 == 1, F.concat(key, F.lit("_AV.csv")))
+             .when(F.col("o_orderkey") % 5 == 2, F.concat(key, F.lit("_AV_2.csv")))
+             .when(F.col("o_orderkey") % 5 == 3, F.concat(F.lit("%5E"), key, F.lit("_AV_1997.csv")))
+             .otherwise(F.concat(key, F.lit("_B+x_AV.json"))))
+    return orders.select("o_orderkey", F.concat(F.lit("file:/landing/av_AV/"), name).alias("path"),
+                         F.col("o_orderdate").cast("timestamp").alias("modified"), order_csv_text().alias("payload"))
+
+
 def _contributors_url() -> Column:
     return F.concat(F.col("url"), F.lit("#contributors-"), F.col("page_id").cast("string"))
 

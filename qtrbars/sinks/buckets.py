@@ -169,10 +169,16 @@ def vacuum(spark: SparkSession, path: str, keep: int = KEEP) -> int:
 # ---------------------------------------------------------------- reading
 
 
-def _rows(spark: SparkSession, path: str, schema: T.StructType, folders) -> DataFrame:
+#: Where a row is stored: its file and its number in it.
+PLACE_SCHEMA = T.StructType([T.StructField("file", T.StringType()), T.StructField("row_index", T.LongType())])
+
+
+def _rows(spark: SparkSession, path: str, schema: T.StructType, folders, with_place: bool = False) -> DataFrame:
     names = [f.name for f in schema.fields]
     if not folders:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], T.StructType(schema.fields + (PLACE_SCHEMA.fields if with_place else [])))
+    if with_place:
+        names += [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row_index")]
     stored = T.StructType(schema.fields + [T.StructField("commit", T.StringType()), T.StructField("bucket", T.IntegerType())])
     return (spark.read.schema(stored).option("basePath", _root(path))
             .parquet(*[f"{_root(path)}/{f}" for f in folders]).select(*names))
@@ -180,9 +186,10 @@ def _rows(spark: SparkSession, path: str, schema: T.StructType, folders) -> Data
 
 def read_bucketed(spark: SparkSession, path: str, schema: T.StructType = BAR_SCHEMA,
                   tickers: list | DataFrame | None = None, source: str | None = None,
-                  at: Version | None = None) -> DataFrame:
+                  at: Version | None = None, with_place: bool = False) -> DataFrame:
     """Rows of the table as it is now, or in version ``at``; they stay the same
-    when the table is replaced afterwards.
+    when the table is replaced afterwards. ``with_place`` adds each row's file and
+    its number in it (``row_index``).
 
     ``source`` and ``tickers`` (a list, or a frame with a column ``ticker``) filter each
     on its own (no ticker means no rows), and only the folders that can hold
@@ -203,7 +210,7 @@ def read_bucketed(spark: SparkSession, path: str, schema: T.StructType = BAR_SCH
             each = wanted.select("ticker", F.explode(F.array(*map(F.lit, sources))).alias("source"))
             hit = each.select("source", bucket_col(at.buckets).alias("bucket")).distinct().collect()
             places = {p: places[p] for p in ((r["source"], r["bucket"]) for r in hit) if p in places}
-    df = _rows(spark, path, schema, list(places.values()))
+    df = _rows(spark, path, schema, list(places.values()), with_place)
     return df if wanted is None else df.join(wanted, "ticker", "left_semi")
 
 

@@ -8,7 +8,7 @@ from the file's metadata, not from its content.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import payload as PL
@@ -31,12 +31,17 @@ def payload_frame(raw: DataFrame, source: str, latest_only: bool = True) -> Data
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_modification_time").alias("modified"),
         F.col("value").alias("payload"))
-    # paths are URL-encoded: '^GSPC' arrives as '%5EGSPC' ('+' stands for itself)
-    decoded = F.try_url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))
-    df = df.withColumn("ticker", PL.ticker_from_path(F.coalesce(decoded, F.col("path")), source))
+    df = df.withColumn("ticker", ticker_of_file("path", source))
     return newest_per_ticker(df, vendor=source) if latest_only else df
 
 
+def ticker_of_file(path: str, source: str) -> Column:
+    """The ticker in a landed file's path, which is URL-encoded: '^GSPC' arrives
+    as '%5EGSPC' ('+' stands for itself)."""
+    decoded = F.try_url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B")))
+    return PL.ticker_from_path(F.coalesce(decoded, F.col(path)), source)
+
+
 def newest_per_ticker(df: DataFrame, order=("modified", "path"), vendor: str | None = None) -> DataFrame:
     """Keep the newest payload of each ticker.
 
