@@ -217,7 +217,7 @@ def read_bucketed(spark: SparkSession, path: str, schema: T.StructType = BAR_SCH
 # ---------------------------------------------------------------- writing
 
 
-def _write_commit(df: DataFrame, path: str, order, parts: dict) -> dict[str, int]:
+def _write_commit(df: DataFrame, path: str, order, touched: int, parts: dict) -> dict[str, int]:
     """Write rows (with ``bucket``) as a commit; returns its folders and their bytes.
 
     A bucket is one task's work, or for the buckets in ``parts`` that many tasks',
@@ -225,13 +225,14 @@ def _write_commit(df: DataFrame, path: str, order, parts: dict) -> dict[str, int
     descending (its rows number as many as its quarters at most).
     """
     spark, commit = df.sparkSession, f"{_root(path)}/commit={uuid.uuid4().hex}"
-    deal = list(BUCKET_COLS)
-    if parts:  # as many tasks as the parts of large buckets, not fewer
+    deal, tasks = list(BUCKET_COLS), min(touched, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if parts:
         cuts = F.broadcast(spark.createDataFrame([(*p, n) for p, n in parts.items()], "source string, bucket int, _parts int"))
         df = df.join(cuts, deal, "left").withColumn("_cut", F.pmod(F.hash("ticker"), F.coalesce("_parts", F.lit(1))))
-        deal = [sum(parts.values()), *deal, "_cut"]
+        deal, tasks = [*deal, "_cut"], max(tasks, sum(parts.values()))
     sort = [*BUCKET_COLS, "ticker"] + [F.col(c).desc() for c in order if c in df.columns]
-    (df.repartition(*deal).sortWithinPartitions(*sort).drop("_parts", "_cut")
+    # a fixed number of tasks, which isn't merged for being small: most of a file's cost is opening it
+    (df.repartition(tasks, *deal).sortWithinPartitions(*sort).drop("_parts", "_cut")
      .write.partitionBy(*BUCKET_COLS).parquet(commit))
     out, fs = {}, file_system(spark, commit)[0]
     for source in _names(spark, commit):
@@ -297,7 +298,7 @@ def stage_replace(df: DataFrame, path: str, schema: T.StructType = BAR_SCHEMA, n
             if share > 1:
                 parts[place] = math.ceil(share)
         folders = {f: base.folders[f] for p, f in places.items() if p not in touched}
-        folders |= _write_commit(rows, path, order, parts)
+        folders |= _write_commit(rows, path, order, len(touched), parts)
         return Staged(path, Version(base.number + 1 if base else 0, n, folders))
     finally:
         for frame in cached:
