@@ -454,3 +454,7 @@ ORACLES.update({
                CASE o_orderkey % 5 WHEN 3 THEN '^' || o WHEN 4 THEN o || '_B+x' ELSE o END AS ticker
         FROM (SELECT o_orderkey, 'O' || CAST(o_orderkey AS VARCHAR) AS o FROM orders) x""",
 })
+
+_POSITIONS = f"SELECT ticker, row_number() OVER (ORDER BY ticker) - 1 AS position FROM ({_UNIVERSE}) u"
+ORACLES["universe_positions"] = _POSITIONS
+ORACLES["universe_resume"] = f"SELECT * FROM ({_POSITIONS}) p WHERE position >= 1000"

@@ -22,6 +22,7 @@ from ..operators import returns as R
 from ..operators import universe as U
 from ..operators.bars import quarterly_bars, split_coefficient_agg
 from ..session import scratch_path
+from ..sinks import ordered as OT
 from ..sinks import parquet as SK
 from ..sources import payloads as SRC
 from ..streaming import ingest as ING
@@ -108,6 +109,26 @@ def universe_offset(spark, sf_dir):
     return rest.select(remap_alias("ticker").alias("ticker"))
 
 
+def _ordered_universe(spark, sf_dir, name):
+    path = scratch_path(spark, name)
+    OT.write_ordered(_universe(spark, sf_dir, keep_key=True), path, ["ticker"])
+    return path
+
+
+@query("universe_positions")
+def universe_positions(spark, sf_dir):
+    """The universe in symbol order with each row's position."""
+    path = _ordered_universe(spark, sf_dir, "universe_positions")
+    return OT.read_ordered(spark, path).select("ticker", "position")
+
+
+@query("universe_resume")
+def universe_resume(spark, sf_dir):
+    """The universe after its first 1,000 rows: files before are not opened."""
+    path = _ordered_universe(spark, sf_dir, "universe_resume")
+    return OT.read_ordered(spark, path, skip=1000).select("ticker", "position")
+
+
 def _fmp_bars(spark, sf_dir):
     daily = S.daily_from_orders(S.table(spark, sf_dir, "orders"))
     return P.daily_to_quarterly(daily, "FMP", actions=False, order=F.col("_order"))
