@@ -279,6 +279,28 @@ def request_url(base, path, secure) -> Column:
             .otherwise(F.concat(F.lit("http://"), _c(base), _c(path)))
 
 
+def path_segment(value) -> Column:
+    """A value as one segment of a URL path: all bytes but letters, digits and
+    ``-._~`` are percent-encoded, the slash too."""
+    form = F.url_encode(_c(value).cast("string"))  # form encoding: a blank is a plus there
+    return F.replace(F.replace(F.replace(form, F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
+def joined_url(base, path) -> Column:
+    """URL of a path below a base, by a slash between them."""
+    return F.concat(_c(base), F.lit("/"), _c(path))
+
+
+def template_url(template: str, **values) -> Column:
+    """URL from a template such as ``https://host/repos/{owner}/{name}``; each value
+    is encoded as a path segment. A null value makes the URL null."""
+    pieces = re.split(r"\{(\w+)\}", template)
+    unknown = set(pieces[1::2]) ^ set(values)
+    if unknown:
+        raise ValueError(f"template and values differ in {sorted(unknown)}")
+    return F.concat(*[path_segment(values[p]) if k % 2 else F.lit(p) for k, p in enumerate(pieces) if k % 2 or p])
+
+
 def row_order(date="date", seq="_seq") -> Column:
     """In-payload order of daily rows as one long: the day, then the row's
     position in its payload (a vendor that repeats a date still yields a

@@ -72,6 +72,12 @@ def wide_to_long(wide: DataFrame, index: str = "Date", sep: str = "|",
                   F.lit(" "), F.lit("_")).alias("_field"),
         # a malformed cell or NaN counts as missing
         F.nanvl(F.col("_value").try_cast("double"), F.lit(None).cast("double")).alias("_value"))
+    return fields_side_by_side(cells, fields, complete_flag)
+
+
+def fields_side_by_side(cells: DataFrame, fields: list[str], complete_flag: str = "_complete") -> DataFrame:
+    """Cells (ticker, date, _field, _value) -> one row per (ticker, date). Each cell is
+    unique, so ``max`` is just a pick, and the aggregate runs partial before its shuffle."""
     aggs = [F.max(F.when(F.col("_field") == f, F.col("_value"))).alias(f) for f in fields]
     aggs.append((F.count("_value") == F.count(F.lit(1))).alias(complete_flag))
     return (cells.groupBy("ticker", "date").agg(*aggs)

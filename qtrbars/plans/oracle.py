@@ -458,3 +458,48 @@ ORACLES.update({
 _POSITIONS = f"SELECT ticker, row_number() OVER (ORDER BY ticker) - 1 AS position FROM ({_UNIVERSE}) u"
 ORACLES["universe_positions"] = _POSITIONS
 ORACLES["universe_resume"] = f"SELECT * FROM ({_POSITIONS}) p WHERE position >= 1000"
+
+_WIDE_LONG = f"""
+  SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS ticker, CAST(date_trunc('quarter', l_shipdate) AS DATE) AS "date",
+         arg_min(l_extendedprice, {_LI_ORD}) AS open, max(l_extendedprice * (1 + l_tax)) AS high,
+         min(l_extendedprice * (1 - l_discount)) AS low,
+         arg_max(l_extendedprice * (1 - l_discount) * (1 + l_tax), {_LI_ORD}) AS close,
+         arg_max(l_extendedprice * (1 - l_discount), {_LI_ORD}) AS adj_close,
+         CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) AS volume,
+         sum(round(l_tax * 100)) AS dividends, CAST(count(*) AS DOUBLE) AS order_lines
+  FROM lineitem GROUP BY l_suppkey, date_trunc('quarter', l_shipdate)"""
+
+# a line of a file has a cell for each of its symbols: those without rows in a quarter are missing there
+_WIDE_GRID = f"""
+  SELECT s.ticker, q."date", w.* EXCLUDE (ticker, "date"), w.ticker IS NOT NULL AS complete
+  FROM (SELECT DISTINCT 'S' || CAST(l_suppkey AS VARCHAR) AS ticker, l_suppkey % 7 AS batch FROM lineitem) s
+  JOIN (SELECT DISTINCT CAST(date_trunc('quarter', l_shipdate) AS DATE) AS "date", l_suppkey % 7 AS batch FROM lineitem) q
+    ON s.batch = q.batch
+  LEFT JOIN ({_WIDE_LONG}) w ON w.ticker = s.ticker AND w."date" = q."date\""""
+
+ORACLES["wide_file_parse"] = _WIDE_GRID
+ORACLES["wide_file_bars"] = f"""
+  WITH kept AS (
+    SELECT * FROM ({_WIDE_LONG}) c WHERE NOT EXISTS (SELECT 1 FROM ({_WIDE_LONG}) z WHERE z.ticker = c.ticker AND z.adj_close <= 0)),
+  w AS (
+    SELECT *, lag(adj_close) OVER (PARTITION BY ticker ORDER BY "date") AS prev,
+           first_value(adj_close) OVER (PARTITION BY ticker ORDER BY "date"
+             ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS base
+    FROM kept)
+  SELECT 'YAHOO' AS source, ticker, {_label('"date"')} AS "quarter", open, high, low, close, adj_close AS adjusted_close,
+         CAST(volume AS BIGINT) AS volume, dividends AS dividend_amount, CAST(0.0 AS DOUBLE) AS split_coefficient,
+         {_qend('"date"')} AS "date",
+         round((adj_close / NULLIF(prev, 0) - 1) * 100, 2) + 0.0 AS pct_change,
+         round((adj_close - base) / NULLIF(base, 0) * 100, 2) + 0.0 AS compound_return
+  FROM w"""
+
+ORACLES["request_url_forms"] = """
+  WITH p AS (
+    SELECT page_id, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host,
+           regexp_extract(url, '^https?://[^/?#]+(.*)$', 1) AS path, starts_with(url, 'https://') AS secure,
+           regexp_extract(html, '<title>([^<]*)', 1) AS title
+    FROM pages)
+  SELECT page_id, CASE WHEN secure THEN 'https://' ELSE 'http://' END || host || '/v2' || path AS flagged,
+         'https://' || host || '/api' || path AS joined,
+         'https://api.example.com/repos/' || url_encode(host) || '/' || url_encode(title) || '?page=1' AS templated
+  FROM p"""

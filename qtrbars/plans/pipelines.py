@@ -143,9 +143,15 @@ def process_payloads(payloads: DataFrame, vendor: str, data_load=None,
 
 def yahoo_quarterly_from_wide(spark, path: str, fmt: str = "parquet", index: str = "Date",
                               source: str = "YAHOO", data_load=None):
-    """Landed wide 3-month table (one row per date, ``TICKER|Field``
-    columns) -> (bars, rejected tickers)."""
+    """Landed wide 3-month table (one row per date) -> (bars, rejected tickers).
+
+    ``fmt='csv2'``: CSV files with a header of two rows, each with columns of its
+    own (``sources.wide``). Otherwise files of one schema with ``TICKER|Field``
+    columns."""
     from ..operators.reshape import wide_to_long
+    from ..sources.wide import read_wide_csv
+    if fmt == "csv2":
+        return yahoo_quarterly(read_wide_csv(spark, path), source, data_load)
     wide = spark.read.format(fmt).option("header", True).load(path)
     return yahoo_quarterly(wide_to_long(wide, index=index), source, data_load)
 

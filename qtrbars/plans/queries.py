@@ -25,6 +25,7 @@ from ..session import scratch_path
 from ..sinks import ordered as OT
 from ..sinks import parquet as SK
 from ..sources import payloads as SRC
+from ..sources import wide as WIDE
 from ..streaming import ingest as ING
 from . import pipelines as P
 from . import standins as S
@@ -342,6 +343,21 @@ def request_url(spark, sf_dir):
     return pages.select("page_id", PL.request_url(base, path, secure).alias("request_url"))
 
 
+@query("request_url_forms")
+def request_url_forms(spark, sf_dir):
+    """URLs by flag, by base and path, and from a template with encoded values."""
+    pages = S.table(spark, sf_dir, "pages")
+    host = F.regexp_extract("url", r"^https?://([^/?#]+)", 1)
+    path = F.regexp_extract("url", r"^https?://[^/?#]+(.*)$", 1)
+    secure = F.col("url").startswith("https://")
+    title = F.regexp_extract("html", r"<title>([^<]*)", 1)
+    return pages.select(
+        "page_id",
+        PL.request_url(F.when(secure, F.concat(F.lit("https://"), host)).otherwise(host), F.concat(F.lit("/v2"), path), secure).alias("flagged"),
+        PL.joined_url(F.concat(F.lit("https://"), host), F.concat(F.lit("api"), path)).alias("joined"),
+        PL.template_url("https://api.example.com/repos/{owner}/{name}?page=1", owner=host, name=title).alias("templated"))
+
+
 # ------------------------------------------------------- reshape, quality
 
 def _vendor_events(spark, sf_dir):
@@ -393,6 +409,29 @@ def wide_to_long(spark, sf_dir):
                         F.col("volume").cast("bigint").alias("volume")))
 
 
+def _landed_wide(spark, sf_dir, name):
+    path = scratch_path(spark, name)
+    lines = S.wide_lines_from_lineitem(S.table(spark, sf_dir, "lineitem"))
+    (lines.repartition("batch").sortWithinPartitions("batch", "n").drop("n")
+     .write.partitionBy("batch").text(path))
+    return path
+
+
+@query("wide_file_parse")
+def wide_file_parse(spark, sf_dir):
+    """Landed wide CSV files with a header of two rows: fields as the headers name
+    them, one the engine doesn't know among them."""
+    return WIDE.read_wide_csv(spark, _landed_wide(spark, sf_dir, "wide_file_parse"), complete_flag="complete")
+
+
+@query("wide_file_bars")
+def wide_file_bars(spark, sf_dir):
+    """Bars from those files."""
+    path = _landed_wide(spark, sf_dir, "wide_file_bars")
+    bars, _rejected = P.yahoo_quarterly_from_wide(spark, path, fmt="csv2")
+    return bars.drop("data_load")
+
+
 # ------------------------------------------------------------ sinks, stream
 
 

@@ -106,6 +106,39 @@ def yahoo_bars_from_lineitem(li: DataFrame) -> DataFrame:
               .drop("_q"))
 
 
+#: Fields of the landed wide files, the last one unknown to the engine.
+WIDE_FIELDS = ["Open", "High", "Low", "Close", "Adj Close", "Volume", "Dividends", "Order Lines"]
+#: Files that a fetch of all symbols makes.
+WIDE_BATCHES = 7
+
+
+def wide_lines_from_lineitem(li: DataFrame) -> DataFrame:
+    """(batch, n, line): the lines of wide CSV files with a header of two rows, one
+    line a quarter. Suppliers are dealt to the files by key; a supplier has all eight fields."""
+    from ..functions.dates import quarter_start
+    p, d, t, o = F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax"), lineitem_order()
+    bars = li.groupBy("l_suppkey", quarter_start("l_shipdate").alias("day")).agg(
+        F.array(*[x.cast("string") for x in (
+            F.min_by(p, o), F.max(p * (1 + t)), F.min(p * (1 - d)), F.max_by(p * (1 - d) * (1 + t), o),
+            F.max_by(p * (1 - d), o), F.sum(F.col("l_quantity").cast("bigint")), F.sum(F.round(t * 100)), F.count(F.lit(1)))]).alias("cells"))
+    batch = F.pmod(F.col("l_suppkey"), F.lit(WIDE_BATCHES)).alias("batch")
+    symbols = li.select("l_suppkey", batch).distinct()
+    heads = symbols.groupBy("batch").agg(F.sort_array(F.collect_list("l_suppkey")).alias("keys"))
+    names = F.array(*map(F.lit, WIDE_FIELDS))
+    blank = F.array_repeat(F.lit(""), len(WIDE_FIELDS))
+
+    def header(first, cell):
+        return F.concat_ws(",", F.lit(first), F.flatten(F.transform("keys", cell)))
+    top = heads.select("batch", F.explode(F.array(
+        F.struct(F.lit(0).alias("n"), header("Ticker", lambda k: F.array_repeat(F.concat(F.lit("S"), k.cast("string")), len(WIDE_FIELDS))).alias("line")),
+        F.struct(F.lit(1).alias("n"), header("Price", lambda k: names).alias("line")),
+        F.struct(F.lit(2).alias("n"), header("Date", lambda k: blank).alias("line")))).alias("x")).select("batch", "x.*")
+    held = bars.groupBy(batch, "day").agg(F.map_from_entries(F.collect_list(F.struct("l_suppkey", "cells"))).alias("held"))
+    body = held.join(heads, "batch").select("batch", (F.unix_date("day") + 10).alias("n"), F.concat_ws(
+        ",", F.col("day").cast("string"), F.flatten(F.transform("keys", lambda k: F.coalesce(F.col("held")[k], blank)))).alias("line"))
+    return top.unionByName(body)
+
+
 def part_symbol() -> Column:
     """Vendor-style symbol per part, covering every cleaning rule: a leading
     digit, an inner digit, '/', '*', the two share-class aliases, plain."""
