@@ -312,9 +312,10 @@ def repo_summary(repos: DataFrame, contributors: DataFrame) -> DataFrame:
     stargazers_count, contributors). The second fetch depends on a field of
     the first, so the lists are joined on the URL read from each repository;
     both sides carry one row per URL, so no key can be hot. A repository whose
-    list is missing keeps a null count."""
+    list is missing, or that names none (these skip the join), keeps a null count."""
     r = (repos.select(F.from_json("payload", REPO_SCHEMA).alias("r"))
               .select("r.contributors_url", "r.stargazers_count"))
     c = contributors.select(F.col("url").alias("contributors_url"),
                             F.json_array_length("payload").cast("bigint").alias("contributors"))
-    return r.join(c, "contributors_url", "left")
+    named = r.where(F.col("contributors_url").isNotNull()).join(c, "contributors_url", "left")
+    return named.unionByName(r.where(F.col("contributors_url").isNull()), allowMissingColumns=True)

@@ -282,8 +282,10 @@ def stage_replace(df: DataFrame, path: str, schema: T.StructType = BAR_SCHEMA, n
     keys = keys.select("source", "ticker").distinct().withColumn("bucket", bucket_col(n)).persist()
     cached.append(keys)
     try:
-        # at most one row per source and bucket
-        touched = {(r["source"], r["bucket"]) for r in keys.select(*BUCKET_COLS).distinct().collect()}
+        # the touched buckets and how many new rows each gets: at most one row per source and bucket
+        marks = keys.select(*BUCKET_COLS, F.lit(0).alias("rows")).unionByName(new.select(*BUCKET_COLS, F.lit(1).alias("rows")))
+        touched = {(r["source"], r["bucket"]): r["rows"]
+                   for r in marks.groupBy(*BUCKET_COLS).agg(F.sum("rows").alias("rows")).collect()}
         if not touched:
             return None
         rows, old = new, [places[p] for p in sorted(touched, key=str) if p in places]
@@ -291,10 +293,9 @@ def stage_replace(df: DataFrame, path: str, schema: T.StructType = BAR_SCHEMA, n
             kept = _rows(spark, path, schema, old).join(keys.select("source", "ticker"), ["source", "ticker"], "left_anti")
             rows = kept.withColumn("bucket", bucket_col(n)).unionByName(new)
         parts = {}
-        for r in new.groupBy(*BUCKET_COLS).count().collect():  # as many rows as touched buckets
-            place = (r["source"], r["bucket"])
+        for place, count in touched.items():
             held = base.folders[places[place]] if place in places else 0
-            share = r["count"] / rows_per_file + held / BYTES_PER_FILE
+            share = count / rows_per_file + held / BYTES_PER_FILE
             if share > 1:
                 parts[place] = math.ceil(share)
         folders = {f: base.folders[f] for p, f in places.items() if p not in touched}

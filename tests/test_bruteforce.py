@@ -18,7 +18,7 @@ def _skewed_daily(spark):
 
 def _brute_force(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.copy()
-    pdf["ord"] = pdf["_order"].apply(tuple)
+    pdf["ord"] = pdf["_order"]
     pdf = pdf.sort_values(["ticker", "ord"])
     pdf["qs"] = pd.to_datetime(pdf["date"]).dt.to_period("Q")
     out = []
