@@ -26,7 +26,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from . import sketch
 from .text import slices, splitmix
@@ -66,19 +67,25 @@ class Windows:
         return head, size
 
 
+def posed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """(doc, mark, text, ...): the mark, a hash of the text, tells rows with one id apart."""
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("bigint").alias("doc"), F.xxhash64(text).alias("mark"), text.alias("text"), *more)
+
+
 def _sliced(batch: pa.RecordBatch, limit: int) -> Iterator[tuple[np.ndarray, pa.Array]]:
-    """(ids, texts) of slices of a batch of (id, text)."""
-    ids = batch[0].to_numpy()
-    for a, b in slices(batch[1], limit):
-        yield ids[a:b], batch[1].slice(a, b - a)
+    """(documents, texts) of slices of a batch of (doc, mark, text); a document is (doc, mark)."""
+    ids = np.stack([batch[0].to_numpy(), batch[1].to_numpy()], axis=1)
+    for a, b in slices(batch[2], limit):
+        yield ids[a:b], batch[2].slice(a, b - a)
 
 
 def _joined(doc: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows in order, those that follow on joined."""
-    order = np.lexsort((start, doc))
+    order = np.lexsort((start, doc[:, 1], doc[:, 0]))
     doc, start, n = doc[order], start[order], n[order]
     new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + n[:-1])
+    new[1:] = (doc[1:] != doc[:-1]).any(axis=1) | (start[1:] != start[:-1] + n[:-1])
     head = np.flatnonzero(new)
     return doc[head], start[head], np.add.reduceat(n, head) if len(head) else n
 
@@ -88,7 +95,7 @@ def _spans(doc: np.ndarray, start: np.ndarray, n: np.ndarray, tasks: int) -> Ite
     if not len(doc):
         return
     doc, start, n = _joined(doc, start, n)
-    share = (splitmix(doc.astype(np.uint64)) % np.uint64(tasks)).astype(np.int64)
+    share = (splitmix(doc[:, 0].astype(np.uint64) + doc[:, 1].astype(np.uint64)) % np.uint64(tasks)).astype(np.int64)
     order = np.argsort(share, kind="stable")
     edge = np.searchsorted(share[order], np.arange(tasks + 1))
     numbers, blobs = [], []
@@ -108,15 +115,17 @@ def _by_document(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
         return
     fields: tuple[list[np.ndarray], ...] = ([], [], [])
     for blob in blobs:
-        count = len(blob) // 16
-        for k, (kind, at) in enumerate((("<i8", 0), ("<i4", 8), ("<i4", 12))):
-            fields[k].append(np.frombuffer(blob, kind, count, at * count))
+        count = len(blob) // 24
+        fields[0].append(np.frombuffer(blob, "<i8", 2 * count).reshape(count, 2))
+        for k, at in ((1, 16), (2, 20)):
+            fields[k].append(np.frombuffer(blob, "<i4", count, at * count))
     doc, start, n = _joined(*(np.concatenate(f).astype(np.int64) for f in fields))
     pairs = np.stack([start, n], axis=1).astype("<i4")
-    edge = np.append(np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])), len(doc))
+    edge = np.append(np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]).any(axis=1)])), len(doc))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(doc[edge[:-1]]), pa.array([pairs[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())],
-        names=["doc", "spans"])
+        [pa.array(doc[edge[:-1], 0]), pa.array(doc[edge[:-1], 1]),
+         pa.array([pairs[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())],
+        names=["doc", "mark", "spans"])
 
 
 def _pack(route: np.ndarray, doc: np.ndarray, start: np.ndarray, n: np.ndarray, body: np.ndarray,
@@ -147,9 +156,10 @@ def _unpack(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
     for blob in map(sketch.unpacked, blobs):
         count = int(np.frombuffer(blob, "<i8", 1)[0])
         at = 8
-        for k, kind in enumerate(("<u8", "<i8", "<i4", "<i4", "<i4")):
-            fields[k].append(np.frombuffer(blob, kind, count, at))
-            at += count * np.dtype(kind).itemsize
+        for k, (kind, wide) in enumerate((("<u8", 1), ("<i8", 2), ("<i4", 1), ("<i4", 1), ("<i4", 1))):
+            fields[k].append(np.frombuffer(blob, kind, wide * count, at))
+            at += wide * count * np.dtype(kind).itemsize
+        fields[1][-1] = fields[1][-1].reshape(count, 2)
         fields[5].append(np.frombuffer(blob, np.uint8, -1, at))
     return tuple(np.concatenate(f) for f in fields)
 
@@ -160,8 +170,8 @@ def _settle(w: Windows, ids: np.ndarray, head: np.ndarray, size: np.ndarray, rou
     if not len(head):
         return
     row, same = w.row[head], w.identity(head, size)
-    order = np.lexsort((w.start[head], ids[row], same, route))
-    r, s, d = route[order], same[order], ids[row[order]]
+    order = np.lexsort((w.start[head], ids[row, 0], same, route))
+    r, s, d = route[order], same[order], ids[row[order], 0]
     new = np.ones(len(order), bool)
     new[1:] = (r[1:] != r[:-1]) | (s[1:] != s[:-1])
     least = d[np.flatnonzero(new)][np.cumsum(new) - 1]
@@ -175,10 +185,10 @@ def _settle(w: Windows, ids: np.ndarray, head: np.ndarray, size: np.ndarray, rou
 def repeated_spans(docs: DataFrame, windows: Callable[[pa.Array], Windows],
                    resolver: Callable[..., np.ndarray], cell_bits: int = sketch.CELL_BITS,
                    hot: int = HOT, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """(doc, spans): packed (first window, number of windows) pairs of 32-bit
+    """(doc, mark, spans): packed (first window, number of windows) pairs of 32-bit
     numbers, of windows that also start in a document with a smaller id.
 
-    ``docs`` has columns id (bigint, not null) and text. ``resolver`` gets
+    ``docs`` are ``posed`` rows with a doc that isn't null. ``resolver`` gets
     (route, doc, n, size, bodies) of contexts sorted by route and returns, for
     each window of each context in turn, whether a smaller document has it.
     """
@@ -230,7 +240,7 @@ def repeated_spans(docs: DataFrame, windows: Callable[[pa.Array], Windows],
         route, doc, start, n, size, off = (x[shared] for x in (route, doc, start, n, size, off))
         if not len(route):
             return
-        gone = np.flatnonzero(resolver(route, doc, n, bodies, off, size))
+        gone = np.flatnonzero(resolver(route, doc[:, 0], n, bodies, off, size))
         begin = np.cumsum(n) - n
         at = np.searchsorted(begin, gone, side="right") - 1
         yield from _spans(doc[at], start[at] + gone - begin[at], np.ones(len(at), np.int64), tasks)
@@ -240,7 +250,7 @@ def repeated_spans(docs: DataFrame, windows: Callable[[pa.Array], Windows],
 
     return (docs.mapInArrow(collect, "part int, data binary")
             .repartition(tasks, "part").mapInArrow(resolve, "part int, data binary")
-            .repartition(tasks, "part").mapInArrow(gather, "doc bigint, spans binary"))
+            .repartition(tasks, "part").mapInArrow(gather, "doc bigint, mark bigint, spans binary"))
 
 
 def covered(spans: bytes | None, width: int, n: int) -> np.ndarray:

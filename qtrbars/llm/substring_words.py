@@ -10,8 +10,9 @@ the nine 5-word grams inside: at least as frequent as the window, and a
 fifth as many to count. Windows are told apart by 128 bits of hashes.
 
 Windows are judged on the input, not on what is left. Defined results: null
-and empty texts have no words; a null id is kept whole; rows with one id are
-copies of one document; an empty input gives no rows.
+and empty texts have no words; a null id is kept whole; rows with one id, be
+their texts the same or not, are judged each on its own and take nothing from each
+other; an empty input gives no rows.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import sketch
-from .repeats import HOT, Windows, covered, repeated_spans
-from .text import Rolling, slices, sliding_min, splitmix, text_buffer, window_hash, word_bounds
+from .repeats import HOT, Windows, covered, posed, repeated_spans
+from .text import sliding_min, splitmix, text_buffer, window_hash, word_bounds, word_hashes
 
 WINDOW, GRAM = 13, 5
 
@@ -35,7 +36,7 @@ def windows(texts: pa.Array) -> Windows:
     data, off = text_buffer(texts)
     starts, ends, rows = word_bounds(data, off)
     first = np.searchsorted(rows, np.arange(len(off)))
-    one, two = (Rolling(data, seed).of(starts, ends) for seed in (0, 1))
+    one, two = (word_hashes(data, starts, ends, seed) for seed in (0, 1))
     at = np.flatnonzero(rows[:max(0, len(rows) - WINDOW + 1)] == rows[WINDOW - 1:])
     anchor = sliding_min(window_hash(one, GRAM), WINDOW - GRAM + 1)[at]
     key, other = window_hash(one, WINDOW)[at], window_hash(two, WINDOW, 1)[at]
@@ -72,17 +73,14 @@ def same_windows(route: np.ndarray, doc: np.ndarray, n: np.ndarray, bodies: np.n
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cell_bits: int = sketch.CELL_BITS,
             hot: int = HOT) -> DataFrame:
-    """(doc, spans): packed runs of repeated windows of the documents that have any."""
-    posed = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"),
-                                                         F.col(text_col).cast("string").alias("text"))
-    return repeated_spans(posed, windows, same_windows, cell_bits, hot)
+    """(doc, mark, spans): packed runs of repeated windows of the texts that have any."""
+    return repeated_spans(posed(docs, id_col, text_col).where("doc is not null"), windows, same_windows, cell_bits, hot)
 
 
 def _joined(docs: DataFrame, id_col: str, text_col: str, **options) -> DataFrame:
     found = repeats(docs, id_col, text_col, **options)
-    posed = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("doc"),
-                        F.col(text_col).cast("string").alias("text"))
-    return posed.join(found.hint("shuffle_hash"), "doc", "left")
+    rows = posed(docs, id_col, text_col, F.struct("*").alias("row"))
+    return rows.join(found.hint("shuffle_hash"), ["doc", "mark"], "left")
 
 
 def removal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

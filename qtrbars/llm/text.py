@@ -6,6 +6,8 @@ task that is run again on another executor yields the same rows.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -70,7 +72,7 @@ class Rolling:
             size = max(n, 1 << 16)
             known = tuple(np.multiply.accumulate(np.concatenate(
                 ([np.uint64(1)], np.full(size - 1, b, np.uint64)))) for b in (base, pow(base, -1, 1 << 64)))
-            if size <= 4 * CHUNK_BYTES:
+            if size <= CHUNK_BYTES + 1:  # kept as long as the Python worker is
                 self._powers[seed] = known
         self.back = known[1]
         table = splitmix(np.arange(256, dtype=np.uint64) + np.uint64(977 * (seed + 1)))
@@ -113,6 +115,36 @@ def word_bounds(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, ends, rows
 
 
+#: Words of more bytes are hashed by a digest.
+LONG_WORD = 512
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hash of every word ``data[starts:ends]``; ``seed`` picks another one.
+
+    A word's bytes are mixed in eight at a time, after its length, so words of
+    one length up to eight bytes never collide, and no pattern in the bytes
+    carries over to the hash as it does with polynomials modulo 2**64.
+    """
+    size = ends - starts
+    state = splitmix(size.astype(np.uint64) + np.uint64(0xC2B2AE3D27D4EB4F * (seed + 1) % 2 ** 64))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    todo, done = np.arange(len(starts)), 0
+    while len(todo) and done < LONG_WORD:
+        left = size[todo] - done
+        value = eight[starts[todo] + done]
+        short = left < 8
+        value[short] &= (np.uint64(1) << (8 * left[short]).astype(np.uint64)) - np.uint64(1)
+        state[todo] = splitmix(state[todo] ^ value)
+        done += 8
+        todo = todo[left > 8]
+    for i in todo.tolist():
+        digest = hashlib.blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=8, salt=bytes([seed])).digest()
+        state[i] ^= np.frombuffer(digest, "<u8")[0]
+    return state
+
+
 def window_hash(words: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
     """Hash of every run of k consecutive word hashes (len(words) - k + 1)."""
     n = len(words) - k + 1
