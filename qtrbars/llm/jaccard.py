@@ -24,8 +24,9 @@ still held against all it could link with, so components are exact.
 
 Defined results: text without words (or null) has an empty set and links with
 nothing; one to four words are one shingle; a null id has its set's size and
-a null component; rows with one id are copies of one document, of which the
-largest set counts; an empty input gives no rows.
+a null component; rows with one id are one document, for which its largest
+set counts (of equal sizes, that with the greatest hash) and each row's own
+size is given; an empty input gives no rows.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from . import sketch
 from .components import components
-from .text import Rolling, lower_ascii, slices, splitmix, text_buffer, window_hash, word_bounds
+from .text import lower_ascii, slices, splitmix, text_buffer, window_hash, word_bounds, word_hashes
 
 WORDS = 5
 #: Estimated documents from which a shingle counts as repeated, common, frequent.
@@ -54,7 +55,7 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data, off = text_buffer(texts)
     data = lower_ascii(data)
     starts, ends, rows = word_bounds(data, off)
-    words = Rolling(data).of(starts, ends)
+    words = word_hashes(data, starts, ends)
     at = np.flatnonzero(rows[:max(0, len(rows) - WORDS + 1)] == rows[WORDS - 1:])
     row, value = rows[at], window_hash(words, WORDS)[at]
     # one to four words: their whole sequence
@@ -102,9 +103,9 @@ def set_sizes(posed: DataFrame) -> DataFrame:
 
 
 def postings(posed: DataFrame, cell_bits: int = sketch.CELL_BITS) -> DataFrame:
-    """(token, doc, n, pos): the first shingles of each document that others may have.
+    """(token, n, f1, f2, pos): the first shingles of each set that others may have.
 
-    Of documents with equal sets in one slice of text only the smallest id posts.
+    Of documents with equal sets in one slice of text only one posts.
     """
     def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for a, b in slices(batch[1]):
@@ -140,28 +141,34 @@ def postings(posed: DataFrame, cell_bits: int = sketch.CELL_BITS) -> DataFrame:
                 prefix = n - (3 * n + 3) // 4 + 1
                 at = np.flatnonzero((pos < prefix) & (level > 0))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(value[at].view(np.int64)), pa.array(ids[row[at]].astype(np.int64)),
-                     pa.array(n[at].astype(np.int32)), pa.array(pos[at].astype(np.int32))],
-                    names=["token", "doc", "n", "pos"])
+                    [pa.array(value[at].view(np.int64)), pa.array(n[at].astype(np.int64)), pa.array(f1[row[at]]),
+                     pa.array(f2[row[at]]), pa.array(pos[at].astype(np.int32))],
+                    names=["token", "n", "f1", "f2", "pos"])
 
-    return posed.mapInArrow(run, "token bigint, doc bigint, n int, pos int")
+    return posed.mapInArrow(run, "token bigint, n bigint, f1 bigint, f2 bigint, pos int")
 
 
 def segments(posed: DataFrame) -> DataFrame:
-    """(doc, fragment, n, seg): each set cut at the fragments' bounds of the order of hashes."""
+    """(doc, fragment, n, seg): each set cut at the fragments' bounds of the order of hashes.
+
+    ``posed`` has, beside id and text, the n, f1 and f2 of the set that counts for
+    the id; rows with another set are left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in slices(batch[1]):
                 part = batch.slice(a, b - a)
                 ids = part[0].to_numpy()
                 row, value = shingles(part[1])
+                n = np.bincount(row, minlength=len(ids))
+                f1, f2 = _sums(row, value, len(ids), 1), _sums(row, value, len(ids), 2)
+                counts = (n == np.asarray(part["n"])) & (f1 == np.asarray(part["f1"])) & (f2 == np.asarray(part["f2"]))
+                row, value = row[counts[row]], value[counts[row]]
                 fragment = (value >> np.uint64(61)).astype(np.int64)  # sorted by hash, so in order
                 cell = row * FRAGMENTS + fragment
                 edge = np.append(np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else 0,
                                  len(cell))
                 at = edge[:-1][:len(edge) - 1] if len(cell) else edge[:0]
                 offsets = np.append(at, len(cell)).astype(np.int32)
-                n = np.bincount(row, minlength=len(ids))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[row[at]].astype(np.int64)), pa.array(fragment[at].astype(np.int32)),
                      pa.array(n[row[at]].astype(np.int32)),
@@ -202,15 +209,24 @@ def star_pairs(posts: DataFrame) -> DataFrame:
 
 
 def cross_pairs(posts: DataFrame) -> DataFrame:
-    """(u, v) that share a posting, lie in two components and could reach the threshold."""
+    """(u, v) that share a posting, lie in two components and could reach the threshold.
+
+    Which sizes and places could is found for the distinct (size, place) of a token's
+    postings first, so the documents of a frequent one that can't link are
+    never held against each other.
+    """
     mixed = posts.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
     left = posts.join(mixed.select("token"), "token", "left_semi")
-    one, other = left.alias("x"), left.alias("y")
+    kinds = left.groupBy("token", "n", "pos").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    x, y = kinds.alias("x"), kinds.alias("y")
     room = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-    return (one.join(other, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component"))
-                     & enough(room, F.col("x.n"), F.col("y.n"))
-                     & (4 * F.least("x.n", "y.n") >= 3 * F.greatest("x.n", "y.n")))
-            .select(F.col("x.doc").alias("u"), F.col("y.doc").alias("v")).distinct())
+    able = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.lo") < F.col("y.hi"))
+                   & enough(room, F.col("x.n"), F.col("y.n"))
+                   & (4 * F.least("x.n", "y.n") >= 3 * F.greatest("x.n", "y.n")))
+            .select("x.token", "x.n", "x.pos", F.col("y.n").alias("m"), F.col("y.pos").alias("at")))
+    one = left.join(able, ["token", "n", "pos"]).select("token", "m", "at", F.col("doc").alias("u"), F.col("component").alias("cu"))
+    other = left.select("token", F.col("n").alias("m"), F.col("pos").alias("at"), F.col("doc").alias("v"), F.col("component").alias("cv"))
+    return one.join(other, ["token", "m", "at"]).where("cu < cv").select("u", "v").distinct()
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -230,15 +246,17 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     single = sizes.where("doc is not null and n > 0").groupBy("doc").agg(
         F.max(F.struct("n", "f1", "f2")).alias("s")).select("doc", "s.*")
     classes = single.groupBy("n", "f1", "f2").agg(F.min("doc").alias("rep"))
-    member = written(single.join(classes, ["n", "f1", "f2"]).select("doc", "rep"), "jaccard-member")
-    posts = written(postings(known, cell_bits).join(member, "doc")
-                     .select("token", F.col("rep").alias("doc"), "n", "pos").distinct(), "jaccard-posts")
+    member = written(single.join(classes, ["n", "f1", "f2"]).select("doc", "rep", "n", "f1", "f2"), "jaccard-member")
+    chosen = member.where("doc = rep").drop("rep")
+    # a set that counts for no document has no class, and its postings go
+    posts = written(postings(known, cell_bits).join(chosen, ["n", "f1", "f2"])
+                    .select("token", "doc", "n", "pos").distinct(), "jaccard-posts")
     several = posts.groupBy("token").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b")
     posts = written(posts.join(several.select("token"), "token", "left_semi"), "jaccard-shared")
-    able = posts.select(F.col("doc").alias("id")).distinct()
-    segs = segments(known.join(able.hint("shuffle_hash"), "id", "left_semi"))
+    able = chosen.join(posts.select("doc").distinct(), "doc", "left_semi").withColumnRenamed("doc", "id")
+    segs = segments(known.join(able.hint("shuffle_hash"), "id"))
     if sizes.where("doc is not null").count() > member.count() + sizes.where("doc is not null and n = 0").count():
-        segs = segs.dropDuplicates(["doc", "fragment"])  # ids that come more than once
+        segs = segs.dropDuplicates(["doc", "fragment"])  # rows that come more than once
     segs = written(segs, "jaccard-segments")
     first = components(verified(star_pairs(posts), segs))
     placed = posts.join(first.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
@@ -252,7 +270,7 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     second = components(more).select(F.col("node").alias("component"), F.col("component").alias("whole"))
     whole = label.join(second, "component", "left").select(
         F.col("doc").alias("rep"), F.coalesce("whole", "component").alias("component"))
-    named = member.join(whole, "rep", "left").select("doc", F.coalesce("component", "rep").alias("component"))
+    named = member.select("doc", "rep").join(whole, "rep", "left").select("doc", F.coalesce("component", "rep").alias("component"))
     return sizes.join(named, "doc", "left").select(
         F.col("doc").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"),
         F.coalesce("component", "doc").alias("component_id"))
