@@ -16,7 +16,8 @@ returns k rows a query and the best k of them stay.
 
 Defined results: vectors that are null, or hold a null or a component that
 isn't finite, take no part; a shorter vector counts as filled up with zeros;
-ties go to the smaller id, then equal ids are kept as separate rows; fewer
+ties go to the smaller id, then equal ids are kept as separate rows; a query id
+that comes with several vectors asks with the smallest (component by component); fewer
 candidates than k give fewer rows; an empty input gives no rows. Products are
 those of 64-bit integers.
 """
@@ -54,9 +55,12 @@ def segment_statistics(rows: np.ndarray, segments: int) -> np.ndarray:
 
 
 def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
+    sizes = vectors.str.len().to_numpy()
+    flat = np.concatenate(vectors.tolist()) if len(vectors) else np.zeros(0, np.int64)
+    if (sizes == width).all():
+        return flat.reshape(len(vectors), width)
     out = np.zeros((len(vectors), width), np.int64)
-    for i, v in enumerate(vectors):
-        out[i, :len(v)] = v
+    out[np.arange(width) < sizes[:, None]] = flat
     return out
 
 
@@ -118,14 +122,14 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", v
     spread = F.xxhash64("id", "v")
     rows = vectors.select("id", "v", F.pmod(spread, F.lit(across)).cast("int").alias("col"),
                           F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("row"))
-    queries = vectors.where("q").select("id", "v", F.pmod(spread, F.lit(down)).cast("int").alias("row"),
+    asked = vectors.where("q").groupBy("id").agg(F.min("v").alias("v"))  # one vector a query
+    queries = asked.select("id", "v", F.pmod(spread, F.lit(down)).cast("int").alias("row"),
                                         F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("col"))
 
     def cell(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         names = ["query_id", "vec_id", "score"]
         if not len(q) or not len(x):
             return pd.DataFrame({c: pd.Series(dtype="int64") for c in names})
-        q = q.drop_duplicates("id")
         qid, xid = q["id"].to_numpy(np.int64), x["id"].to_numpy(np.int64)
         a, b, score = search_block(qid, _matrix(q["v"], width), xid, _matrix(x["v"], width), k)
         return pd.DataFrame(dict(zip(names, (qid[a], xid[b], score))))

@@ -45,6 +45,33 @@ def bytes_removed(rows):
     return out
 
 
+def _by_row(rows, units, width, kept):
+    """The same where rows share ids: a row loses what a row with a smaller id has."""
+    found = [units(t) for _, t in rows]
+    windows = [[tuple(u[k:k + width]) for k in range(len(u) - width + 1)] for u in found]
+    first, out = {}, []
+    for (i, _), ws in zip(rows, windows):
+        for w in ws:
+            first[w] = min(first.get(w, i), i)
+    for (i, _), u, ws in zip(rows, found, windows):
+        out.append((i, *kept(u, _gone(ws, first, i, width, len(u)))))
+    return out
+
+
+def words_removed_by_row(rows):
+    def kept(words, gone):
+        text = " ".join(x for x, g in zip(words, gone) if not g)
+        return len(words), sum(gone), hashlib.sha256(text.encode()).hexdigest()
+    return _by_row(rows, lambda t: WORD.findall(t or ""), 13, kept)
+
+
+def bytes_removed_by_row(rows):
+    def kept(raw, gone):
+        runs = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+        return len(raw), sum(gone), runs, hashlib.sha256(bytes(x for x, g in zip(raw, gone) if not g)).hexdigest()
+    return _by_row(rows, lambda t: list((t or "").encode()), 50, kept)
+
+
 def jaccard_components(rows):
     sets = {}
     for i, t in rows:

@@ -119,6 +119,69 @@ def test_null_ids_and_empty_tables(spark):
     assert fingerprints.with_next(none).count() == 0
 
 
+def repeated_ids():
+    """Rows that share an id, with one text or several, beside rows that don't."""
+    r = random.Random(12)
+
+    def prose(n):
+        return [f"w{r.randrange(5000)}" for _ in range(n)]
+    a, c, shared = prose(40), prose(60), prose(20)
+    rows = [(1, a), (1, c), (2, a + ["x"]), (3, c + ["x"]), (1, c), (4, prose(30) + shared), (4, shared + prose(9)),
+            (4, []), (5, prose(3) + shared), (5, prose(3) + shared), (6, shared), (6, shared + prose(200)), (7, ["a"]), (7, [])]
+    return [(i, " ".join(t)) for i, t in rows]
+
+
+def test_rows_that_share_an_id(spark):
+    """Each row loses what rows with smaller ids have; those with its own id take nothing from it."""
+    rows = repeated_ids()
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    for operator, plain in ((substring_words, brute.words_removed_by_row), (substring_bytes, brute.bytes_removed_by_row)):
+        for bits, hot in ((14, 4096), (10, 2)):
+            found = operator.removal(df, cell_bits=bits, hot=hot).collect()
+            assert sorted(map(tuple, found)) == sorted(plain(rows))
+    cut = substring_words.deduplicate(df, cell_bits=12).collect()
+    assert sorted((r["doc_id"], len(r["text"].split())) for r in cut) == sorted(
+        (i, n - gone) for i, n, gone, _ in brute.words_removed_by_row(rows))
+    found = jaccard.join_components(df, cell_bits=12).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in found} == {(1, 1), (2, 2), (3, 1), (4, 4), (5, 5), (6, 6), (7, 7)}
+    assert Counter((r["doc_id"], r["n_shingles"]) for r in found) == Counter(
+        (i, len({tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)}) or bool(t)) for i, t in rows)
+
+
+def thue_morse(n, one, other):
+    a, b = one, other
+    for _ in range(n):
+        a, b = a + b, b + a
+    return a, b
+
+
+@pytest.mark.parametrize("n", [10, 12])
+def test_words_made_to_collide(spark, n):
+    """Words that polynomials modulo 2**64 can't tell apart."""
+    a, b = thue_morse(n, "a", "b")
+    rest = [f"v{k}" for k in range(12)]
+    rows = [(1, " ".join([a] + rest)), (2, " ".join([b] + rest)), (3, " ".join(["x", a, *rest])),
+            (4, " ".join([a, "q", "r", "s", "t"])), (5, " ".join([b, "q", "r", "s", "t"]))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = substring_words.removal(df, cell_bits=10).collect()
+    assert {r[0]: tuple(r[1:]) for r in found} == brute.words_removed(rows)
+    assert {r[0]: r["n_removed"] for r in found} == {1: 0, 2: 0, 3: 13, 4: 0, 5: 0}
+    linked = jaccard.join_components(df, cell_bits=10).collect()
+    assert {r[0]: tuple(r[1:]) for r in linked} == brute.jaccard_components(rows)
+
+
+def test_common_line_makes_no_pairs(spark):
+    """Texts of one common line and a word of their own can't link: their sizes and places say so."""
+    line = "one two three four five six seven"
+    df = spark.createDataFrame([(i, f"{line} own{i}") for i in range(400)] + [(900, "a b c d e f"), (901, "a b c d e f")],
+                               "doc_id bigint, text string")
+    posts = jaccard.postings(df.withColumnRenamed("doc_id", "id"), 12).withColumn("doc", F.col("f1")).withColumn("component", F.col("f1"))
+    assert posts.groupBy("token").count().agg(F.max("count")).first()[0] == 400
+    assert jaccard.cross_pairs(posts.drop("f1", "f2")).count() == 0
+    found = jaccard.join_components(df, cell_bits=12).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: i for i in range(400)} | {900: 900, 901: 900}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 20)] + [(30, 40), (40, 35), (7, 7), (50, 30)]
     found = components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()
