@@ -3,7 +3,7 @@
 A text is the multiset of its paragraphs: its lines, cut further after a
 sentence's end and its space. Each paragraph is hashed to a wide vector, and a fingerprint is the sum of the
 vectors: 16 lanes modulo 2**64 that every paragraph adds to, and up to 24
-levels of 64 lanes modulo 2**32, of which a paragraph adds to one lane of one
+levels of 64 narrow lanes, also modulo 2**64, of which a paragraph adds to one lane of one
 level, both chosen by its hash: level l has a paragraph with chance
 2**-(l + 1), the last one the rest. Levels of zeros at the end are left off,
 so a fingerprint grows with the logarithm of the text. Sums don't depend on
@@ -11,8 +11,8 @@ order; a paragraph is inserted or deleted by adding or subtracting its vector.
 
 Equal texts have equal fingerprints; the wide lanes tell others apart, the
 narrow ones estimate how much two texts share, their multiset Jaccard. A
-narrow lane counts its paragraphs in its lower 20 bits and sums their hashes
-in the upper 12, so it shows whether both texts have the same paragraphs in
+narrow lane counts its paragraphs in its lower 40 bits (10**12 of them) and sums
+their hashes in the upper 24, so it shows whether both texts have the same paragraphs in
 it, or how many more one has. Levels l and above together are a sample of
 2**-l of the paragraphs; the largest sample is read that leaves a third of the
 lanes alike. Alike lanes share all they count; of the others, the expected
@@ -41,7 +41,7 @@ from .text import slices
 
 WIDE, NARROW, LEVELS = 16, 64, 24
 #: Bits of a narrow lane that count paragraphs.
-COUNT = 20
+COUNT = 40
 
 
 _END = re.compile(r"\n|(?<=[.!?]) ")
@@ -53,7 +53,7 @@ def paragraphs(text: str) -> list[str]:
 
 def _vectors(parts: list[str], known: dict[str, bytes] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(sum of the wide lanes, sum of the narrow lanes) of paragraphs; known: digests to look up and add to."""
-    wide, narrow = np.zeros(WIDE, np.uint64), np.zeros(LEVELS * NARROW, np.uint32)
+    wide, narrow = np.zeros(WIDE, np.uint64), np.zeros(LEVELS * NARROW, np.uint64)
     if parts:
         known = {} if known is None else known
         digests = b"".join([known.get(p) or known.setdefault(p, _digest(p)) for p in parts])
@@ -62,7 +62,7 @@ def _vectors(parts: list[str], known: dict[str, bytes] | None = None) -> tuple[n
         lowest = rows[:, WIDE + 2] & (~rows[:, WIDE + 2] + np.uint64(1))
         level = np.minimum(np.bitwise_count(lowest - np.uint64(1)), LEVELS - 1).astype(np.int64)
         np.add.at(narrow, level * NARROW + (rows[:, WIDE] % NARROW).astype(np.int64),
-                  (rows[:, WIDE + 1].astype(np.uint32) << np.uint32(COUNT)) + np.uint32(1))
+                  (rows[:, WIDE + 1] << np.uint64(COUNT)) + np.uint64(1))
     return wide, narrow
 
 
@@ -75,7 +75,7 @@ def _digest(paragraph: str) -> bytes:
 def _joined(wide: np.ndarray, narrow: np.ndarray) -> bytes:
     used = np.flatnonzero(narrow)
     levels = used[-1] // NARROW + 1 if len(used) else 0
-    return wide.astype("<u8").tobytes() + narrow[:levels * NARROW].astype("<u4").tobytes()
+    return wide.astype("<u8").tobytes() + narrow[:levels * NARROW].astype("<u8").tobytes()
 
 
 def fingerprint(text: str | None, known: dict[str, bytes] | None = None) -> bytes:
@@ -83,8 +83,8 @@ def fingerprint(text: str | None, known: dict[str, bytes] | None = None) -> byte
 
 
 def _split(value: bytes) -> tuple[np.ndarray, np.ndarray]:
-    narrow = np.zeros(LEVELS * NARROW, "<u4")
-    held = np.frombuffer(value, "<u4", offset=WIDE * 8)
+    narrow = np.zeros(LEVELS * NARROW, "<u8")
+    held = np.frombuffer(value, "<u8", offset=WIDE * 8)
     narrow[:len(held)] = held
     return np.frombuffer(value, "<u8", WIDE), narrow
 
@@ -108,24 +108,24 @@ def likeness(one: bytes, other: bytes) -> float:
     that leaves a third of the narrow lanes alike."""
     if one == other:
         return 1.0
-    a, b = (np.frombuffer(v, "<u4", offset=WIDE * 8).reshape(-1, NARROW) for v in (one, other))
+    a, b = (np.frombuffer(v, "<u8", offset=WIDE * 8).reshape(-1, NARROW) for v in (one, other))
     for level in range(max(len(a), len(b))):
-        x, y = a[level:].sum(axis=0, dtype=np.uint32), b[level:].sum(axis=0, dtype=np.uint32)
+        x, y = a[level:].sum(axis=0, dtype=np.uint64), b[level:].sum(axis=0, dtype=np.uint64)
         p, q = (x & _COUNTS).astype(np.int64), (y & _COUNTS).astype(np.int64)
         alike = x == y
         other_count = np.flatnonzero((p != q) & (p > 0) & (q > 0))
         if len(other_count):
             # one paragraph p and q times: the sums of its hash are as the counts, cut by what divides both
-            u, v = p[other_count], q[other_count]
+            u, v = p[other_count].astype(np.uint64), q[other_count].astype(np.uint64)
             g = np.gcd(u, v)
-            alike[other_count] = ((x[other_count] >> COUNT) * (v // g) - (y[other_count] >> COUNT) * (u // g)) \
-                % (1 << (32 - COUNT)) == 0
+            alike[other_count] = (((x[other_count] >> np.uint64(COUNT)) * (v // g) - (y[other_count] >> np.uint64(COUNT)) * (u // g))
+                                  << np.uint64(COUNT)) == 0
         if 3 * int(alike.sum()) >= NARROW:
             return _jaccard(p, q, alike)
     return 0.0
 
 
-_COUNTS = np.uint32((1 << COUNT) - 1)
+_COUNTS = np.uint64((1 << COUNT) - 1)
 #: Pairs of differing paragraphs in a lane that are thought of.
 PAIRS = np.arange(1, 33)[:, None]
 
@@ -189,12 +189,12 @@ def sum_fingerprints(df: DataFrame, group: str | Column, fingerprint_col: str =
         x = F.lpad(F.hex(F.pmod(c, F.lit(1 << 32))), 8, "0")
         return F.lower(F.concat(*[F.substring(x, 7 - 2 * i, 2) for i in range(4)]))
 
-    # the upper half of a wide lane takes what its lower half carries
+    # the upper half of a lane takes what its lower half carries
     out = F.concat_ws("", F.transform("sums", lambda x: little(x["word"] + F.when(
-        (x["k"] < WIDE * 2) & (x["k"] % 2 == 1),
+        x["k"] % 2 == 1,
         F.shiftright(F.element_at(F.col("sums"), F.greatest(x["k"], F.lit(1)))["word"], 32)).otherwise(F.lit(0)))))
     # levels of zeros at the end are left off
-    levels = F.regexp_replace(F.substring(out, WIDE * 16 + 1, LEVELS * NARROW * 8), f"(0{{{NARROW * 8}}})+$", "")
+    levels = F.regexp_replace(F.substring(out, WIDE * 16 + 1, LEVELS * NARROW * 16), f"(0{{{NARROW * 16}}})+$", "")
     return sums.select(F.col("g").alias(named), F.when(
         F.size("sums") > 0, F.concat(F.substring(out, 1, WIDE * 16), levels)).alias("fingerprint"))
 

@@ -247,6 +247,23 @@ def test_likeness_follows_the_shared_paragraphs():
     assert 0.99 < fingerprints.likeness(one, other) < 1
 
 
+@pytest.mark.parametrize("n", [2 ** 20, 2 ** 21])
+def test_counts_of_a_lane_have_no_end(n):
+    """A million equal paragraphs and more, by doubling."""
+    f, line = fingerprints.fingerprint, "the same line"
+    whole = f(line)
+    for _ in range(n.bit_length() - 1):
+        whole = fingerprints.add(whole, whole)
+    less = fingerprints.delete(whole, line)
+    assert fingerprints.likeness(less, whole) == pytest.approx((n - 1) / n, abs=1e-9)
+    half = f(line)
+    for _ in range(n.bit_length() - 2):
+        half = fingerprints.add(half, half)
+    assert fingerprints.likeness(half, whole) == pytest.approx(0.5)
+    assert fingerprints.likeness(whole, f("another")) == 0
+    assert f("\n".join([line] * 3000)) == fingerprints.add(f("\n".join([line] * 2000)), f("\n".join([line] * 1000)))
+
+
 def test_long_fingerprints_are_homomorphic(spark):
     f = fingerprints.fingerprint
     parts = [f"line {i}" for i in range(500)]
