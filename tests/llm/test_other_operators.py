@@ -41,10 +41,68 @@ def test_best_fit_by_hand():
     bins, caps = packing.best_fit([12, 9, 8, 7, 3], costs)
     assert bins == [0, 1, 0, 1, 1] and caps == [20, 20]
     bins, caps = packing.best_fit([12, 5], {10: 10.0, 20: 20.0, 12: 12.0})
-    assert sum(caps) == 22  # downsizing
+    assert caps == [20]  # opening 20 for both costs less than 12 and 10
+    bins, caps = packing.best_fit([12, 5], {10: 10.0, 20: 23.0, 12: 12.0})
+    assert sorted(caps) == [10, 12]  # downsizing
     assert packing.best_fit([], costs) == ([], [])
 
 
+def least_cost(sizes, costs):
+    """The least cost over all ways to put sizes into bins."""
+    best = {(): 0.0}
+
+    def solve(rest):
+        if rest not in best:
+            first, others = rest[0], rest[1:]
+            found = []
+            for mask in range(1 << len(others)):
+                load = first + sum(x for k, x in enumerate(others) if mask >> k & 1)
+                if load <= max(costs):
+                    found.append(costs[packing.downsized(load, costs)]
+                                 + solve(tuple(x for k, x in enumerate(others) if not mask >> k & 1)))
+            best[rest] = min(found)
+        return best[rest]
+    return solve(tuple(sizes))
+
+
+def test_best_fit_against_all_packings():
+    r = random.Random(11)
+    ratios, chosen = [], set()
+    for _ in range(150):
+        lengths = sorted(r.sample(range(5, 60), 3))
+        costs = {n: n + n * n / r.choice((20, 80, 1000)) + r.choice((0, 5, 20)) for n in lengths}
+        sizes = sorted((r.randint(1, lengths[-1]) for _ in range(r.randint(1, 8))), reverse=True)
+        bins, caps = packing.best_fit(sizes, costs)
+        loads = [sum(s for s, b in zip(sizes, bins) if b == k) for k in range(len(caps))]
+        assert all(0 < x <= c for x, c in zip(loads, caps)) and sum(loads) == sum(sizes)
+        cost = sum(costs[c] for c in caps)
+        every = [p[2] for p in packing.plans(sizes, costs)]
+        assert cost == min(every)
+        chosen.add(every.index(cost))
+        ratios.append(cost / least_cost(sizes, costs))
+    assert min(ratios) >= 1 - 1e-9 and sum(ratios) / len(ratios) < 1.05 and max(ratios) < 1.6
+    assert len(chosen) > 2  # no one plan is always best
+
+
+def test_lengths_compete(spark):
+    """On real lengths several plans are compared, and the one taken costs least."""
+    sizes = packing.count_words(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).toPandas()["n_tokens"]
+    pieces = sorted((min(int(x), 8192) for x in sizes if x > 0), reverse=True)[::2]
+    costs = packing.default_costs(packing.LENGTHS)
+    every = [p[2] for p in packing.plans(pieces, costs)]
+    _, caps = packing.best_fit(pieces, costs)
+    one_length = packing._pack(pieces, {8192: costs[8192]}, None)[2]
+    assert len(every) == 6 and len(set(every)) > 3
+    assert sum(costs[c] for c in caps) == min(every) < 0.9 * one_length and len(set(caps)) > 2
+
+
+def test_frequent_ids_are_spread(spark):
+    rows = [(None, "w " * 50)] * 400 + [(1, "w " * 50)] * 400
+    found = packing.pack_documents(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), group_pieces=100)
+    assert found.groupBy("group_id").count().agg(F.max("count")).first()[0] < 300
+    assert found.count() == 800
+
+
 def test_language_id(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     extra = spark.createDataFrame([(9001, None, "en"), (9002, "12 !!", None), (None, "The thing", "en"), (9003, "", "de")],
