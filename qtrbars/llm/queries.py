@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from . import (exact_copies, filter_audit, fingerprints, jaccard, langid, packing, pieces, prefix_trie, quality, sharding,
                substring_bytes, substring_words, topk)
 
+#: One in so many texts of each Arrow batch is held against the sentencepiece library.
+VERIFY = 8
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
 
@@ -64,7 +66,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode_digests(documents(spark, sf_dir), model_path())
+    return pieces.encode_digests(documents(spark, sf_dir), model_path(), verify=VERIFY)
 
 
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +88,62 @@ QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op3_ng
                                    op9_substring_dedup, op10_sentencepiece, op11_prefix_trie, op12_exact_dedup, op13_filter_audit)}
 
 ORACLES = {
+    "op3_ngram_jaccard": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS words
+            FROM documents),
+        g AS (
+            SELECT DISTINCT doc_id, CASE WHEN len(words) < 5 THEN array_to_string(words, ' ')
+                                         ELSE array_to_string(words[k:k + 4], ' ') END AS gram
+            FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS k FROM w WHERE len(words) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+        l AS (
+            SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c
+            FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+        e AS (
+            SELECT u, v FROM l JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v
+            WHERE 100 * c >= 75 * (x.n + y.n - c)),
+        r AS (
+            SELECT u, v FROM e
+            UNION
+            SELECT r.u, e.v FROM r JOIN e ON r.v = e.u)
+        SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles,
+               least(w.doc_id, coalesce((SELECT min(v) FROM r WHERE r.u = w.doc_id), w.doc_id)) AS component_id
+        FROM w LEFT JOIN n ON n.doc_id = w.doc_id""",
+    "op6_suffix_dedup": r"""
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        b AS (SELECT doc_id, h, unnest(range(len(h) // 2)) AS k FROM d),
+        s AS (SELECT doc_id, k, sha256(substr(h, 2 * k + 1, 100)) AS string FROM b WHERE 2 * k + 100 <= len(h)),
+        f AS (SELECT doc_id, k, doc_id > min(doc_id) OVER (PARTITION BY string) AS again FROM s),
+        c AS (
+            SELECT b.doc_id, b.k, substr(h, 2 * b.k + 1, 2) AS byte,
+                   coalesce(max(CASE WHEN again THEN b.k END) OVER before >= b.k - 49, false) AS gone
+            FROM b LEFT JOIN f ON f.doc_id = b.doc_id AND f.k = b.k
+            WINDOW before AS (PARTITION BY b.doc_id ORDER BY b.k ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)),
+        t AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY k), false) AS begins FROM c)
+        SELECT d.doc_id, len(d.h) // 2 AS n_bytes, coalesce(x.n_removed, 0) AS n_removed, coalesce(x.n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(x.kept, ''))) AS kept_sha256
+        FROM d LEFT JOIN (
+            SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_spans,
+                   string_agg(byte, '' ORDER BY k) FILTER (NOT gone) AS kept
+            FROM t GROUP BY doc_id) x ON x.doc_id = d.doc_id""",
+    "op9_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        w AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS k FROM d),
+        s AS (
+            SELECT doc_id, k, array_to_string(words[k + 1:k + 13], ' ') AS run
+            FROM (SELECT doc_id, words, unnest(range(len(words) - 12)) AS k FROM d WHERE len(words) >= 13)),
+        f AS (SELECT doc_id, k, doc_id > min(doc_id) OVER (PARTITION BY run) AS again FROM s),
+        c AS (
+            SELECT w.doc_id, w.k, word, coalesce(max(CASE WHEN again THEN w.k END) OVER before >= w.k - 12, false) AS gone
+            FROM w LEFT JOIN f ON f.doc_id = w.doc_id AND f.k = w.k
+            WINDOW before AS (PARTITION BY w.doc_id ORDER BY w.k ROWS BETWEEN 12 PRECEDING AND CURRENT ROW))
+        SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(x.n_removed, 0) AS n_removed,
+               sha256(coalesce(x.kept, '')) AS kept_sha256
+        FROM d LEFT JOIN (
+            SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY k) FILTER (NOT gone) AS kept
+            FROM c GROUP BY doc_id) x ON x.doc_id = d.doc_id""",
     "op7_exact_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS e
