@@ -113,14 +113,19 @@ ORACLES = {
         FROM w LEFT JOIN n ON n.doc_id = w.doc_id""",
     "op6_suffix_dedup": r"""
         WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-        b AS (SELECT doc_id, h, unnest(range(len(h) // 2)) AS k FROM d),
-        s AS (SELECT doc_id, k, sha256(substr(h, 2 * k + 1, 100)) AS string FROM b WHERE 2 * k + 100 <= len(h)),
-        f AS (SELECT doc_id, k, doc_id > min(doc_id) OVER (PARTITION BY string) AS again FROM s),
+        p AS (  -- pieces of 1,000 bytes with the 49 that follow, as cutting a long text is slow
+            SELECT doc_id, head, substr(h, 2 * head + 1, 2098) AS piece, least(1000, len(h) // 2 - head) AS n
+            FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2, 1000)) AS head FROM d)),
+        b AS (
+            SELECT doc_id, head + j AS k, substr(piece, 2 * j + 1, 100) AS string
+            FROM (SELECT doc_id, head, piece, unnest(range(n)) AS j FROM p)),
+        f AS (
+            SELECT doc_id, k, substr(string, 1, 2) AS byte,
+                   len(string) = 100 AND doc_id > min(doc_id) OVER (PARTITION BY string) AS again
+            FROM b),
         c AS (
-            SELECT b.doc_id, b.k, substr(h, 2 * b.k + 1, 2) AS byte,
-                   coalesce(max(CASE WHEN again THEN b.k END) OVER before >= b.k - 49, false) AS gone
-            FROM b LEFT JOIN f ON f.doc_id = b.doc_id AND f.k = b.k
-            WINDOW before AS (PARTITION BY b.doc_id ORDER BY b.k ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)),
+            SELECT doc_id, k, byte, coalesce(max(CASE WHEN again THEN k END) OVER (PARTITION BY doc_id ORDER BY k) >= k - 49, false) AS gone
+            FROM f),
         t AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY k), false) AS begins FROM c)
         SELECT d.doc_id, len(d.h) // 2 AS n_bytes, coalesce(x.n_removed, 0) AS n_removed, coalesce(x.n_spans, 0) AS n_spans,
                sha256(unhex(coalesce(x.kept, ''))) AS kept_sha256
@@ -136,9 +141,9 @@ ORACLES = {
             FROM (SELECT doc_id, words, unnest(range(len(words) - 12)) AS k FROM d WHERE len(words) >= 13)),
         f AS (SELECT doc_id, k, doc_id > min(doc_id) OVER (PARTITION BY run) AS again FROM s),
         c AS (
-            SELECT w.doc_id, w.k, word, coalesce(max(CASE WHEN again THEN w.k END) OVER before >= w.k - 12, false) AS gone
-            FROM w LEFT JOIN f ON f.doc_id = w.doc_id AND f.k = w.k
-            WINDOW before AS (PARTITION BY w.doc_id ORDER BY w.k ROWS BETWEEN 12 PRECEDING AND CURRENT ROW))
+            SELECT w.doc_id, w.k, word,
+                   coalesce(max(CASE WHEN again THEN w.k END) OVER (PARTITION BY w.doc_id ORDER BY w.k) >= w.k - 12, false) AS gone
+            FROM w LEFT JOIN f ON f.doc_id = w.doc_id AND f.k = w.k)
         SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(x.n_removed, 0) AS n_removed,
                sha256(coalesce(x.kept, '')) AS kept_sha256
         FROM d LEFT JOIN (
