@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from . import sketch
 from .components import components
-from .text import lower_ascii, slices, splitmix, text_buffer, window_hash, word_bounds, word_hashes
+from .text import lower_ascii, slices, splitmix, text_buffer, trimmed, window_hash, word_bounds, word_hashes
 
 WORDS = 5
 #: Estimated documents from which a shingle counts as repeated, common, frequent.
@@ -99,7 +99,7 @@ def set_sizes(posed: DataFrame) -> DataFrame:
                      pa.array(_sums(row, value, n, 1)), pa.array(_sums(row, value, n, 2))],
                     names=["doc", "n", "f1", "f2"])
 
-    return posed.mapInArrow(run, "doc bigint, n bigint, f1 bigint, f2 bigint")
+    return posed.mapInArrow(trimmed(run), "doc bigint, n bigint, f1 bigint, f2 bigint")
 
 
 def postings(posed: DataFrame, cell_bits: int = sketch.CELL_BITS) -> DataFrame:
@@ -145,7 +145,7 @@ def postings(posed: DataFrame, cell_bits: int = sketch.CELL_BITS) -> DataFrame:
                      pa.array(f2[row[at]]), pa.array(pos[at].astype(np.int32))],
                     names=["token", "n", "f1", "f2", "pos"])
 
-    return posed.mapInArrow(run, "token bigint, n bigint, f1 bigint, f2 bigint, pos int")
+    return posed.mapInArrow(trimmed(run), "token bigint, n bigint, f1 bigint, f2 bigint, pos int")
 
 
 def segments(posed: DataFrame) -> DataFrame:
@@ -175,7 +175,7 @@ def segments(posed: DataFrame) -> DataFrame:
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(value.view(np.int64)))],
                     names=["doc", "fragment", "n", "seg"])
 
-    return posed.mapInArrow(run, "doc bigint, fragment int, n int, seg array<bigint>")
+    return posed.mapInArrow(trimmed(run), "doc bigint, fragment int, n int, seg array<bigint>")
 
 
 def enough(overlap: Column, a: Column, b: Column) -> Column:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .sampling import least_by_hash
-from .text import lower_ascii, slices, text_buffer
+from .text import lower_ascii, release, slices, text_buffer
 
 WINDOW = 256
 WIDTHS = (2, 3, 4, 5)
@@ -180,6 +180,7 @@ def classify(df: DataFrame, net: Network | None, text_col: str = "text", lang_co
             letters = spoken.slice(a, b - a).to_numpy(zero_copy_only=False).astype(bool)
             langs.append(names[np.where(letters, found.argmax(axis=1), len(net.langs))])
             scores.append(np.where(letters, found.max(axis=1), 0.0))
+        release()
         return pa.StructArray.from_arrays(
             [pa.array(np.concatenate(langs) if langs else [], pa.string()),
              pa.array(np.concatenate(scores) if scores else [], pa.float64())], names=["lang", "score"])

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .jaccard import written
-from .text import slices, text_buffer, word_bounds
+from .text import slices, text_buffer, trimmed, word_bounds
 
 LENGTHS = (512, 1024, 2048, 4096, 8192)
 #: Cost of a sequence beside its tokens, and the length at which attention costs as much as they do.
@@ -109,7 +109,7 @@ def count_words(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"id {kind}, n_tokens bigint")
+        trimmed(run), f"id {kind}, n_tokens bigint")
 
 
 def pack(sized: DataFrame, lengths=LENGTHS, costs: dict[int, float] | None = None,

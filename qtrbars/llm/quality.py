@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .langid import held_out
 from .sampling import least_by_hash
-from .text import Rolling, slices, splitmix, text_buffer, word_bounds
+from .text import Rolling, release, slices, splitmix, text_buffer, trimmed, word_bounds
 
 BUCKETS = 1024
 RUN = 4
@@ -156,7 +156,7 @@ def _featured(texts: DataFrame) -> DataFrame:
             vec = [v.tobytes() for part in _parts(batch[1]) for v in features(part).astype(np.float16)]
             yield pa.RecordBatch.from_arrays([batch[0], pa.array(vec, pa.binary())], names=["kind", "vec"])
 
-    return texts.mapInArrow(run, "kind int, vec binary")
+    return texts.mapInArrow(trimmed(run), "kind int, vec binary")
 
 
 def _parts(texts: pa.Array) -> Iterator[pa.Array]:
@@ -210,6 +210,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str =
     """
     def scores(texts: pa.Array) -> pa.Array:
         found = [model.score(features(part)).astype(np.float64) for part in _parts(texts)]
+        release()
         return pa.array(np.concatenate(found) if found else [], pa.float64())
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import sketch
-from .text import slices, splitmix
+from .text import slices, splitmix, trimmed
 
 #: Longest context, in windows; longer runs are cut.
 RUN = 64
@@ -248,9 +248,9 @@ def repeated_spans(docs: DataFrame, windows: Callable[[pa.Array], Windows],
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _by_document([b.as_py() for batch in batches for b in batch["data"]])
 
-    return (docs.mapInArrow(collect, "part int, data binary")
-            .repartition(tasks, "part").mapInArrow(resolve, "part int, data binary")
-            .repartition(tasks, "part").mapInArrow(gather, "doc bigint, mark bigint, spans binary"))
+    return (docs.mapInArrow(trimmed(collect), "part int, data binary")
+            .repartition(tasks, "part").mapInArrow(trimmed(resolve), "part int, data binary")
+            .repartition(tasks, "part").mapInArrow(trimmed(gather), "doc bigint, mark bigint, spans binary"))
 
 
 def covered(spans: bytes | None, width: int, n: int) -> np.ndarray:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from .text import splitmix
+from .text import splitmix, trimmed
 
 DEPTH = 2
 CELL_BITS = 27
@@ -92,7 +92,7 @@ def partition_sketches(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterabl
                     held, size = [], 0
         yield from _emit(held, bits)
 
-    return df.mapInArrow(run, _SCHEMA)
+    return df.mapInArrow(trimmed(run), _SCHEMA)
 
 
 class Bits:
@@ -136,7 +136,7 @@ def over(sketches: DataFrame, thresholds: list[int], bits: int = CELL_BITS) -> l
                                              names=["slice", "found"])
 
     parts = DEPTH << SLICE_BITS
-    rows = sketches.repartition(parts, "slice").mapInArrow(merge, "slice int, found array<binary>").collect()
+    rows = sketches.repartition(parts, "slice").mapInArrow(trimmed(merge), "slice int, found array<binary>").collect()
     out = [Bits(np.zeros((DEPTH, 1 << (bits - 3 - coarse)), np.uint8), bits, coarse)
            for coarse in (0 if t <= 2 else COARSE for t in thresholds)]
     while rows:  # each slice is let go once its bits are in place

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from . import sketch
 from .repeats import HOT, Windows, covered, posed, repeated_spans
-from .text import sliding_min, splitmix, text_buffer, window_hash, word_bounds, word_hashes
+from .text import sliding_min, splitmix, text_buffer, trimmed, window_hash, word_bounds, word_hashes
 
 WINDOW, GRAM = 13, 5
 
@@ -101,7 +101,7 @@ def removal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **o
     kind = docs.schema[id_col].dataType.simpleString()
     return _joined(docs.select(id_col, text_col), id_col, text_col, **options).select(
         F.col(f"row.{id_col}").alias(id_col), "text", "spans").mapInArrow(
-        run, f"{id_col} {kind}, n_words bigint, n_removed bigint, kept_sha256 string")
+        trimmed(run), f"{id_col} {kind}, n_words bigint, n_removed bigint, kept_sha256 string")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -119,7 +119,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([batch[0], pa.array(texts, pa.string())], names=["row", "text"])
 
     joined = _joined(docs, id_col, text_col, **options).select("row", "text", "spans")
-    kept = joined.mapInArrow(run, f"row {joined.schema['row'].dataType.simpleString()}, text string")
+    kept = joined.mapInArrow(trimmed(run), f"row {joined.schema['row'].dataType.simpleString()}, text string")
     return kept.select(*[F.col("text").cast(f.dataType).alias(f.name) if f.name == text_col
                          else F.col("row").getField(f.name).alias(f.name) for f in docs.schema])
 

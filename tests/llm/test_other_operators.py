@@ -121,6 +121,58 @@ def test_language_id(spark):
     assert langid.identify(df.where("false")).count() == 0
 
 
+def test_network_against_plain_loops():
+    """Filters, pooling and softmax written out, on a network learned from a few windows."""
+    r = random.Random(2)
+    texts = [(r.choice(["the and of ", "der und die ", "ABC äß "]) * 30)[:r.randint(3, 200)].encode() for _ in range(40)]
+    labels = ["en" if t[:1] in b"t" else "de" for t in texts]
+    net = langid.train(texts, labels, epochs=2)
+    windows = np.zeros((12, langid.WINDOW), np.uint8)
+    for row, t in enumerate(texts[:12]):
+        windows[row, :len(t[:langid.WINDOW])] = list(t[:langid.WINDOW])
+    count = langid.FILTERS * len(langid.WIDTHS)
+    got = langid.forward(net, windows)
+    for row in range(12):
+        top = []
+        for f in range(count):
+            width = langid.WIDTHS[f // langid.FILTERS]
+            best = -1e9
+            for place in range(langid.WINDOW - max(langid.WIDTHS) + 1):
+                answer = 0.0
+                for k in range(width):
+                    weights = net.filters[k]
+                    answer += float(weights[windows[row, place + k], f - (count - weights.shape[1])])
+                best = max(best, answer)
+            top.append(max(best + float(net.bias[f]), 0.0))
+        raw = [sum(t * float(net.out[f, c]) for f, t in enumerate(top)) + float(net.out_bias[c]) for c in range(len(net.langs))]
+        e = np.exp(np.array(raw) - max(raw))
+        assert np.allclose(got[row], e / e.sum(), atol=1e-4)
+
+
+def test_risk_is_minimised_and_not_negative():
+    """The non-negative unbiased risk, written out, falls; its negative part ends above -beta's reach."""
+    rng = np.random.default_rng(5)
+    prior = 0.4
+    positive = rng.normal(1.2, 1, (900, 6)).astype(np.float32)
+    mixed = np.where(rng.random((1500, 1)) < prior, rng.normal(1.2, 1, (1500, 6)), rng.normal(-1.2, 1, (1500, 6))).astype(np.float32)
+
+    def loss(score, label):  # logistic, from the probability
+        return -np.log(np.clip(score if label else 1 - score, 1e-12, 1))
+
+    def risk(model):
+        p, u = model.score(positive), model.score(mixed)
+        for_positives = sum(loss(x, True) for x in p) / len(p)
+        negative = sum(loss(x, False) for x in u) / len(u) - prior * sum(loss(x, False) for x in p) / len(p)
+        return prior * for_positives + max(0.0, negative), negative
+
+    untrained = quality.train(positive, mixed, prior, epochs=0)
+    trained = quality.train(positive, mixed, prior, epochs=10)
+    assert risk(trained)[0] < 0.35 * risk(untrained)[0] and risk(trained)[1] > -0.05
+    truth_p, truth_n = rng.normal(1.2, 1, (500, 6)), rng.normal(-1.2, 1, (500, 6))
+    assert (trained.score(truth_p.astype(np.float32)) > 0.5).mean() > 0.95
+    assert (trained.score(truth_n.astype(np.float32)) < 0.5).mean() > 0.95
+
+
 def test_quality(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
@@ -191,6 +243,34 @@ def test_sharding(spark):
         sharding.lookup_table(shards, 1000)
 
 
+@pytest.mark.parametrize("size, n", [(7, 3), (13, 13), (101, 7), (65537, 64)])
+def test_lookup_table_against_permutations(size, n):
+    """Every shard's whole permutation written out, claimed in turns."""
+    from hashlib import md5
+    shards = [f"node {n - k}" for k in range(n)]
+
+    def number(text):
+        return int(md5(text.encode()).hexdigest()[:16], 16)
+    preference = {}
+    for s in shards:
+        offset, step = number(f"offset {s}") % size, number(f"step {s}") % (size - 1) + 1
+        preference[s] = iter([(offset + j * step) % size for j in range(size)])
+    owner = {}
+    while len(owner) < size:
+        for s in sorted(shards):
+            if len(owner) < size:
+                owner[next(p for p in preference[s] if p not in owner)] = s
+    table = sharding.lookup_table(shards, size)
+    assert [shards[i] for i in table] == [owner[k] for k in range(size)]
+
+
+def test_shards_of_odd_rows(spark):
+    df = spark.createDataFrame([(None, 1, "x"), (5, 2, "y"), (5, 3, "z")], "doc_id bigint, slot int, shard string")
+    found = sharding.assign_shards(df, "doc_id", ["a", "b", "c"], 101).collect()
+    assert len(found) == 3 and len({r["slot"] for r in found if r["doc_id"] == 5}) == 1
+    assert sharding.assign_shards(df.where("false"), "doc_id", ["a"], 11).count() == 0
+
+
 def test_pieces(spark):
     model = pieces.load(open(model_path(), "rb").read())
     r = random.Random(1)
@@ -202,14 +282,14 @@ def test_pieces(spark):
         assert model.encode(t) == ids and model.decode(ids) == model.library.decode(ids)
     rows = [(i, t, "c") for i, t in enumerate(texts[:300])] + [(0, texts[0], "c"), (None, None, "c")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, n_tokens string")
-    found = pieces.encode_digests(df, model_path(), verify=True).collect()
+    found = pieces.encode_digests(df, model_path(), verify=1).collect()
     assert len(found) == 302 and all(r["n_tokens"] == len(model.library.encode(texts[r["doc_id"]])) for r in found
                                      if r["doc_id"] is not None)
     encoded = pieces.encode(df, model_path())
     back = {r[0]: r[1] for r in pieces.decode(encoded, model_path()).collect()}
     assert all(back[i] == model.library.decode(model.library.encode(texts[i])) for i in range(300))
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    assert pieces.encode_digests(docs, model_path(), verify=True).where("n_tokens is null").count() == 0
+    assert pieces.encode_digests(docs, model_path(), verify=1).where("n_tokens is null").count() == 0
     assert pieces.encode_digests(df.where("false"), model_path()).count() == 0
 
 
