@@ -2,12 +2,16 @@
 
     python -m qtrbars universe --prices P --mapping M --out DIR [--digits leading]
     python -m qtrbars av|fmp --landing DIR --lake DIR
-    python -m qtrbars yahoo --landing DIR --lake DIR [--format csv]
+    python -m qtrbars yahoo --landing DIR --lake DIR [--format csv2]
     python -m qtrbars ingest --vendor AV --landing DIR --lake DIR
+    python -m qtrbars pending --universe P --lake DIR --source AV --out DIR [--skip N] [--batches 7]
+    python -m qtrbars vacuum --lake DIR [--keep 2]
 
-``--lake`` receives ``bars/``, ``not_available/``, ``quarantine/`` and
-``manifest/`` in the bucketed replace-by-ticker layout; stream checkpoints go
-to ``<lake>/_checkpoints``. The session is the one spark-submit provides (or a
+``--lake`` receives ``bars/``, ``not_available/``, ``quarantine/``, ``manifest/``
+and ``bars_index/`` as versioned bucket tables; stream checkpoints go to
+``<lake>/_checkpoints``. ``pending`` writes the tickers that still need a fetch, in
+symbol order with their position and the batch they are dealt to; ``vacuum`` drops
+old versions. The session is the one spark-submit provides (or a
 local one); nothing is collected to the driver.
 """
 
@@ -49,6 +53,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     g.add_argument("--landing", required=True)
     g.add_argument("--lake", required=True)
     g.add_argument("--landing-format", choices=["parquet", "text"], default="parquet")
+    q = sub.add_parser("pending")
+    q.add_argument("--universe", required=True)
+    q.add_argument("--lake", required=True)
+    q.add_argument("--source", required=True)
+    q.add_argument("--out", required=True)
+    q.add_argument("--skip", type=int, default=0)
+    q.add_argument("--batches", type=int, default=1)
+    v = sub.add_parser("vacuum")
+    v.add_argument("--lake", required=True)
+    v.add_argument("--keep", type=int, default=2)
     args = ap.parse_args(argv)
 
     from .plans import pipelines as P
@@ -59,6 +73,19 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
           .write.mode("overwrite").parquet(args.out))
         return 0
     paths = _paths(args.lake)
+    if args.cmd == "pending":
+        from pyspark.sql import functions as F
+        from .sinks.ordered import read_ordered, write_ordered
+        work = P.pending_work(spark, spark.read.parquet(args.universe), paths["bars"], args.source)
+        write_ordered(work, f"{args.out}/ordered", ["ticker"])
+        left = read_ordered(spark, f"{args.out}/ordered", skip=args.skip)
+        left.withColumn("batch", F.col("position") % args.batches).write.mode("overwrite").parquet(f"{args.out}/batches")
+        return 0
+    if args.cmd == "vacuum":
+        from .sinks.buckets import vacuum
+        for path in [*paths.values(), P.index_path(paths["bars"])]:
+            vacuum(spark, path, args.keep)
+        return 0
     if args.cmd in ("av", "fmp"):
         run = P.av_quarterly if args.cmd == "av" else P.fmp_quarterly
         out = run(spark, args.landing)

@@ -503,3 +503,10 @@ ORACLES["request_url_forms"] = """
          'https://' || host || '/api' || path AS joined,
          'https://api.example.com/repos/' || url_encode(host) || '/' || url_encode(title) || '?page=1' AS templated
   FROM p"""
+
+ORACLES["json_history_records"] = """
+    SELECT 'FMP' AS source, 'C' || CAST(o_custkey AS VARCHAR) AS ticker, CAST(o_orderdate AS DATE) AS "date",
+           o_totalprice AS open, o_totalprice + 1 AS high, o_totalprice - 1 AS low, o_totalprice AS close,
+           o_totalprice / 2 AS adjusted_close, o_orderkey AS volume,
+           CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) - 1 AS INTEGER) AS place
+    FROM orders"""

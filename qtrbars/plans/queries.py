@@ -313,6 +313,13 @@ def json_records_explode(spark, sf_dir):
     return SRC.daily_rows(c)
 
 
+@query("json_history_records")
+def json_history_records(spark, sf_dir):
+    """Payloads of many records: each record's place in its payload is kept."""
+    c = SRC.classify(S.customer_json_payloads(S.table(spark, sf_dir, "orders")), "FMP")
+    return SRC.daily_rows(c, keep_seq=True).withColumnRenamed("_seq", "place")
+
+
 @query("json_field_extract")
 def json_field_extract(spark, sf_dir):
     ev = S.table(spark, sf_dir, "events")

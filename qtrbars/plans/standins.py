@@ -274,6 +274,19 @@ def order_json_payloads(orders: DataFrame) -> DataFrame:
                          text.alias("payload"))
 
 
+def customer_json_payloads(orders: DataFrame) -> DataFrame:
+    """One FMP JSON payload per customer with a record for each of its orders, newest first."""
+    p = F.col("o_totalprice")
+    rec = F.struct(F.date_format(as_date("o_orderdate"), "yyyy-MM-dd").alias("date"), p.alias("open"), (p + 1).alias("high"),
+                   (p - 1).alias("low"), p.alias("close"), (p / 2).alias("adjClose"), F.col("o_orderkey").alias("volume"))
+    sym = F.concat(F.lit("C"), F.col("o_custkey").cast("string"))
+    listed = orders.groupBy(sym.alias("ticker")).agg(
+        F.sort_array(F.collect_list(F.struct(order_order().alias("k"), rec.alias("r"))), asc=False).alias("rs"))
+    text = F.to_json(F.struct(F.col("ticker").alias("symbol"), F.transform("rs", lambda x: x["r"]).alias("historical")))
+    return listed.select(F.lit("FMP").alias("source"), "ticker", F.lit(None).cast("string").alias("path"),
+                         F.lit(None).cast("timestamp").alias("modified"), text.alias("payload"))
+
+
 def order_landing_rows(orders: DataFrame) -> DataFrame:
     """Fetched payload rows for the stream: each order is one fetch of its
     customer's ticker (fetch time = order date, fetch id = order key), so a

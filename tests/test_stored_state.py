@@ -187,6 +187,17 @@ def test_replacing_writes_touched_buckets_only(spark, scratch):
     assert sum(q == "2024Q2" for _, _, q in _read(spark, path)) == 1 and len(_read(spark, path)) == 50
 
 
+def test_odd_source_names(spark, scratch):
+    path, names = f"{scratch}/t", ["A/B", "x=*{y}", "50% [ü] #1", "plain"]
+    for name in names:
+        SK.replace_in_buckets(_spans(spark, name, 5), path, SK.MANIFEST_SCHEMA, 4 if name == "A/B" else None, ())
+    SK.replace_in_buckets(_spans(spark, "x=*{y}", 2, "2024Q2"), path, SK.MANIFEST_SCHEMA, order=())
+    got = _read(spark, path)
+    assert len(got) == 20 and {s for s, _, _ in got} == set(names)
+    assert sorted(q for _, _, q in _read(spark, path, source="x=*{y}")) == ["2024Q1"] * 3 + ["2024Q2"] * 2
+    assert {t for _, t, _ in _read(spark, path, source="A/B", tickers=["T3"])} == {"T3"}
+
+
 def test_pinned_reader_sees_one_version(spark, scratch):
     path = f"{scratch}/t"
     SK.replace_in_buckets(_spans(spark, "A", 40), path, SK.MANIFEST_SCHEMA, 4, ())
