@@ -22,8 +22,8 @@ by sample.
 
 Defined results: null is an empty text, of fingerprint zero; two fingerprints
 of zero are alike (1.0), zero and another aren't (0.0); repeated ids follow
-each other by text; null ids come after all others; an empty input gives no
-rows.
+each other by a hash of their text, greatest first; null ids come after all
+others; an empty input gives no rows. Ids are integers.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -212,40 +213,77 @@ def _row(doc_id: object, text: str, own: bytes, following: str, after: bytes, kn
             likeness(own, edited), likeness(own, after))
 
 
+@dataclass
+class Ranges:
+    """Ranges of (id, hash of the text) in descending order, from 0; null ids come last."""
+    cuts: np.ndarray   # ids, ascending
+    share: np.ndarray  # ranges that each of them has for itself
+    first: np.ndarray  # first range of each cut, counted upwards; the ids below it have the one before
+    total: int
+    nulls: int
+
+    @classmethod
+    def of(cls, quantiles: list[int], nulls: int) -> Ranges:
+        """An id that is several quantiles has as many ranges."""
+        cuts, count = np.unique(np.array(quantiles, np.int64), return_counts=True)
+        share = np.where(count > 1, count, 0)
+        first = np.cumsum(share + 1) - share
+        return cls(cuts, share, first, int(first[-1] + share[-1] if len(cuts) else 0) + 1, max(1, nulls))
+
+    def number(self, ids: pa.Array, marks: pa.Array) -> np.ndarray:
+        missing = ids.is_null().to_numpy(zero_copy_only=False)
+        value = ids.fill_null(0).to_numpy()
+        # the hash as a share of its whole range
+        part = (marks.to_numpy().astype(np.float64) + 2.0 ** 63) / 2.0 ** 64
+        at = np.searchsorted(self.cuts, value)
+        up = np.append(self.first - 1, self.total - 1)[at]
+        if len(self.cuts):
+            near = np.minimum(at, len(self.cuts) - 1)
+            own = (self.cuts[near] == value) & (self.share[near] > 0) & (at < len(self.cuts))
+            up = np.where(own, self.first[near] + np.minimum(part * self.share[near], self.share[near] - 1).astype(np.int64), up)
+        last = self.nulls - 1 - np.minimum(part * self.nulls, self.nulls - 1).astype(np.int64)
+        return np.where(missing, self.total + last, self.total - 1 - up)
+
+
 def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprint, edited text and likeness of every document and the next in descending id.
 
-    The ids are cut into ranges at their exact quantiles (numbers only), the
+    The ids are cut into ranges at their quantiles (numbers only), the
     texts are dealt to the ranges in one shuffle, and each range also gets
     the first document of the range after it, so every pair of neighbours
-    meets in one task and none sees more than its range.
+    meets in one task and none sees more than its range. An id that many rows
+    share, or none at all, has several ranges, by the hash of the text.
     """
     spark = df.sparkSession
     kind = df.schema[id_col].dataType.simpleString()
-    docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    docs = df.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("mark"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # about eight ranges a task, so that dealing ranges by hash stays even; their bounds are as few numbers
     wanted = 8 * parts
-    cuts = docs.select(F.percentile_approx("id", [k / wanted for k in range(1, wanted)], 100 * wanted)).first()[0] or []
-    cuts = sorted(set(cuts))
-    # ranges in descending id: range k holds the ids below the k-th cut from above
-    ranges = F.when(F.col("id").isNull(), F.lit(len(cuts) + 1)).otherwise(
-        F.size(F.filter(F.lit(cuts).cast(f"array<{kind}>") if cuts else F.array().cast(f"array<{kind}>"),
-                        lambda c: c > F.col("id"))))
-    placed = docs.withColumn("range", ranges)
-    heads = {r["range"]: r["head"] for r in placed.groupBy("range").agg(F.max("id").alias("head")).collect()}
-    if not heads:
+    cuts, n, known = df.select(
+        F.percentile_approx(F.col(id_col).cast("bigint"), [k / wanted for k in range(1, wanted)], 8 * wanted),
+        F.count("*"), F.count(id_col)).first()
+    if not n:
         return spark.createDataFrame([], _SCHEMA.format(id_col=id_col, kind=kind))
+    ranges = Ranges.of(cuts or [], -(-wanted * (n - known) // n))
+
+    def number(ids: pa.Array, marks: pa.Array) -> pa.Array:
+        return pa.array(ranges.number(ids, marks), pa.int32())
+
+    placed = docs.withColumn("range", F.arrow_udf(number, "int")(F.col("id").cast("bigint"), F.col("mark")))
+    heads = {r["range"]: r["head"] for r in placed.groupBy("range").agg(F.max(F.struct("id", "mark")).alias("head")).collect()}
     order = sorted(heads)
     before = dict(zip(order[1:] + order[:1], order))  # the range that needs this one's head; the last needs the first's
-    table = spark.createDataFrame([(r, before[r], heads[r]) for r in order], f"range int, before int, head {kind}")
+    table = spark.createDataFrame([(r, before[r], *heads[r]) for r in order],
+                                  f"range int, before int, head {kind}, head_mark bigint")
+    own = F.struct(F.col("range").alias("range"), F.lit(False).alias("extra"))
     dealt = (placed.join(F.broadcast(table), "range")
-             .select("id", "text", F.explode(F.when(
-                 F.col("id").eqNullSafe(F.col("head")),
-                 F.array(F.struct(F.col("range").alias("range"), F.lit(False).alias("extra")),
-                         F.struct(F.col("before").alias("range"), F.lit(True).alias("extra"))))
-                 .otherwise(F.array(F.struct(F.col("range").alias("range"), F.lit(False).alias("extra"))))).alias("x"))
-             .select("id", "text", "x.range", "x.extra"))
+             .select("id", "text", "mark", F.explode(F.when(
+                 F.col("id").eqNullSafe(F.col("head")) & (F.col("mark") == F.col("head_mark")),
+                 F.array(own, F.struct(F.col("before").alias("range"), F.lit(True).alias("extra"))))
+                 .otherwise(F.array(own))).alias("x"))
+             .select("id", "text", "mark", "x.range", "x.extra"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _grouped(_paired(batches)):
@@ -257,7 +295,8 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     from pyspark.sql.pandas.types import to_arrow_type
     id_type = to_arrow_type(df.schema[id_col].dataType)
     return (dealt.repartition(parts, "range")
-            .sortWithinPartitions("range", "extra", F.col("id").desc_nulls_last(), F.col("text").desc())
+            .sortWithinPartitions("range", "extra", F.col("id").desc_nulls_last(), F.col("mark").desc(), F.col("text").desc())
+            .drop("mark")
             .mapInArrow(run, _SCHEMA.format(id_col=id_col, kind=kind)))
 
 

@@ -189,11 +189,11 @@ def test_components(spark):
     assert {r["node"]: r["component"] for r in found} == want
 
 
-def test_fingerprints(spark):
-    rows = [(i, t) for i, t in corpus()] + [(None, "last. one\nmore"), (7, "repeated id")]
-    found = fingerprints.with_next(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()
-    assert len(found) == len(rows)
-    order = sorted(((i, t or "") for i, t in rows), key=lambda x: (x[0] is not None, x[0] or 0, x[1]), reverse=True)
+def followed(spark, rows):
+    """(id, n_chars, sha256 of the edited text, fingerprint, its fingerprint) by brute force."""
+    marks = {r["t"]: r["m"] for r in spark.createDataFrame([(t or "",) for _, t in rows], "t string").select(
+        "t", F.xxhash64("t").alias("m")).distinct().collect()}
+    order = sorted(((i, t or "") for i, t in rows), key=lambda x: (x[0] is not None, x[0] or 0, marks[x[1]], x[1]), reverse=True)
     want = []
     for k, (i, t) in enumerate(order):
         after = order[(k + 1) % len(order)][1]
@@ -201,13 +201,32 @@ def test_fingerprints(spark):
         edited = t[:len(t) - n] + after[:n]
         want.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), fingerprints.fingerprint(t).hex(),
                      fingerprints.fingerprint(edited).hex()))
-    assert sorted(map(str, want)) == sorted(str(tuple(r[:5])) for r in found)
+    return sorted(map(str, want))
+
+
+def test_fingerprints(spark):
+    rows = [(i, t) for i, t in corpus()] + [(None, "last. one\nmore"), (7, "repeated id")]
+    found = fingerprints.with_next(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()
+    assert len(found) == len(rows)
+    assert followed(spark, rows) == sorted(str(tuple(r[:5])) for r in found)
     assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in found)
     plain = {r[0]: r[1] for r in fingerprints.fingerprints(
         spark.createDataFrame(rows[:20], "doc_id bigint, text string")).collect()}
     assert plain == {i: fingerprints.fingerprint(t).hex() for i, t in rows[:20]}
 
 
+def test_frequent_ids_have_several_ranges(spark):
+    rows = [(None, f"none {k}") for k in range(300)] + [(50, f"same {k}") for k in range(300)] + [
+        (k, f"own {k}. And more") for k in range(-100, 200)] + [(50, "same 1"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found = fingerprints.with_next(df).collect()
+    assert followed(spark, rows) == sorted(str(tuple(r[:5])) for r in found)
+    ranges = fingerprints.Ranges.of([1, 5, 5, 5, 9], 2)
+    ids, marks = [9, 10, 5, 5, 5, 4, 1, 0, None, None, 6], [0, 0, 2**63 - 1, 0, -2**63, 0, 0, 0, 5 * 10**18, -5 * 10**18, 0]
+    import pyarrow as pa
+    assert ranges.number(pa.array(ids, pa.int64()), pa.array(marks, pa.int64())).tolist() == [1, 0, 2, 3, 4, 5, 6, 6, 7, 8, 1]
+
+
 def test_fingerprints_are_homomorphic(spark):
     f = fingerprints.fingerprint
     assert f("one\ntwo\nthree") == f("three\none\ntwo") != f("one\ntwo")
