@@ -208,6 +208,40 @@ def test_top_k(spark):
     assert topk.top_k(df.where("false"), F.lit(True)).count() == 0
 
 
+def test_blocks_out_of_reach_are_skipped(spark):
+    """Vectors in clusters: most pairs of blocks aren't made, and the result is exact."""
+    r = np.random.default_rng(8)
+    centres = r.normal(size=(12, 16)) * 4
+    vecs = np.round(centres[r.integers(0, 12, 1200)] + r.normal(size=(1200, 16)) * 0.1, 3)
+    df = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(vecs)], "vec_id bigint, embedding array<double>")
+    vectors = df.select(F.col("vec_id").alias("id"), topk.quantize(F.col("embedding")).alias("v"), (F.col("vec_id") % 20 == 0).alias("q"))
+    rows, queries = topk.in_blocks(vectors, topk.plan_blocks(vectors, 1200, 16, 4, 40), 16)
+    sizes = rows.groupBy("block").count().toPandas()["count"]
+    assert sizes.sum() == 1200 and len(sizes) >= 30 and sizes.max() < 120
+    of_rows, of_queries = topk.envelopes(rows, 16), topk.envelopes(queries, 16)
+    every = topk.reaching(of_queries, of_rows, of_queries.select(F.col("block").alias("qb"), F.lit(None).cast("double").alias("floor")))
+    assert every.count() == of_rows.count() * of_queries.count()
+    fit = np.floor(256 * vecs).astype(np.int64)
+    products = fit @ fit.T
+    np.fill_diagonal(products, -2 ** 62)
+    kth = {q: int(np.sort(products[q])[-3]) for q in range(0, 1200, 20)}
+    floors = queries.join(spark.createDataFrame(list(kth.items()), "id bigint, kth bigint"), "id").groupBy("block").agg(
+        F.min("kth").cast("double").alias("floor")).withColumnRenamed("block", "qb")
+    assert topk.reaching(of_queries, of_rows, floors).count() < 0.3 * every.count()
+    found = topk.top_k(df, F.col("vec_id") % 20 == 0, 3, query_block=4, row_block=40).collect()
+    want = {(q, k): (int(x), int(products[q, x])) for q in kth for k, x in enumerate(sorted(range(1200), key=lambda x: (-products[q, x], x))[:3], 1)}
+    assert {(x[0], x[1]): (x[2], x[3]) for x in found} == want
+
+
+def test_repeated_query_ids(spark):
+    """A query id with several vectors asks with the smallest, in whatever order the rows come."""
+    rows = [(0, [3.0, 1.0]), (0, [1.0, 9.0]), (1, [0.0, 2.0]), (2, [5.0, 0.0]), (3, [1.0, 1.0])]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "vec_id bigint, embedding array<double>").coalesce(1)
+        found = topk.top_k(df, F.col("vec_id") == 0, 2).collect()
+        assert [(x[1], x[2], x[3]) for x in sorted(found)] == [(1, 1, 9 * 2 * 65536), (2, 3, 10 * 65536)]
+
+
 def test_top_k_matches_sql(spark):
     import duckdb
     from qtrbars.llm.queries import ORACLES, QUERIES
