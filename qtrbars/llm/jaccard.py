@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from . import sketch
 from .components import components
+from .joins import join_heavy
 from .text import lower_ascii, slices, splitmix, text_buffer, trimmed, window_hash, word_bounds, word_hashes
 
 WORDS = 5
@@ -245,8 +246,9 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # an id's set, were it to come with several texts: the largest, then the greatest hash
     single = sizes.where("doc is not null and n > 0").groupBy("doc").agg(
         F.max(F.struct("n", "f1", "f2")).alias("s")).select("doc", "s.*")
-    classes = single.groupBy("n", "f1", "f2").agg(F.min("doc").alias("rep"))
-    member = written(single.join(classes, ["n", "f1", "f2"]).select("doc", "rep", "n", "f1", "f2"), "jaccard-member")
+    single = written(single, "jaccard-single")
+    classes = written(single.groupBy("n", "f1", "f2").agg(F.min("doc").alias("rep"), F.count("*").alias("docs")), "jaccard-classes")
+    member = written(join_heavy(single, classes, ["n", "f1", "f2"], "docs").select("doc", "rep", "n", "f1", "f2"), "jaccard-member")
     chosen = member.where("doc = rep").drop("rep")
     # a set that counts for no document has no class, and its postings go
     posts = written(postings(known, cell_bits).join(chosen, ["n", "f1", "f2"])
