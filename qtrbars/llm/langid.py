@@ -139,7 +139,9 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, sample_d
     rows = least_by_hash(labelled.where(F.col(lang_col).isNotNull()), order, sample_docs, ["o", "lang", "t"], windows)
     if not rows:
         return None
-    return train([r["t"].encode() for r in rows], [r["lang"] for r in rows])
+    net = train([r["t"].encode() for r in rows], [r["lang"] for r in rows])
+    release()
+    return net
 
 
 def document_probabilities(net: Network, column: pa.Array) -> np.ndarray:

@@ -30,6 +30,7 @@ gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -193,14 +194,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # one text an id, whatever the number of its rows
     sample = texts.join(F.broadcast(chosen), "id").groupBy("id", "kind").agg(F.min("text").alias("text"))
     found = _featured(sample.select("kind", "text")).collect()
-    # rows arrive in any order: sort them, so that the same tables give the same model
-    found = sorted((r["kind"], bytes(r["vec"])) for r in found)
-    if not found or found[-1][0] == 0 or found[0][0] == 1:
+    # rows arrive in any order: sort them (unlabelled ones first), so that the same tables give the same model
+    found.sort(key=lambda r: (r["kind"], bytes(r["vec"][:256]), hashlib.sha1(r["vec"]).digest()), reverse=True)
+    first = sum(r["kind"] == 0 for r in found)
+    if not 0 < first < len(found):
         return Model(class_prior, None)
-    first = sum(k == 0 for k, _ in found)  # unlabelled rows come first
-    rows = np.frombuffer(b"".join(v for _, v in found), np.float16).reshape(len(found), BUCKETS + 1)
-    del found
-    return train(rows[first:], rows[:first], class_prior)
+    rows = np.empty((len(found), BUCKETS + 1), np.float16)
+    for k in range(len(found)):  # each vector is let go once it is in place
+        rows[k] = np.frombuffer(found.pop()["vec"], np.float16)
+    model = train(rows[first:], rows[:first], class_prior)
+    del rows
+    release()
+    return model
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:

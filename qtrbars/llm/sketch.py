@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from .text import splitmix, trimmed
+from .text import release, splitmix, trimmed
 
 DEPTH = 2
 CELL_BITS = 27
@@ -148,4 +148,7 @@ def over(sketches: DataFrame, thresholds: list[int], bits: int = CELL_BITS) -> l
 
 
 def shared(df: DataFrame, value: object) -> Broadcast:
-    return df.sparkSession.sparkContext.broadcast(value)
+    """A broadcast, written to a file by the driver, which then lets go of what it took to make it."""
+    out = df.sparkSession.sparkContext.broadcast(value)
+    release()
+    return out
