@@ -31,6 +31,7 @@ size is given; an empty input gives no rows.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -231,10 +232,17 @@ def cross_pairs(posts: DataFrame) -> DataFrame:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder: computed once, and not lost with an executor."""
-    path = scratch_path(df.sparkSession, name)
+    """The rows as a table in the shared folder: computed once, and not lost with an executor.
+
+    What earlier tables were made from is garbage by then; it is collected here, as
+    Spark removes the shuffles and broadcasts of a frame when it finds the frame gone.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.parquet(path)
 
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from .langid import held_out
 from .sampling import least_by_hash
+from .sketch import packed, unpacked
 from .text import Rolling, release, slices, splitmix, text_buffer, trimmed, word_bounds
 
 BUCKETS = 1024
@@ -151,10 +152,10 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, epochs: in
 
 
 def _featured(texts: DataFrame) -> DataFrame:
-    """(kind, vec): the features of rows of (kind, text)."""
+    """(kind, vec): the features of rows of (kind, text), compressed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vec = [v.tobytes() for part in _parts(batch[1]) for v in features(part).astype(np.float16)]
+            vec = [packed(v.tobytes()) for part in _parts(batch[1]) for v in features(part).astype(np.float16)]
             yield pa.RecordBatch.from_arrays([batch[0], pa.array(vec, pa.binary())], names=["kind", "vec"])
 
     return texts.mapInArrow(trimmed(run), "kind int, vec binary")
@@ -195,13 +196,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = texts.join(F.broadcast(chosen), "id").groupBy("id", "kind").agg(F.min("text").alias("text"))
     found = _featured(sample.select("kind", "text")).collect()
     # rows arrive in any order: sort them (unlabelled ones first), so that the same tables give the same model
-    found.sort(key=lambda r: (r["kind"], bytes(r["vec"][:256]), hashlib.sha1(r["vec"]).digest()), reverse=True)
+    found.sort(key=lambda r: (r["kind"], hashlib.sha1(r["vec"]).digest()), reverse=True)
     first = sum(r["kind"] == 0 for r in found)
     if not 0 < first < len(found):
         return Model(class_prior, None)
     rows = np.empty((len(found), BUCKETS + 1), np.float16)
     for k in range(len(found)):  # each vector is let go once it is in place
-        rows[k] = np.frombuffer(found.pop()["vec"], np.float16)
+        rows[k] = np.frombuffer(unpacked(found.pop()["vec"]), np.float16)
     model = train(rows[first:], rows[:first], class_prior)
     del rows
     release()

@@ -129,8 +129,8 @@ def over(sketches: DataFrame, thresholds: list[int], bits: int = CELL_BITS) -> l
                 sums[s][at] += _numbers(data[len(data) // 2:])
         for s, total in sums.items():
             load = int(total.sum() // size)
-            found = [np.packbits(total >= t if t <= 2 else
-                                 (total >= t + 4 * load).reshape(-1, 1 << COARSE).any(axis=1)).tobytes()
+            found = [packed(np.packbits(total >= t if t <= 2 else
+                                        (total >= t + 4 * load).reshape(-1, 1 << COARSE).any(axis=1)).tobytes())
                      for t in thresholds]
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([found], pa.list_(pa.binary()))],
                                              names=["slice", "found"])
@@ -142,7 +142,7 @@ def over(sketches: DataFrame, thresholds: list[int], bits: int = CELL_BITS) -> l
     while rows:  # each slice is let go once its bits are in place
         row = rows.pop()
         depth, s = row["slice"] >> SLICE_BITS, row["slice"] & ((1 << SLICE_BITS) - 1)
-        for one, data in zip(out, row["found"]):
+        for one, data in zip(out, map(unpacked, row["found"])):
             one.packed[depth, s * len(data):(s + 1) * len(data)] = np.frombuffer(data, np.uint8)
     return out
 
