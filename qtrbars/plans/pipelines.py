@@ -20,6 +20,9 @@ combine and put a hot ticker's raw rows in one task, so it is not done.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -233,10 +236,11 @@ def publish(outputs: dict, bars_path: str, registry_path: str, quarantine_path:
         found = answers(frame)
         if layout == "bucket":
             moves = _with_prior(spark, found, bars_path, outputs.get("source")).select("source", "ticker", "state", "was").persist()
-            cached.append(moves)
+            bars = outputs["bars"].persist()  # the manifest is read from them, too
+            cached += [moves, bars]
             _replace_moved(moves, {
-                "bars": [(outputs["bars"], bars_path, SK.BAR_SCHEMA, ("quarter",))]
-                + ([(manifest(outputs["bars"]), manifest_path, SK.MANIFEST_SCHEMA, ())] if manifest_path else []),
+                "bars": [(bars, bars_path, SK.BAR_SCHEMA, ("quarter",))]
+                + ([(manifest(bars), manifest_path, SK.MANIFEST_SCHEMA, ())] if manifest_path else []),
                 "not_available": [(outputs["not_available"], registry_path, SK.RECORD_SCHEMA, ())],
                 "quarantine": [(outputs["quarantine"], quarantine_path, SK.RECORD_SCHEMA, ())]})
         else:
@@ -254,12 +258,22 @@ def publish(outputs: dict, bars_path: str, registry_path: str, quarantine_path:
 
 
 def _replace_moved(moves: DataFrame, tables: dict) -> None:
-    """Replace, in each state's tables, the tickers that are now there or were."""
+    """Replace, in each state's tables, the tickers that are now there or were.
+
+    The tables don't depend on each other, so their jobs run side by side; the
+    first failure is raised when all have ended."""
     from ..sinks import parquet as SK
-    for state, targets in tables.items():
+
+    @inheritable_thread_target(moves.sparkSession)
+    def replace(state: str, rows: DataFrame, path: str, schema, order) -> None:
         keys = moves.where((F.col("state") == state) | (F.col("was") == state))
-        for rows, path, schema, order in targets:
-            SK.replace_in_buckets(rows, path, schema, order=order, keys=keys)
+        SK.replace_in_buckets(rows, path, schema, order=order, keys=keys)
+
+    moves.count()  # cached before the tables' jobs ask for it at once
+    jobs = [(state, *target) for state, targets in tables.items() for target in targets]
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for done in [pool.submit(replace, *job) for job in jobs]:
+            done.result()
 
 
 def publish_yahoo(bars: DataFrame, rejected: DataFrame, bars_path: str, quarantine_path: str,
