@@ -108,6 +108,8 @@ def process_batch(batch: DataFrame, vendor: str, bars_path: str, registry_path:
             same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
         payloads = batch.join(wanted, same & (payload_digest("payload") == F.col("digest"))).drop(
             *[f"_{c}" for c in ("source", "ticker", "modified", "fetch_id", "path")])
+        # a fetch that was landed twice is one; this also deals payloads to all tasks for parsing
+        payloads = payloads.dropDuplicates(["source", "ticker"])
         out = process_payloads(payloads, vendor, data_load, cache=True)
         refreshed = decided.where("newer").select("source", "ticker", "state", "modified", "fetch_id", "path", "digest")
         try:

@@ -280,6 +280,13 @@ def test_same_answer_again_touches_no_bucket(spark, scratch):
     assert _ingest(spark, scratch, [("AAA", 6, 21, HEADER)]) == ({"CCC"}, {"AAA", "BBB"}, set(), {"CCC"})
 
 
+def test_a_fetch_landed_twice_counts_once(spark, scratch):
+    _ingest(spark, scratch, [("AAA", 3, 1, AV_OK), ("AAA", 3, 1, AV_OK), ("BBB", 3, 2, AV_OK)])
+    bars = SK.read_bucketed(spark, f"{scratch}/bars").collect()
+    assert sorted((r.ticker, r.quarter, r.volume) for r in bars) == [
+        ("AAA", "2024Q1", 400), ("AAA", "2024Q2", 300), ("BBB", "2024Q1", 400), ("BBB", "2024Q2", 300)]
+
+
 def test_pending_work_reads_the_index_alone(spark, scratch):
     unknown = '{\n    "Error Message": "Invalid API call."\n}\n'
     _ingest(spark, scratch, [("AAA", 3, 1, AV_OK), ("BBB", 3, 2, HEADER), ("CCC", 3, 3, unknown)])
