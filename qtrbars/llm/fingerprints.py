@@ -38,9 +38,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import slices
+from .text import slices, trimmed
 
 WIDE, NARROW, LEVELS = 16, 64, 24
+#: Bytes of rows that go to Python at once.
+BATCH_BYTES = 8 << 20
 #: Bits of a narrow lane that count paragraphs.
 COUNT = 40
 
@@ -253,8 +255,12 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     the first document of the range after it, so every pair of neighbours
     meets in one task and none sees more than its range. An id that many rows
     share, or none at all, has several ranges, by the hash of the text.
+
+    Sets the session's ``spark.sql.execution.arrow.maxBytesPerBatch`` to at most
+    ``BATCH_BYTES`` (and leaves it so, as the result is computed later).
     """
     spark = df.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     kind = df.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     docs = df.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("mark"))
@@ -297,7 +303,7 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return (dealt.repartition(parts, "range")
             .sortWithinPartitions("range", "extra", F.col("id").desc_nulls_last(), F.col("mark").desc(), F.col("text").desc())
             .drop("mark")
-            .mapInArrow(run, _SCHEMA.format(id_col=id_col, kind=kind)))
+            .mapInArrow(trimmed(run), _SCHEMA.format(id_col=id_col, kind=kind)))
 
 
 _SCHEMA = ("{id_col} {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -308,8 +314,9 @@ _SCHEMA_NAMES = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint"
 def _paired(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
     """A result row for each document, with the row that follows it in its range."""
     held = None  # (range, id, text, fingerprint, digests of its paragraphs)
-    for batch in batches:
-        for doc_id, text, at, extra in zip(*(c.to_pylist() for c in batch.columns)):
+    parts = (batch.slice(a, b - a) for batch in batches for a, b in slices(batch[1]))
+    for part in parts:
+        for doc_id, text, at, extra in zip(*(c.to_pylist() for c in part.columns)):
             digests: dict[str, bytes] = {}
             own = fingerprint(text, digests)
             if held is not None and held[0] == at:
@@ -319,7 +326,7 @@ def _paired(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
                 held = (at, doc_id, text, own, digests)
 
 
-def _grouped(rows: Iterable[tuple], n: int = 2000) -> Iterator[list[tuple]]:
+def _grouped(rows: Iterable[tuple], n: int = 256) -> Iterator[list[tuple]]:
     out = []
     for row in rows:
         out.append(row)
