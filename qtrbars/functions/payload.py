@@ -9,6 +9,8 @@ JVM (no Python per row) and need no shuffle: one payload row in, one row out.
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -60,8 +62,9 @@ def head_text(payload, n: int = HEAD_CHARS) -> Column:
 
 
 def contains_any(text, markers) -> Column:
-    """True when the text contains any marker (one regex, literal-quoted)."""
-    return _c(text).rlike("|".join(re.escape(m) for m in markers))
+    """True when the text contains any marker (plain searches: a regex of
+    several markers costs many times as much)."""
+    return reduce(or_, [_c(text).contains(m) for m in markers])
 
 
 def is_answer(payload, vendor: str) -> Column:

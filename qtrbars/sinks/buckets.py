@@ -271,19 +271,24 @@ def stage_replace(df: DataFrame, path: str, schema: T.StructType = BAR_SCHEMA, n
     # the new rows are counted and written: computed once (again from their lineage if lost)
     new = df.select(*names, bucket_col(n).alias("bucket")).persist()
     cached = [new]
+    leaving = keys is not None  # may keys hold tickers without new rows?
     if keys is None:
         keys = new.select("source", "ticker")
         if retire is not None and places:
+            leaving = True
             gone = retire.select("source", "ticker").distinct().withColumn("bucket", bucket_col(n))
             held = [places[p] for p in ((r["source"], r["bucket"]) for r in gone.select(*BUCKET_COLS).distinct().collect())
                     if p in places]
             keys = keys.unionByName(_rows(spark, path, schema, held).select("source", "ticker")
                                     .join(gone, ["source", "ticker"], "left_semi"))
-    keys = keys.select("source", "ticker").distinct().withColumn("bucket", bucket_col(n)).persist()
-    cached.append(keys)
+    keys = keys.select("source", "ticker").distinct()
     try:
         # the touched buckets and how many new rows each gets: at most one row per source and bucket
-        marks = keys.select(*BUCKET_COLS, F.lit(0).alias("rows")).unionByName(new.select(*BUCKET_COLS, F.lit(1).alias("rows")))
+        marks = new.select(*BUCKET_COLS, F.lit(1).alias("rows"))
+        if leaving:
+            keys = keys.withColumn("bucket", bucket_col(n)).persist()
+            cached.append(keys)
+            marks = marks.unionByName(keys.select(*BUCKET_COLS, F.lit(0).alias("rows")))
         touched = {(r["source"], r["bucket"]): r["rows"]
                    for r in marks.groupBy(*BUCKET_COLS).agg(F.sum("rows").alias("rows")).collect()}
         if not touched:

@@ -26,6 +26,9 @@ from ..plans.pipelines import index_path, payload_digest, process_payloads, publ
 from ..sinks import parquet as SK
 from ..sources.payloads import payload_frame
 
+#: Up to so many wanted fetches (a few hundred bytes each) are sent to every executor, or hashed by a task.
+BROADCAST_FETCHES, HASHED_FETCHES = 20_000, 500_000
+
 LANDING_SCHEMA = T.StructType([
     T.StructField("ticker", T.StringType()),
     T.StructField("fetched_at", T.TimestampType()),
@@ -66,17 +69,24 @@ def decide(batch: DataFrame, vendor: str, index: DataFrame) -> DataFrame:
     of the text already stored, and the rest is older or the same fetch again.
     Text leaves this step as its SHA-256 only.
     """
-    def when(fetch: str, path: str, modified: str):  # a path tells fetches apart where there is no fetch id
-        return F.struct(F.col(modified).alias("m"), F.coalesce(fetch, F.lit(-1)).alias("f"),
-                        F.when(F.col(fetch).isNull(), F.coalesce(path, F.lit(""))).otherwise("").alias("p"))
-
-    heads = batch.select("source", "ticker", F.struct(
-        PL.is_answer("payload", vendor).alias("answer"), when("fetch_id", "path", "modified").alias("when"),
-        "modified", "fetch_id", "path", payload_digest("payload").alias("digest")).alias("head"))
-    newest = heads.groupBy("source", "ticker").agg(F.max("head").alias("head")).select("source", "ticker", "head.*")
-    stored = index.select("source", "ticker", "state", when("fetch_id", "path", "modified").alias("last"),
+    def when(*values):
+        return F.struct(*[v.alias(n) for v, n in zip(values, ("m", "f", "p"))])
+
+    def order(fetch: str, path: str):  # a path tells fetches apart where there is no fetch id
+        return F.coalesce(fetch, F.lit(-1)), F.when(F.col(fetch).isNull(), F.coalesce(path, F.lit(""))).otherwise("")
+
+    # heads are sorted by ticker before they are reduced: nothing stands in them twice, and the ticker
+    # leads the key, as Spark compares the first bytes of the first column fastest (the source is the same in all)
+    fetch, place = order("fetch_id", "path")
+    heads = batch.select("ticker", "source", F.struct(
+        PL.is_answer("payload", vendor).alias("answer"), F.col("modified").alias("m"), fetch.alias("f"), place.alias("p"),
+        F.col("fetch_id").isNotNull().alias("has_id"), "path", payload_digest("payload").alias("digest")).alias("head"))
+    newest = heads.groupBy("ticker", "source").agg(F.max("head").alias("head")).select(
+        "ticker", "source", "head.answer", when(F.col("head.m"), F.col("head.f"), F.col("head.p")).alias("when"),
+        F.col("head.m").alias("modified"), F.when(F.col("head.has_id"), F.col("head.f")).alias("fetch_id"), "head.path", "head.digest")
+    stored = index.select("ticker", "source", "state", when(F.col("modified"), *order("fetch_id", "path")).alias("last"),
                           F.col("digest").alias("last_digest"))
-    both = newest.join(stored, ["source", "ticker"], "left")
+    both = newest.join(stored, ["ticker", "source"], "left")
     same = F.col("digest").eqNullSafe(F.col("last_digest"))
     return both.select(
         "source", "ticker", "modified", "fetch_id", "path", "digest", "state",
@@ -84,6 +94,32 @@ def decide(batch: DataFrame, vendor: str, index: DataFrame) -> DataFrame:
         F.coalesce(F.col("answer") & same & (F.col("when") > F.col("last")), F.lit(False)).alias("newer"))
 
 
+def wanted_payloads(batch: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of a batch that ``wanted`` (of ``decide``) names, one for each ticker.
+
+    Nothing of the batch is read if none is wanted. Few wanted rows go to the payloads; else both
+    sides are dealt by fetch and the wanted rows of a task are hashed (while they
+    number few enough), so no payload is sorted. Texts are hashed after the
+    join, those of the fetches found only.
+    """
+    n = wanted.count()
+    if not n:
+        return batch.where(F.lit(False))
+    fetch = ("ticker", "source", "modified", "fetch_id", "path")
+    keys = wanted.select(*[F.col(c).alias(f"_{c}") for c in (*fetch, "digest")])
+    tasks = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if n <= BROADCAST_FETCHES:
+        keys = keys.hint("broadcast")
+    elif n <= HASHED_FETCHES * tasks:
+        keys = keys.hint("shuffle_hash")
+    same = F.lit(True)
+    for c in fetch:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    found = PL.stage(batch.join(keys, same), "_text", payload_digest("payload")).where("_text = _digest")
+    # a fetch that was landed twice is one; this also deals payloads to all tasks for parsing
+    return found.select(*batch.columns).dropDuplicates(["ticker", "source"])
+
+
 def process_batch(batch: DataFrame, vendor: str, bars_path: str, registry_path: str,
                   quarantine_path: str, data_load=None, layout: str = "bucket",
                   manifest_path: str | None = None) -> None:
@@ -101,15 +137,7 @@ def process_batch(batch: DataFrame, vendor: str, bars_path: str, registry_path:
     index = SK.read_bucketed(spark, index_path(bars_path), SK.INDEX_SCHEMA, source=vendor)
     decided = decide(batch, vendor, index).persist()
     try:
-        wanted = decided.where("changed").select(*[F.col(c).alias(f"_{c}") for c in ("source", "ticker", "modified", "fetch_id", "path")],
-                                                 "digest")
-        same = F.lit(True)
-        for c in ("source", "ticker", "modified", "fetch_id", "path"):
-            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-        payloads = batch.join(wanted, same & (payload_digest("payload") == F.col("digest"))).drop(
-            *[f"_{c}" for c in ("source", "ticker", "modified", "fetch_id", "path")])
-        # a fetch that was landed twice is one; this also deals payloads to all tasks for parsing
-        payloads = payloads.dropDuplicates(["source", "ticker"])
+        payloads = wanted_payloads(batch, decided.where("changed"))
         out = process_payloads(payloads, vendor, data_load, cache=True)
         refreshed = decided.where("newer").select("source", "ticker", "state", "modified", "fetch_id", "path", "digest")
         try:

@@ -334,3 +334,58 @@ def test_span_is_a_hash_aggregate(spark):
     span = trading_span(bars)
     assert "SortAggregate" not in span._jdf.queryExecution().executedPlan().toString()
     assert {tuple(r) for r in span.collect()} == {("A", "2000Q3", "2024Q1"), ("B", None, None)}
+
+
+def test_a_refetch_of_the_same_texts_reads_no_payload_again(spark, scratch, monkeypatch):
+    plans = []
+
+    def spy(payloads, *args, **kwargs):
+        plans.append(payloads._jdf.queryExecution().optimizedPlan().toString())
+        return P.process_payloads(payloads, *args, **kwargs)
+    monkeypatch.setattr(ING, "process_payloads", spy)
+    first = _ingest(spark, scratch, [("AAA", 1, 1, AV_OK), ("BBB", 1, 2, HEADER)])
+    assert _ingest(spark, scratch, [("AAA", 2, 3, AV_OK), ("BBB", 2, 4, HEADER)]) == first
+    assert len(plans) == 2 and "Join" in plans[0]
+    assert "Join" not in plans[1] and "RDD" not in plans[1] and "LocalRelation <empty>" in plans[1]
+    index = SK.read_bucketed(spark, P.index_path(f"{scratch}/bars"), SK.INDEX_SCHEMA).collect()
+    assert {(r.ticker, r.fetch_id, r.modified.month) for r in index} == {("AAA", 3, 2), ("BBB", 4, 2)}
+    # one changed text among refetches
+    assert _ingest(spark, scratch, [("AAA", 3, 5, AV_OK), ("BBB", 3, 6, AV_OK)])[:2] == ({"AAA", "BBB"}, set())
+
+
+@pytest.mark.parametrize("way, broadcast, hashed", [("Broadcast", 100, 0), ("ShuffledHashJoin", 0, 100), ("SortMergeJoin", 0, 0)])
+def test_the_newest_payload_is_found_whichever_way_it_is_joined(spark, monkeypatch, way, broadcast, hashed):
+    import hashlib
+    day, limited = [None, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)], "You have exceeded the DAILY quota"
+    rows = [  # ticker, modified, fetch_id, path, payload
+        ("LAST", day[1], 1, "a", "old"), ("LAST", day[2], 2, "a", "new"), ("LAST", day[2], 2, "a", "new"),
+        ("TEXT", day[1], 1, "a", "one"), ("TEXT", day[1], 1, "a", "two"), ("PATH", day[1], None, "b", "x"),
+        ("PATH", day[1], None, "c", "y"), ("PATH", day[1], None, None, "z"), ("IDS", day[1], None, None, "x"),
+        ("IDS", day[1], -1, None, "y"), ("IDS", day[1], -7, "z", "z"), ("FILE", day[1], 3, "b", "x"), ("FILE", day[1], 3, "a", "y"),
+        ("LIMIT", day[1], 1, "a", "answer"), ("LIMIT", day[2], 2, "a", limited), ("ONLY", day[1], 1, "a", limited),
+        ("NONE", None, 9, "a", "x"), ("NONE", day[1], 1, "a", None), (None, day[1], 1, "a", "x"), (None, day[2], 1, "a", "y")]
+
+    def low(v):  # null is the least
+        return (v is not None, v or 0) if isinstance(v, int) or v is None else (True, v)
+
+    def head(r):
+        _, modified, fetch, path, text = r
+        digest = "" if text is None else hashlib.sha256(text.encode()).hexdigest()
+        return (text != limited, low(modified), -1 if fetch is None else fetch, (path or "") if fetch is None else "",
+                fetch is not None, low(path), digest)
+    newest = {}
+    for r in rows:
+        newest[r[0]] = max(newest.get(r[0], r), r, key=head)
+    batch = spark.createDataFrame([("AV", *r) for r in rows], "source string, ticker string, modified timestamp, fetch_id long, "
+                                  "path string, payload string")
+    monkeypatch.setattr(ING, "BROADCAST_FETCHES", broadcast)
+    monkeypatch.setattr(ING, "HASHED_FETCHES", hashed)
+    decided = ING.decide(batch, "AV", spark.createDataFrame([], SK.INDEX_SCHEMA))
+    assert {r.ticker: r.fetch_id for r in decided.collect()} == {t: r[2] for t, r in newest.items()}
+    found = ING.wanted_payloads(batch, decided.where("changed"))
+    got = found.select("ticker", "modified", "fetch_id", "path", "payload").collect()
+    assert len(got) == len(newest) and {tuple(r) for r in got} == set(newest.values())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join" in line and "payload" not in line.split("Join")[0])
+    assert way in join
+    assert not any("hashpartitioning" in line and "sha2" in line for line in plan.splitlines())
