@@ -4,12 +4,15 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from qtrbars.llm import fingerprints, jaccard, substring_bytes, substring_words
 from qtrbars.llm.components import components
-from qtrbars.llm.suffixes import suffix_array
+from qtrbars.llm.suffixes import lyndon_groups, suffix_array
+from qtrbars.llm.text import Rolling, gram_hash
 
 from . import brute
 
@@ -57,6 +60,68 @@ def test_suffix_array():
         assert suffix_array(s) == sorted(range(len(s)), key=lambda i: s[i:])
 
 
+def test_groups_made_by_the_suffix_sort():
+    """The last member of a group takes no new group with it, so few are made that end empty."""
+    r = random.Random(9)
+    s = bytes(r.randrange(97, 123) for _ in range(4000))
+    done, _, group = lyndon_groups(s)
+    assert sorted(i for own in done for i in own) == list(range(len(s)))
+    assert all(len({group[i] for i in own}) == 1 for own in done)
+    assert max(group) + 1 <= 1.1 * len(done)
+
+
+def test_anchors_of_strings(monkeypatch):
+    """They take no prefix sums, and are those of each string alone, wherever it lies."""
+    def refused(*_):
+        raise AssertionError("prefix sums of a whole slice")
+    r = random.Random(10)
+    passage = "".join(r.choice("abcdef \u00e9\u4e2d") for _ in range(90))
+    texts = ["x" * 30, None, "".join(r.choice("uvw") for _ in range(substring_bytes.STEP - 60)) + passage, "", passage,
+             "y" * 49, "z" * 50, passage + passage]
+    with monkeypatch.context() as m:
+        m.setattr(substring_bytes, "Rolling", refused)
+        w = substring_bytes.windows(pa.array(texts))
+        head, size = w.contexts()
+    raw = [(t or "").encode() for t in texts]
+    assert list(zip(w.row.tolist(), w.start.tolist())) == [(k, i) for k, t in enumerate(raw) for i in range(len(t) - 49)]
+    alone = [gram_hash(np.frombuffer(raw[k][i:i + 50], np.uint8), 2).min() for k, i in zip(w.row, w.start)]
+    assert w.anchor.tolist() == alone
+    assert size.sum() == len(w.anchor) and size.max() <= 64
+    same = w.identity(np.array([0]), np.array([1]))  # prefix sums are there for those that go on
+    assert same == Rolling(np.frombuffer(raw[2], np.uint8), 1).of(np.array([0]), np.array([50]))
+
+
+def test_powers_of_rolling_hashes():
+    data = np.frombuffer(b"abcabcabcd" * 9, np.uint8)
+    found = Rolling(data, 7)
+    base, value = int(found._powers[7][0][1]), 1
+    for there, back in zip(found._powers[7][0][:100].tolist(), found._powers[7][1][:100].tolist()):
+        assert there == value and there * back % 2 ** 64 == 1
+        value = value * base % 2 ** 64
+    assert len(set(found.grams(3).tolist())) == len({bytes(data[i:i + 3]) for i in range(len(data) - 2)})
+
+
+def test_stretches_and_equal_strings_of_contexts():
+    """Contexts under one anchor or several, against a plain look at every string."""
+    r = random.Random(11)
+    common = [bytes(r.choice(b"abc") for _ in range(r.randint(50, 90))) for _ in range(6)]
+    rows = sorted((k % 4, r.randrange(8), (b"" if r.random() < .5 else b"xyz"[:r.randint(1, 3)])
+                   + common[k] + r.choice([b"", b"q", b"rs"])) for k in r.choices(range(6), k=60))
+    route, doc = (np.array([row[k] for row in rows]) for k in (0, 1))
+    size = np.array([len(t) for *_, t in rows])
+    bodies, off, n = np.frombuffer(b"".join(t for *_, t in rows), np.uint8), np.cumsum(size) - size, size - 49
+    held = {}
+    for a, d, t in rows:
+        for i in range(len(t) - 49):
+            held.setdefault((a, t[i:i + 50]), set()).add(d)
+    gone = substring_bytes.same_strings(route.astype(np.uint64), doc, n, bodies, off, size)
+    assert gone.tolist() == [d > min(held[a, t[i:i + 50]]) for a, d, t in rows for i in range(len(t) - 49)]
+    first, last = substring_bytes._stretches(route.astype(np.uint64), doc, n, bodies, size)
+    for (a, _, t), f, e in zip(rows, first.tolist(), last.tolist()):
+        at = [i for i in range(len(t) - 49) if len(held[a, t[i:i + 50]]) > 1]
+        assert (f, e) == (at[0], at[-1]) if at else e < f
+
+
 @pytest.mark.parametrize("bits, hot", [(16, 4096), (10, 2)])
 def test_words_removed(docs, bits, hot):
     """A sketch far too small, and all anchors dealt window by window, change nothing."""
