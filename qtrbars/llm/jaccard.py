@@ -50,6 +50,10 @@ WORDS = 5
 LEVELS = (2, 32, 1024)
 #: Fragments of the order in which overlaps are counted.
 FRAGMENTS = 8
+#: Shingles a text from which, on average, texts are sorted one by one.
+LONG_ROW = 16
+#: Cells for each id of which the texts are sought, and the least width of their bits.
+CELLS_EACH, LEAST_BITS = 8, 16
 
 
 def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -70,13 +74,25 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             has = count[short] > k
             total[has] = splitmix(total[has] + words[first[has] + k])
         row, value = np.concatenate([row, short]), np.concatenate([value, total])
-    order = np.lexsort((value, row))
-    row, value = row[order], value[order]
+        order = np.argsort(row, kind="stable")
+        row, value = row[order], value[order]
+    _sort_within(row, value)
     new = np.ones(len(row), bool)
     new[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
     return row[new], value[new]
 
 
+def _sort_within(row: np.ndarray, value: np.ndarray) -> None:
+    """Sorts the values of each row in place; ``row`` is sorted."""
+    edges = np.flatnonzero(np.diff(row, prepend=-1, append=-1))
+    if len(value) < LONG_ROW * len(edges):
+        value[:] = value[np.lexsort((value, row))]
+        return
+    edges = edges.tolist()
+    for a, b in zip(edges, edges[1:]):
+        value[a:b].sort()
+
+
 def _sums(row: np.ndarray, value: np.ndarray, n: int, seed: int) -> np.ndarray:
     """A hash of each row's set, as signed numbers."""
     total = np.zeros(n, np.uint64)
@@ -104,10 +120,43 @@ def set_sizes(posed: DataFrame) -> DataFrame:
     return posed.mapInArrow(trimmed(run), "doc bigint, n bigint, f1 bigint, f2 bigint")
 
 
+def prefix_length(n):
+    """Of sets of n shingles that link, one of the first so many is shared, in any order."""
+    return n - (3 * n + 3) // 4 + 1
+
+
+def _firsts(part: pa.RecordBatch, levels: list[sketch.Bits]) -> tuple[np.ndarray, ...]:
+    """(token, id, n, f1, f2, pos): the first shingles of the sets of (id, text), rare before frequent, less those met once.
+
+    Of equal sets only the smallest id's posts.
+    """
+    ids = part[0].to_numpy()
+    row, value = shingles(part[1])
+    size = np.bincount(row, minlength=len(ids))
+    f1, f2 = _sums(row, value, len(ids), 1), _sums(row, value, len(ids), 2)
+    order = np.lexsort((ids, f2, f1, size))
+    new = np.ones(len(order), bool)
+    new[1:] = ((f1[order][1:] != f1[order][:-1]) | (f2[order][1:] != f2[order][:-1])
+               | (size[order][1:] != size[order][:-1]))
+    posts = np.zeros(len(ids), bool)
+    posts[order[new]] = True
+    here = posts[row]
+    row, value = row[here], value[here]
+    level = sketch.levels(levels, value)
+    order = np.argsort(row * (len(levels) + 1) + level, kind="stable")  # sorted by hash within a row
+    row, value, level = row[order], value[order], level[order]
+    pos = np.arange(len(row)) - np.searchsorted(row, row)
+    n = size[row]
+    at = np.flatnonzero((pos < prefix_length(n)) & (level > 0))
+    return value[at], ids[row[at]], n[at], f1[row[at]], f2[row[at]], pos[at]
+
+
 def postings(posed: DataFrame, cell_bits: int = sketch.CELL_BITS) -> DataFrame:
-    """(token, n, f1, f2, pos): the first shingles of each set that others may have.
+    """(token, id, n, f1, f2, pos): the first shingles of each set that others have among their first.
 
-    Of documents with equal sets in one slice of text only one posts.
+    Of documents with equal sets in one slice of text only the smallest id posts. Shingles met once
+    that the first sketch lets through, nearly all in a large input, are
+    found by a count of the first shingles alone.
     """
     def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for a, b in slices(batch[1]):
@@ -116,38 +165,24 @@ def postings(posed: DataFrame, cell_bits: int = sketch.CELL_BITS) -> DataFrame:
     bits = sketch.over(sketch.partition_sketches(posed, hashes, cell_bits), list(LEVELS), cell_bits)
     marks = sketch.shared(posed, bits)
 
+    def firsts(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for a, b in slices(batch[1]):
+            yield _firsts(batch.slice(a, b - a), marks.value)[0]
+
+    met = sketch.shared(posed, sketch.met(posed, firsts, 2, cell_bits))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = marks.value
         for batch in batches:
             for a, b in slices(batch[1]):
-                part = batch.slice(a, b - a)
-                ids = part[0].to_numpy()
-                row, value = shingles(part[1])
-                size = np.bincount(row, minlength=len(ids))
-                f1, f2 = _sums(row, value, len(ids), 1), _sums(row, value, len(ids), 2)
-                order = np.lexsort((ids, f2, f1, size))
-                new = np.ones(len(order), bool)
-                new[1:] = ((f1[order][1:] != f1[order][:-1]) | (f2[order][1:] != f2[order][:-1])
-                           | (size[order][1:] != size[order][:-1]))
-                posts = np.zeros(len(ids), bool)
-                posts[order[new]] = True
-                here = posts[row]
-                row, value = row[here], value[here]
-                level = np.zeros(len(value), np.int8)
-                for bitmap in levels:
-                    level += bitmap.holds(value)
-                order = np.lexsort((value, level, row))
-                row, value, level = row[order], value[order], level[order]
-                pos = np.arange(len(row)) - np.searchsorted(row, row)
-                n = size[row]
-                prefix = n - (3 * n + 3) // 4 + 1
-                at = np.flatnonzero((pos < prefix) & (level > 0))
+                found = _firsts(batch.slice(a, b - a), marks.value)
+                at = np.flatnonzero(met.value.holds(found[0]))
+                value, ids, n, f1, f2, pos = (x[at] for x in found)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(value[at].view(np.int64)), pa.array(n[at].astype(np.int64)), pa.array(f1[row[at]]),
-                     pa.array(f2[row[at]]), pa.array(pos[at].astype(np.int32))],
-                    names=["token", "n", "f1", "f2", "pos"])
+                    [pa.array(value.view(np.int64)), pa.array(ids), pa.array(n.astype(np.int64)), pa.array(f1),
+                     pa.array(f2), pa.array(pos.astype(np.int32))],
+                    names=["token", "id", "n", "f1", "f2", "pos"])
 
-    return posed.mapInArrow(trimmed(run), "token bigint, n bigint, f1 bigint, f2 bigint, pos int")
+    return posed.mapInArrow(trimmed(run), "token bigint, id bigint, n bigint, f1 bigint, f2 bigint, pos int")
 
 
 def segments(posed: DataFrame) -> DataFrame:
@@ -185,6 +220,41 @@ def enough(overlap: Column, a: Column, b: Column) -> Column:
     return 7 * overlap >= 3 * (a + b)
 
 
+def heads(posts: DataFrame) -> DataFrame:
+    """(doc, n, head): the postings of each document together."""
+    return posts.groupBy("doc").agg(F.max("n").alias("n"), F.collect_list("token").alias("head"))
+
+
+def hopeful(pairs: DataFrame, first: DataFrame) -> DataFrame:
+    """The pairs that share so many of their first shingles that they could link.
+
+    Of two sets, let the first shingles of one end no later in the second order than
+    the other's. What they share up to that end is in both heads, and after it
+    the one has only its shingles that aren't among its first.
+    """
+    one = first.select(F.col("doc").alias("u"), F.col("n").alias("nu"), F.col("head").alias("hu"))
+    other = first.select(F.col("doc").alias("v"), F.col("n").alias("nv"), F.col("head").alias("hv"))
+    rest = F.floor((3 * F.greatest("nu", "nv") + 3) / 4) - 1
+    return (pairs.join(one, "u").join(other, "v")
+            .where(enough(F.size(F.array_intersect("hu", "hv")) + rest, F.col("nu"), F.col("nv"))).select("u", "v"))
+
+
+def maybe_in(posed: DataFrame, pairs: DataFrame, n: int, cell_bits: int = sketch.CELL_BITS) -> DataFrame:
+    """The rows of ``posed`` with an id in one of the ``n`` ``pairs`` (u, v), and few others."""
+    def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for column in batch.columns:
+            yield np.asarray(column).view(np.uint64)
+
+    bits = min(max((2 * CELLS_EACH * n).bit_length(), LEAST_BITS), cell_bits)
+    there = sketch.shared(posed, sketch.met(pairs, hashes, 1, bits))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(there.value.holds(np.asarray(batch.column("id")).view(np.uint64))))
+
+    return posed.mapInArrow(trimmed(run), posed.schema)
+
+
 def verified(pairs: DataFrame, segs: DataFrame) -> DataFrame:
     """(u, v) of the pairs that link: overlaps counted by fragment, summed per pair."""
     one = segs.select(F.col("doc").alias("u"), "fragment", F.col("n").alias("nu"), F.col("seg").alias("su"))
@@ -258,22 +328,34 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = written(single.groupBy("n", "f1", "f2").agg(F.min("doc").alias("rep"), F.count("*").alias("docs")), "jaccard-classes")
     member = written(join_heavy(single, classes, ["n", "f1", "f2"], "docs").select("doc", "rep", "n", "f1", "f2"), "jaccard-member")
     chosen = member.where("doc = rep").drop("rep")
+    # rows that come more than once, or ids with several texts
+    again = sizes.where("doc is not null").count() > member.count() + sizes.where("doc is not null and n = 0").count()
     # a set that counts for no document has no class, and its postings go
-    posts = written(postings(known, cell_bits).join(chosen, ["n", "f1", "f2"])
-                    .select("token", "doc", "n", "pos").distinct(), "jaccard-posts")
+    posts = postings(known, cell_bits).join(chosen, ["n", "f1", "f2"])
+    posts = (posts if again else posts.where("id = doc")).select("token", "doc", "n", "pos")
+    posts = written(posts.distinct() if again else posts, "jaccard-posts")
     several = posts.groupBy("token").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b")
     posts = written(posts.join(several.select("token"), "token", "left_semi"), "jaccard-shared")
-    able = chosen.join(posts.select("doc").distinct(), "doc", "left_semi").withColumnRenamed("doc", "id")
-    segs = segments(known.join(able.hint("shuffle_hash"), "id"))
-    if sizes.where("doc is not null").count() > member.count() + sizes.where("doc is not null and n = 0").count():
-        segs = segs.dropDuplicates(["doc", "fragment"])  # rows that come more than once
-    segs = written(segs, "jaccard-segments")
-    first = components(verified(star_pairs(posts), segs))
+    first_of = written(heads(posts), "jaccard-heads")
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = written(hopeful(pairs, first_of), f"jaccard-{name}")
+        n = pairs.count()
+        if not n:
+            return pairs
+        sets = (chosen.join(pairs.select(F.explode(F.array("u", "v")).alias("doc")).distinct(), "doc", "left_semi")
+                .withColumnRenamed("doc", "id"))
+        segs = segments(maybe_in(known, pairs, n, cell_bits).join(sets.hint("shuffle_hash"), "id"))
+        if again:
+            segs = segs.dropDuplicates(["doc", "fragment"])
+        return verified(pairs, written(segs, f"jaccard-{name}-segments"))
+
+    first = components(linked(star_pairs(posts), "stars"))
     placed = posts.join(first.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
         "component", F.coalesce("component", "doc"))
     placed = written(placed, "jaccard-placed")
     label = placed.select("doc", "component").distinct()
-    more = (verified(cross_pairs(placed), segs)
+    more = (linked(cross_pairs(placed), "crossing")
             .join(label.select(F.col("doc").alias("u"), F.col("component").alias("cu")), "u")
             .join(label.select(F.col("doc").alias("v"), F.col("component").alias("cv")), "v")
             .select(F.col("cu").alias("u"), F.col("cv").alias("v")))

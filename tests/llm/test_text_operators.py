@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from qtrbars.llm import fingerprints, jaccard, substring_bytes, substring_words
+from qtrbars.llm import fingerprints, jaccard, sketch, substring_bytes, substring_words
 from qtrbars.llm.components import components
 from qtrbars.llm.suffixes import lyndon_groups, suffix_array
 from qtrbars.llm.text import Rolling, gram_hash
@@ -247,6 +247,57 @@ def test_common_line_makes_no_pairs(spark):
     assert {r["doc_id"]: r["component_id"] for r in found} == {i: i for i in range(400)} | {900: 900, 901: 900}
 
 
+def test_shingles_met_once_are_not_posted(spark):
+    """Whatever the first sketch lets through: here every one of its cells is met by many."""
+    df = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(300))) for i in range(60)]
+                               + [(100 + i, " ".join(f"copy{k}" for k in range(300 - i))) for i in range(2)],
+                               "id bigint, text string")
+    posts = jaccard.postings(df, 10)
+    assert {r["id"] for r in posts.select("id").distinct().collect()} >= {100, 101}
+    assert posts.count() < 1000  # of 60 * 75 first shingles and those of the copies
+
+
+def test_names_met_twice(spark):
+    values = np.random.default_rng(1).integers(0, 1 << 63, 5000).astype(np.uint64)
+    twice = values[:40]
+    df = spark.createDataFrame([(int(v),) for v in values.tolist() + twice.tolist()], "v bigint").repartition(3)
+
+    def hashes(batch):
+        yield batch[0].to_numpy().view(np.uint64)
+
+    for bits in (10, 20):
+        met = sketch.met(df, hashes, 2, bits)
+        assert met.holds(twice).all()
+        assert met.holds(values[40:]).mean() < (0.2 if bits == 10 else 0.001)
+    assert sketch.met(df, hashes, 1, 20).holds(values).all()
+
+
+def test_pairs_without_hope(spark):
+    """A line of long texts is among their first shingles, but too little of them; those texts aren't fetched."""
+    line = " ".join(f"line{k}" for k in range(20))
+    rows = [(i, line + " " + " ".join(f"w{i}x{k}" for k in range(100))) for i in range(30)]
+    near = " ".join(f"near{k}" for k in range(100))
+    rows += [(100, near), (101, near + " more words")]
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    found = {r["id"] for r in jaccard.maybe_in(df, spark.createDataFrame([(3, 100)], "u bigint, v bigint"), 1, 16).collect()}
+    assert found >= {3, 100} and len(found) < 5
+    # so few cells that nearly every shingle seems repeated, as in a large input
+    posts = jaccard.postings(df, 10).withColumnRenamed("id", "doc").select("token", "doc", "n", "pos")
+    pairs = jaccard.star_pairs(posts)
+    assert pairs.where("u < 100").count() > 0
+    assert [tuple(r) for r in jaccard.hopeful(pairs, jaccard.heads(posts)).collect()] == [(100, 101)]
+
+
+def test_sorted_within_rows():
+    rng = np.random.default_rng(5)
+    for mean in (2, 100):  # both ways of sorting
+        row = np.repeat(np.arange(50), rng.integers(0, 2 * mean, 50))
+        value = rng.integers(0, 40, len(row)).astype(np.uint64)
+        want = value[np.lexsort((value, row))]
+        jaccard._sort_within(row, value)
+        assert (value == want).all()
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 20)] + [(30, 40), (40, 35), (7, 7), (50, 30)]
     found = components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()
