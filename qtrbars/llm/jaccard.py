@@ -11,6 +11,8 @@ Which pairs are counted is found by a second order, rare before frequent.
    (they match nothing), and how frequent the others are.
 3. A pair that links must share one of the first n - ceil(0.75 n) + 1
    shingles in that second order. Those that aren't met once are the postings.
+   The sketch lets through what shares cells by chance, in a large input nearly all;
+   so the first shingles alone are counted again, and only those met twice are posted.
 4. Stars: within a shingle's documents of like size, each is held against the
    smallest id only; their partial overlaps, summed over fragments, pick one
    partner a document (two, as sizes are banded twice). Exact overlaps of
@@ -19,6 +21,9 @@ Which pairs are counted is found by a second order, rare before frequent.
    could reach the threshold by its sizes and places, exactly. A group of
    near copies is mostly joined by then, so its pairs aren't made.
 
+Before overlaps are counted, pairs go that share too few of their first
+shingles to link; sets are made of the texts of what is left alone.
+
 Links within a component that step 4 joined aren't listed; every class is
 still held against all it could link with, so components are exact.
 
@@ -372,5 +377,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """One document of each group of near copies, the smallest id's; null ids stay."""
     found = join_components(docs, id_col, text_col, **options)
     gone = found.where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("__gone")).distinct()
+    gone = written(gone, "jaccard-gone")  # before the texts move, what found them is let go
     kept = docs.join(gone.hint("shuffle_hash"), docs[id_col] == gone["__gone"], "left_anti")
     return kept

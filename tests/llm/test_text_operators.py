@@ -288,6 +288,20 @@ def test_pairs_without_hope(spark):
     assert [tuple(r) for r in jaccard.hopeful(pairs, jaccard.heads(posts)).collect()] == [(100, 101)]
 
 
+def test_sets_are_made_of_texts_with_partners_alone(spark, monkeypatch):
+    """A line in 30 long texts, and so few cells that nearly every shingle seems repeated, as in a large input."""
+    line = " ".join(f"line{k}" for k in range(20))
+    rows = [(i, line + " " + " ".join(f"w{i}x{k}" for k in range(100))) for i in range(30)]
+    near = " ".join(f"near{k}" for k in range(100))
+    rows += [(100, near), (101, near + " more words")]
+    tables, plain = {}, jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda df, name: tables.setdefault(name, plain(df, name)))
+    kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"), cell_bits=10)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [*range(30), 100]
+    made = {r["doc"] for name, df in tables.items() if name.endswith("-segments") for r in df.select("doc").distinct().collect()}
+    assert made == {100, 101}
+
+
 def test_sorted_within_rows():
     rng = np.random.default_rng(5)
     for mean in (2, 100):  # both ways of sorting
